@@ -1,0 +1,54 @@
+"""Time-to-state over a live stream of state reports.
+
+A streaming ``groupBy`` keeps, per key, the first time seen and the first
+time the target state was seen (RocksDB state store, one small row per key).
+In update mode every micro-batch emits the keys it changed; the sink writes
+them as ``batch=<id>`` (a replay rewrites its own folder). Both figures only
+ever decrease, so the final answer per key is the minimum over everything
+emitted, which equals the batch ``wait_profile``. Late events are accepted
+and can lower the first-seen time.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from tablevault.functions import constants as K
+from tablevault.operators.lifecycle import wait_columns
+
+
+def wait_updates(stream: DataFrame, key: str, ts: str, state: str, target: str,
+                 watermark: str | None = None) -> DataFrame:
+    s = stream
+    if watermark:
+        # Watermarks need TIMESTAMP; parquet times arrive as TIMESTAMP_NTZ.
+        s = s.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark)
+    return s.groupBy(key).agg(
+        F.min(ts).alias("started"),
+        F.min(F.when(F.col(state) == F.lit(target), F.col(ts))).alias("reached_at"))
+
+
+def wait_stream(stream: DataFrame, key: str, ts: str, state: str, target: str, out_dir: str,
+                checkpoint: str, watermark: str | None = None,
+                available_now: bool = True) -> StreamingQuery:
+    updates = wait_updates(stream, key, ts, state, target, watermark)
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/batch={batch_id}")
+
+    writer = (updates.writeStream.outputMode("update").foreachBatch(sink)
+              .option("checkpointLocation", checkpoint))
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
+
+
+def wait_stream_result(spark: SparkSession, out_dir: str, key: str,
+                       poll_s: int = K.POLL_INTERVAL_S) -> DataFrame:
+    """Fold the emitted updates into the final profile per key."""
+    u = spark.read.parquet(out_dir)
+    g = u.groupBy(key).agg(F.min("started").alias("started"), F.min("reached_at").alias("reached_at"))
+    return g.select(key, "started", "reached_at",
+                    *wait_columns(F.col("started"), F.col("reached_at"), poll_s))
