@@ -25,17 +25,19 @@ from tablevault.operators.listings import (
 )
 from tablevault.operators.routing import route_first_match, route_plan, route_prepare, route_state
 from tablevault.operators.sizing import (
+    block_counts,
     block_layout,
     block_split,
     parse_records,
     parse_transfer,
     plan_size,
     transfer_rate,
+    volume_gib,
 )
 from tablevault.operators.sync import sync_apply, sync_diff, sync_report
 
 __all__ = [
-    "block_layout", "block_split", "cleanup_plan", "extract_named_value", "extract_tokens",
+    "block_counts", "block_layout", "block_split", "volume_gib", "cleanup_plan", "extract_named_value", "extract_tokens",
     "first_pattern", "flag_existing", "latest_entry", "lookup_field", "match_lines",
     "new_entries", "parse_records", "parse_transfer", "pick_fields", "placement_conflicts",
     "plan_size", "refs_missing", "refs_present", "route_first_match", "route_plan",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
@@ -12,20 +12,23 @@ from tablevault.functions import constants as K
 from tablevault.functions.columns import byte_length, payload_bytes
 
 
+def volume_gib(kib: str) -> Column:
+    """``(kib * 2) div 1048576 + 2``: the two truncating divisions by 1024 as one."""
+    return F.expr(f"({kib} * {K.SIZE_FACTOR}) div {K.KIB_PER_GIB} + {K.SIZE_HEADROOM_GIB}")
+
+
 def plan_size(df: DataFrame, by: Sequence[str], payload_cols: Sequence[str]) -> DataFrame:
     """Volume size per group: at least twice the payload, in whole GiB, plus 2.
 
     ``kib`` rounds the byte count up to whole KiB; ``gib`` is
-    ``(kib * 2) div 1048576 + 2``, the two truncating divisions by 1024 done
-    as one. An empty group still gets 2 GiB. Plain partial aggregation: a hot
-    group is pre-summed on every map task before the shuffle.
+    ``volume_gib(kib)``. An empty group still gets 2 GiB. Plain partial
+    aggregation: a hot group is pre-summed on every map task before the
+    shuffle.
     """
     g = df.groupBy(*by).agg(F.coalesce(F.sum(payload_bytes(payload_cols)), F.lit(0))
                             .cast("long").alias("bytes"))
-    kib = F.expr("(bytes + 1023) div 1024")
-    return (g.withColumn("kib", kib)
-            .withColumn("gib", F.expr(
-                f"(kib * {K.SIZE_FACTOR}) div {K.KIB_PER_GIB} + {K.SIZE_HEADROOM_GIB}")))
+    return (g.withColumn("kib", F.expr("(bytes + 1023) div 1024"))
+            .withColumn("gib", volume_gib("kib")))
 
 
 def _as_binary(df: DataFrame, payload: str):
@@ -34,15 +37,20 @@ def _as_binary(df: DataFrame, payload: str):
     return F.encode(F.col(payload), "UTF-8")
 
 
+def block_counts(nbytes: str, size: int = K.BLOCK_SIZE) -> list[Column]:
+    """``full_blocks``, ``partial_blocks`` (0 or 1) and ``padded_bytes`` for a
+    byte count column; the last short block is padded to ``size``."""
+    full = F.expr(f"{nbytes} div {size}")
+    partial = F.when(F.col(nbytes) % size > 0, 1).otherwise(0)
+    return [full.alias("full_blocks"), partial.alias("partial_blocks"),
+            ((full + partial) * size).cast("long").alias("padded_bytes")]
+
+
 def block_layout(df: DataFrame, id_cols: Sequence[str], payload: str,
                  size: int = K.BLOCK_SIZE) -> DataFrame:
     """Full blocks, the trailing partial block and the padded size of each payload."""
-    n = byte_length(payload)
-    return (df.select(*id_cols, n.alias("bytes"))
-            .withColumn("full_blocks", F.expr(f"bytes div {size}"))
-            .withColumn("partial_blocks", F.when(F.col("bytes") % size > 0, 1).otherwise(0))
-            .withColumn("padded_bytes",
-                        ((F.col("full_blocks") + F.col("partial_blocks")) * size).cast("long")))
+    return (df.select(*id_cols, byte_length(payload).alias("bytes"))
+            .select(*id_cols, "bytes", *block_counts("bytes", size)))
 
 
 def block_split(df: DataFrame, id_cols: Sequence[str], payload: str,
