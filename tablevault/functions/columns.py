@@ -6,6 +6,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, LongType, StructField, StructType
 
 
 def col(c: str | Column) -> Column:
@@ -94,6 +95,38 @@ def spread_salt(never_matches: Column, row_cols: Sequence[str | Column],
     return F.when(never_matches, h).otherwise(F.lit(0)).cast("long")
 
 
+JOIN_KEY = "_tv_jk"
+
+
+def join_key_type(types: Sequence[DataType]) -> StructType:
+    """One struct type for both sides (all fields nullable), so the join
+    compares plain attributes and no cast is put between the join and the
+    partitioning it reuses."""
+    fields = [StructField(f"k{i}", t, True) for i, t in enumerate(types)]
+    return StructType(fields + [StructField("salt", LongType(), True)])
+
+
+def salted_join_key(key_cols: Sequence[str | Column], types: Sequence[DataType],
+                    never_matches: Column, row_cols: Sequence[str | Column]) -> Column:
+    """Join key ``struct(keys..., salt)`` for the side whose unmatched rows
+    are kept.
+
+    The salt is part of the key itself (not a separate equality with a
+    constant, which the optimizer would fold into a post-join filter), so
+    hash partitioning really spreads the rows that can never match.
+    """
+    fields = [col(k).alias(f"k{i}") for i, k in enumerate(key_cols)]
+    fields.append(spread_salt(never_matches, row_cols).alias("salt"))
+    return F.struct(*fields).cast(join_key_type(types))
+
+
+def plain_join_key(key_cols: Sequence[str | Column], types: Sequence[DataType]) -> Column:
+    """The matching ``struct(keys..., 0)`` for the other side."""
+    fields = [col(k).cast(t).alias(f"k{i}") for i, (k, t) in enumerate(zip(key_cols, types))]
+    fields.append(F.lit(0).cast("long").alias("salt"))
+    return F.struct(*fields).cast(join_key_type(types))
+
+
 def any_null(cols: Sequence[str | Column]) -> Column:
     out = None
     for c in cols:

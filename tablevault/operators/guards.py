@@ -2,10 +2,11 @@
 
 Existence tests are semi/anti/left joins against the *distinct* keys of the
 inventory: the aggregate is partial on every map task and leaves the data
-hash-partitioned on the key, so the join needs no second shuffle, and a key
-repeated many times in the inventory cannot multiply rows. Request rows
-whose key is null or blank can never match; they are salted so that such a
-group (a third of all requests may lack a volume) spreads over many tasks.
+hash-partitioned on the join key, so the join needs no second shuffle, and a
+key repeated many times in the inventory cannot multiply rows. Request rows
+whose key is null or blank can never match; their join key carries a salt so
+that such a group (a third of all requests may lack a volume) spreads over
+many tasks instead of one.
 """
 
 from __future__ import annotations
@@ -16,48 +17,53 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablevault.functions import constants as K
-from tablevault.functions.columns import default_if_blank, first_rule, is_blank, spread_salt
+from tablevault.functions.columns import (
+    JOIN_KEY,
+    default_if_blank,
+    first_rule,
+    is_blank,
+    plain_join_key,
+    salted_join_key,
+)
 
-SALT = "_tv_salt"
 
+def _blank(c: str | Column) -> Column:
+    c = F.col(c) if isinstance(c, str) else c
+    return is_blank(c.cast("string"))
 
-def _key_blank(df: DataFrame, on: str) -> Column:
-    return is_blank(F.col(on).cast("string"))
 
+def _distinct_keys(ref: DataFrame, ref_on: str, like: DataFrame, on: str) -> DataFrame:
+    """Distinct usable keys of ``ref`` as ``struct(key, 0)``, typed like ``like[on]``."""
+    t = [like.schema[on].dataType]
+    return ref.where(~_blank(ref_on)).select(plain_join_key([ref_on], t).alias(JOIN_KEY)).distinct()
 
-def _distinct_keys(ref: DataFrame, ref_on: str, as_name: str, flag: str | None = None) -> DataFrame:
-    keys = (ref.select(F.col(ref_on).alias(as_name))
-            .where(~is_blank(F.col(as_name).cast("string"))).distinct()
-            .withColumn(SALT, F.lit(0).cast("long")))
-    if flag:
-        keys = keys.withColumn(flag, F.lit(True))
-    return keys
+
+def _salted(df: DataFrame, on: str) -> DataFrame:
+    t = [df.schema[on].dataType]
+    return df.withColumn(JOIN_KEY, salted_join_key([on], t, _blank(on), df.columns))
 
 
 def refs_present(df: DataFrame, ref: DataFrame, on: str, ref_on: str | None = None) -> DataFrame:
-    """Rows whose reference exists in ``ref`` (left semi join)."""
-    keys = _distinct_keys(ref, ref_on or on, on).drop(SALT)
-    return df.join(keys, on=on, how="left_semi")
+    """Rows whose reference exists in ``ref`` (left semi join). Rows with a
+    null or blank reference cannot match and are dropped before the shuffle."""
+    keys = _distinct_keys(ref, ref_on or on, df, on)
+    left = df.where(~_blank(on)).withColumn(JOIN_KEY, plain_join_key([on], [df.schema[on].dataType]))
+    return left.join(keys, on=JOIN_KEY, how="left_semi").drop(JOIN_KEY)
 
 
 def refs_missing(df: DataFrame, ref: DataFrame, on: str, ref_on: str | None = None) -> DataFrame:
     """Rows whose reference does not exist; a null or blank reference is
     missing, so ``refs_present`` and ``refs_missing`` split the input."""
-    keys = _distinct_keys(ref, ref_on or on, on)
-    left = df.withColumn(SALT, spread_salt(_key_blank(df, on), df.columns))
-    return left.join(keys, on=[on, SALT], how="left_anti").drop(SALT)
+    keys = _distinct_keys(ref, ref_on or on, df, on)
+    return _salted(df, on).join(keys, on=JOIN_KEY, how="left_anti").drop(JOIN_KEY)
 
 
 def flag_existing(df: DataFrame, ref: DataFrame, on: str, ref_on: str, flag: str) -> DataFrame:
     """Adds boolean ``flag``: does ``df[on]`` exist in ``ref[ref_on]``?
-    (left join against distinct keys; never multiplies rows)."""
-    tmp = f"_tv_key_{flag}"
-    keys = _distinct_keys(ref, ref_on, tmp, flag=f"_tv_{flag}")
-    left = df.withColumn(SALT, spread_salt(_key_blank(df, on), df.columns))
-    cond = (left[on] == keys[tmp]) & (left[SALT] == keys[SALT])
-    j = left.join(keys, on=cond, how="left")
-    return (j.select(*[left[c] for c in df.columns],
-                     F.coalesce(keys[f"_tv_{flag}"], F.lit(False)).alias(flag)))
+    A left join against distinct keys, so rows are never multiplied."""
+    keys = _distinct_keys(ref, ref_on, df, on).withColumn(flag, F.lit(True))
+    j = _salted(df, on).join(keys, on=JOIN_KEY, how="left")
+    return j.select(*df.columns, F.coalesce(F.col(flag), F.lit(False)).alias(flag))
 
 
 def validate_requests(req: DataFrame, volumes: DataFrame, sources: DataFrame, *,
@@ -71,15 +77,15 @@ def validate_requests(req: DataFrame, volumes: DataFrame, sources: DataFrame, *,
     an empty one is not.
     """
     m = default_if_blank(method, K.DEFAULT_METHOD)
-    checked = flag_existing(req, volumes, volume, volumes_key, "_volume_known")
-    checked = flag_existing(checked, sources, source, sources_key, "_source_known")
+    checked = flag_existing(req, volumes, volume, volumes_key, "_tv_volume_known")
+    checked = flag_existing(checked, sources, source, sources_key, "_tv_source_known")
     vol = F.col(volume)
     verdict = first_rule([
         (~m.isin(*K.METHODS), "bad_method"),
         (vol.isNotNull() & (vol == F.lit("")), "volume_blank"),
-        (vol.isNotNull() & ~F.col("_volume_known"), "volume_unknown"),
-        (is_blank(F.col(source).cast("string")), "source_missing"),
-        (~F.col("_source_known"), "source_unknown"),
+        (vol.isNotNull() & ~F.col("_tv_volume_known"), "volume_unknown"),
+        (_blank(source), "source_missing"),
+        (~F.col("_tv_source_known"), "source_unknown"),
     ], default="ok")
     keep = [c for c in req.columns if c != method]
     return checked.select(*keep, m.alias(method), verdict.alias("verdict"))

@@ -11,9 +11,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablevault.functions import constants as K
-from tablevault.functions.columns import default_if_blank, first_rule, is_blank, spread_salt
-
-SALT = "_tv_salt"
+from tablevault.functions.columns import (
+    JOIN_KEY,
+    default_if_blank,
+    first_rule,
+    is_blank,
+    plain_join_key,
+    salted_join_key,
+)
 
 
 def route_first_match(df: DataFrame, rules, out: str, default: str | None = None) -> DataFrame:
@@ -42,21 +47,21 @@ def route_prepare(df: DataFrame, volumes: DataFrame, volume: str = "volume_id",
     The inventory is reduced to one row per volume id (partial aggregate)
     before the left join, so a repeated id cannot multiply requests.
     """
+    t = [df.schema[volume].dataType]
     inv = (volumes.where(~is_blank("volume_id"))
-           .groupBy(F.col("volume_id").alias("_tv_vid"))
+           .groupBy(plain_join_key(["volume_id"], t).alias(JOIN_KEY))
            .agg(F.min("fs").alias("fs"))
-           .withColumn("_tv_found", F.lit(True))
-           .withColumn(SALT, F.lit(0).cast("long")))
-    left = df.withColumn(SALT, spread_salt(is_blank(volume), df.columns))
-    j = left.join(inv, on=(left[volume] == inv["_tv_vid"]) & (left[SALT] == inv[SALT]), how="left")
+           .withColumn("_tv_found", F.lit(True)))
+    left = df.withColumn(JOIN_KEY, salted_join_key([volume], t, is_blank(volume), df.columns))
+    j = left.join(inv, on=JOIN_KEY, how="left")
     fs = F.col("fs")
     action = first_rule([
-        (is_blank(left[volume]), "create"),
-        (inv["_tv_found"].isNull(), "reject"),
+        (is_blank(volume), "create"),
+        (F.col("_tv_found").isNull(), "reject"),
         (fs == F.lit(K.RAW_CONTENT), "format_mount"),
         (fs.isin(*K.SUPPORTED_FILESYSTEMS), "mount"),
     ], default="rollback")
-    return j.select(*[left[c] for c in df.columns], fs, action.alias(out))
+    return j.select(*df.columns, fs, action.alias(out))
 
 
 def route_state(df: DataFrame, state: str = "state", out: str = "action") -> DataFrame:

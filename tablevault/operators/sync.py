@@ -12,7 +12,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablevault.functions.columns import all_of, any_null, payload_bytes, spread_salt
+from tablevault.functions.columns import (
+    JOIN_KEY,
+    all_of,
+    any_null,
+    payload_bytes,
+    plain_join_key,
+    salted_join_key,
+    spread_salt,
+)
 
 SALT = "_tv_salt"
 
@@ -79,15 +87,16 @@ def sync_apply(src: DataFrame, tgt: DataFrame, keys: Sequence[str]) -> DataFrame
 
     The source side of the anti join is reduced to its distinct keys (map-side
     partial aggregation, same partitioning as the join, so no extra shuffle);
-    target rows with a null key are salted so they do not pile into one task.
+    target rows with a null key carry a salt inside the join key so they do
+    not pile into one task.
     Applying it twice gives the same table as applying it once.
     """
     keys = list(keys)
-    src_keys = (src.select(*keys).where(~any_null(keys)).distinct()
-                .withColumn(SALT, F.lit(0).cast("long")))
-    kept = (tgt.withColumn(SALT, spread_salt(any_null(keys), tgt.columns))
-            .join(src_keys, on=keys + [SALT], how="left_anti")
-            .drop(SALT))
+    types = [tgt.schema[k].dataType for k in keys]
+    src_keys = (src.where(~any_null(keys)).select(plain_join_key(keys, types).alias(JOIN_KEY)).distinct())
+    kept = (tgt.withColumn(JOIN_KEY, salted_join_key(keys, types, any_null(keys), tgt.columns))
+            .join(src_keys, on=JOIN_KEY, how="left_anti")
+            .drop(JOIN_KEY))
     return src.unionByName(kept, allowMissingColumns=True)
 
 
