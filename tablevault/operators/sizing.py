@@ -63,8 +63,9 @@ def block_split(df: DataFrame, id_cols: Sequence[str], payload: str,
     copied once per block.
     """
     b = _as_binary(df, payload)
-    nbytes = F.octet_length(b)
-    blocks = df.select(*id_cols, b.alias("_tv_bin"), nbytes.alias("_tv_n")).where(F.col("_tv_n") > 0)
+    nbytes = F.octet_length(F.col(payload))  # UTF-8 bytes of a string: no second encode
+    blocks = (df.where(nbytes > 0)
+              .select(*id_cols, b.alias("_tv_bin"), nbytes.alias("_tv_n")))
     blocks = blocks.select(
         *id_cols, "_tv_bin",
         F.explode(F.sequence(F.lit(0), F.expr(f"(_tv_n + {size - 1}) div {size} - 1")))
