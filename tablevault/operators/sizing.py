@@ -68,7 +68,7 @@ def block_split(df: DataFrame, id_cols: Sequence[str], payload: str,
               .select(*id_cols, b.alias("_tv_bin"), nbytes.alias("_tv_n")))
     blocks = blocks.select(
         *id_cols, "_tv_bin",
-        F.explode(F.sequence(F.lit(0), F.expr(f"(_tv_n + {size - 1}) div {size} - 1")))
+        F.explode(F.sequence(F.lit(0), F.expr(f"cast((_tv_n + {size - 1}) div {size} - 1 as int)")))
         .alias("block_no"))
     piece = F.col("_tv_bin").substr(F.col("block_no") * size + 1, F.lit(size))
     return blocks.select(*id_cols, "block_no",

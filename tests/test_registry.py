@@ -8,6 +8,10 @@ from tests.conftest import SF_SMALL
 # queries that SQL cannot express are allowed to lack an oracle
 NO_ORACLE: set[str] = set()
 
+# Spark type -> DuckDB type of the same values
+TYPE_NAMES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+              "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "binary": "BLOB"}
+
 
 def test_every_query_has_an_oracle():
     assert set(E.queries()) - set(E.oracle_sql()) <= NO_ORACLE
@@ -35,4 +39,8 @@ def test_all_queries_match_oracle_on_small_data(spark):
         dcols = [d[0] for d in res.description]
         if sorted(df.columns) != sorted(dcols) or rows_of(df.columns, srows) != rows_of(dcols, res.fetchall()):
             failed.append(name)
+        spark_types = {f.name: TYPE_NAMES.get(f.dataType.simpleString()) for f in df.schema.fields}
+        duck_types = {r[0]: r[1] for r in con.execute(f"describe {sqls[name]}").fetchall()}
+        if spark_types != duck_types:
+            failed.append(f"{name} types {spark_types} != {duck_types}")
     assert failed == []
