@@ -39,8 +39,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
                   app_name: str = "tablevault", extra: dict | None = None) -> SparkSession:
     """Create (or get) a session with the library's defaults.
 
-    ``spark.checkpoint.dir`` is set to a fresh local folder only for local
-    masters that have none; cluster sessions must bring their own.
+    ``spark.checkpoint.dir`` is read from the configuration (including
+    spark-defaults); only a local master without one gets a fresh local
+    folder. Cluster sessions must bring their own.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -51,10 +52,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
-    if (master or "").startswith("local") and "spark.checkpoint.dir" not in conf:
-        builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tablevault-"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    shared_root(spark)  # honours a configured folder; local sessions without one get their own
     return spark
 
 
@@ -64,16 +64,18 @@ def shared_root(spark: SparkSession) -> str:
     Falls back to a new local folder only when the master is local and no
     folder is configured (tests); raises on a cluster without the setting.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not root and sc.getCheckpointDir():
+        # set earlier with setCheckpointDir(); Spark appends a per-context folder
+        root = sc.getCheckpointDir().rstrip("/").rsplit("/", 1)[0]
     if not root:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not root:
-        master = spark.sparkContext.master or ""
+        master = sc.master or ""
         if not master.startswith("local"):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; point it at a folder every executor can reach")
         root = tempfile.mkdtemp(prefix="tablevault-")
-        spark.sparkContext.setCheckpointDir(root)
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 

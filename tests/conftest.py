@@ -1,7 +1,5 @@
 import os
 import sys
-import tempfile
-
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -14,9 +12,9 @@ SF_ORACLE = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    # Tests set their own shared folder, as a cluster would via its config.
-    ckpt = tempfile.mkdtemp(prefix="tablevault-tests-")
-    s = build_session("local[*]", 8, extra={"spark.checkpoint.dir": ckpt})
+    # The shared folder comes from spark.checkpoint.dir when it is configured;
+    # build_session creates a local one only where it is unset.
+    s = build_session("local[*]", 8)
     yield s
     s.stop()
 
