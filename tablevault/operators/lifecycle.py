@@ -29,9 +29,21 @@ def latest_entry(df: DataFrame, by: Sequence[str], order_cols: Sequence[str]) ->
 
 def new_entries(after: DataFrame, before: DataFrame) -> DataFrame:
     """Distinct rows of the later listing that the earlier one lacks
-    (``EXCEPT``). The earlier listing is reduced to distinct rows first, so
-    the anti join never has to hold a repeated row many times."""
-    return after.subtract(before.distinct())
+    (``EXCEPT DISTINCT``; nulls compare equal).
+
+    Both listings are tagged, unioned and grouped once on all columns: a
+    single shuffle, hash-aggregated with a map-side partial step, so a row
+    repeated many times collapses before it is shuffled. (An anti join would
+    shuffle each side on its own, and the optimizer would move it below the
+    left side's distinct, so repeated rows would travel raw.)
+    """
+    cols = after.columns
+    tagged = (after.select(*cols, F.lit(1).alias("_tv_in_after"), F.lit(0).alias("_tv_in_before"))
+              .unionByName(before.select(*cols, F.lit(0).alias("_tv_in_after"),
+                                         F.lit(1).alias("_tv_in_before"))))
+    g = tagged.groupBy(*cols).agg(F.max("_tv_in_after").alias("_tv_a"),
+                                  F.max("_tv_in_before").alias("_tv_b"))
+    return g.where((F.col("_tv_a") == 1) & (F.col("_tv_b") == 0)).select(*cols)
 
 
 def _micros_between(start: Column, end: Column) -> Column:
