@@ -20,7 +20,7 @@ from tablevault.plans.fixtures import with_fixtures
 from tablevault.session import new_work_dir
 from tablevault.sources import fs
 from tablevault.sources.snapshot import read_snapshot, snapshot_full, snapshot_tolerant
-from tablevault.sources.tables import table
+from tablevault.sources.tables import table, text_lines
 from tablevault.streaming import sync_stream, wait_stream, wait_stream_result
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,6 +110,15 @@ def q_match_lines(spark, sf):
     return op.match_lines(fx.listing(spark, sf), "line", MATCH_PATTERNS)
 
 
+def q_match_lines_text(spark, sf):
+    """The listing as plain text files (what a CLI dump looks like), read back
+    with the text source and grepped."""
+    path = f"{new_work_dir(spark, 'listing_text')}/listing"
+    fx.listing(spark, sf).select("line").write.text(path)
+    lines = text_lines(spark, path).select(F.col("value").alias("line"))
+    return op.match_lines(lines, "line", MATCH_PATTERNS)
+
+
 def q_extract_tokens(spark, sf):
     return op.extract_tokens(table(spark, sf, "pages"), ["page_id"], "html", HREF_PATTERN, 1)
 
@@ -258,6 +267,7 @@ QUERIES: dict[str, Query] = {
     "block_split": q_block_split,
     "transfer_rate": q_transfer_rate,
     "match_lines": q_match_lines,
+    "match_lines_text": q_match_lines_text,
     "extract_tokens": q_extract_tokens,
     "extract_ids": q_extract_ids,
     "extract_zones": q_extract_zones,
@@ -390,6 +400,9 @@ ORACLE_SQL: dict[str, str] = {
     "match_lines": with_fixtures(
         "select c_custkey, line from listing where "
         + " and ".join(f"regexp_matches(line, {_sql_str(p)})" for p in MATCH_PATTERNS), "listing"),
+    "match_lines_text": with_fixtures(
+        "select line from listing where "
+        + " and ".join(f"regexp_matches(line, {_sql_str(p)})" for p in MATCH_PATTERNS), "listing"),
     "extract_tokens": f"""
         select page_id, cast(unnest(range(0, len(l))) as int) as pos, unnest(l) as token
         from (select page_id, regexp_extract_all(html, {_sql_str(HREF_PATTERN)}, 1) as l from pages)""",
