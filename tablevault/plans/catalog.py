@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tablevault import operators as op
 from tablevault.functions import constants as K
@@ -21,7 +21,7 @@ from tablevault.session import new_work_dir
 from tablevault.sources import fs
 from tablevault.sources.snapshot import read_snapshot, snapshot_full, snapshot_tolerant
 from tablevault.sources.tables import table, text_lines
-from tablevault.streaming import sync_stream, wait_stream, wait_stream_result
+from tablevault.streaming import read_synced, sync_stream, wait_stream, wait_stream_result
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +34,13 @@ HREF_PATTERN = r'href="([^"]*)"'
 ROUTE_PATTERNS = [("zone", K.ZONE_PATTERN, 0), ("instance", K.INSTANCE_ID_PATTERN, 1),
                   ("volume", K.VOLUME_ID_PATTERN, 0)]
 STREAM_DROPS = 4
+SYNC_BUCKETS = 16
+
+
+def _with_part(schema: StructType) -> StructType:
+    """A copy of ``schema`` plus the ``part`` folder column (``StructType.add``
+    would change the DataFrame's own cached schema)."""
+    return StructType(list(schema.fields) + [StructField("part", IntegerType(), True)])
 
 
 def _receipt(run_col: str = "run_id"):
@@ -74,15 +81,16 @@ def _drop_in_ranges(spark, df: DataFrame, col: str, parts: int, dest: str, after
 def q_sync_stream(spark, sf):
     work = new_work_dir(spark, "sync_stream")
     ev = table(spark, sf, "events")
-    schema = ev.schema.add("part", IntegerType())
+    schema = _with_part(ev.schema)
     target = f"{work}/target"
 
     def run():
         src = spark.readStream.schema(schema).parquet(f"{work}/in").drop("part")
-        sync_stream(src, target, ["user_id"], "event_id", f"{work}/checkpoint").awaitTermination()
+        sync_stream(src, target, ["user_id"], "event_id", f"{work}/checkpoint",
+                    buckets=SYNC_BUCKETS).awaitTermination()
 
     _drop_in_ranges(spark, ev, "event_id", STREAM_DROPS, f"{work}/in", run)
-    return read_snapshot(spark, target)
+    return read_synced(spark, target, SYNC_BUCKETS).select(*ev.columns)
 
 
 # ------------------------------------------------------------ sizing
@@ -193,7 +201,7 @@ def q_wait_profile(spark, sf):
 def q_wait_stream(spark, sf):
     work = new_work_dir(spark, "wait_stream")
     st = fx.instance_states(spark, sf)
-    schema = st.schema.add("part", IntegerType())
+    schema = _with_part(st.schema)
     out = f"{work}/updates"
 
     def run():
@@ -249,7 +257,7 @@ def damaged_copy(spark, sf, dest: str) -> None:
 def q_snapshot_tolerant(spark, sf):
     work = new_work_dir(spark, "snapshot_tolerant")
     damaged_copy(spark, sf, f"{work}/source")
-    schema = table(spark, sf, "orders").schema.add("part", IntegerType())
+    schema = _with_part(table(spark, sf, "orders").schema)
     v, _skipped = snapshot_tolerant(spark, f"{work}/source", f"{work}/target", schema=schema,
                                     drop_cols=("part",))
     return read_snapshot(spark, f"{work}/target", v)

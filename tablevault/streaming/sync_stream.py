@@ -2,40 +2,102 @@
 
 Every micro-batch is one sync: inside the batch the row with the highest
 ``order_col`` wins per key; the batch is then applied, source-wins and
-without deletes, to the newest complete version, and the result is written
-as version ``v=<batch id>``. A replayed batch reads the version before it
-and rewrites its own, so replays are idempotent; reading the previous
-version from storage also keeps the lineage one batch deep.
+without deletes, to the state before it, and the result is written as
+version ``v=<batch id>``. A replayed batch reads only versions below its own
+id and rewrites its own folder, so replays are idempotent; reading the
+previous state from storage also keeps the lineage one batch deep.
+
+Two layouts:
+
+* ``buckets=None``: every version is the whole table (simple, one folder to
+  read, but each batch rewrites everything).
+* ``buckets=B``: rows live in ``B`` key buckets (``pmod(xxhash64(keys), B)``)
+  and a version folder holds only the buckets its batch touched
+  (``v=N/_tv_bucket=b``). The table is the newest committed copy of every
+  bucket, so a batch reads and rewrites only the buckets it changes instead
+  of the whole target.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tablevault.operators.lifecycle import latest_entry
 from tablevault.operators.sync import sync_apply
+from tablevault.sources import fs
 from tablevault.sources.snapshot import latest_version, read_snapshot, version_path
 
+BUCKET = "_tv_bucket"
+
+
+def bucket_of(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
+
+
+def bucket_versions(spark: SparkSession, target: str, below: int | None = None) -> dict[int, int]:
+    """Newest committed version of every bucket (metadata only)."""
+    latest: dict[int, int] = {}
+    for v in fs.versions(spark, target):
+        if below is not None and v >= below:
+            continue
+        for name in fs.list_dirs(spark, version_path(target, v)):
+            if name.startswith(f"{BUCKET}=") and name[len(BUCKET) + 1:].isdigit():
+                latest[int(name[len(BUCKET) + 1:])] = v
+    return latest
+
+
+def read_bucketed(spark: SparkSession, target: str, only: Iterable[int] | None = None,
+                  below: int | None = None) -> DataFrame | None:
+    """The table (or some of its buckets) as of the versions below ``below``."""
+    wanted = None if only is None else set(only)
+    paths = [f"{version_path(target, v)}/{BUCKET}={b}"
+             for b, v in sorted(bucket_versions(spark, target, below).items())
+             if wanted is None or b in wanted]
+    if not paths:
+        return None
+    return spark.read.option("recursiveFileLookup", "true").parquet(*paths)
+
 
 def apply_batch(batch: DataFrame, batch_id: int, target: str, keys: Sequence[str],
-                order_col: str) -> None:
+                order_col: str, buckets: int | None = None) -> None:
     spark = batch.sparkSession
+    keys = list(keys)
     incoming = latest_entry(batch, keys, [order_col])
-    prev = latest_version(spark, target, below=batch_id)
-    merged = incoming if prev is None else sync_apply(incoming, read_snapshot(spark, target, prev), keys)
-    merged.write.mode("overwrite").parquet(version_path(target, batch_id))
+    out = version_path(target, batch_id)
+    if buckets is None:
+        prev = latest_version(spark, target, below=batch_id)
+        merged = incoming if prev is None else sync_apply(incoming, read_snapshot(spark, target, prev), keys)
+        merged.write.mode("overwrite").parquet(out)
+        return
+    # Only the touched bucket numbers (at most ``buckets`` small ints) reach the driver.
+    touched = [r[0] for r in incoming.select(bucket_of(keys, buckets)).distinct().collect()]
+    prev = read_bucketed(spark, target, only=touched, below=batch_id)
+    merged = incoming if prev is None else sync_apply(incoming, prev.select(*incoming.columns), keys)
+    (merged.withColumn(BUCKET, bucket_of(keys, buckets))
+     .write.mode("overwrite").partitionBy(BUCKET).parquet(out))
+
+
+def read_synced(spark: SparkSession, target: str, buckets: int | None = None) -> DataFrame:
+    """The current table written by ``sync_stream``."""
+    if buckets is None:
+        return read_snapshot(spark, target)
+    df = read_bucketed(spark, target)
+    if df is None:
+        raise FileNotFoundError(f"no committed version below {target}")
+    return df
 
 
 def sync_stream(stream: DataFrame, target: str, keys: Sequence[str], order_col: str,
-                checkpoint: str, available_now: bool = True,
+                checkpoint: str, buckets: int | None = None, available_now: bool = True,
                 processing_time: str | None = None) -> StreamingQuery:
     """Start the sync; ``available_now`` drains what is there and stops."""
     keys = list(keys)
     writer = (stream.writeStream
-              .foreachBatch(lambda df, bid: apply_batch(df, bid, target, keys, order_col))
+              .foreachBatch(lambda df, bid: apply_batch(df, bid, target, keys, order_col, buckets))
               .option("checkpointLocation", checkpoint))
     if available_now:
         writer = writer.trigger(availableNow=True)

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tablevault.plans import catalog
 from tablevault.sources import fs
@@ -30,7 +31,7 @@ def test_tolerant_read_skips_damaged_files_and_lists_them(spark, workdir):
     src = f"{workdir}/source"
     catalog.damaged_copy(spark, SF_SMALL, src)
     orders = table(spark, SF_SMALL, "orders")
-    schema = orders.schema.add("part", "integer")
+    schema = StructType(list(orders.schema.fields) + [StructField("part", IntegerType())])
     with pytest.raises(Exception):
         spark.read.schema(schema).parquet(src).count()  # strict read fails
     rows, skipped = read_tolerant(spark, src, schema)

@@ -67,3 +67,29 @@ def test_wait_stream_accepts_late_events_within_watermark(spark, workdir):
     (r,) = res.collect()
     assert r["polls"] == 5 and r["reached"]  # T = 40 - 5 = 35 s -> ceil(3.5) + 1
     assert r["started"] == base + dt.timedelta(seconds=5)
+
+
+def test_bucketed_sync_rewrites_only_touched_buckets(spark, workdir):
+    from tablevault.sources import fs
+    from tablevault.streaming import bucket_versions, read_synced
+    from tablevault.streaming.sync_stream import bucket_of
+
+    schema = "k long, n long, v string"
+    base = spark.range(200).select(F.col("id").alias("k"), F.lit(1).cast("long").alias("n"),
+                                   F.lit("old").alias("v"))
+    apply_batch(base, 0, workdir, ["k"], "n", buckets=8)
+    assert len(bucket_versions(spark, workdir)) == 8
+    # a batch whose keys all fall in one bucket
+    b0 = spark.range(200).select(F.col("id").alias("k"), bucket_of(["k"], 8).alias("b")) \
+        .where("b = 3").limit(3).select("k", F.lit(2).cast("long").alias("n"), F.lit("new").alias("v"))
+    b1 = spark.createDataFrame([(r["k"], r["n"], r["v"]) for r in b0.collect()], schema)
+    apply_batch(b1, 1, workdir, ["k"], "n", buckets=8)
+    assert fs.list_dirs(spark, f"{workdir}/v=1") == ["_tv_bucket=3"]
+    versions = bucket_versions(spark, workdir)
+    assert versions[3] == 1 and all(v == 0 for b, v in versions.items() if b != 3)
+    got = read_synced(spark, workdir, buckets=8)
+    assert got.count() == 200
+    assert got.where("v = 'new'").count() == 3
+    first = _rows(got)
+    apply_batch(b1, 1, workdir, ["k"], "n", buckets=8)  # replay
+    assert _rows(read_synced(spark, workdir, buckets=8)) == first
