@@ -73,9 +73,12 @@ def apply_batch(batch: DataFrame, batch_id: int, target: str, keys: Sequence[str
         merged = incoming if prev is None else sync_apply(incoming, read_snapshot(spark, target, prev), keys)
         merged.write.mode("overwrite").parquet(out)
         return
-    # Only the touched bucket numbers (at most ``buckets`` small ints) reach the driver.
-    touched = [r[0] for r in incoming.select(bucket_of(keys, buckets)).distinct().collect()]
-    prev = read_bucketed(spark, target, only=touched, below=batch_id)
+    prev = None
+    if bucket_versions(spark, target, below=batch_id):
+        # Only the touched bucket numbers (at most ``buckets`` small ints) reach
+        # the driver; they come straight from the batch keys (one aggregate).
+        touched = [r[0] for r in batch.select(bucket_of(keys, buckets)).distinct().collect()]
+        prev = read_bucketed(spark, target, only=touched, below=batch_id)
     merged = incoming if prev is None else sync_apply(incoming, prev.select(*incoming.columns), keys)
     (merged.withColumn(BUCKET, bucket_of(keys, buckets))
      .write.mode("overwrite").partitionBy(BUCKET).parquet(out))
