@@ -31,6 +31,7 @@ from tablevault.operators.sizing import (
     parse_records,
     parse_transfer,
     plan_size,
+    plan_size_files,
     transfer_rate,
     volume_gib,
 )
@@ -40,7 +41,7 @@ __all__ = [
     "block_counts", "block_layout", "block_split", "volume_gib", "cleanup_plan", "extract_named_value", "extract_tokens",
     "first_pattern", "flag_existing", "latest_entry", "lookup_field", "match_lines",
     "new_entries", "parse_records", "parse_transfer", "pick_fields", "placement_conflicts",
-    "plan_size", "refs_missing", "refs_present", "route_first_match", "route_plan",
+    "plan_size", "plan_size_files", "refs_missing", "refs_present", "route_first_match", "route_plan",
     "route_prepare", "route_state", "run_outcome", "sync_apply", "sync_diff", "sync_report",
     "transfer_rate", "validate_requests", "wait_columns", "wait_profile",
 ]

@@ -31,6 +31,23 @@ def plan_size(df: DataFrame, by: Sequence[str], payload_cols: Sequence[str]) ->
             .withColumn("gib", volume_gib("kib")))
 
 
+def plan_size_files(files: DataFrame, root: str, depth: int = 1) -> DataFrame:
+    """``du -s`` over a file listing: bytes per folder ``depth`` levels below
+    ``root``, then the same KiB / GiB rule as ``plan_size``.
+
+    ``files`` is a ``binaryFile`` listing (``path``, ``length``); its contents
+    are never read. Files directly under ``root`` count under ``'.'``.
+    """
+    prefix = root.rstrip("/") + "/"
+    rel = F.regexp_replace(F.col("path"), r"^(file:)?/*" + prefix.lstrip("/").replace(".", r"\."), "")
+    parts = F.split(rel, "/")
+    folder = F.when(F.size(parts) > depth,
+                    F.array_join(F.slice(parts, 1, depth), "/")).otherwise(F.lit("."))
+    g = files.groupBy(folder.alias("folder")).agg(F.sum("length").cast("long").alias("bytes"))
+    return (g.withColumn("kib", F.expr("(bytes + 1023) div 1024"))
+            .withColumn("gib", volume_gib("kib")))
+
+
 def _as_binary(df: DataFrame, payload: str):
     if isinstance(df.schema[payload].dataType, BinaryType):
         return F.col(payload)

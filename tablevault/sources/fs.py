@@ -52,12 +52,12 @@ def overwrite_bytes(spark: SparkSession, path: str, data: bytes) -> None:
         out.close()
 
 
-def versions(spark: SparkSession, base: str) -> list[int]:
-    """Complete versions ``v=N`` below ``base`` (a ``_SUCCESS`` marker
-    proves the write committed), ascending."""
+def versions(spark: SparkSession, base: str, committed_only: bool = True) -> list[int]:
+    """Versions ``v=N`` below ``base``, ascending. With ``committed_only`` a
+    ``_SUCCESS`` marker must prove the write committed."""
     found = []
     for name in list_dirs(spark, base):
         if name.startswith("v=") and name[2:].isdigit():
-            if exists(spark, f"{base.rstrip('/')}/{name}/_SUCCESS"):
+            if not committed_only or exists(spark, f"{base.rstrip('/')}/{name}/_SUCCESS"):
                 found.append(int(name[2:]))
     return sorted(found)

@@ -39,8 +39,10 @@ def snapshot_full(df: DataFrame, target: str, codec: str = "zstd",
         raise ValueError(f"unknown codec {codec!r}; use one of {CODECS}")
     spark = df.sparkSession
     if version is None:
-        last = latest_version(spark, target)
-        version = 1 if last is None else last + 1
+        # Past every existing folder, committed or not: a half-written
+        # version is never reused.
+        seen = fs.versions(spark, target, committed_only=False)
+        version = seen[-1] + 1 if seen else 1
     df.write.mode("errorifexists").option("compression", codec).parquet(version_path(target, version))
     return version
 

@@ -41,3 +41,32 @@ def test_tolerant_read_skips_damaged_files_and_lists_them(spark, workdir):
     assert {r["path"] for r in skipped.collect()} == damaged
     v, _ = snapshot_tolerant(spark, src, f"{workdir}/target", schema=schema, drop_cols=("part",))
     assert read_snapshot(spark, f"{workdir}/target", v).count() == expected
+
+
+def test_half_written_version_is_never_reused(spark, workdir):
+    import os
+
+    df = spark.range(5)
+    assert snapshot_full(df, workdir) == 1
+    df.write.parquet(f"{workdir}/v=2")
+    local = workdir[len("file:"):] if workdir.startswith("file:") else workdir
+    os.remove(os.path.join(local, "v=2", "_SUCCESS"))  # as if the job died before commit
+    assert latest_version(spark, workdir) == 1
+    assert snapshot_full(df, workdir) == 3
+
+
+def test_plan_size_files_is_du_over_a_listing(spark, workdir):
+    import os
+
+    from tablevault import operators as op
+    from tablevault.sources.tables import file_listing
+
+    spark.range(1000).write.parquet(f"{workdir}/a")
+    spark.range(10).write.parquet(f"{workdir}/b")
+    got = {r["folder"]: r for r in op.plan_size_files(file_listing(spark, workdir), workdir).collect()}
+    local = workdir[len("file:"):] if workdir.startswith("file:") else workdir
+    for d in ("a", "b"):
+        want = sum(os.path.getsize(os.path.join(local, d, f)) for f in os.listdir(os.path.join(local, d))
+                   if not f.startswith(("_", ".")))
+        assert got[d]["bytes"] == want
+        assert got[d]["kib"] == -(-want // 1024) and got[d]["gib"] == 2
