@@ -29,8 +29,9 @@ def _unique_keys(df: DataFrame, keys: Sequence[str], side: str) -> DataFrame:
     """Fail the job if a non-null key repeats.
 
     The window is partitioned and sorted exactly as the join that follows
-    needs, so the check adds no shuffle and no sort; ``row_number`` streams,
-    so a repeated key raises on its second row instead of buffering a group.
+    needs, so the check adds no shuffle and no sort. With unique keys every
+    window group is one row; a repeated key is buffered (spilling if large)
+    and then fails the job.
     """
     w = Window.partitionBy(*keys, SALT).orderBy(*keys)
     bad = (F.col("_tv_rn") > 1) & ~any_null(keys)

@@ -1,7 +1,7 @@
 """Registered queries, one per operator, and their DuckDB oracle SQL.
 
 Every query reads the driver tables (or fixtures Spark derives from them),
-runs over whole tables and returns a DataFrame; nothing is collected. Column
+runs over whole tables and returns a DataFrame; no table data is collected. Column
 names match the oracle SQL exactly.
 """
 
