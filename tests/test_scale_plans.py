@@ -69,3 +69,29 @@ def test_duplicate_check_adds_no_shuffle(no_broadcast):
     s = spark.range(100).select(F.col("id").alias("k"), F.col("id").alias("sig"))
     plan = op.sync_diff(s, s, ["k"], ["sig"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 2
+
+
+def _scan_lines(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [ln for ln in plan.splitlines() if "FileScan parquet" in ln]
+
+
+def test_scans_read_only_the_columns_they_need(spark):
+    from tablevault.plans import catalog
+    from tests.conftest import SF_SMALL
+
+    (scan,) = _scan_lines(catalog.q_plan_size(spark, SF_SMALL))
+    read_schema = scan.split("ReadSchema:")[1]
+    assert "text" in read_schema and "source" in read_schema
+    assert "doc_id" not in read_schema and "lang" not in read_schema and "n_chars" not in read_schema
+    for scan in _scan_lines(catalog.q_run_outcome(spark, SF_SMALL)):
+        read_schema = scan.split("ReadSchema:")[1]
+        assert "l_extendedprice" not in read_schema and "l_shipdate" not in read_schema
+
+
+def test_filters_reach_the_scan(spark):
+    from tablevault.plans import catalog
+    from tests.conftest import SF_SMALL
+
+    scans = _scan_lines(catalog.q_new_entries(spark, SF_SMALL))
+    assert any("PushedFilters: [IsNotNull(l_shipdate), LessThan(l_shipdate" in s for s in scans)
