@@ -19,8 +19,8 @@ from tablevault.plans import fixtures as fx
 from tablevault.plans.fixtures import with_fixtures
 from tablevault.session import new_work_dir
 from tablevault.sources import fs
-from tablevault.sources.snapshot import read_snapshot, snapshot_full, snapshot_tolerant
-from tablevault.sources.tables import table, text_lines
+from tablevault.sources.snapshot import read_snapshot, read_tolerant, snapshot_full, snapshot_tolerant
+from tablevault.sources.tables import file_listing, table, text_lines
 from tablevault.streaming import read_synced, sync_stream, wait_stream, wait_stream_result
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -263,10 +263,26 @@ def q_snapshot_tolerant(spark, sf):
     return read_snapshot(spark, f"{work}/target", v)
 
 
+def q_snapshot_skipped(spark, sf):
+    """Per source folder of the damaged copy: did the tolerant read skip any
+    of its files? (File names depend on the writer; the folders do not.)"""
+    work = new_work_dir(spark, "snapshot_skipped")
+    src = f"{work}/source"
+    damaged_copy(spark, sf, src)
+    schema = _with_part(table(spark, sf, "orders").schema)
+    _rows, skipped = read_tolerant(spark, src, schema)
+    flagged = (file_listing(spark, src).select("path")
+               .join(skipped.select("path", F.lit(True).alias("hit")), on="path", how="left"))
+    folder = F.regexp_extract(F.col("path"), r"/part=(\d+)/", 1).cast("int")
+    return flagged.groupBy(folder.alias("part")).agg(
+        F.max(F.coalesce(F.col("hit"), F.lit(False))).alias("skipped"))
+
+
 QUERIES: dict[str, Query] = {
     "plan_size": q_plan_size,
     "snapshot_full": q_snapshot_full,
     "snapshot_tolerant": q_snapshot_tolerant,
+    "snapshot_skipped": q_snapshot_skipped,
     "sync_diff": q_sync_diff,
     "sync_apply": q_sync_apply,
     "sync_report": q_sync_report,
@@ -370,6 +386,9 @@ ORACLE_SQL: dict[str, str] = {
               from documents group by source)""",
     "snapshot_full": "select * from orders",
     "snapshot_tolerant": "select * from orders where o_orderkey % 3 <> 0",
+    "snapshot_skipped": """
+        select cast(o_orderkey % 3 as int) as part, bool_or(o_orderkey % 3 = 0) as skipped
+        from orders group by 1""",
     "sync_diff": with_fixtures(_DIFF_SQL, "target_orders"),
     "sync_apply": with_fixtures("""
         select * from orders
