@@ -112,6 +112,13 @@ def q_transfer_rate(spark, sf):
     return op.transfer_rate(fx.transfers(spark, sf), ["source"])
 
 
+def q_transfer_records(spark, sf):
+    recs = op.parse_records(fx.dd_log(spark, sf)).where(F.col("direction").isNotNull())
+    return recs.groupBy("source", "direction").agg(
+        F.sum("full_records").cast("long").alias("full_records"),
+        F.sum("partial_records").cast("long").alias("partial_records"))
+
+
 # ------------------------------------------------------------ listings
 
 def q_match_lines(spark, sf):
@@ -290,6 +297,7 @@ QUERIES: dict[str, Query] = {
     "block_layout": q_block_layout,
     "block_split": q_block_split,
     "transfer_rate": q_transfer_rate,
+    "transfer_records": q_transfer_records,
     "match_lines": q_match_lines,
     "match_lines_text": q_match_lines_text,
     "extract_tokens": q_extract_tokens,
@@ -424,6 +432,12 @@ ORACLE_SQL: dict[str, str] = {
                      try_cast(regexp_extract(line, 'copied, ([0-9]+(?:\\.[0-9]+)?) s', 1) as double) as seconds
               from transfers)
         where bytes is not null group by source""", "transfers"),
+    "transfer_records": " union all ".join(f"""
+        select source, '{d}' as direction,
+               cast(sum(strlen(text) // {K.BLOCK_SIZE}) as bigint) as full_records,
+               cast(sum(case when strlen(text) % {K.BLOCK_SIZE} > 0 then 1 else 0 end) as bigint)
+                 as partial_records
+        from documents where text is not null group by source""" for d in ("in", "out")),
     "match_lines": with_fixtures(
         "select c_custkey, line from listing where "
         + " and ".join(f"regexp_matches(line, {_sql_str(p)})" for p in MATCH_PATTERNS), "listing"),

@@ -215,6 +215,33 @@ from documents
 """
 
 
+def dd_log(spark: SparkSession, sf: str) -> DataFrame:
+    """The copy report of each document as a block copy would print it:
+    records in, records out (full + partial 512-byte records), bytes and
+    seconds. Three lines per document, generated per row."""
+    d = table(spark, sf, "documents")
+    n = F.octet_length("text")
+    records = F.concat(F.expr(f"octet_length(text) div {K.BLOCK_SIZE}").cast("string"), F.lit("+"),
+                       F.when(n % K.BLOCK_SIZE > 0, F.lit("1")).otherwise(F.lit("0")))
+    lines = F.array(F.concat(records, F.lit(" records in")),
+                    F.concat(records, F.lit(" records out")),
+                    F.concat(n.cast("string"), F.lit(" bytes copied, "),
+                             (F.col("doc_id") % 50 + 1).cast("string"), F.lit(" s")))
+    return d.where(F.col("text").isNotNull()).select("doc_id", "source", F.explode(lines).alias("line"))
+
+
+DD_LOG_SQL = f"""
+select doc_id, source, unnest([
+         concat(cast(strlen(text) // {K.BLOCK_SIZE} as varchar), '+',
+                case when strlen(text) % {K.BLOCK_SIZE} > 0 then '1' else '0' end, ' records in'),
+         concat(cast(strlen(text) // {K.BLOCK_SIZE} as varchar), '+',
+                case when strlen(text) % {K.BLOCK_SIZE} > 0 then '1' else '0' end, ' records out'),
+         concat(cast(strlen(text) as varchar), ' bytes copied, ', cast(doc_id % 50 + 1 as varchar), ' s')
+       ]) as line
+from documents where text is not null
+"""
+
+
 def instance_states(spark: SparkSession, sf: str) -> DataFrame:
     """Events read as instance state reports: sign-up is a pending
     instance, an error a stopped one, a purchase a terminated one, anything
@@ -244,6 +271,7 @@ SQL = {
     "ledger": LEDGER_SQL,
     "devices": DEVICES_SQL,
     "transfers": TRANSFERS_SQL,
+    "dd_log": DD_LOG_SQL,
     "instance_states": INSTANCE_STATES_SQL,
 }
 
