@@ -163,6 +163,18 @@ def q_lookup_field(spark, sf):
     return op.lookup_field(req, fx.volumes(spark, sf), "volume_id", ["zone", "fs"])
 
 
+def q_lookup_field_text(spark, sf):
+    """Grep the text listing for each worker's instance id and cut the zone
+    field: ids are extracted from every line (O12), the field is cut (O13)
+    and the lookup is an equi-join (O15)."""
+    lines = fx.listing(spark, sf)
+    ids = op.extract_tokens(lines, ["line"], "line", K.INSTANCE_ID_PATTERN, K.INSTANCE_ID_GROUP)
+    by_id = op.pick_fields(ids, "line", "\t", fields={"zone": 2}, keep=["token"]) \
+        .withColumnRenamed("token", "instance_id")
+    workers = fx.workers(spark, sf).select("source_id", "instance_id")
+    return op.lookup_field(workers, by_id, "instance_id", ["zone"])
+
+
 # -------------------------------------------------------------- guards
 
 def q_refs_present(spark, sf):
@@ -306,6 +318,7 @@ QUERIES: dict[str, Query] = {
     "pick_fields": q_pick_fields,
     "extract_named_value": q_extract_named_value,
     "lookup_field": q_lookup_field,
+    "lookup_field_text": q_lookup_field_text,
     "refs_present": q_refs_present,
     "refs_missing": q_refs_missing,
     "validate_requests": q_validate_requests,
@@ -373,8 +386,8 @@ def _route_pattern_sql() -> str:
     return f"select c_custkey, case {names} end as pattern, case {values} end as value from listing"
 
 
-def _cut(n: int) -> str:
-    return f"case when strpos(line, chr(9)) = 0 then line else split_part(line, chr(9), {n}) end"
+def _cut(n: int, c: str = "line") -> str:
+    return f"case when strpos({c}, chr(9)) = 0 then {c} else split_part({c}, chr(9), {n}) end"
 
 
 def _plan_sql() -> str:
@@ -465,6 +478,12 @@ ORACLE_SQL: dict[str, str] = {
     "lookup_field": with_fixtures("""
         select r.volume_id, r.request_id, v.zone, v.fs
         from requests r join volumes v on r.volume_id = v.volume_id""", "requests", "volumes"),
+    "lookup_field_text": with_fixtures(f"""
+        select w.instance_id, w.source_id, {_cut(2, "ids.line")} as zone
+        from workers w join (
+          select line, unnest(regexp_extract_all(line, {_sql_str(K.INSTANCE_ID_PATTERN)},
+                                                 {K.INSTANCE_ID_GROUP})) as instance_id
+          from listing) ids on w.instance_id = ids.instance_id""", "listing", "workers"),
     "refs_present": with_fixtures("""
         select * from requests r where r.volume_id is not null
           and exists (select 1 from volumes v where v.volume_id = r.volume_id and v.volume_id <> '')""",
