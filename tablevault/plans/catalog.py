@@ -19,7 +19,13 @@ from tablevault.plans import fixtures as fx
 from tablevault.plans.fixtures import with_fixtures
 from tablevault.session import new_work_dir
 from tablevault.sources import fs
-from tablevault.sources.snapshot import read_snapshot, read_tolerant, snapshot_full, snapshot_tolerant
+from tablevault.sources.snapshot import (
+    read_snapshot,
+    read_tolerant,
+    snapshot_full,
+    snapshot_tolerant,
+    sync_run,
+)
 from tablevault.sources.tables import file_listing, table, text_lines
 from tablevault.streaming import read_synced, sync_stream, wait_stream, wait_stream_result
 
@@ -58,6 +64,15 @@ def q_sync_apply(spark, sf):
     return op.sync_apply(table(spark, sf, "orders"), fx.target_orders(spark, sf), SYNC_KEYS)
 
 
+def q_sync_run(spark, sf):
+    """Seed a versioned target with the older copy, sync ``orders`` into it
+    and read the new version back."""
+    target = new_work_dir(spark, "sync_run")
+    snapshot_full(fx.target_orders(spark, sf), target)
+    v = sync_run(table(spark, sf, "orders"), target, SYNC_KEYS)
+    return read_snapshot(spark, target, v)
+
+
 def q_sync_report(spark, sf):
     return op.sync_report(q_sync_diff(spark, sf))
 
@@ -305,6 +320,7 @@ QUERIES: dict[str, Query] = {
     "sync_diff": q_sync_diff,
     "sync_apply": q_sync_apply,
     "sync_report": q_sync_report,
+    "sync_run": q_sync_run,
     "sync_stream": q_sync_stream,
     "block_layout": q_block_layout,
     "block_split": q_block_split,
@@ -417,6 +433,12 @@ ORACLE_SQL: dict[str, str] = {
         select * from target_orders t
         where not exists (select 1 from orders s where s.o_orderkey = t.o_orderkey)""",
                                 "target_orders"),
+    "sync_run": with_fixtures("""
+        select * from orders
+        union all
+        select * from target_orders t
+        where not exists (select 1 from orders s where s.o_orderkey = t.o_orderkey)""",
+                              "target_orders"),
     "sync_report": with_fixtures(f"""
         select cls, count(*) as rows, cast(coalesce(sum(bytes), 0) as bigint) as bytes
         from ({_DIFF_SQL}) d group by cls""", "target_orders"),

@@ -6,9 +6,10 @@ from tablevault.sources.snapshot import (
     read_tolerant,
     snapshot_full,
     snapshot_tolerant,
+    sync_run,
     version_path,
 )
 from tablevault.sources.tables import TABLES, file_listing, table, text_lines
 
 __all__ = ["TABLES", "file_listing", "latest_version", "read_snapshot", "read_tolerant",
-           "snapshot_full", "snapshot_tolerant", "table", "text_lines", "version_path"]
+           "snapshot_full", "snapshot_tolerant", "sync_run", "table", "text_lines", "version_path"]

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tablevault.operators.sync import sync_apply
 from tablevault.sources import fs
 from tablevault.sources.tables import file_listing
 
@@ -56,6 +57,17 @@ def read_snapshot(spark: SparkSession, target: str, version: int | None = None)
     return spark.read.parquet(version_path(target, version))
 
 
+def sync_run(src: DataFrame, target: str, keys, codec: str = "zstd") -> int:
+    """One sync run into a versioned target: the source is applied (source
+    wins, nothing deleted) to the newest committed version and the result
+    becomes the next version; the first run is a full snapshot. Returns the
+    version written. The version read is never the one written."""
+    spark = src.sparkSession
+    last = latest_version(spark, target)
+    merged = src if last is None else sync_apply(src, read_snapshot(spark, target, last), list(keys))
+    return snapshot_full(merged, target, codec)
+
+
 def read_tolerant(spark: SparkSession, path: str, schema: StructType | None = None,
                   fmt: str = "parquet") -> tuple[DataFrame, DataFrame]:
     """Read what is readable below ``path`` and list what was skipped.

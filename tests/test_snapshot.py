@@ -70,3 +70,17 @@ def test_plan_size_files_is_du_over_a_listing(spark, workdir):
                    if not f.startswith(("_", ".")))
         assert got[d]["bytes"] == want
         assert got[d]["kib"] == -(-want // 1024) and got[d]["gib"] == 2
+
+
+def test_sync_run_versions_and_idempotence(spark, workdir):
+    from tablevault.sources.snapshot import sync_run
+
+    schema = "k long, v string"
+    first = spark.createDataFrame([(1, "a"), (2, "b")], schema)
+    second = spark.createDataFrame([(2, "B"), (3, "c")], schema)
+    assert sync_run(first, workdir, ["k"]) == 1  # first run: full snapshot
+    assert sync_run(second, workdir, ["k"]) == 2
+    got = sorted(map(tuple, read_snapshot(spark, workdir, 2).collect()))
+    assert got == [(1, "a"), (2, "B"), (3, "c")]  # source wins, nothing deleted
+    assert sync_run(second, workdir, ["k"]) == 3
+    assert sorted(map(tuple, read_snapshot(spark, workdir, 3).collect())) == got
