@@ -102,3 +102,59 @@ def test_sync_diff_and_apply_follow_the_model(spark, src, tgt):
     assert got == want
     applied = {r["k"]: (r["sig"], r["payload"]) for r in op.sync_apply(s, t, ["k"]).collect()}
     assert applied == {**tgt, **src}
+
+
+METHODS = st.sampled_from([None, "", "dd", "rsync", "tar"])
+VOLUMES = st.sampled_from([None, "", "vol-1", "vol-2", "vol-3", "vol-9"])
+SOURCES = st.sampled_from([None, 10, 11, 99])
+INVENTORY = {"vol-1": "data", "vol-2": "ext4", "vol-3": "xfs"}
+
+
+def verdict_model(method, volume, source):
+    m = method or "dd"
+    if m not in ("dd", "rsync"):
+        return m, "bad_method"
+    if volume == "":
+        return m, "volume_blank"
+    if volume is not None and volume not in INVENTORY:
+        return m, "volume_unknown"
+    if source is None:
+        return m, "source_missing"
+    if source not in (10, 11):
+        return m, "source_unknown"
+    return m, "ok"
+
+
+def prepare_model(volume):
+    if not volume:
+        return "create"
+    fs = INVENTORY.get(volume)
+    if fs is None:
+        return "reject"
+    return {"data": "format_mount", "ext4": "mount"}.get(fs, "rollback")
+
+
+@SETTINGS
+@given(reqs=st.lists(st.tuples(METHODS, VOLUMES, SOURCES), min_size=1, max_size=40))
+def test_request_rules_follow_the_model(spark, reqs):
+    rows = [(i, m, v, s) for i, (m, v, s) in enumerate(reqs)]
+    req = spark.createDataFrame(rows, "request_id int, method string, volume_id string, source_id long")
+    vol = spark.createDataFrame([(k, "z", f) for k, f in INVENTORY.items()], "volume_id string, zone string, fs string")
+    src = spark.createDataFrame([(10,), (11,)], "source_id long")
+    got = {r["request_id"]: (r["method"], r["verdict"]) for r in op.validate_requests(req, vol, src).collect()}
+    assert got == {i: verdict_model(m, v, s) for i, m, v, s in rows}
+    acts = {r["request_id"]: r["action"] for r in op.route_prepare(req, vol).collect()}
+    assert acts == {i: prepare_model(v) for i, _, v, _ in rows}
+
+
+@SETTINGS
+@given(lines=st.lists(st.text(alphabet='ab"=h x', max_size=30), min_size=1, max_size=30))
+def test_extract_tokens_finds_every_match_left_to_right(spark, lines):
+    import re
+
+    pattern = r'h="([^"]*)"'
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(lines)], "id int, line string")
+    got = sorted((r["id"], r["pos"], r["token"]) for r in op.extract_tokens(df, ["id"], "line", pattern, 1).collect())
+    want = sorted((i, p, m.group(1)) for i, s in enumerate(lines)
+                  for p, m in enumerate(re.finditer(pattern, s)))
+    assert got == want
