@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tablevault.operators.sync import sync_apply
+from tablevault.functions.columns import any_null
 from tablevault.sources import fs
 from tablevault.sources.tables import file_listing
 
@@ -61,11 +61,41 @@ def sync_run(src: DataFrame, target: str, keys, codec: str = "zstd") -> int:
     """One sync run into a versioned target: the source is applied (source
     wins, nothing deleted) to the newest committed version and the result
     becomes the next version; the first run is a full snapshot. Returns the
-    version written. The version read is never the one written."""
+    version written. The version read is never the one written.
+
+    Built for a large source, where broadcasting its keys is not possible:
+    only keys cross the shuffle. The keys of target rows the source lacks
+    (usually few: what was deleted since the last run) are found with a
+    keys-only anti join and written to ``<target>/_staging``; read back, their
+    exact size is known, so Spark broadcasts them when small and the full
+    target rows are picked with a map-side semi join instead of being
+    shuffled. Target rows with a null key never match and are kept as they
+    are.
+    """
+    keys = list(keys)
     spark = src.sparkSession
     last = latest_version(spark, target)
-    merged = src if last is None else sync_apply(src, read_snapshot(spark, target, last), list(keys))
-    return snapshot_full(merged, target, codec)
+    if last is None:
+        return snapshot_full(src, target, codec)
+    seen = fs.versions(spark, target, committed_only=False)
+    version = seen[-1] + 1
+    tgt = read_snapshot(spark, target, last)
+    gone_path = f"{target.rstrip('/')}/_staging/target_only_keys-v{version}"
+    src_keys = src.select(*keys).where(~any_null(keys)).distinct()
+    (tgt.select(*keys).where(~any_null(keys))
+     .join(src_keys, on=keys, how="left_anti")
+     .write.mode("overwrite").parquet(gone_path))
+    merged = merge_target_only(src, tgt, spark.read.parquet(gone_path), keys)
+    return snapshot_full(merged, target, codec, version)
+
+
+def merge_target_only(src: DataFrame, tgt: DataFrame, gone: DataFrame, keys) -> DataFrame:
+    """Source rows plus the target rows whose key is in ``gone`` (the
+    target-only keys) or null. With a small ``gone`` the semi join is a
+    broadcast and the target is read without a shuffle."""
+    keys = list(keys)
+    kept = tgt.join(gone, on=keys, how="left_semi").unionByName(tgt.where(any_null(keys)))
+    return src.unionByName(kept, allowMissingColumns=True)
 
 
 def read_tolerant(spark: SparkSession, path: str, schema: StructType | None = None,

@@ -84,3 +84,20 @@ def test_sync_run_versions_and_idempotence(spark, workdir):
     assert got == [(1, "a"), (2, "B"), (3, "c")]  # source wins, nothing deleted
     assert sync_run(second, workdir, ["k"]) == 3
     assert sorted(map(tuple, read_snapshot(spark, workdir, 3).collect())) == got
+
+
+def test_sync_run_merge_does_not_shuffle_the_target(spark, workdir):
+    from pyspark.sql import functions as F
+
+    from tablevault.sources.snapshot import merge_target_only
+
+    spark.range(200000).select(F.col("id").alias("k"), F.col("id").cast("string").alias("v")) \
+        .write.parquet(f"{workdir}/tgt")
+    spark.range(5).select(F.col("id").alias("k")).write.parquet(f"{workdir}/gone")
+    tgt = spark.read.parquet(f"{workdir}/tgt")
+    src = spark.range(100000, 300000).select(F.col("id").alias("k"), F.lit("new").alias("v"))
+    merged = merge_target_only(src, tgt, spark.read.parquet(f"{workdir}/gone"), ["k"])
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+    assert "Exchange hashpartitioning" not in plan
+    assert merged.count() == 200000 + 5
