@@ -82,7 +82,8 @@ def _drop_in_ranges(spark, df: DataFrame, col: str, parts: int, dest: str, after
     ``dest/part=k``, calling ``after_each()`` after each drop: new files
     arrive in ``col`` order, as a live feed would deliver them."""
     lo, hi = df.agg(F.min(col), F.max(col)).first()
-    if lo is None:
+    if lo is None:  # empty input: one empty drop, so the stream has a folder to read
+        df.write.mode("errorifexists").parquet(f"{dest}/part=0")
         after_each()
         return
     width = (hi - lo) // parts + 1
@@ -105,7 +106,7 @@ def q_sync_stream(spark, sf):
                     buckets=SYNC_BUCKETS).awaitTermination()
 
     _drop_in_ranges(spark, ev, "event_id", STREAM_DROPS, f"{work}/in", run)
-    return read_synced(spark, target, SYNC_BUCKETS).select(*ev.columns)
+    return read_synced(spark, target, SYNC_BUCKETS, schema=ev.schema).select(*ev.columns)
 
 
 # ------------------------------------------------------------ sizing

@@ -25,6 +25,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from tablevault.operators.lifecycle import latest_entry
 from tablevault.operators.sync import sync_apply
@@ -84,14 +85,18 @@ def apply_batch(batch: DataFrame, batch_id: int, target: str, keys: Sequence[str
      .write.mode("overwrite").partitionBy(BUCKET).parquet(out))
 
 
-def read_synced(spark: SparkSession, target: str, buckets: int | None = None) -> DataFrame:
-    """The current table written by ``sync_stream``."""
+def read_synced(spark: SparkSession, target: str, buckets: int | None = None,
+                schema: StructType | None = None) -> DataFrame:
+    """The current table written by ``sync_stream``. With ``schema``, a
+    committed but empty bucketed table reads as an empty DataFrame."""
     if buckets is None:
         return read_snapshot(spark, target)
     df = read_bucketed(spark, target)
-    if df is None:
-        raise FileNotFoundError(f"no committed version below {target}")
-    return df
+    if df is not None:
+        return df
+    if schema is not None and fs.versions(spark, target):
+        return spark.createDataFrame([], schema)
+    raise FileNotFoundError(f"no committed version below {target}")
 
 
 def sync_stream(stream: DataFrame, target: str, keys: Sequence[str], order_col: str,
