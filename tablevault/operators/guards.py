@@ -1,12 +1,12 @@
 """Reference and placement checks.
 
 Existence tests are semi/anti/left joins against the *distinct* keys of the
-inventory: the aggregate is partial on every map task and leaves the data
-hash-partitioned on the join key, so the join needs no second shuffle, and a
-key repeated many times in the inventory cannot multiply rows. Request rows
-whose key is null or blank can never match; their join key carries a salt so
-that such a group (a third of all requests may lack a volume) spreads over
-many tasks instead of one.
+inventory: the aggregate is partial on every map task, so a key repeated many
+times in the inventory collapses before the shuffle and cannot multiply rows,
+and AQE can split a hot request key that does match. Request rows whose key
+is null or blank can never match; their join key carries a salt so that such
+a group (a third of all requests may lack a volume) spreads over many tasks
+instead of one.
 """
 
 from __future__ import annotations
@@ -33,9 +33,19 @@ def _blank(c: str | Column) -> Column:
 
 
 def _distinct_keys(ref: DataFrame, ref_on: str, like: DataFrame, on: str) -> DataFrame:
-    """Distinct usable keys of ``ref`` as ``struct(key, 0)``, typed like ``like[on]``."""
-    t = [like.schema[on].dataType]
-    return ref.where(~_blank(ref_on)).select(plain_join_key([ref_on], t).alias(JOIN_KEY)).distinct()
+    """Distinct usable keys of ``ref`` as ``struct(key, 0)``, typed like ``like[on]``.
+
+    The distinct is partial on every map task, so a key repeated many times
+    in the inventory collapses before it is shuffled. It runs on the plain
+    key and the struct is built after it, so the join shuffles the distinct
+    keys once more on its own key: that plain shuffle stage is what AQE
+    needs to split a hot key on the request side (a skewed partition is
+    split and its few inventory keys are replicated). The extra shuffle
+    moves distinct keys only.
+    """
+    t = like.schema[on].dataType
+    distinct = (ref.where(~_blank(ref_on)).select(F.col(ref_on).cast(t).alias("_tv_k")).distinct())
+    return distinct.select(plain_join_key(["_tv_k"], [t]).alias(JOIN_KEY))
 
 
 def _salted(df: DataFrame, on: str) -> DataFrame:

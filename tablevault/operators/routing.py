@@ -45,13 +45,17 @@ def route_prepare(df: DataFrame, volumes: DataFrame, volume: str = "volume_id",
     anything else -> ``rollback``. The same rules for both methods.
 
     The inventory is reduced to one row per volume id (partial aggregate)
-    before the left join, so a repeated id cannot multiply requests.
+    before the left join, so a repeated id cannot multiply requests; AQE can
+    split a hot request volume.
     """
     t = [df.schema[volume].dataType]
+    # grouped on the plain id, the struct key built after: the join then
+    # shuffles this side on its own key, a plain stage AQE can skew-split
     inv = (volumes.where(~is_blank("volume_id"))
-           .groupBy(plain_join_key(["volume_id"], t).alias(JOIN_KEY))
+           .groupBy(F.col("volume_id").cast(t[0]).alias("_tv_vid"))
            .agg(F.min("fs").alias("fs"))
-           .withColumn("_tv_found", F.lit(True)))
+           .select(plain_join_key(["_tv_vid"], t).alias(JOIN_KEY), "fs",
+                   F.lit(True).alias("_tv_found")))
     left = df.withColumn(JOIN_KEY, salted_join_key([volume], t, is_blank(volume), df.columns))
     j = left.join(inv, on=JOIN_KEY, how="left")
     fs = F.col("fs")

@@ -50,12 +50,32 @@ def test_rows_without_key_spread_over_tasks_in_left_join(no_broadcast):
     assert out.count() == req.count()
 
 
-def test_existence_join_reuses_the_distinct_partitioning(no_broadcast):
-    spark = no_broadcast
-    req = _requests(spark)
-    vols = spark.createDataFrame([(f"vol-{i}",) for i in range(0, 50, 2)] * 3, "volume_id string")
-    plan = op.refs_missing(req, vols, "volume_id")._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 2  # one per side, none extra
+def test_hot_matched_request_key_is_split_by_aqe(spark):
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        # a third of the requests name the same, existing volume
+        req = spark.range(300000).select(
+            F.col("id").alias("request_id"),
+            F.when(F.col("id") % 3 == 0, F.lit("vol-1"))
+            .otherwise(F.concat(F.lit("vol-"), (F.col("id") % 5000).cast("string"))).alias("volume_id"))
+        vols = spark.range(5000).select(F.concat(F.lit("vol-"), F.col("id").cast("string")).alias("volume_id"),
+                                        F.lit("ext4").alias("fs"))
+        for out in (op.refs_missing(req, vols, "volume_id"),
+                    op.flag_existing(req, vols, "volume_id", "volume_id", "known"),
+                    op.route_prepare(req, vols)):
+            out.collect()
+            assert "SortMergeJoin(skew=true)" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
 
 
 def test_latest_entry_pre_aggregates_before_the_shuffle(spark):
