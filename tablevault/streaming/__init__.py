@@ -1,12 +1,12 @@
 """Structured Streaming operators."""
 
-from tablevault.streaming.sync_stream import (
+from tablevault.streaming.versioned_sync import (
     apply_batch,
     bucket_versions,
     read_bucketed,
     read_synced,
     sync_stream,
 )
-from tablevault.streaming.wait_stream import wait_stream, wait_stream_result, wait_updates
+from tablevault.streaming.state_wait import wait_stream, wait_stream_result, wait_updates
 
 __all__ = ["apply_batch", "bucket_versions", "read_bucketed", "read_synced", "sync_stream", "wait_stream", "wait_stream_result", "wait_updates"]

@@ -72,7 +72,7 @@ def test_wait_stream_accepts_late_events_within_watermark(spark, workdir):
 def test_bucketed_sync_rewrites_only_touched_buckets(spark, workdir):
     from tablevault.sources import fs
     from tablevault.streaming import bucket_versions, read_synced
-    from tablevault.streaming.sync_stream import bucket_of
+    from tablevault.streaming.versioned_sync import bucket_of
 
     schema = "k long, n long, v string"
     base = spark.range(200).select(F.col("id").alias("k"), F.lit(1).cast("long").alias("n"),
