@@ -1,4 +1,4 @@
-"""Full and tolerant snapshots (O2, O3).
+"""Full and tolerant snapshots (O2, O3) and one sync run into the next version (O5 as a sink).
 
 A snapshot is a parquet directory ``<target>/v=N``. Each write makes a new
 version and never touches the version it was read from; the newest complete
