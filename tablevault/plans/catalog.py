@@ -103,7 +103,7 @@ def q_sync_stream(spark, sf):
     def run():
         src = spark.readStream.schema(schema).parquet(f"{work}/in").drop("part")
         sync_stream(src, target, ["user_id"], "event_id", f"{work}/checkpoint",
-                    buckets=SYNC_BUCKETS).awaitTermination()
+                    buckets=SYNC_BUCKETS, keep_history=False).awaitTermination()
 
     _drop_in_ranges(spark, ev, "event_id", STREAM_DROPS, f"{work}/in", run)
     return read_synced(spark, target, SYNC_BUCKETS, schema=ev.schema).select(*ev.columns)

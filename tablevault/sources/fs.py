@@ -42,6 +42,12 @@ def list_files(spark: SparkSession, path: str) -> list[str]:
     return out
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder and everything below it (no error if it is gone)."""
+    fs, p = _fs_and_path(spark, path)
+    fs.delete(p, True)
+
+
 def overwrite_bytes(spark: SparkSession, path: str, data: bytes) -> None:
     """Replace a file's content (used to build a damaged-file fixture)."""
     fs, p = _fs_and_path(spark, path)

@@ -7,7 +7,8 @@ version ``v=<batch id>``. A replayed batch reads only versions below its own
 id and rewrites its own folder, so replays are idempotent; reading the
 previous state from storage also keeps the lineage one batch deep.
 
-Two layouts:
+Two layouts (both can drop versions that newer ones fully replace, with
+``keep_history=False``):
 
 * ``buckets=None``: every version is the whole table (simple, one folder to
   read, but each batch rewrites everything).
@@ -63,8 +64,25 @@ def read_bucketed(spark: SparkSession, target: str, only: Iterable[int] | None =
     return spark.read.option("recursiveFileLookup", "true").parquet(*paths)
 
 
+def superseded_versions(spark: SparkSession, target: str, below: int) -> list[int]:
+    """Committed versions below ``below`` whose every bucket has a newer
+    copy, also below ``below``: nothing reads them any more, and a replay of
+    batch ``below`` (which reads only versions under its own id) does not
+    need them either."""
+    newest = bucket_versions(spark, target, below=below)
+    out = []
+    for v in fs.versions(spark, target):
+        if v >= below:
+            continue
+        held = [int(n[len(BUCKET) + 1:]) for n in fs.list_dirs(spark, version_path(target, v))
+                if n.startswith(f"{BUCKET}=")]
+        if all(newest.get(b, v) > v for b in held):
+            out.append(v)
+    return out
+
+
 def apply_batch(batch: DataFrame, batch_id: int, target: str, keys: Sequence[str],
-                order_col: str, buckets: int | None = None) -> None:
+                order_col: str, buckets: int | None = None, keep_history: bool = True) -> None:
     spark = batch.sparkSession
     keys = list(keys)
     incoming = latest_entry(batch, keys, [order_col])
@@ -73,6 +91,11 @@ def apply_batch(batch: DataFrame, batch_id: int, target: str, keys: Sequence[str
         prev = latest_version(spark, target, below=batch_id)
         merged = incoming if prev is None else sync_apply(incoming, read_snapshot(spark, target, prev), keys)
         merged.write.mode("overwrite").parquet(out)
+        if not keep_history and prev is not None:
+            # whole-table versions: everything below the previous one is superseded
+            for v in fs.versions(spark, target):
+                if v < prev:
+                    fs.delete(spark, version_path(target, v))
         return
     prev = None
     if bucket_versions(spark, target, below=batch_id):
@@ -83,6 +106,9 @@ def apply_batch(batch: DataFrame, batch_id: int, target: str, keys: Sequence[str
     merged = incoming if prev is None else sync_apply(incoming, prev.select(*incoming.columns), keys)
     (merged.withColumn(BUCKET, bucket_of(keys, buckets))
      .write.mode("overwrite").partitionBy(BUCKET).parquet(out))
+    if not keep_history:
+        for v in superseded_versions(spark, target, below=batch_id):
+            fs.delete(spark, version_path(target, v))
 
 
 def read_synced(spark: SparkSession, target: str, buckets: int | None = None,
@@ -101,11 +127,14 @@ def read_synced(spark: SparkSession, target: str, buckets: int | None = None,
 
 def sync_stream(stream: DataFrame, target: str, keys: Sequence[str], order_col: str,
                 checkpoint: str, buckets: int | None = None, available_now: bool = True,
-                processing_time: str | None = None) -> StreamingQuery:
-    """Start the sync; ``available_now`` drains what is there and stops."""
+                processing_time: str | None = None, keep_history: bool = True) -> StreamingQuery:
+    """Start the sync; ``available_now`` drains what is there and stops.
+    ``keep_history=False`` deletes versions that newer ones fully replace,
+    so storage and the per-batch listing stay bounded."""
     keys = list(keys)
     writer = (stream.writeStream
-              .foreachBatch(lambda df, bid: apply_batch(df, bid, target, keys, order_col, buckets))
+              .foreachBatch(lambda df, bid: apply_batch(df, bid, target, keys, order_col, buckets,
+                                                        keep_history))
               .option("checkpointLocation", checkpoint))
     if available_now:
         writer = writer.trigger(availableNow=True)
