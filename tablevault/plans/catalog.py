@@ -94,14 +94,23 @@ def _drop_in_ranges(spark, df: DataFrame, col: str, parts: int, dest: str, after
         after_each()
 
 
+def _stream_session(spark: SparkSession) -> SparkSession:
+    """A session for a stream: the same context, with one shuffle (and state)
+    partition per available core instead of a batch-sized default."""
+    s = spark.newSession()
+    s.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    return s
+
+
 def q_sync_stream(spark, sf):
     work = new_work_dir(spark, "sync_stream")
     ev = table(spark, sf, "events")
     schema = _with_part(ev.schema)
     target = f"{work}/target"
+    stream_spark = _stream_session(spark)
 
     def run():
-        src = spark.readStream.schema(schema).parquet(f"{work}/in").drop("part")
+        src = stream_spark.readStream.schema(schema).parquet(f"{work}/in").drop("part")
         sync_stream(src, target, ["user_id"], "event_id", f"{work}/checkpoint",
                     buckets=SYNC_BUCKETS, keep_history=False).awaitTermination()
 
@@ -238,9 +247,10 @@ def q_wait_stream(spark, sf):
     st = fx.instance_states(spark, sf)
     schema = _with_part(st.schema)
     out = f"{work}/updates"
+    stream_spark = _stream_session(spark)
 
     def run():
-        src = spark.readStream.schema(schema).parquet(f"{work}/in").drop("part")
+        src = stream_spark.readStream.schema(schema).parquet(f"{work}/in").drop("part")
         wait_stream(src, "instance", "ts", "state", K.TERMINATED, out,
                     f"{work}/checkpoint").awaitTermination()
 
