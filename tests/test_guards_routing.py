@@ -61,3 +61,13 @@ def test_route_prepare_rules(spark):
 def test_route_state(spark):
     df = spark.createDataFrame([("running",), ("pending",), ("stopped",), ("terminated",)], "state string")
     assert [r["action"] for r in op.route_state(df).collect()] == ["proceed", "wait", "start", None]
+
+
+def test_route_first_match_takes_the_first_true_rule(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([(5,), (50,), (500,), (None,)], "n int")
+    rules = [(F.col("n") < 10, "small"), (F.col("n") < 100, "medium"), (F.col("n") < 1000, "large"),
+             (F.col("n") < 10, "never reached")]
+    got = [r["size"] for r in op.route_first_match(df, rules, "size", default="unknown").collect()]
+    assert got == ["small", "medium", "large", "unknown"]
