@@ -115,3 +115,15 @@ def test_filters_reach_the_scan(spark):
 
     scans = _scan_lines(catalog.q_new_entries(spark, SF_SMALL))
     assert any("PushedFilters: [IsNotNull(l_shipdate), LessThan(l_shipdate" in s for s in scans)
+
+
+def test_null_keys_spread_in_sync_diff_and_sync_apply(no_broadcast):
+    spark = no_broadcast
+    src = spark.range(30000).select(F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id")).alias("k"),
+                                    (F.col("id") % 7).alias("sig"))
+    tgt = spark.range(15000, 45000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id")).alias("k"), (F.col("id") % 5).alias("sig"))
+    diff = op.sync_diff(src, tgt, ["k"], ["sig"])
+    assert _tasks_holding(diff, F.col("k").isNull()) >= 4
+    applied = op.sync_apply(src, tgt, ["k"])
+    assert applied.count() == 30000 + 10000 + 10000  # all source rows, target-only and null-key target rows
