@@ -70,7 +70,8 @@ def test_hot_matched_request_key_is_split_by_aqe(spark):
                                         F.lit("ext4").alias("fs"))
         for out in (op.refs_missing(req, vols, "volume_id"),
                     op.flag_existing(req, vols, "volume_id", "volume_id", "known"),
-                    op.route_prepare(req, vols)):
+                    op.route_prepare(req, vols),
+                    op.lookup_field(req, vols, "volume_id", ["fs"])):
             out.collect()
             assert "SortMergeJoin(skew=true)" in out._jdf.queryExecution().executedPlan().toString()
     finally:
