@@ -8,6 +8,13 @@ from tablevault.streaming.versioned_sync import (
     superseded_versions,
     sync_stream,
 )
-from tablevault.streaming.state_wait import wait_stream, wait_stream_result, wait_updates
+from tablevault.streaming.state_wait import (
+    IdleEvictingWait,
+    wait_stream,
+    wait_stream_result,
+    wait_updates,
+    wait_updates_evicting,
+)
 
-__all__ = ["apply_batch", "bucket_versions", "read_bucketed", "read_synced", "superseded_versions", "sync_stream", "wait_stream", "wait_stream_result", "wait_updates"]
+__all__ = ["apply_batch", "bucket_versions", "read_bucketed", "read_synced", "superseded_versions", "sync_stream", "wait_stream", "wait_stream_result", "wait_updates",
+           "wait_updates_evicting", "IdleEvictingWait"]

@@ -2,6 +2,9 @@
 
 A streaming ``groupBy`` keeps, per key, the first time seen and the first
 time the target state was seen (RocksDB state store, one small row per key).
+With ``idle_timeout_ms`` a stateful processor keeps the same figures but
+drops a key's state once it has been idle, so state is bounded by the active
+keys (see ``IdleEvictingWait``).
 In update mode every micro-batch emits the keys it changed; the sink writes
 them as ``batch=<id>`` (a replay rewrites its own folder). Both figures only
 ever decrease, so the final answer per key is the minimum over everything
@@ -11,9 +14,11 @@ and can lower the first-seen time.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType, TimestampType
 
 from tablevault.functions import constants as K
 from tablevault.operators.lifecycle import wait_columns
@@ -30,10 +35,88 @@ def wait_updates(stream: DataFrame, key: str, ts: str, state: str, target: str,
         F.min(F.when(F.col(state) == F.lit(target), F.col(ts))).alias("reached_at"))
 
 
+_PROFILE = StructType([StructField("started", LongType()), StructField("reached", LongType()),
+                       StructField("last", LongType())])
+
+
+def _micros(s: pd.Series) -> pd.Series:
+    if getattr(s.dt, "tz", None) is not None:
+        s = s.dt.tz_convert("UTC").dt.tz_localize(None)
+    return s.astype("datetime64[us]").astype("int64")
+
+
+class IdleEvictingWait(StatefulProcessor):
+    """Per key: first time seen, first time in the target state, last event
+    time. Every input emits the current profile; an event-time timer clears
+    the state once the watermark is ``idle_ms`` past the key's last event.
+
+    Clearing loses nothing: the emitted profiles are folded with ``min`` in
+    ``wait_stream_result``, so a key that comes back starts a new profile
+    whose figures are never below the ones already emitted.
+    """
+
+    def __init__(self, key: str, ts: str, state: str, target: str, idle_ms: int):
+        self.key, self.ts, self.state, self.target, self.idle_ms = key, ts, state, target, idle_ms
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.profile = handle.getValueState("profile", _PROFILE)
+
+    def handleInputRows(self, key, rows, timerValues):
+        started = reached = last = None
+        if self.profile.exists():
+            started, reached, last = self.profile.get()
+        for pdf in rows:
+            us = _micros(pdf[self.ts])
+            lo, hi = int(us.min()), int(us.max())
+            started = lo if started is None else min(started, lo)
+            last = hi if last is None else max(last, hi)
+            hit = us[pdf[self.state] == self.target]
+            if len(hit):
+                first = int(hit.min())
+                reached = first if reached is None else min(reached, first)
+        self.profile.update((started, reached, last))
+        for t in list(self.handle.listTimers()):
+            self.handle.deleteTimer(t)
+        self.handle.registerTimer(last // 1000 + self.idle_ms)
+        yield pd.DataFrame({
+            self.key: [key[0]],
+            "started": [pd.to_datetime(started, unit="us")],
+            "reached_at": [pd.to_datetime(reached, unit="us") if reached is not None else pd.NaT],
+        })
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        self.profile.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
+def wait_updates_evicting(stream: DataFrame, key: str, ts: str, state: str, target: str,
+                          watermark: str, idle_timeout_ms: int) -> DataFrame:
+    """Like ``wait_updates`` but with state bounded to active keys
+    (``transformWithStateInPandas``, RocksDB state store, event-time timers).
+    Slower per key than the built-in aggregation: every state access goes
+    from the Python worker to the JVM."""
+    s = stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark)
+    out = StructType([StructField(key, s.schema[key].dataType), StructField("started", TimestampType()),
+                      StructField("reached_at", TimestampType())])
+    return s.groupBy(key).transformWithStateInPandas(
+        IdleEvictingWait(key, ts, state, target, idle_timeout_ms), out, "Update", "EventTime")
+
+
 def wait_stream(stream: DataFrame, key: str, ts: str, state: str, target: str, out_dir: str,
                 checkpoint: str, watermark: str | None = None,
-                available_now: bool = True) -> StreamingQuery:
-    updates = wait_updates(stream, key, ts, state, target, watermark)
+                available_now: bool = True, idle_timeout_ms: int | None = None) -> StreamingQuery:
+    """Start the wait profile stream. With ``idle_timeout_ms`` the state of a
+    key is dropped once it has been idle that long in event time (needs the
+    RocksDB state store; the watermark defaults to ``0 seconds``)."""
+    if idle_timeout_ms is None:
+        updates = wait_updates(stream, key, ts, state, target, watermark)
+    else:
+        updates = wait_updates_evicting(stream, key, ts, state, target, watermark or "0 seconds",
+                                        idle_timeout_ms)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/batch={batch_id}")

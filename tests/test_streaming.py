@@ -113,3 +113,21 @@ def test_dropping_superseded_versions_keeps_the_table_and_replays(spark, workdir
     assert _rows(read_synced(spark, workdir, buckets=4)) == want
     apply_batch(batches[2], 2, workdir, ["k"], "n", buckets=4, keep_history=False)  # replay
     assert _rows(read_synced(spark, workdir, buckets=4)) == want
+
+
+def test_wait_stream_with_state_eviction_still_equals_batch(spark, workdir):
+    st = fixtures.instance_states(spark, SF_SMALL)
+    schema = catalog._with_part(st.schema)
+    out, ck = f"{workdir}/out", f"{workdir}/ck"
+
+    def run():
+        src = spark.readStream.schema(schema).parquet(f"{workdir}/in").drop("part")
+        wait_stream(src, "instance", "ts", "state", "terminated", out, ck, watermark="1 hour",
+                    idle_timeout_ms=3600 * 1000).awaitTermination()
+
+    catalog._drop_in_ranges(spark, st, "event_id", 4, f"{workdir}/in", run)
+    got = (wait_stream_result(spark, out, "instance")
+           .withColumn("started", F.col("started").cast("timestamp_ntz"))
+           .withColumn("reached_at", F.col("reached_at").cast("timestamp_ntz")))
+    want = op.wait_profile(st, "instance", "ts", "state", "terminated")
+    assert _rows(got.select(*want.columns)) == _rows(want)
