@@ -99,6 +99,10 @@ def wait_updates_evicting(stream: DataFrame, key: str, ts: str, state: str, targ
     (``transformWithStateInPandas``, RocksDB state store, event-time timers).
     Slower per key than the built-in aggregation: every state access goes
     from the Python worker to the JVM."""
+    provider = stream.sparkSession.conf.get("spark.sql.streaming.stateStore.providerClass", "") or ""
+    if "RocksDB" not in provider:
+        raise ValueError("the evicting wait profile needs spark.sql.streaming.stateStore.providerClass "
+                         "set to the RocksDB state store provider")
     s = stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark)
     out = StructType([StructField(key, s.schema[key].dataType), StructField("started", TimestampType()),
                       StructField("reached_at", TimestampType())])
