@@ -62,3 +62,13 @@ def test_sync_report_rows_and_bytes(spark):
     rep = {r["cls"]: (r["rows"], r["bytes"])
            for r in op.sync_report(op.sync_diff(s, t, ["k"], ["sig"], ["payload"])).collect()}
     assert rep == {"unchanged": (2, 4), "changed": (1, 2), "target_only": (1, 4), "new": (1, 1)}
+
+
+def test_sync_apply_with_repeated_keys(spark):
+    # sync_apply does not deduplicate: every source row is written, and every
+    # target row whose key the source lacks is kept (sync_diff is where keys
+    # must be unique)
+    s = spark.createDataFrame([(1, 1.0, "a"), (1, 2.0, "a2")], SCHEMA)
+    t = spark.createDataFrame([(1, 9.0, "old"), (4, 4.0, "x"), (4, 5.0, "y")], SCHEMA)
+    got = sorted(map(tuple, op.sync_apply(s, t, ["k"]).collect()))
+    assert got == [(1, 1.0, "a"), (1, 2.0, "a2"), (4, 4.0, "x"), (4, 5.0, "y")]
