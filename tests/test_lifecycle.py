@@ -68,3 +68,9 @@ def test_cleanup_plan_order_and_volume(spark):
     with_vol = sorted((r["run_id"], r["step_no"], r["kind"])
                       for r in op.cleanup_plan(led, include_volume=True).collect())
     assert (1, 3, "volume") in with_vol
+
+
+def test_latest_entry_prefers_values_over_nulls(spark):
+    df = spark.createDataFrame([(1, None, "a"), (1, 3, "b"), (2, None, "c")], "g int, n int, v string")
+    got = {r["g"]: (r["n"], r["v"]) for r in op.latest_entry(df, ["g"], ["n"]).collect()}
+    assert got == {1: (3, "b"), 2: (None, "c")}

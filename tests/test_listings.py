@@ -65,3 +65,11 @@ def test_first_pattern_respects_list_order(spark):
     pats = [("xen", r"xvd[a-z]", 0), ("nvme", r"nvme\d+n\d+", 0), ("scsi", r"sd[a-z]", 0)]
     got = {r["id"]: (r["pattern"], r["value"]) for r in op.first_pattern(df, "line", pats, keep=["id"]).collect()}
     assert got == {1: ("xen", "xvdf"), 2: ("scsi", "sdb"), 3: (None, None)}
+
+
+def test_null_lines_stay_null(spark):
+    df = spark.createDataFrame([(1, None)], "id int, line string")
+    (r,) = op.pick_fields(df, "line", "\t", fields={"f": 2}, chars={"c": (1, 3)}, keep=["id"]).collect()
+    assert r["f"] is None and r["c"] is None
+    assert op.extract_tokens(df, ["id"], "line", K.VOLUME_ID_PATTERN).count() == 0
+    assert op.match_lines(df, "line", ["x"]).count() == 0
