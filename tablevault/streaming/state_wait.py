@@ -66,6 +66,7 @@ class IdleEvictingWait(StatefulProcessor):
         started = reached = last = None
         if self.profile.exists():
             started, reached, last = self.profile.get()
+        old_timer = None if last is None else last // 1000 + self.idle_ms
         for pdf in rows:
             us = _micros(pdf[self.ts])
             lo, hi = int(us.min()), int(us.max())
@@ -76,9 +77,11 @@ class IdleEvictingWait(StatefulProcessor):
                 first = int(hit.min())
                 reached = first if reached is None else min(reached, first)
         self.profile.update((started, reached, last))
-        for t in list(self.handle.listTimers()):
-            self.handle.deleteTimer(t)
-        self.handle.registerTimer(last // 1000 + self.idle_ms)
+        new_timer = last // 1000 + self.idle_ms
+        if old_timer != new_timer:  # the old timer's time is known from the state: no listing
+            if old_timer is not None:
+                self.handle.deleteTimer(old_timer)
+            self.handle.registerTimer(new_timer)
         yield pd.DataFrame({
             self.key: [key[0]],
             "started": [pd.to_datetime(started, unit="us")],
