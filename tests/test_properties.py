@@ -158,3 +158,30 @@ def test_extract_tokens_finds_every_match_left_to_right(spark, lines):
     want = sorted((i, p, m.group(1)) for i, s in enumerate(lines)
                   for p, m in enumerate(re.finditer(pattern, s)))
     assert got == want
+
+
+@SETTINGS
+@given(texts=st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.one_of(st.none(), st.text(max_size=2000))),
+                      min_size=1, max_size=30))
+def test_sizes_and_blocks_follow_the_byte_model(spark, texts):
+    df = spark.createDataFrame([(i, g, t) for i, (g, t) in enumerate(texts)], "id int, g string, t string")
+    sizes = {r["g"]: (r["bytes"], r["kib"], r["gib"]) for r in op.plan_size(df, ["g"], ["t"]).collect()}
+    want = {}
+    for g, t in texts:
+        want[g] = want.get(g, 0) + (len(t.encode("utf-8")) if t is not None else 0)
+    assert sizes == {g: (b, -(-b // 1024), (-(-b // 1024) * 2) // 1048576 + 2) for g, b in want.items()}
+    layout = {r["id"]: (r["full_blocks"], r["partial_blocks"], r["padded_bytes"])
+              for r in op.block_layout(df, ["id"], "t").collect()}
+    for i, (_, t) in enumerate(texts):
+        n = len(t.encode("utf-8")) if t is not None else 0
+        full, part = n // 512, 1 if n % 512 else 0
+        assert layout[i] == (full, part, (full + part) * 512)
+
+
+@SETTINGS
+@given(reqs=st.lists(st.tuples(METHODS, VOLUMES), min_size=1, max_size=40))
+def test_route_plan_follows_the_rule_table(spark, reqs):
+    df = spark.createDataFrame([(i, m, v) for i, (m, v) in enumerate(reqs)], "id int, method string, volume_id string")
+    got = {r["id"]: r["plan"] for r in op.route_plan(df).collect()}
+    table = {("dd", True): "a", ("dd", False): "b", ("rsync", True): "c", ("rsync", False): "d"}
+    assert got == {i: table.get((m or "dd", bool(v))) for i, (m, v) in enumerate(reqs)}
