@@ -185,3 +185,60 @@ def test_route_plan_follows_the_rule_table(spark, reqs):
     got = {r["id"]: r["plan"] for r in op.route_plan(df).collect()}
     table = {("dd", True): "a", ("dd", False): "b", ("rsync", True): "c", ("rsync", False): "d"}
     assert got == {i: table.get((m or "dd", bool(v))) for i, (m, v) in enumerate(reqs)}
+
+
+ROWS = st.tuples(st.one_of(st.none(), st.integers(0, 4)), st.one_of(st.none(), st.sampled_from(["x", "y"])))
+
+
+@SETTINGS
+@given(after=st.lists(ROWS, max_size=30), before=st.lists(ROWS, max_size=30))
+def test_new_entries_is_set_difference_with_nulls_equal(spark, after, before):
+    schema = "a int, b string"
+    got = {tuple(r) for r in op.new_entries(spark.createDataFrame(after, schema),
+                                            spark.createDataFrame(before, schema)).collect()}
+    rows = op.new_entries(spark.createDataFrame(after, schema), spark.createDataFrame(before, schema)).count()
+    assert got == set(after) - set(before) and rows == len(got)
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.integers(0, 3), st.integers(0, 50), st.text(alphabet="abc", max_size=3)),
+                     min_size=1, max_size=40))
+def test_latest_entry_is_the_max_row_per_group(spark, rows):
+    df = spark.createDataFrame(rows, "g int, n int, v string")
+    got = {r["g"]: (r["n"], r["v"]) for r in op.latest_entry(df, ["g"], ["n"]).collect()}
+    want = {}
+    for g, n, v in rows:
+        want[g] = max(want.get(g, (n, v)), (n, v))
+    assert got == want
+
+
+@SETTINGS
+@given(steps=st.lists(st.tuples(st.integers(0, 5), st.integers(1, 6), st.integers(0, 2)), min_size=1, max_size=40))
+def test_run_outcome_follows_the_model(spark, steps):
+    df = spark.createDataFrame(steps, "run_id long, step_no int, rc int")
+    got = {r["run_id"]: (r["exit_code"], r["failed_step"], r["steps"]) for r in op.run_outcome(df).collect()}
+    want = {}
+    for run in {s[0] for s in steps}:
+        mine = [s for s in steps if s[0] == run]
+        failed = [s[1] for s in mine if s[2] != 0]
+        want[run] = (1 if failed else 0, min(failed) if failed else None, len(mine))
+    assert got == want
+
+
+KINDS = ["instance", "group", "key", "volume"]
+
+
+@SETTINGS
+@given(ledger=st.lists(st.tuples(st.integers(0, 4), st.sampled_from(KINDS), st.booleans()), min_size=1, max_size=40),
+       include_volume=st.booleans())
+def test_cleanup_plan_follows_the_model(spark, ledger, include_volume):
+    rows = [(r, k, KINDS.index(k) + 1, c) for r, k, c in ledger]
+    df = spark.createDataFrame(rows, "run_id long, kind string, kind_order int, created_here boolean")
+    got = sorted((r["run_id"], r["step_no"], r["kind"])
+                 for r in op.cleanup_plan(df, include_volume=include_volume).collect())
+    want = []
+    for run in sorted({r for r, _, _ in ledger}):
+        kinds = sorted({k for r, k, c in ledger if r == run and c and (include_volume or k != "volume")},
+                       key=KINDS.index)
+        want += [(run, i + 1, k) for i, k in enumerate(kinds)]
+    assert got == sorted(want)
