@@ -242,3 +242,33 @@ def test_cleanup_plan_follows_the_model(spark, ledger, include_volume):
                        key=KINDS.index)
         want += [(run, i + 1, k) for i, k in enumerate(kinds)]
     assert got == sorted(want)
+
+
+LINE = st.text(alphabet='ab1 "kN:e', max_size=25)
+
+
+@SETTINGS
+@given(lines=st.lists(LINE, min_size=1, max_size=30))
+def test_text_operators_follow_python_re(spark, lines):
+    import re
+
+    df = spark.createDataFrame(list(enumerate(lines)), "id int, line string")
+    pats = ["a", "b1"]
+    got = sorted(r["id"] for r in op.match_lines(df, "line", pats).collect())
+    assert got == [i for i, s in enumerate(lines) if all(re.search(p, s) for p in pats)]
+
+    rules = [("ab", r"a+b", 0), ("one", r"(1)", 1), ("quote", r'"\w', 0)]
+    got = {r["id"]: (r["pattern"], r["value"]) for r in op.first_pattern(df, "line", rules, keep=["id"]).collect()}
+    want = {}
+    for i, s in enumerate(lines):
+        want[i] = (None, None)
+        for name, p, g in rules:
+            m = re.search(p, s)
+            if m:
+                want[i] = (name, m.group(g))
+                break
+    assert got == want
+
+    got = sorted((r["id"], r["value"]) for r in op.extract_named_value(df, ["id"], "line", "N").collect())
+    pat = r'"N": "(\w+)"'
+    assert got == [(i, re.search(pat, s).group(1)) for i, s in enumerate(lines) if re.search(pat, s)]
