@@ -104,7 +104,11 @@ def apply_batch(batch: DataFrame, batch_id: int, target: str, keys: Sequence[str
         touched = [r[0] for r in batch.select(bucket_of(keys, buckets)).distinct().collect()]
         prev = read_bucketed(spark, target, only=touched, below=batch_id)
     merged = incoming if prev is None else sync_apply(incoming, prev.select(*incoming.columns), keys)
-    (merged.withColumn(BUCKET, bucket_of(keys, buckets))
+    # One task, so one file, per bucket: without the repartition every task
+    # writes a file into every bucket it holds, and files per bucket would
+    # grow with every batch. Target keys are unique and hashed, so buckets are
+    # balanced and no task gets a hot one.
+    (merged.withColumn(BUCKET, bucket_of(keys, buckets)).repartition(BUCKET)
      .write.mode("overwrite").partitionBy(BUCKET).parquet(out))
     if not keep_history:
         for v in superseded_versions(spark, target, below=batch_id):
