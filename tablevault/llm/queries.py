@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablevault.llm import decontaminate, near_dedup, token_count
+from tablevault.llm import decontaminate, near_dedup, quality_rules, token_count
 from tablevault.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,10 @@ def op1_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf, "documents"))
 
 
+def op4_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    return quality_rules.quality(table(spark, sf, "documents"))
+
+
 def op6_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     found = decontaminate.find_matches(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
@@ -40,6 +44,7 @@ def op7_token_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_near_dedup": op1_near_dedup,
+    "op4_quality_rules": op4_quality_rules,
     "op6_decontaminate": op6_decontaminate,
     "op7_token_counts": op7_token_counts,
 }
