@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablevault.llm import decontaminate, near_dedup, quality_rules, token_count
+from tablevault.llm import decontaminate, mixing, near_dedup, quality_rules, token_count
 from tablevault.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,14 +42,38 @@ def op7_token_counts(spark: SparkSession, sf: str) -> DataFrame:
         "over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op9_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.placed(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES: dict[str, Query] = {
     "op1_near_dedup": op1_near_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op6_decontaminate": op6_decontaminate,
     "op7_token_counts": op7_token_counts,
+    "op9_mixing": op9_mixing,
 }
 
 ORACLE: dict[str, str] = {
+    "op9_mixing": r"""
+        with d as (select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size,
+                          md5(doc_id::varchar) as h from documents),
+        s as (select source, sum(size)::bigint as source_size from d group by source),
+        w as (select *, [3, 1, 2][((row_number() over (order by source nulls last) - 1) % 3 + 1)::int] as weight from s),
+        r as (select *, source_size * 2 as cap, (source_size * 2)::double / weight as ratio from w),
+        l as (select *, ((sum(source_size) over ())::double * 1.5
+                         - coalesce(sum(cap) over (order by ratio, source nulls last rows between unbounded preceding and 1 preceding), 0)::double)
+                        / (sum(weight) over (order by ratio, source nulls last rows between current row and unbounded following))::double as lv
+              from r),
+        f as (select (arg_min(lv, ratio) filter (where lv <= ratio)) as lv from l),
+        t as (select l.source, source_size, case when f.lv is null then cap::double else least(cap::double, f.lv * weight) end as target
+              from l, f),
+        c as (select d.*, t.source_size, t.target,
+                     coalesce(sum(size) over (partition by d.source order by h, doc_id, size
+                                              rows between unbounded preceding and 1 preceding), 0)::double + size / 2.0 as mid
+              from d join t on d.source is not distinct from t.source)
+        select doc_id, size, source_size, target,
+               (size * ((mid <= target)::int + (mid + source_size <= target)::int))::bigint as taken from c""",
 }
 
 
