@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablevault.llm import decontaminate, mixing, near_dedup, quality_rules, token_count
+from tablevault.llm import decontaminate, mixing, near_dedup, quality_rules, token_count, token_output
 from tablevault.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,10 @@ def op1_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf, "documents"))
 
 
+def op2_token_output(spark: SparkSession, sf: str) -> DataFrame:
+    return token_output.tokens_written_and_read(table(spark, sf, "documents"), tokenizer_file())
+
+
 def op4_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality_rules.quality(table(spark, sf, "documents"))
 
@@ -48,6 +52,7 @@ def op9_mixing(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_near_dedup": op1_near_dedup,
+    "op2_token_output": op2_token_output,
     "op4_quality_rules": op4_quality_rules,
     "op6_decontaminate": op6_decontaminate,
     "op7_token_counts": op7_token_counts,
