@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablevault.llm import decontaminate, mixing, near_dedup, quality_rules, token_count, token_output
+from tablevault.llm import decontaminate, mixing, near_dedup, quality_rules, token_count, token_output, warc
 from tablevault.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,10 @@ def op7_token_counts(spark: SparkSession, sf: str) -> DataFrame:
         "over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op8_warc(spark: SparkSession, sf: str) -> DataFrame:
+    return warc.written_and_read(table(spark, sf, "pages"))
+
+
 def op9_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.placed(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -56,10 +60,19 @@ QUERIES: dict[str, Query] = {
     "op4_quality_rules": op4_quality_rules,
     "op6_decontaminate": op6_decontaminate,
     "op7_token_counts": op7_token_counts,
+    "op8_warc": op8_warc,
     "op9_mixing": op9_mixing,
 }
 
 ORACLE: dict[str, str] = {
+    "op8_warc": """
+        with p as (select page_id, strlen(coalesce(html, ''))::bigint as payload_bytes,
+                          sha256(coalesce(html, '')) as payload_digest from pages),
+        f as (select *, case when payload_bytes >= 100
+                             then min(page_id) over (partition by payload_digest, payload_bytes) end as first from p)
+        select page_id, payload_bytes, payload_digest,
+               case when first is null or first = page_id then 'response' else 'revisit' end as record_type,
+               case when first <> page_id then first end as refers_to from f""",
     "op9_mixing": r"""
         with d as (select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size,
                           md5(doc_id::varchar) as h from documents),
