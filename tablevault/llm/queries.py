@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablevault.llm import decontaminate, mixing, near_dedup, quality_rules, token_count, token_output, warc
+from tablevault.llm import decontaminate, language_id, mixing, near_dedup, quality_rules, token_count, token_output, warc
 from tablevault.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,14 @@ def op2_token_output(spark: SparkSession, sf: str) -> DataFrame:
     return token_output.tokens_written_and_read(table(spark, sf, "documents"), tokenizer_file())
 
 
+def op3_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    out = language_id.held_out("doc_id")
+    model = language_id.fit(docs.where(~out))
+    return language_id.predict(docs, model, carry=(out.alias("held_out"),)).select(
+        "doc_id", "held_out", "lang_pred", "score")
+
+
 def op4_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality_rules.quality(table(spark, sf, "documents"))
 
@@ -57,6 +65,7 @@ def op9_mixing(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_token_output": op2_token_output,
+    "op3_language_id": op3_language_id,
     "op4_quality_rules": op4_quality_rules,
     "op6_decontaminate": op6_decontaminate,
     "op7_token_counts": op7_token_counts,
