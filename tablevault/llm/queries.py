@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablevault.llm import decontaminate, language_id, mixing, near_dedup, quality_rules, token_count, token_output, warc
+from tablevault.llm import decontaminate, language_id, mixing, near_dedup, quality_rules, token_count, token_output, url_filter, warc
 from tablevault.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 TOKEN_LIMIT = 2048
+URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
+             ("block", "net", "/es/"), ("block", "net", "/fr/")]
 
 
 def tokenizer_file() -> str:
@@ -42,6 +44,11 @@ def op4_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality_rules.quality(table(spark, sf, "documents"))
 
 
+def op5_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    model = url_filter.fit(url_filter.labelled_urls(spark))
+    return url_filter.judge(table(spark, sf, "pages"), URL_RULES, model)
+
+
 def op6_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     found = decontaminate.find_matches(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
@@ -67,6 +74,7 @@ QUERIES: dict[str, Query] = {
     "op2_token_output": op2_token_output,
     "op3_language_id": op3_language_id,
     "op4_quality_rules": op4_quality_rules,
+    "op5_url_filter": op5_url_filter,
     "op6_decontaminate": op6_decontaminate,
     "op7_token_counts": op7_token_counts,
     "op8_warc": op8_warc,
