@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablevault.llm import decontaminate, language_id, mixing, near_dedup, quality_rules, token_count, token_output, url_filter, warc
+from tablevault.llm import decontaminate, language_id, mixing, near_dedup, quality_rules, suffix_dedup, token_count, token_output, url_filter, warc
 from tablevault.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +69,12 @@ def op9_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.placed(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_token_output": op2_token_output,
@@ -79,6 +85,7 @@ QUERIES: dict[str, Query] = {
     "op7_token_counts": op7_token_counts,
     "op8_warc": op8_warc,
     "op9_mixing": op9_mixing,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 ORACLE: dict[str, str] = {
