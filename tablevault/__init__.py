@@ -1,4 +1,4 @@
-"""tablevault: backup and sync of tables, written as Spark DataFrame jobs."""
+"""tablevault: copies and syncs of tables, written as Spark DataFrame jobs."""
 
 from tablevault.session import build_session, shared_root
 

@@ -14,12 +14,13 @@ def col(c: str | Column) -> Column:
 
 
 def is_blank(c: str | Column) -> Column:
-    """Shell ``[ -z "$x" ]``: unset and empty are the same thing."""
-    return F.coalesce(col(c), F.lit("")) == F.lit("")
+    """Shell ``[ -z "$x" ]``: unset and empty are the same thing. Works on any
+    type that casts to string; a number is never empty."""
+    return F.coalesce(col(c).cast("string"), F.lit("")) == F.lit("")
 
 
 def blank_to_null(c: str | Column) -> Column:
-    return F.nullif(col(c), F.lit(""))
+    return F.nullif(col(c).cast("string"), F.lit(""))
 
 
 def default_if_blank(c: str | Column, default: str) -> Column:
@@ -85,7 +86,7 @@ def spread_salt(never_matches: Column, row_cols: Sequence[str | Column],
     """Salt for a join that keeps left rows whose key can never match.
 
     Rows with a null or blank key never find a partner, yet hash
-    partitioning sends all of them to one task; in a backup request table a
+    partitioning sends all of them to one task; in a request table a
     third of the rows can lack a volume. Such rows get a deterministic salt
     from their own content (a retried task computes the same value) and so
     spread over many tasks. Rows with a usable key get salt 0, as does every

@@ -1,7 +1,7 @@
 """Fixed values that results depend on.
 
-These are the values the backup tool uses; they are stated here once, as
-plain text, so every operator and every oracle query shares them.
+They are stated here once, as plain text, so every operator and every oracle
+query shares them.
 """
 
 # --- fixed values: id and zone patterns scraped from cloud listings -------
@@ -13,7 +13,7 @@ INSTANCE_ID_GROUP = 1
 # Availability zones; greedy, so a trailing quote can be taken along.
 ZONE_PATTERN = r"us-.{6,7}|eu-.{6,10}|ap-.{11,12}|sa-.{6,7}"
 
-# --- fixed values: backup methods ----------------------------------------
+# --- fixed values: copy methods ----------------------------------------
 METHODS = ("dd", "rsync")
 DEFAULT_METHOD = "dd"
 
@@ -54,3 +54,8 @@ STATE_ACTIONS = (
 
 # --- fixed values: cleanup order (instance, then group, then key; volume last)
 CLEANUP_ORDER = ("instance", "group", "key", "volume")
+
+# Fixed patterns of a copy tool's report: bytes, seconds, and records in or out.
+TRANSFER_BYTES = r"(\d+) bytes"
+TRANSFER_SECONDS = r"copied, ([0-9]+(?:\.[0-9]+)?) s"
+RECORDS = r"(\d+)\+(\d+) records (in|out)"

@@ -28,8 +28,7 @@ from tablevault.functions.columns import (
 
 
 def _blank(c: str | Column) -> Column:
-    c = F.col(c) if isinstance(c, str) else c
-    return is_blank(c.cast("string"))
+    return is_blank(c)
 
 
 def _distinct_keys(ref: DataFrame, ref_on: str, like: DataFrame, on: str) -> DataFrame:
@@ -92,7 +91,7 @@ def validate_requests(req: DataFrame, volumes: DataFrame, sources: DataFrame, *,
     vol = F.col(volume)
     verdict = first_rule([
         (~m.isin(*K.METHODS), "bad_method"),
-        (vol.isNotNull() & (vol == F.lit("")), "volume_blank"),
+        (vol.isNotNull() & _blank(volume), "volume_blank"),
         (vol.isNotNull() & ~F.col("_tv_volume_known"), "volume_unknown"),
         (_blank(source), "source_missing"),
         (~F.col("_tv_source_known"), "source_unknown"),
@@ -108,9 +107,10 @@ def placement_conflicts(req: DataFrame, volumes: DataFrame, workers: DataFrame,
     worker that would attach it. Created volumes take the worker's zone and
     cannot conflict, so only rows with a volume are joined (inner joins drop
     null keys before the shuffle). Zones compare like shell strings: unset
-    equals empty."""
-    v = volumes.select(F.col("volume_id").alias(volume), F.col("zone").alias("volume_zone"))
-    w = workers.select(F.col(worker_key), "instance_id", F.col("zone").alias("instance_zone"))
+    equals empty. Inventories are reduced to distinct entries first, so one
+    listed twice does not repeat a conflict."""
+    v = volumes.select(F.col("volume_id").alias(volume), F.col("zone").alias("volume_zone")).distinct()
+    w = workers.select(F.col(worker_key), "instance_id", F.col("zone").alias("instance_zone")).distinct()
     j = (req.where(~is_blank(volume)).select(*keep, volume, worker_key)
          .join(v, on=volume, how="inner")
          .join(w, on=worker_key, how="inner"))

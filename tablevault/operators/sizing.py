@@ -31,6 +31,12 @@ def plan_size(df: DataFrame, by: Sequence[str], payload_cols: Sequence[str]) ->
             .withColumn("gib", volume_gib("kib")))
 
 
+def _plain_path(path: Column) -> Column:
+    """A path without its scheme and authority, so that ``file:/x``,
+    ``file:///x`` and ``/x`` compare equal; no character of it is a pattern."""
+    return F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?(?=/)", "")
+
+
 def plan_size_files(files: DataFrame, root: str, depth: int = 1) -> DataFrame:
     """``du -s`` over a file listing: bytes per folder ``depth`` levels below
     ``root``, then the same KiB / GiB rule as ``plan_size``.
@@ -38,8 +44,9 @@ def plan_size_files(files: DataFrame, root: str, depth: int = 1) -> DataFrame:
     ``files`` is a ``binaryFile`` listing (``path``, ``length``); its contents
     are never read. Files directly under ``root`` count under ``'.'``.
     """
-    prefix = root.rstrip("/") + "/"
-    rel = F.regexp_replace(F.col("path"), r"^(file:)?/*" + prefix.lstrip("/").replace(".", r"\."), "")
+    path = _plain_path(F.col("path"))
+    prefix = F.concat(F.regexp_replace(_plain_path(F.lit(root)), "/+$", ""), F.lit("/"))
+    rel = F.when(path.startswith(prefix), F.substring(path, F.length(prefix) + 1, F.length(path))).otherwise(path)
     parts = F.split(rel, "/")
     folder = F.when(F.size(parts) > depth,
                     F.array_join(F.slice(parts, 1, depth), "/")).otherwise(F.lit("."))
@@ -92,19 +99,12 @@ def block_split(df: DataFrame, id_cols: Sequence[str], payload: str,
                          F.rpad(piece, size, F.lit(bytes([0]))).alias("block"))
 
 
-# Transfer summary lines look like the dd report:
-#   "1528849884 bytes (1.5 GB) copied, 460.558 s, 3.3 MB/s"
-TRANSFER_BYTES = r"(\d+) bytes"
-TRANSFER_SECONDS = r"copied, ([0-9]+(?:\.[0-9]+)?) s"
-RECORDS = r"(\d+)\+(\d+) records (in|out)"
-
-
 def parse_transfer(lines: DataFrame, line_col: str = "line") -> DataFrame:
     """Adds ``bytes`` and ``seconds`` parsed from a transfer summary line."""
     line = F.col(line_col)
     return (lines
-            .withColumn("bytes", F.regexp_extract(line, TRANSFER_BYTES, 1).try_cast("long"))
-            .withColumn("seconds", F.regexp_extract(line, TRANSFER_SECONDS, 1).try_cast("double")))
+            .withColumn("bytes", F.regexp_extract(line, K.TRANSFER_BYTES, 1).try_cast("long"))
+            .withColumn("seconds", F.regexp_extract(line, K.TRANSFER_SECONDS, 1).try_cast("double")))
 
 
 def parse_records(lines: DataFrame, line_col: str = "line") -> DataFrame:
@@ -112,9 +112,9 @@ def parse_records(lines: DataFrame, line_col: str = "line") -> DataFrame:
     ``N+M records in|out`` lines."""
     line = F.col(line_col)
     return (lines
-            .withColumn("full_records", F.regexp_extract(line, RECORDS, 1).try_cast("long"))
-            .withColumn("partial_records", F.regexp_extract(line, RECORDS, 2).try_cast("int"))
-            .withColumn("direction", F.nullif(F.regexp_extract(line, RECORDS, 3), F.lit(""))))
+            .withColumn("full_records", F.regexp_extract(line, K.RECORDS, 1).try_cast("long"))
+            .withColumn("partial_records", F.regexp_extract(line, K.RECORDS, 2).try_cast("int"))
+            .withColumn("direction", F.nullif(F.regexp_extract(line, K.RECORDS, 3), F.lit(""))))
 
 
 def transfer_rate(lines: DataFrame, by: Sequence[str], line_col: str = "line") -> DataFrame:

@@ -18,7 +18,6 @@ from tablevault.functions.columns import (
     any_null,
     payload_bytes,
     plain_join_key,
-    salted_join_key,
     spread_salt,
 )
 
@@ -48,7 +47,9 @@ def _side(df: DataFrame, tag: str, keys: Sequence[str], compare_cols: Sequence[s
     cols.append(F.lit(True).alias(f"_{tag}"))
     if payload_cols is not None:
         cols.append(payload_bytes(payload_cols).alias(f"_{tag}_bytes"))
-    cols.append(spread_salt(any_null(keys), df.columns).alias(SALT))
+    # the salt of keys that never match comes from columns carried anyway, so
+    # the scan reads no others
+    cols.append(spread_salt(any_null(keys), [*keys, *compare_cols, *(payload_cols or [])]).alias(SALT))
     return df.select(*cols)
 
 
@@ -56,7 +57,8 @@ def sync_diff(src: DataFrame, tgt: DataFrame, keys: Sequence[str], compare_cols:
               payload_cols: Sequence[str] | None = None, check_unique: bool = True) -> DataFrame:
     """Class of every key: ``new``, ``changed``, ``unchanged`` or ``target_only``.
 
-    ``compare_cols`` is the signature; nulls compare equal. With
+    ``compare_cols`` is the signature; nulls compare equal. A null key matches
+    nothing: such rows are ``new`` or ``target_only``. With
     ``payload_cols`` a ``bytes`` column holds the payload size of the row that
     wins (the source row, or the target row for ``target_only``).
 
@@ -82,23 +84,40 @@ def sync_diff(src: DataFrame, tgt: DataFrame, keys: Sequence[str], compare_cols:
     return j.select(*out)
 
 
+def null_key_leftovers(src: DataFrame, tgt: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Target rows with a null key beyond those that equal a source row.
+
+    Such rows have no identity but their content: each source row stands for
+    one equal target row, the others stay. Equal rows are counted (partial on
+    every map task) before anything is shuffled.
+    """
+    sides = [df.where(any_null(list(keys))).withColumn("_tv_n", F.lit(n)) for df, n in ((tgt, 1), (src, -1))]
+    both = sides[0].unionByName(sides[1], allowMissingColumns=True)
+    cols = [c for c in both.columns if c != "_tv_n"]
+    left = both.groupBy(*cols).agg(F.sum("_tv_n").alias("_tv_n")).where(F.col("_tv_n") > 0)
+    return left.withColumn("_tv_n", F.explode(F.sequence(F.lit(1), F.col("_tv_n").cast("int")))).drop("_tv_n")
+
+
 def sync_apply(src: DataFrame, tgt: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The target after a sync without deletes: every source row, plus the
     target rows whose key the source lacks.
 
     The source side of the anti join is reduced to its distinct keys (map-side
-    partial aggregation, same partitioning as the join, so no extra shuffle);
-    target rows with a null key carry a salt inside the join key so they do
-    not pile into one task.
-    Applying it twice gives the same table as applying it once.
+    partial aggregation, same partitioning as the join, so no extra shuffle).
+    A null key matches no key; such target rows stay unless the source holds
+    an equal row (see ``null_key_leftovers``). So applying it twice gives the
+    same table as applying it once, null keys included.
     """
     keys = list(keys)
     types = [tgt.schema[k].dataType for k in keys]
     src_keys = (src.where(~any_null(keys)).select(plain_join_key(keys, types).alias(JOIN_KEY)).distinct())
-    kept = (tgt.withColumn(JOIN_KEY, salted_join_key(keys, types, any_null(keys), tgt.columns))
+    kept = (tgt.where(~any_null(keys)).withColumn(JOIN_KEY, plain_join_key(keys, types))
             .join(src_keys, on=JOIN_KEY, how="left_anti")
             .drop(JOIN_KEY))
-    return src.unionByName(kept, allowMissingColumns=True)
+    out = src.unionByName(kept, allowMissingColumns=True)
+    if not any(tgt.schema[k].nullable for k in keys):
+        return out
+    return out.unionByName(null_key_leftovers(src, tgt, keys), allowMissingColumns=True)
 
 
 def sync_report(diff: DataFrame, cls_col: str = "cls", bytes_col: str | None = "bytes") -> DataFrame:

@@ -89,7 +89,10 @@ def _drop_in_ranges(spark, df: DataFrame, col: str, parts: int, dest: str, after
     width = (hi - lo) // parts + 1
     for k in range(parts):
         a, b = lo + k * width, lo + (k + 1) * width
-        (df.where((F.col(col) >= a) & (F.col(col) < b)).write.mode("errorifexists")
+        here = (F.col(col) >= a) & (F.col(col) < b)
+        if k == 0:  # rows without a value arrive first
+            here = here | F.col(col).isNull()
+        (df.where(here).write.mode("errorifexists")
          .parquet(f"{dest}/part={k}"))
         after_each()
 
@@ -124,6 +127,15 @@ def q_plan_size(spark, sf):
     return op.plan_size(table(spark, sf, "documents"), ["source"], ["text"])
 
 
+def q_plan_size_files(spark, sf):
+    """The listing as text files in a folder per zone, sized by its files."""
+    root = f"{new_work_dir(spark, 'plan_size_files')}/listing (by zone)"
+    zone = F.coalesce(F.nullif(F.regexp_extract("line", r"\t(us-east-1[a-d])\t", 1), F.lit("")), F.lit("none"))
+    fx.listing(spark, sf).select(F.col("line").alias("value"), zone.alias("zone")).write.partitionBy("zone").text(root)
+    return op.plan_size_files(file_listing(spark, root), root).withColumn(
+        "folder", F.regexp_replace("folder", "^zone=", ""))
+
+
 def q_block_layout(spark, sf):
     return op.block_layout(table(spark, sf, "documents"), ["doc_id"], "text")
 
@@ -172,6 +184,10 @@ def q_extract_zones(spark, sf):
     return op.extract_tokens(table(spark, sf, "pages"), ["page_id"], "html", K.ZONE_PATTERN, 0)
 
 
+def q_extract_zones_listing(spark, sf):
+    return op.extract_tokens(fx.listing(spark, sf), ["c_custkey"], "line", K.ZONE_PATTERN, 0)
+
+
 def q_pick_fields(spark, sf):
     return op.pick_fields(fx.listing(spark, sf), "line", "\t",
                           fields={"volume": 1, "zone": 2, "size": 3, "instance": 4, "extra": 5},
@@ -183,6 +199,10 @@ def q_extract_named_value(spark, sf):
                                   quoted=False)
 
 
+def q_extract_state_name(spark, sf):
+    return op.extract_named_value(fx.state_lines(spark, sf), ["event_id"], "line", "Name")
+
+
 def q_lookup_field(spark, sf):
     req = fx.requests(spark, sf).select("request_id", "volume_id")
     return op.lookup_field(req, fx.volumes(spark, sf), "volume_id", ["zone", "fs"])
@@ -238,6 +258,13 @@ def q_new_entries(spark, sf):
     return op.new_entries(after, before)
 
 
+def q_new_entries_repeated(spark, sf):
+    dev = fx.device_rows(spark, sf)
+    after = dev.where(F.col("snapshot") == 2).select("host", "minor")
+    before = dev.where(F.col("snapshot") == 1).select("host", "minor")
+    return op.new_entries(after, before)
+
+
 def q_wait_profile(spark, sf):
     return op.wait_profile(fx.instance_states(spark, sf), "instance", "ts", "state", K.TERMINATED)
 
@@ -342,6 +369,10 @@ QUERIES: dict[str, Query] = {
     "extract_tokens": q_extract_tokens,
     "extract_ids": q_extract_ids,
     "extract_zones": q_extract_zones,
+    "extract_zones_listing": q_extract_zones_listing,
+    "extract_state_name": q_extract_state_name,
+    "plan_size_files": q_plan_size_files,
+    "new_entries_repeated": q_new_entries_repeated,
     "pick_fields": q_pick_fields,
     "extract_named_value": q_extract_named_value,
     "lookup_field": q_lookup_field,
@@ -501,6 +532,22 @@ ORACLE_SQL: dict[str, str] = {
     "extract_zones": f"""
         select page_id, cast(unnest(range(0, len(l))) as int) as pos, unnest(l) as token
         from (select page_id, regexp_extract_all(html, {_sql_str(K.ZONE_PATTERN)}, 0) as l from pages)""",
+    "extract_zones_listing": with_fixtures(f"""
+        select c_custkey, cast(unnest(range(0, len(l))) as int) as pos, unnest(l) as token
+        from (select c_custkey, regexp_extract_all(line, {_sql_str(K.ZONE_PATTERN)}, 0) as l from listing)""", "listing"),
+    "extract_state_name": with_fixtures("""
+        select event_id, regexp_extract(line, '"Name": "(\\w+)"', 1) as value
+        from state_lines where regexp_matches(line, '"Name": "\\w+"')""", "state_lines"),
+    "plan_size_files": with_fixtures(f"""
+        select folder, bytes, (bytes + 1023) // 1024 as kib,
+               ((bytes + 1023) // 1024 * {K.SIZE_FACTOR}) // {K.KIB_PER_GIB} + {K.SIZE_HEADROOM_GIB} as gib
+        from (select coalesce(nullif(regexp_extract(line, '\\t(us-east-1[a-d])\\t', 1), ''), 'none') as folder,
+                     cast(sum(strlen(line) + 1) as bigint) as bytes
+              from listing group by 1)""", "listing"),
+    "new_entries_repeated": with_fixtures("""
+        select host, minor from device_rows where snapshot = 2
+        except
+        select host, minor from device_rows where snapshot = 1""", "device_rows"),
     "pick_fields": with_fixtures(f"""
         select c_custkey, {_cut(1)} as volume, {_cut(2)} as zone, {_cut(3)} as size,
                {_cut(4)} as instance, {_cut(5)} as extra, substr(line, 1, 4) as head

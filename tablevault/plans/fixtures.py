@@ -90,7 +90,7 @@ from supplier
 
 
 def requests(spark: SparkSession, sf: str) -> DataFrame:
-    """Backup requests with every kind of fault: bad or blank methods, no
+    """Copy requests with every kind of fault: bad or blank methods, no
     volume (a third of them), blank and unknown volumes, missing and unknown
     sources."""
     o = table(spark, sf, "orders")
@@ -260,6 +260,45 @@ select event_id, user_id as instance, ts,
 from events
 """
 
+def state_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """One line per event of a pretty-printed state report: most name a state,
+    the others miss the quotes, the space or the word."""
+    e = instance_states(spark, sf)
+    k = F.col("event_id") % 8
+    line = (F.when(k == 0, F.concat(F.lit('"Name":"'), F.col("state"), F.lit('"')))
+            .when(k == 1, F.concat(F.lit('"Name": '), F.col("state")))
+            .when(k == 2, F.concat(F.lit('"Code": "'), F.col("state"), F.lit('"')))
+            .when(k == 3, F.concat(F.lit('  "Name": "'), F.col("state"), F.lit('", "Code": "80"')))
+            .when(k == 4, F.lit('"Name": "two words"'))
+            .otherwise(F.concat(F.lit('    "Name": "'), F.col("state"), F.lit('"'))))
+    return e.select("event_id", line.alias("line"))
+
+
+STATE_LINES_SQL = f"""
+select event_id,
+       case event_id % 8 when 0 then concat('"Name":"', state, '"') when 1 then concat('"Name": ', state)
+            when 2 then concat('"Code": "', state, '"') when 3 then concat('  "Name": "', state, '", "Code": "80"')
+            when 4 then '"Name": "two words"' else concat('    "Name": "', state, '"') end as line
+from ({INSTANCE_STATES_SQL})
+"""
+
+
+def device_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The device listings as they come, rows repeated."""
+    li = table(spark, sf, "lineitem")
+    rows = li.select(F.col("l_orderkey").alias("host"), F.col("l_linenumber").alias("minor"), "l_shipdate")
+    earlier = rows.where(F.col("l_shipdate") < F.lit("1997-01-01").cast("timestamp_ntz"))
+    return rows.select("host", "minor", F.lit(2).alias("snapshot")).unionByName(
+        earlier.select("host", "minor", F.lit(1).alias("snapshot")))
+
+
+DEVICE_ROWS_SQL = """
+select l_orderkey as host, l_linenumber as minor, 2 as snapshot from lineitem
+union all
+select l_orderkey as host, l_linenumber as minor, 1 as snapshot
+from lineitem where l_shipdate < cast('1997-01-01' as timestamp)
+"""
+
 SQL = {
     "target_orders": TARGET_ORDERS_SQL,
     "listing": LISTING_SQL,
@@ -273,6 +312,8 @@ SQL = {
     "transfers": TRANSFERS_SQL,
     "dd_log": DD_LOG_SQL,
     "instance_states": INSTANCE_STATES_SQL,
+    "state_lines": STATE_LINES_SQL,
+    "device_rows": DEVICE_ROWS_SQL,
 }
 
 

@@ -71,3 +71,16 @@ def test_route_first_match_takes_the_first_true_rule(spark):
              (F.col("n") < 10, "never reached")]
     got = [r["size"] for r in op.route_first_match(df, rules, "size", default="unknown").collect()]
     assert got == ["small", "medium", "large", "unknown"]
+
+
+def test_numeric_ids_are_never_blank(spark):
+    req = spark.createDataFrame([(1, "dd", 7, 1), (2, None, None, 1), (3, "dd", 8, 2)],
+                                "request_id long, method string, volume_id long, source_id long")
+    vols = spark.createDataFrame([(7, "z1", "ext4"), (7, "z1", "ext4")], "volume_id long, zone string, fs string")
+    workers = spark.createDataFrame([(1, "i-1", "z2"), (1, "i-1", "z2")], "source_id long, instance_id string, zone string")
+    got = op.placement_conflicts(req, vols, workers).collect()
+    assert [(r["request_id"], r["volume_id"]) for r in got] == [(1, 7)]  # once, though listed twice
+    assert {r["request_id"]: r["plan"] for r in op.route_plan(req).collect()} == {1: "a", 2: "b", 3: "a"}
+    assert {r["request_id"]: r["action"] for r in op.route_prepare(req, vols).collect()} == {1: "mount", 2: "create", 3: "reject"}
+    verdicts = op.validate_requests(req, vols, spark.createDataFrame([(1,)], "source_id long"))
+    assert {r["request_id"]: r["verdict"] for r in verdicts.collect()} == {1: "ok", 2: "ok", 3: "volume_unknown"}

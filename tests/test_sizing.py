@@ -83,3 +83,13 @@ def test_transfer_rate_is_total_over_total_and_null_on_zero_time(spark):
     assert got["a"]["mb_per_s"] == 1.0
     assert got["b"]["mb_per_s"] is None
     assert "c" not in got
+
+
+def test_plan_size_files_takes_the_root_literally(spark):
+    from tablevault import operators as op
+
+    for root in ("/data/x+y(1)", "file:/data/x+y(1)", "file:///data/x+y(1)/"):
+        files = spark.createDataFrame([("file:/data/x+y(1)/a/f1", 10), ("file:///data/x+y(1)/a/b/f2", 5),
+                                       ("/data/x+y(1)/f3", 7), ("file:/data/xxy1/f4", 1)], "path string, length long")
+        got = {r["folder"]: r["bytes"] for r in op.plan_size_files(files.where("length > 1"), root).collect()}
+        assert got == {"a": 15, ".": 7}

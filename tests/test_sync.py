@@ -72,3 +72,14 @@ def test_sync_apply_with_repeated_keys(spark):
     t = spark.createDataFrame([(1, 9.0, "old"), (4, 4.0, "x"), (4, 5.0, "y")], SCHEMA)
     got = sorted(map(tuple, op.sync_apply(s, t, ["k"]).collect()))
     assert got == [(1, 1.0, "a"), (1, 2.0, "a2"), (4, 4.0, "x"), (4, 5.0, "y")]
+
+
+def test_sync_apply_is_idempotent_with_null_keys_in_the_source(spark):
+    s = spark.createDataFrame(SRC + [(None, 1.0, "n"), (None, 1.0, "n"), (None, None, None)], SCHEMA)
+    t = spark.createDataFrame(TGT + [(None, 1.0, "n"), (None, 2.0, "own")], SCHEMA)
+    once = op.sync_apply(s, t, ["k"])
+    rows = sorted(map(tuple, once.collect()), key=str)
+    assert [r for r in rows if r[0] is None] == sorted(
+        [(None, 1.0, "n"), (None, 1.0, "n"), (None, None, None), (None, 2.0, "own")], key=str)
+    again = op.sync_apply(s, op.sync_apply(s, once, ["k"]), ["k"])
+    assert sorted(map(tuple, again.collect()), key=str) == rows
