@@ -121,6 +121,24 @@ def q_sync_stream(spark, sf):
     return read_synced(spark, target, SYNC_BUCKETS, schema=ev.schema).select(*ev.columns)
 
 
+def q_sync_stream_seeded(spark, sf):
+    """A target that holds the older copy already, and ``orders`` streamed in."""
+    work = new_work_dir(spark, "sync_stream_seeded")
+    target = f"{work}/target"
+    snapshot_full(fx.target_orders(spark, sf), target)
+    orders = table(spark, sf, "orders")
+    schema = _with_part(orders.schema)
+    stream_spark = _stream_session(spark)
+
+    def run():
+        src = stream_spark.readStream.schema(schema).parquet(f"{work}/in").drop("part")
+        sync_stream(src, target, SYNC_KEYS, "o_orderdate", f"{work}/checkpoint",
+                    buckets=SYNC_BUCKETS, keep_history=False).awaitTermination()
+
+    _drop_in_ranges(spark, orders, "o_orderkey", 2, f"{work}/in", run)
+    return read_synced(spark, target, SYNC_BUCKETS).select(*orders.columns)
+
+
 # ------------------------------------------------------------ sizing
 
 def q_plan_size(spark, sf):
@@ -360,6 +378,7 @@ QUERIES: dict[str, Query] = {
     "sync_report": q_sync_report,
     "sync_run": q_sync_run,
     "sync_stream": q_sync_stream,
+    "sync_stream_seeded": q_sync_stream_seeded,
     "block_layout": q_block_layout,
     "block_split": q_block_split,
     "transfer_rate": q_transfer_rate,
@@ -484,6 +503,12 @@ ORACLE_SQL: dict[str, str] = {
     "sync_report": with_fixtures(f"""
         select cls, count(*) as rows, cast(coalesce(sum(bytes), 0) as bigint) as bytes
         from ({_DIFF_SQL}) d group by cls""", "target_orders"),
+    "sync_stream_seeded": with_fixtures("""
+        select * from orders
+        union all
+        select * from target_orders t
+        where not exists (select 1 from orders s where s.o_orderkey = t.o_orderkey)""",
+                                        "target_orders"),
     "sync_stream": """
         select * from events
         qualify row_number() over (partition by user_id order by event_id desc) = 1""",

@@ -58,6 +58,41 @@ def overwrite_bytes(spark: SparkSession, path: str, data: bytes) -> None:
         out.close()
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that must not exist yet."""
+    fs, p = _fs_and_path(spark, path)
+    out = fs.create(p, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """Content of a small file, None if it does not exist."""
+    fs, p = _fs_and_path(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
+def numbers(spark: SparkSession, base: str) -> list[int]:
+    """All ``v=N`` below ``base``, committed or not, ascending: one listing."""
+    return sorted(int(n[2:]) for n in list_dirs(spark, base) if n.startswith("v=") and n[2:].isdigit())
+
+
+def newest_committed(spark: SparkSession, base: str, upto: int | None = None):
+    """Committed versions up to ``upto``, newest first. Each is looked at only when
+    asked for, so finding the newest costs one listing and usually one probe."""
+    for v in reversed(numbers(spark, base)):
+        if (upto is None or v <= upto) and exists(spark, f"{base.rstrip('/')}/v={v}/_SUCCESS"):
+            yield v
+
+
 def versions(spark: SparkSession, base: str, committed_only: bool = True) -> list[int]:
     """Versions ``v=N`` below ``base``, ascending. With ``committed_only`` a
     ``_SUCCESS`` marker must prove the write committed."""

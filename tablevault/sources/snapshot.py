@@ -1,22 +1,35 @@
-"""Full and tolerant snapshots (O2, O3) and one sync run into the next version (O5 as a sink).
+"""Full and tolerant snapshots (O2, O3) and sync runs into the next version (O5 as a sink).
 
-A snapshot is a parquet directory ``<target>/v=N``. Each write makes a new
-version and never touches the version it was read from; the newest complete
-version replaces the older ones logically, the way a raw copy replaces what
-a device held. Spark's commit protocol makes each version appear whole or
-not at all, so a lost executor only causes task retries.
+A target is a folder of versions ``<target>/v=N``. A version is either a whole
+table (plain parquet files) or a change: the key buckets it rewrote
+(``v=N/_tv_bucket=b``) and a ``_manifest.json`` that says where all other rows are. A
+full copy, a batch sync and a stream can share a target: each reads the newest
+committed state and writes the next number, past every existing folder, so no
+version is ever overwritten. Spark's commit protocol makes a version appear
+whole or not at all; the manifest is written before the data, and a version
+without ``_SUCCESS`` does not exist for readers.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+import uuid
+from collections.abc import Sequence
+from dataclasses import dataclass, field
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tablevault.functions.columns import any_null
+from tablevault.operators.sync import null_key_leftovers, sync_apply
 from tablevault.sources import fs
 from tablevault.sources.tables import file_listing
 
+BUCKET = "_tv_bucket"
+MANIFEST = "_manifest.json"
+SYNC_BUCKETS = 64
+ROWS_PER_FILE = 100_000
 CODECS = ("none", "uncompressed", "snappy", "gzip", "lz4", "zstd")
 
 
@@ -25,8 +38,114 @@ def version_path(target: str, version: int) -> str:
 
 
 def latest_version(spark: SparkSession, target: str, below: int | None = None) -> int | None:
-    vs = [v for v in fs.versions(spark, target) if below is None or v < below]
-    return vs[-1] if vs else None
+    return next(fs.newest_committed(spark, target, None if below is None else below - 1), None)
+
+
+@dataclass
+class State:
+    """Where a target's rows are: ``whole`` is a version that holds the whole table,
+    ``buckets`` the newer version of each bucket rewritten since, of ``n`` buckets by
+    ``keys``. ``streams`` is the last batch taken from each stream."""
+
+    version: int | None = None
+    whole: int | None = None
+    buckets: dict[int, int] = field(default_factory=dict)
+    n: int | None = None
+    keys: list[str] = field(default_factory=list)
+    streams: dict[str, int] = field(default_factory=dict)
+
+
+def read_state(spark: SparkSession, target: str, version: int | None = None) -> State:
+    """The state as of ``version``, or of the newest committed version."""
+    found = None
+    for v in fs.newest_committed(spark, target, version):
+        text = fs.read_text(spark, f"{version_path(target, v)}/{MANIFEST}")
+        if found is None:
+            found = State(version=v, whole=v)
+        if text is not None:
+            m = json.loads(text)
+            if found.version == v:
+                found = State(v, m["whole"], {int(b): x for b, x in m["buckets"].items()}, m["n"], m["keys"])
+            found.streams = m["streams"]  # a full copy in between takes no batch away
+            break
+    return found or State()
+
+
+def bucket_of(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
+
+
+def read_rows(spark: SparkSession, target: str, state: State, only: Sequence[int] | None = None) -> DataFrame | None:
+    """The rows of a state, or of some of its buckets; None if there are none. Columns
+    that only some files have are null elsewhere."""
+    paths = [f"{version_path(target, v)}/{BUCKET}={b}" for b, v in sorted(state.buckets.items())
+             if only is None or b in only]
+    parts = [spark.read.option("mergeSchema", "true").parquet(*paths)] if paths else []
+    if state.whole is not None:
+        rows = spark.read.option("mergeSchema", "true").parquet(version_path(target, state.whole))
+        if state.buckets:
+            rows = rows.where(~bucket_of(state.keys, state.n).isin(list(state.buckets)))
+        if only is not None:
+            rows = rows.where(bucket_of(state.keys, state.n).isin(list(only)))
+        parts.append(rows)
+    if not parts:
+        return None
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
+
+
+def next_version(spark: SparkSession, target: str, first: int = 1) -> int:
+    """Past every existing folder, committed or not: none is ever reused."""
+    seen = fs.numbers(spark, target)
+    return seen[-1] + 1 if seen else first
+
+
+def write_buckets(incoming: DataFrame, target: str, keys: Sequence[str], buckets: int, state: State, version: int,
+                  streams: dict[str, int] | None = None, codec: str = "zstd", rows_per_file: int = ROWS_PER_FILE) -> State:
+    """Apply ``incoming`` to ``state`` as ``version``, rewriting only the buckets its keys
+    fall in. A state with other keys or another number of buckets is rewritten once.
+
+    A bucket is split by key hash into parts of about ``rows_per_file`` rows (keys are
+    hashed; rows with a null key by their content), so the number of tasks follows
+    the amount of data and not the number of buckets. Per bucket one count
+    reaches the driver.
+    """
+    spark, keys = incoming.sparkSession, list(keys)
+    counts = {r[0]: r[1] for r in incoming.groupBy(bucket_of(keys, buckets)).count().collect()}
+    same = state.version is None or not state.buckets or (state.n == buckets and state.keys == keys)
+    known = State(state.version, state.whole, dict(state.buckets), buckets, keys) if same else None
+    if known is None:
+        prev, after = read_rows(spark, target, state), State(version, None, {}, buckets, keys)
+        touched = sorted({*counts, *(r[0] for r in prev.select(bucket_of(keys, buckets)).distinct().collect())})
+    else:
+        touched = sorted(counts)
+        prev = read_rows(spark, target, known, touched) if touched else None
+        after = known
+    after.version, after.streams = version, {**state.streams, **(streams or {})}
+    merged = incoming if prev is None else sync_apply(incoming, prev, keys)
+    after.buckets |= {b: version for b in touched}
+    path = version_path(target, version)
+    fs.write_text(spark, f"{path}/{MANIFEST}", json.dumps(
+        {"whole": after.whole, "buckets": after.buckets, "n": buckets, "keys": keys, "streams": after.streams}))
+    if not touched:
+        fs.write_text(spark, f"{path}/_SUCCESS", "")  # nothing to write: the state is the old one
+        return after
+    rows = sum(counts.values()) + (0 if prev is None else prev.count())  # of files: read off their footers
+    parts = max(1, -(-rows // (rows_per_file * len(touched))))
+    part = F.when(any_null(keys), F.pmod(F.xxhash64(*merged.columns), F.lit(parts * len(touched)))).otherwise(
+        F.pmod(F.xxhash64(F.lit(7), *[F.col(k) for k in keys]), F.lit(parts)))
+    tasks = min(parts * len(touched), 100_000)
+    dealt = merged.withColumn(BUCKET, bucket_of(keys, buckets)).repartition(tasks, F.col(BUCKET), part)
+    (dealt.write.mode("append").option("compression", codec).option("maxRecordsPerFile", 2 * rows_per_file)
+     .partitionBy(BUCKET).parquet(path))
+    return after
+
+
+def drop_unused(spark: SparkSession, target: str, state: State) -> None:
+    """Delete versions below ``state`` that it does not refer to."""
+    used = {state.version, state.whole, *state.buckets.values()}
+    for v in fs.numbers(spark, target):
+        if v < state.version and v not in used:
+            fs.delete(spark, version_path(target, v))
 
 
 def snapshot_full(df: DataFrame, target: str, codec: str = "zstd",
@@ -40,62 +159,70 @@ def snapshot_full(df: DataFrame, target: str, codec: str = "zstd",
         raise ValueError(f"unknown codec {codec!r}; use one of {CODECS}")
     spark = df.sparkSession
     if version is None:
-        # Past every existing folder, committed or not: a half-written
-        # version is never reused.
-        seen = fs.versions(spark, target, committed_only=False)
-        version = seen[-1] + 1 if seen else 1
+        version = next_version(spark, target)
     df.write.mode("errorifexists").option("compression", codec).parquet(version_path(target, version))
     return version
 
 
 def read_snapshot(spark: SparkSession, target: str, version: int | None = None) -> DataFrame:
-    """The given version, or the newest complete one."""
-    if version is None:
-        version = latest_version(spark, target)
-        if version is None:
-            raise FileNotFoundError(f"no complete snapshot below {target}")
-    return spark.read.parquet(version_path(target, version))
-
-
-def sync_run(src: DataFrame, target: str, keys, codec: str = "zstd") -> int:
-    """One sync run into a versioned target: the source is applied (source
-    wins, nothing deleted) to the newest committed version and the result
-    becomes the next version; the first run is a full snapshot. Returns the
-    version written. The version read is never the one written.
-
-    Built for a large source, where broadcasting its keys is not possible:
-    only keys cross the shuffle. The keys of target rows the source lacks
-    (usually few: what was deleted since the last run) are found with a
-    keys-only anti join and written to ``<target>/_staging``; read back, their
-    exact size is known, so Spark broadcasts them when small and the full
-    target rows are picked with a map-side semi join instead of being
-    shuffled. Target rows with a null key never match and are kept as they
-    are.
-    """
+    """The table as of the given version, or as of the newest complete one."""
+    state = read_state(spark, target, version)
+    if state.version is None or (version is not None and state.version != version):
+        raise FileNotFoundError(f"no complete snapshot{'' if version is None else f' {version}'} below {target}")
+    rows = read_rows(spark, target, state)
+    if rows is None:
+        raise FileNotFoundError(f"version {state.version} below {target} holds no files")
+    return rows
+
+
+def changed_rows(src: DataFrame, tgt: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Source rows that are new or differ from the target's row of their key, and
+    rows with a null key that the target does not hold.
+
+    The target's side of the join is its keys and two hashes of the columns that
+    the source has; full rows of the target are not shuffled."""
     keys = list(keys)
-    spark = src.sparkSession
-    last = latest_version(spark, target)
-    if last is None:
+    rest = [c for c in src.columns if c not in keys]
+
+    def marks(df: DataFrame, side: str) -> list[Column]:
+        cols = [F.col(c).cast(src.schema[c].dataType) if c in df.columns else F.lit(None).cast(src.schema[c].dataType)
+                for c in rest]
+        # which columns are null is hashed too: a null leaves a hash as it is
+        nulls = F.concat(F.lit(""), *[F.when(c.isNull(), "1").otherwise("0") for c in cols])
+        return [F.xxhash64(F.lit(n), *cols, nulls).alias(f"_tv_{side}{n}") for n in (1, 2)]
+
+    old = tgt.where(~any_null(keys)).select(*keys, *marks(tgt, "t"))
+    new = src.where(~any_null(keys)).select("*", *marks(src, "s"))
+    same = (F.col("_tv_s1") == F.col("_tv_t1")) & (F.col("_tv_s2") == F.col("_tv_t2"))
+    out = new.join(old, keys, "left").where(~F.coalesce(same, F.lit(False))).select(*src.columns)
+    if any(src.schema[k].nullable for k in keys):
+        extra = null_key_leftovers(tgt.select(*[c for c in src.columns if c in tgt.columns]), src, keys)
+        out = out.unionByName(extra.select(*src.columns))
+    return out
+
+
+def sync_run(src: DataFrame, target: str, keys, codec: str = "zstd", buckets: int = SYNC_BUCKETS) -> int:
+    """One sync run into a versioned target: the source is applied (source wins,
+    nothing deleted) to the newest committed state; returns the new version. The
+    first run is a full snapshot.
+
+    Only new and changed rows are staged, and only the buckets of their keys are
+    rewritten; a run that changes nothing writes a version without data files.
+    Rows of columns the source lacks become null in changed rows, as the source
+    wins; other rows keep theirs.
+    """
+    keys, spark = list(keys), src.sparkSession
+    state = read_state(spark, target)
+    if state.version is None:
         return snapshot_full(src, target, codec)
-    seen = fs.versions(spark, target, committed_only=False)
-    version = seen[-1] + 1
-    tgt = read_snapshot(spark, target, last)
-    gone_path = f"{target.rstrip('/')}/_staging/target_only_keys-v{version}"
-    src_keys = src.select(*keys).where(~any_null(keys)).distinct()
-    (tgt.select(*keys).where(~any_null(keys))
-     .join(src_keys, on=keys, how="left_anti")
-     .write.mode("overwrite").parquet(gone_path))
-    merged = merge_target_only(src, tgt, spark.read.parquet(gone_path), keys)
-    return snapshot_full(merged, target, codec, version)
-
-
-def merge_target_only(src: DataFrame, tgt: DataFrame, gone: DataFrame, keys) -> DataFrame:
-    """Source rows plus the target rows whose key is in ``gone`` (the
-    target-only keys) or null. With a small ``gone`` the semi join is a
-    broadcast and the target is read without a shuffle."""
-    keys = list(keys)
-    kept = tgt.join(gone, on=keys, how="left_semi").unionByName(tgt.where(any_null(keys)))
-    return src.unionByName(kept, allowMissingColumns=True)
+    tgt = read_rows(spark, target, state)
+    staging = f"{target.rstrip('/')}/_staging/{uuid.uuid4().hex}"
+    (src if tgt is None else changed_rows(src, tgt, keys)).write.parquet(staging)
+    version = next_version(spark, target)
+    staged = spark.read.schema(src.schema).parquet(staging)
+    write_buckets(staged, target, keys, buckets, state, version, codec=codec)
+    fs.delete(spark, staging)
+    return version
 
 
 def read_tolerant(spark: SparkSession, path: str, schema: StructType | None = None,

@@ -86,18 +86,36 @@ def test_sync_run_versions_and_idempotence(spark, workdir):
     assert sorted(map(tuple, read_snapshot(spark, workdir, 3).collect())) == got
 
 
-def test_sync_run_merge_does_not_shuffle_the_target(spark, workdir):
+def _data_files(spark, target, version):
+    base = f"{target}/v={version}"
+    return [f for d in fs.list_dirs(spark, base) for f in fs.list_files(spark, f"{base}/{d}")] + fs.list_files(spark, base)
+
+
+def test_sync_run_writes_only_what_changed(spark, workdir):
     from pyspark.sql import functions as F
 
-    from tablevault.sources.snapshot import merge_target_only
-
-    spark.range(200000).select(F.col("id").alias("k"), F.col("id").cast("string").alias("v")) \
-        .write.parquet(f"{workdir}/tgt")
-    spark.range(5).select(F.col("id").alias("k")).write.parquet(f"{workdir}/gone")
-    tgt = spark.read.parquet(f"{workdir}/tgt")
-    src = spark.range(100000, 300000).select(F.col("id").alias("k"), F.lit("new").alias("v"))
-    merged = merge_target_only(src, tgt, spark.read.parquet(f"{workdir}/gone"), ["k"])
-    plan = merged._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
-    assert "Exchange hashpartitioning" not in plan
-    assert merged.count() == 200000 + 5
+    from tablevault.sources.snapshot import read_state, sync_run
+
+    src = spark.range(2000).select(F.when(F.col("id") > 1, F.col("id")).alias("k"), F.col("id").cast("string").alias("v"))
+    assert sync_run(src, workdir, ["k"]) == 1
+    assert sync_run(src, workdir, ["k"]) == 2  # the same source, two null keys included
+    assert _data_files(spark, workdir, 2) == []
+    some = src.withColumn("v", F.when(F.col("k") == 7, "new").otherwise(F.col("v")))
+    assert sync_run(some, workdir, ["k"]) == 3
+    state = read_state(spark, workdir)
+    assert state.whole == 1 and list(state.buckets.values()) == [3]  # one bucket of 64
+    assert read_snapshot(spark, workdir).count() == 2000
+    assert read_snapshot(spark, workdir).where("v = 'new'").count() == 1
+    assert read_snapshot(spark, workdir, 2).where("v = 'new'").count() == 0  # older versions stay readable
+    assert fs.list_dirs(spark, f"{workdir}/_staging") == []
+
+
+def test_changed_rows_compares_whole_rows_through_hashes(spark):
+    from tablevault.sources.snapshot import changed_rows
+
+    schema = "k long, a string, b string"
+    tgt = spark.createDataFrame([(1, "x", None), (2, "x", "y"), (3, None, "z"), (None, "n", "n")], schema)
+    src = spark.createDataFrame([(1, None, "x"), (2, "x", "y"), (3, "z", None), (4, "q", "q"), (None, "n", "n"),
+                                 (None, "n", "n")], schema)
+    got = sorted(map(tuple, changed_rows(src, tgt, ["k"]).collect()), key=str)
+    assert got == sorted([(1, None, "x"), (3, "z", None), (4, "q", "q"), (None, "n", "n")], key=str)

@@ -1,10 +1,11 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from tablevault import operators as op
 from tablevault.plans import catalog, fixtures
-from tablevault.sources.snapshot import latest_version, read_snapshot
+from tablevault.sources.snapshot import latest_version, read_snapshot, snapshot_full
 from tablevault.sources.tables import table
 from tablevault.streaming import apply_batch, sync_stream, wait_stream, wait_stream_result
 from tests.conftest import SF_SMALL
@@ -131,3 +132,81 @@ def test_wait_stream_with_state_eviction_still_equals_batch(spark, workdir):
            .withColumn("reached_at", F.col("reached_at").cast("timestamp_ntz")))
     want = op.wait_profile(st, "instance", "ts", "state", "terminated")
     assert _rows(got.select(*want.columns)) == _rows(want)
+
+
+LAYOUTS = [None, 4]
+KNV = "k long, n long, v string"
+
+
+@pytest.mark.parametrize("buckets", LAYOUTS)
+def test_batches_go_on_from_a_seeded_target(spark, workdir, buckets):
+    from tablevault.streaming import read_synced
+
+    snapshot_full(spark.createDataFrame([(1, 0, "seed"), (9, 0, "only here")], KNV), workdir)  # v=1
+    apply_batch(spark.createDataFrame([(1, 1, "b0"), (2, 1, "b0")], KNV), 0, workdir, ["k"], "n", buckets)
+    apply_batch(spark.createDataFrame([(2, 2, "b1")], KNV), 1, workdir, ["k"], "n", buckets)
+    want = [(1, 1, "b0"), (2, 2, "b1"), (9, 0, "only here")]
+    assert _rows(read_synced(spark, workdir, buckets)) == want
+    assert _rows(read_snapshot(spark, workdir, 1)) == [(1, 0, "seed"), (9, 0, "only here")]  # untouched
+    # a fresh stream starts at batch 0 again, on what is there
+    apply_batch(spark.createDataFrame([(3, 1, "other")], KNV), 0, workdir, ["k"], "n", buckets, stream_id="fresh")
+    assert _rows(read_synced(spark, workdir, buckets)) == [*want[:2], (3, 1, "other"), want[2]]
+    # replays of either stream change nothing
+    before = latest_version(spark, workdir)
+    apply_batch(spark.createDataFrame([(2, 2, "b1")], KNV), 1, workdir, ["k"], "n", buckets)
+    apply_batch(spark.createDataFrame([(3, 1, "other")], KNV), 0, workdir, ["k"], "n", buckets, stream_id="fresh")
+    assert latest_version(spark, workdir) == before
+
+
+@pytest.mark.parametrize("buckets", LAYOUTS)
+def test_batches_keep_null_keys_and_target_only_columns(spark, workdir, buckets):
+    from tablevault.streaming import read_synced
+
+    wide = "k long, n long, v string, extra string"
+    apply_batch(spark.createDataFrame([(k, 1, "a", f"keep{k}") for k in range(8)], wide), 0, workdir, ["k"], "n", buckets)
+    batch = spark.createDataFrame([(1, 2, "b"), (None, 1, "x"), (None, 2, "y"), (None, 2, "y")], KNV)
+    apply_batch(batch, 1, workdir, ["k"], "n", buckets)
+    got = _rows(read_synced(spark, workdir, buckets).select("k", "n", "v", "extra"))
+    want = [(1, 2, "b", None), (None, 1, "x", None), (None, 2, "y", None), (None, 2, "y", None)]
+    want += [(k, 1, "a", f"keep{k}") for k in range(8) if k != 1]
+    assert got == sorted(want, key=str)
+    apply_batch(batch, 2, workdir, ["k"], "n", buckets)  # the same rows again: null keys do not pile up
+    assert _rows(read_synced(spark, workdir, buckets).select("k", "n", "v", "extra")) == got
+
+
+def test_a_full_copy_a_sync_and_a_stream_share_a_target(spark, workdir):
+    from tablevault.sources.snapshot import sync_run
+    from tablevault.streaming import read_synced
+
+    apply_batch(spark.createDataFrame([(1, 1, "s"), (2, 1, "s")], KNV), 0, workdir, ["k"], "n", 4)
+    sync_run(spark.createDataFrame([(2, 5, "sync"), (3, 5, "sync")], KNV), workdir, ["k"], buckets=4)
+    assert _rows(read_snapshot(spark, workdir)) == [(1, 1, "s"), (2, 5, "sync"), (3, 5, "sync")]
+    snapshot_full(spark.createDataFrame([(7, 1, "full")], KNV), workdir)  # replaces what was there
+    apply_batch(spark.createDataFrame([(8, 1, "s")], KNV), 1, workdir, ["k"], "n", 8)  # other buckets
+    sync_run(spark.createDataFrame([(7, 2, "sync")], KNV), workdir, ["k"])  # and others again
+    assert _rows(read_synced(spark, workdir, 8)) == [(7, 2, "sync"), (8, 1, "s")]
+    apply_batch(spark.createDataFrame([(8, 1, "late replay")], KNV), 1, workdir, ["k"], "n", 8)
+    assert _rows(read_snapshot(spark, workdir)) == [(7, 2, "sync"), (8, 1, "s")]
+
+
+def test_a_fresh_checkpoint_is_another_stream(spark, workdir):
+    def run(name, rows):
+        spark.createDataFrame(rows, KNV).write.parquet(f"{workdir}/{name}")
+        stream = spark.readStream.schema(KNV).parquet(f"{workdir}/{name}")
+        sync_stream(stream, f"{workdir}/t", ["k"], "n", f"{workdir}/ck-{name}", buckets=4).awaitTermination()
+
+    run("a", [(1, 1, "a"), (2, 1, "a")])
+    run("b", [(2, 2, "b"), (3, 1, "b")])
+    assert _rows(read_snapshot(spark, f"{workdir}/t")) == [(1, 1, "a"), (2, 2, "b"), (3, 1, "b")]
+
+
+def test_a_bucket_is_written_by_many_tasks(spark, workdir):
+    from tablevault.sources import fs
+
+    big = spark.range(2_000_000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("k"),  # a third without a key
+                                        F.lit(1).cast("long").alias("n"), F.col("id").cast("string").alias("v"))
+    apply_batch(big, 0, workdir, ["k"], "n", buckets=16)
+    files = [f for d in fs.list_dirs(spark, f"{workdir}/v=0") for f in fs.list_files(spark, f"{workdir}/v=0/{d}")]
+    assert len(files) > 16
+    rows = [r["count"] for r in spark.read.parquet(*files).groupBy(F.input_file_name()).count().collect()]
+    assert sum(rows) == 2_000_000 and max(rows) <= 200_000
