@@ -20,6 +20,7 @@ from tablevault.plans.fixtures import with_fixtures
 from tablevault.session import new_work_dir
 from tablevault.sources import fs
 from tablevault.sources.snapshot import (
+    copy_steps,
     read_snapshot,
     read_tolerant,
     snapshot_full,
@@ -361,18 +362,40 @@ def q_snapshot_skipped(spark, sf):
     damaged_copy(spark, sf, src)
     schema = _with_part(table(spark, sf, "orders").schema)
     _rows, skipped = read_tolerant(spark, src, schema)
-    flagged = (file_listing(spark, src).select("path")
+    flagged = (file_listing(spark, src).select(F.regexp_replace("path", "^file:/+", "file:/").alias("path"))
                .join(skipped.select("path", F.lit(True).alias("hit")), on="path", how="left"))
     folder = F.regexp_extract(F.col("path"), r"/part=(\d+)/", 1).cast("int")
     return flagged.groupBy(folder.alias("part")).agg(
         F.max(F.coalesce(F.col("hit"), F.lit(False))).alias("skipped"))
 
 
+def q_snapshot_partial(spark, sf):
+    """``orders`` in three folders; in one of them data pages are damaged, the footers
+    are whole. Rows by folder that were copied or reported lost, whether any were
+    lost, and how a run that copies this folder ends."""
+    work = new_work_dir(spark, "snapshot_partial")
+    src = f"{work}/source 100%"
+    o = table(spark, sf, "orders")
+    o.withColumn("part", F.pmod(F.col("o_orderkey"), F.lit(3))).write.partitionBy("part").parquet(src)
+    for f in fs.list_files(spark, f"{src}/part=0"):
+        data = fs.read_bytes(spark, f)
+        fs.overwrite_bytes(spark, f, data[:4] + bytes(max(0, len(data) // 2 - 4)) + data[len(data) // 2:])
+    v, skipped = snapshot_tolerant(spark, src, f"{work}/target", schema=_with_part(o.schema))
+    folder = F.regexp_extract(F.col("path"), r"/part=(\d+)/", 1).cast("int")
+    copied = read_snapshot(spark, f"{work}/target", v).groupBy("part").agg(F.count("*").alias("n"))
+    lost = skipped.groupBy(folder.alias("part")).agg(F.sum("lost").alias("n"))
+    rows = copied.unionByName(lost).groupBy("part").agg(F.sum("n").cast("long").alias("rows"))
+    files = file_listing(spark, src).select(F.regexp_replace("path", "^file:/+", "file:/").alias("path"))
+    ends = op.run_outcome(copy_steps(skipped, files, folder)).select(F.col("run_id").alias("part"), "exit_code")
+    return rows.join(ends, "part").select("part", "rows", (F.col("exit_code") > 0).alias("damaged"), "exit_code")
+
+
 QUERIES: dict[str, Query] = {
     "plan_size": q_plan_size,
     "snapshot_full": q_snapshot_full,
     "snapshot_tolerant": q_snapshot_tolerant,
     "snapshot_skipped": q_snapshot_skipped,
+    "snapshot_partial": q_snapshot_partial,
     "sync_diff": q_sync_diff,
     "sync_apply": q_sync_apply,
     "sync_report": q_sync_report,
@@ -487,6 +510,10 @@ ORACLE_SQL: dict[str, str] = {
     "snapshot_skipped": """
         select cast(o_orderkey % 3 as int) as part, bool_or(o_orderkey % 3 = 0) as skipped
         from orders group by 1""",
+    "snapshot_partial": """
+        select cast(o_orderkey % 3 as int) as part, count(*) as rows, bool_or(o_orderkey % 3 = 0) as damaged,
+               cast(max(case when o_orderkey % 3 = 0 then 1 else 0 end) as int) as exit_code
+        from orders group by 1""",
     "sync_diff": with_fixtures(_DIFF_SQL, "target_orders"),
     "sync_apply": with_fixtures("""
         select * from orders

@@ -68,18 +68,21 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
-def read_text(spark: SparkSession, path: str) -> str | None:
-    """Content of a small file, None if it does not exist."""
+def read_bytes(spark: SparkSession, path: str) -> bytes:
+    """Content of a small file."""
     fs, p = _fs_and_path(spark, path)
-    if not fs.exists(p):
-        return None
     stream = fs.open(p)
     try:
-        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
     finally:
         stream.close()
 
 
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """Content of a small text file, None if it does not exist."""
+    return read_bytes(spark, path).decode() if exists(spark, path) else None
+
+
 def numbers(spark: SparkSession, base: str) -> list[int]:
     """All ``v=N`` below ``base``, committed or not, ascending: one listing."""
     return sorted(int(n[2:]) for n in list_dirs(spark, base) if n.startswith("v=") and n[2:].isdigit())

@@ -19,12 +19,11 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tablevault.functions.columns import any_null
 from tablevault.operators.sync import null_key_leftovers, sync_apply
 from tablevault.sources import fs
-from tablevault.sources.tables import file_listing
 
 BUCKET = "_tv_bucket"
 MANIFEST = "_manifest.json"
@@ -90,7 +89,8 @@ def read_rows(spark: SparkSession, target: str, state: State, only: Sequence[int
         parts.append(rows)
     if not parts:
         return None
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
+    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
+    return rows.drop(SOURCE_FILE)
 
 
 def next_version(spark: SparkSession, target: str, first: int = 1) -> int:
@@ -225,36 +225,77 @@ def sync_run(src: DataFrame, target: str, keys, codec: str = "zstd", buckets: in
     return version
 
 
-def read_tolerant(spark: SparkSession, path: str, schema: StructType | None = None,
-                  fmt: str = "parquet") -> tuple[DataFrame, DataFrame]:
-    """Read what is readable below ``path`` and list what was skipped.
-
-    Returns ``(rows, skipped)``: ``rows`` skips unreadable or vanished files
-    (``ignoreCorruptFiles`` / ``ignoreMissingFiles``); ``skipped`` holds the
-    files (``path, length``) that gave no row - the file listing, which never
-    reads file contents, anti-joined with the distinct source file of the
-    rows read. A readable file without rows is listed there too.
-    """
+SOURCE_FILE = "_tv_file"
+
+
+def plain_file(path: Column) -> Column:
+    """A file's path in one spelling: metadata paths are URL-encoded and local ones
+    may begin with ``file:///``."""
+    decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(decoded, "^file:/+", "file:/")
+
+
+def _reader(spark: SparkSession, path: str, schema: StructType | None, fmt: str, recursive: bool) -> DataFrame:
     reader = (spark.read.format(fmt)
               .option("ignoreCorruptFiles", "true")
               .option("ignoreMissingFiles", "true")
-              .option("recursiveFileLookup", "false"))
-    if schema is not None:
-        reader = reader.schema(schema)
-    rows = reader.load(path)
-    seen = rows.select(F.col("_metadata.file_path").alias("path")).distinct()
-    listing = file_listing(spark, path).select("path", "length")
-    skipped = listing.join(seen, on="path", how="left_anti")
-    return rows, skipped
+              .option("recursiveFileLookup", str(recursive).lower()))
+    return (reader.schema(schema) if schema is not None else reader).load(path)
+
+
+def _losses(spark: SparkSession, path: str, rows: DataFrame, copied: DataFrame, recursive: bool) -> DataFrame:
+    """Files not read whole: ``path``, ``length``, ``rows`` (by the file's footer, null if
+    that is unreadable or counts none), ``copied`` and ``lost`` (null like ``rows``)."""
+    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(path)
+               .select(F.regexp_replace("path", "^file:/+", "file:/").alias("path"), "length"))
+    # no column is read, so the counts come from the footers
+    said = rows.select(plain_file(F.col("_metadata.file_path")).alias("path")).groupBy("path").agg(F.count("*").alias("rows"))
+    both = listing.join(said, "path", "left").join(copied, "path", "left").withColumn("copied", F.coalesce("copied", F.lit(0)))
+    return both.where(F.col("rows").isNull() | (F.col("copied") < F.col("rows"))).withColumn(
+        "lost", F.col("rows") - F.col("copied")).select("path", "length", "rows", "copied", "lost")
+
+
+def read_tolerant(spark: SparkSession, path: str, schema: StructType | None = None,
+                  fmt: str = "parquet", recursive: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Read what is readable below ``path`` and list what was not.
+
+    Returns ``(rows, skipped)``: ``rows`` skips unreadable or vanished files, and
+    the rest of a file from its first unreadable page; ``skipped`` holds the files
+    with the rows they should have, gave and lost (see ``_losses``), found by
+    reading all columns again. A readable file without rows is listed there too.
+    Files in plain sub-folders are read and listed only with ``recursive``.
+    """
+    rows = _reader(spark, path, schema, fmt, recursive)
+    whole = F.xxhash64(*[F.col(c) for c in rows.columns])  # keeps every column in the scan
+    copied = rows.select(plain_file(F.col("_metadata.file_path")).alias("path"), whole.alias("h")).groupBy("path").agg(
+        (F.count_if(F.col("h") > 0) + F.count_if(F.col("h") <= 0)).alias("copied"))
+    return rows, _losses(spark, path, rows, copied, recursive)
 
 
 def snapshot_tolerant(spark: SparkSession, path: str, target: str,
                       schema: StructType | None = None, codec: str = "zstd",
-                      drop_cols: tuple[str, ...] = ()) -> tuple[int, DataFrame]:
+                      drop_cols: tuple[str, ...] = (), recursive: bool = False) -> tuple[int, DataFrame]:
     """Copy the readable part of ``path`` to a new snapshot version and
-    return ``(version, skipped)``."""
-    rows, skipped = read_tolerant(spark, path, schema)
-    if drop_cols:
-        rows = rows.drop(*drop_cols)
-    version = snapshot_full(rows, target, codec)
-    return version, skipped
+    return ``(version, skipped)``.
+
+    The copy carries each row's file, so the rows that were copied are counted from
+    the copy itself; readers do not see that column. The report is written
+    beside the version at once and describes this copy."""
+    rows = _reader(spark, path, schema, "parquet", recursive)
+    named = rows.select(*[c for c in rows.columns if c not in drop_cols],
+                        plain_file(F.col("_metadata.file_path")).alias(SOURCE_FILE))
+    version = snapshot_full(named, target, codec)
+    copied = spark.read.schema(StructType([StructField(SOURCE_FILE, StringType())])).parquet(
+        version_path(target, version)).groupBy(F.col(SOURCE_FILE).alias("path")).agg(F.count("*").alias("copied"))
+    report = f"{target.rstrip('/')}/_reports/v={version}"
+    losses = _losses(spark, path, rows, copied, recursive)
+    losses.write.parquet(report)
+    return version, spark.read.schema(losses.schema).parquet(report)
+
+
+def copy_steps(skipped: DataFrame, files: DataFrame, run: Column) -> DataFrame:
+    """Steps for ``run_outcome``: one per file of ``files`` (``path``), with return code
+    1 where the copy left rows out, so that a partial copy does not end as a success."""
+    bad = skipped.select("path", F.lit(1).alias("_bad"))
+    steps = files.select("path").join(bad, "path", "left")
+    return steps.select(run.alias("run_id"), F.xxhash64("path").alias("step_no"), F.coalesce("_bad", F.lit(0)).alias("rc"))

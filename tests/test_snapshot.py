@@ -119,3 +119,36 @@ def test_changed_rows_compares_whole_rows_through_hashes(spark):
                                  (None, "n", "n")], schema)
     got = sorted(map(tuple, changed_rows(src, tgt, ["k"]).collect()), key=str)
     assert got == sorted([(1, None, "x"), (3, "z", None), (4, "q", "q"), (None, "n", "n")], key=str)
+
+
+def _damage(spark, path):
+    data = fs.read_bytes(spark, path)
+    fs.overwrite_bytes(spark, path, data[:4] + bytes(len(data) // 2) + data[len(data) // 2 + 4:])
+
+
+def test_partly_damaged_files_are_reported_with_the_rows_lost(spark, workdir):
+    src = f"{workdir}/a b 100%+c"  # a space, a percent sign and a plus
+    for part in range(3):
+        spark.range(part * 50_000, (part + 1) * 50_000, 1, 1).selectExpr("id", "uuid() as u").write.parquet(f"{src}/part={part}")
+    whole = [f for part in (0, 1) for f in fs.list_files(spark, f"{src}/part={part}")]
+    (bad,) = fs.list_files(spark, f"{src}/part=2")
+    rows, skipped = read_tolerant(spark, src)
+    assert rows.count() == 150_000 and skipped.count() == 0 and len(whole) == 2
+    _damage(spark, bad)
+    v, skipped = snapshot_tolerant(spark, src, f"{workdir}/t", drop_cols=("part",))
+    copied = read_snapshot(spark, f"{workdir}/t", v)
+    assert copied.columns == ["id", "u"]
+    (r,) = skipped.collect()
+    assert r["path"].endswith(bad.rsplit("/", 1)[1]) and r["rows"] == 50_000 and r["lost"] > 0
+    assert copied.count() + r["lost"] == 150_000
+    assert [x["lost"] for x in read_tolerant(spark, src)[1].collect()] == [r["lost"]]
+
+
+def test_files_are_listed_as_they_are_read(spark, workdir):
+    for d in ("x", "y/z"):
+        spark.range(10).write.parquet(f"{workdir}/in/{d}")
+    schema = spark.range(1).schema
+    rows, skipped = read_tolerant(spark, f"{workdir}/in", schema)
+    assert rows.count() == 0 and skipped.count() == 0
+    rows, skipped = read_tolerant(spark, f"{workdir}/in", schema, recursive=True)
+    assert rows.count() == 20 and skipped.count() == 0
