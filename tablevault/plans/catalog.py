@@ -304,6 +304,23 @@ def q_wait_stream(spark, sf):
     return wait_stream_result(spark, out, "instance")
 
 
+def q_wait_stream_late(spark, sf):
+    """The same reports arriving far out of time order, with nothing kept between batches."""
+    work = new_work_dir(spark, "wait_stream_late")
+    st = fx.instance_states(spark, sf).withColumn("arrival", F.pmod(F.col("event_id") * 7919, F.lit(10007)))
+    schema = _with_part(st.schema)
+    out = f"{work}/updates"
+    stream_spark = _stream_session(spark)
+
+    def run():
+        src = stream_spark.readStream.schema(schema).parquet(f"{work}/in").drop("part", "arrival")
+        wait_stream(src, "instance", "ts", "state", K.TERMINATED, out, f"{work}/checkpoint", keep_state=False,
+                    compact_every=3).awaitTermination()
+
+    _drop_in_ranges(spark, st, "arrival", STREAM_DROPS, f"{work}/in", run)
+    return wait_stream_result(spark, out, "instance")
+
+
 def q_route_plan(spark, sf):
     return op.route_plan(fx.requests(spark, sf))
 
@@ -428,6 +445,7 @@ QUERIES: dict[str, Query] = {
     "new_entries": q_new_entries,
     "wait_profile": q_wait_profile,
     "wait_stream": q_wait_stream,
+    "wait_stream_late": q_wait_stream_late,
     "route_plan": q_route_plan,
     "route_prepare": q_route_prepare,
     "route_state": q_route_state,
@@ -655,6 +673,7 @@ ORACLE_SQL: dict[str, str] = {
         select host, minor from devices where snapshot = 1""", "devices"),
     "wait_profile": with_fixtures(_WAIT_SQL, "instance_states"),
     "wait_stream": with_fixtures(_WAIT_SQL, "instance_states"),
+    "wait_stream_late": with_fixtures(_WAIT_SQL, "instance_states"),
     "route_plan": with_fixtures(_plan_sql(), "requests"),
     "route_prepare": with_fixtures(f"""
         select r.request_id, r.method, r.volume_id, r.source_id, v.fs,

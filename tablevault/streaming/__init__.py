@@ -9,12 +9,11 @@ from tablevault.streaming.versioned_sync import (
     sync_stream,
 )
 from tablevault.streaming.state_wait import (
-    IdleEvictingWait,
+    compact_updates,
     wait_stream,
     wait_stream_result,
     wait_updates,
-    wait_updates_evicting,
 )
 
-__all__ = ["apply_batch", "bucket_versions", "read_bucketed", "read_synced", "superseded_versions", "sync_stream", "wait_stream", "wait_stream_result", "wait_updates",
-           "wait_updates_evicting", "IdleEvictingWait"]
+__all__ = ["apply_batch", "bucket_versions", "compact_updates", "read_bucketed", "read_synced", "superseded_versions",
+           "sync_stream", "wait_stream", "wait_stream_result", "wait_updates"]

@@ -1,27 +1,34 @@
 """Time-to-state over a live stream of state reports.
 
-A streaming ``groupBy`` keeps, per key, the first time seen and the first
-time the target state was seen (RocksDB state store, one small row per key).
-With ``idle_timeout_ms`` a stateful processor keeps the same figures but
-drops a key's state once it has been idle, so state is bounded by the active
-keys (see ``IdleEvictingWait``).
-In update mode every micro-batch emits the keys it changed; the sink writes
-them as ``batch=<id>`` (a replay rewrites its own folder). Both figures only
-ever decrease, so the final answer per key is the minimum over everything
-emitted, which equals the batch ``wait_profile``. Late events are accepted
-and can lower the first-seen time.
+Two forms, with the same answer as the batch ``wait_profile`` whatever order the
+events arrive in:
+
+* with state (the default): a streaming ``groupBy`` keeps, per key, the first time
+  seen and the first time the target state was seen (RocksDB state store, one
+  small row per key ever seen) and emits the keys each micro-batch changed;
+* without (``keep_state=False``): every micro-batch emits the two minima of its own
+  events. Nothing is kept between batches, so there is nothing to evict and no
+  event is too late.
+
+Both figures are minima, so the answer per key is the minimum over everything
+emitted. Batches are written as ``batch=<id>`` (a replay rewrites its own folder);
+every ``compact_every`` batches what lies there is folded into one folder, so a
+reader meets a bounded number of them.
 """
 
 from __future__ import annotations
 
-import pandas as pd
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType, TimestampType
+from pyspark.sql.streaming import StreamingQuery
 
 from tablevault.functions import constants as K
 from tablevault.operators.lifecycle import wait_columns
+from tablevault.sources import fs
+
+COMPACT_EVERY = 16
 
 
 def wait_updates(stream: DataFrame, key: str, ts: str, state: str, target: str,
@@ -35,100 +42,40 @@ def wait_updates(stream: DataFrame, key: str, ts: str, state: str, target: str,
         F.min(F.when(F.col(state) == F.lit(target), F.col(ts))).alias("reached_at"))
 
 
-_PROFILE = StructType([StructField("started", LongType()), StructField("reached", LongType()),
-                       StructField("last", LongType())])
-
-
-def _micros(s: pd.Series) -> pd.Series:
-    if getattr(s.dt, "tz", None) is not None:
-        s = s.dt.tz_convert("UTC").dt.tz_localize(None)
-    return s.astype("datetime64[us]").astype("int64")
-
-
-class IdleEvictingWait(StatefulProcessor):
-    """Per key: first time seen, first time in the target state, last event
-    time. Every input emits the current profile; an event-time timer clears
-    the state once the watermark is ``idle_ms`` past the key's last event.
-
-    Clearing loses nothing: the emitted profiles are folded with ``min`` in
-    ``wait_stream_result``, so a key that comes back starts a new profile
-    whose figures are never below the ones already emitted.
-    """
-
-    def __init__(self, key: str, ts: str, state: str, target: str, idle_ms: int):
-        self.key, self.ts, self.state, self.target, self.idle_ms = key, ts, state, target, idle_ms
-
-    def init(self, handle) -> None:
-        self.handle = handle
-        self.profile = handle.getValueState("profile", _PROFILE)
-
-    def handleInputRows(self, key, rows, timerValues):
-        started = reached = last = None
-        if self.profile.exists():
-            started, reached, last = self.profile.get()
-        old_timer = None if last is None else last // 1000 + self.idle_ms
-        for pdf in rows:
-            us = _micros(pdf[self.ts])
-            lo, hi = int(us.min()), int(us.max())
-            started = lo if started is None else min(started, lo)
-            last = hi if last is None else max(last, hi)
-            hit = us[pdf[self.state] == self.target]
-            if len(hit):
-                first = int(hit.min())
-                reached = first if reached is None else min(reached, first)
-        self.profile.update((started, reached, last))
-        new_timer = last // 1000 + self.idle_ms
-        if old_timer != new_timer:  # the old timer's time is known from the state: no listing
-            if old_timer is not None:
-                self.handle.deleteTimer(old_timer)
-            self.handle.registerTimer(new_timer)
-        yield pd.DataFrame({
-            self.key: [key[0]],
-            "started": [pd.to_datetime(started, unit="us")],
-            "reached_at": [pd.to_datetime(reached, unit="us") if reached is not None else pd.NaT],
-        })
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        self.profile.clear()
-        return iter([])
-
-    def close(self) -> None:
-        pass
-
-
-def wait_updates_evicting(stream: DataFrame, key: str, ts: str, state: str, target: str,
-                          watermark: str, idle_timeout_ms: int) -> DataFrame:
-    """Like ``wait_updates`` but with state bounded to active keys
-    (``transformWithStateInPandas``, RocksDB state store, event-time timers).
-    Slower per key than the built-in aggregation: every state access goes
-    from the Python worker to the JVM."""
-    provider = stream.sparkSession.conf.get("spark.sql.streaming.stateStore.providerClass", "") or ""
-    if "RocksDB" not in provider:
-        raise ValueError("the evicting wait profile needs spark.sql.streaming.stateStore.providerClass "
-                         "set to the RocksDB state store provider")
-    s = stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark)
-    out = StructType([StructField(key, s.schema[key].dataType), StructField("started", TimestampType()),
-                      StructField("reached_at", TimestampType())])
-    return s.groupBy(key).transformWithStateInPandas(
-        IdleEvictingWait(key, ts, state, target, idle_timeout_ms), out, "Update", "EventTime")
+def _folders(spark: SparkSession, out_dir: str) -> list[str]:
+    base = out_dir.rstrip("/")
+    names = [n for n in fs.list_dirs(spark, base) if n.startswith(("batch=", "folded="))]
+    return [f"{base}/{n}" for n in names if fs.exists(spark, f"{base}/{n}/_SUCCESS")]
+
+
+def _fold(updates: DataFrame, key: str) -> DataFrame:
+    return updates.groupBy(key).agg(F.min("started").alias("started"), F.min("reached_at").alias("reached_at"))
+
+
+def compact_updates(spark: SparkSession, out_dir: str, key: str) -> None:
+    """Fold all emitted updates into one folder. The old ones go once it is
+    committed; until then, or if some stay, reading both gives the same minima."""
+    old = _folders(spark, out_dir)
+    if len(old) > 1:
+        new = f"{out_dir.rstrip('/')}/folded={uuid.uuid4().hex}"
+        _fold(spark.read.parquet(*old), key).write.parquet(new)
+        for path in old:
+            fs.delete(spark, path)
 
 
 def wait_stream(stream: DataFrame, key: str, ts: str, state: str, target: str, out_dir: str,
-                checkpoint: str, watermark: str | None = None,
-                available_now: bool = True, idle_timeout_ms: int | None = None) -> StreamingQuery:
-    """Start the wait profile stream. With ``idle_timeout_ms`` the state of a
-    key is dropped once it has been idle that long in event time (needs the
-    RocksDB state store; the watermark defaults to ``0 seconds``)."""
-    if idle_timeout_ms is None:
-        updates = wait_updates(stream, key, ts, state, target, watermark)
-    else:
-        updates = wait_updates_evicting(stream, key, ts, state, target, watermark or "0 seconds",
-                                        idle_timeout_ms)
+                checkpoint: str, watermark: str | None = None, available_now: bool = True,
+                keep_state: bool = True, compact_every: int = COMPACT_EVERY) -> StreamingQuery:
+    """Start the wait profile stream; see above for ``keep_state``."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/batch={batch_id}")
+        out = batch if keep_state else wait_updates(batch, key, ts, state, target)
+        out.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/batch={batch_id}")
+        if (batch_id + 1) % compact_every == 0:
+            compact_updates(batch.sparkSession, out_dir, key)
 
-    writer = (updates.writeStream.outputMode("update").foreachBatch(sink)
+    updates = wait_updates(stream, key, ts, state, target, watermark) if keep_state else stream
+    writer = (updates.writeStream.outputMode("update" if keep_state else "append").foreachBatch(sink)
               .option("checkpointLocation", checkpoint))
     if available_now:
         writer = writer.trigger(availableNow=True)
@@ -138,7 +85,6 @@ def wait_stream(stream: DataFrame, key: str, ts: str, state: str, target: str, o
 def wait_stream_result(spark: SparkSession, out_dir: str, key: str,
                        poll_s: int = K.POLL_INTERVAL_S) -> DataFrame:
     """Fold the emitted updates into the final profile per key."""
-    u = spark.read.parquet(out_dir)
-    g = u.groupBy(key).agg(F.min("started").alias("started"), F.min("reached_at").alias("reached_at"))
+    g = _fold(spark.read.parquet(*_folders(spark, out_dir)), key)
     return g.select(key, "started", "reached_at",
                     *wait_columns(F.col("started"), F.col("reached_at"), poll_s))

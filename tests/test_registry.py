@@ -1,6 +1,7 @@
 import duckdb
 
 import __spark_entry__ as E
+from tablevault.plans import catalog
 from tablevault.sources.tables import TABLES
 from tools.check_oracle import rows_of
 from tests.conftest import SF_SMALL
@@ -14,8 +15,9 @@ TYPE_NAMES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) - set(E.oracle_sql()) <= NO_ORACLE
+    assert set(catalog.queries()) - set(catalog.oracle_sql()) <= NO_ORACLE
     assert set(E.oracle_sql()) <= set(E.queries())
+    assert set(catalog.queries()) <= set(E.queries())
 
 
 def test_entry_runs(spark):
@@ -28,9 +30,9 @@ def test_all_queries_match_oracle_on_small_data(spark):
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"create view {t} as select * from read_parquet('{SF_SMALL}/{t}.parquet')")
-    sqls = E.oracle_sql()
+    sqls = catalog.oracle_sql()
     failed = []
-    for name, fn in E.queries().items():
+    for name, fn in catalog.queries().items():
         df = fn(spark, SF_SMALL)
         srows = [tuple(r) for r in df.collect()]
         if name not in sqls:
