@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tablevault.llm.common import WORD_PATTERN, written
 
-CORE = 0.75
+CORE = 0.5  # nearly half of a group may be outliers
 STEPS = 4
 MIN_GROUP = 20
 UNIT = 1024
@@ -36,7 +36,7 @@ VALUES = ("x0", "x1", "x2", "x3")
 # of repeated lines, share of repeated words.
 RIDGE = (0.06, 0.12, 0.12, 0.12)
 # Scatter of the core is too small by CORE / P(chi2(6) <= chi2 quantile CORE of 4).
-CONSISTENCY = 1.485
+CONSISTENCY = 2.109
 CUTOFF = 48.0  # a chi-square value with 4 degrees of freedom is above it once in 10**9
 
 
