@@ -89,6 +89,55 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_near_dedup": r"""
+        with recursive w as (
+          select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[^\x20\x09-\x0D]+') as l from documents),
+        s as (select doc_id, list_distinct(case when len(l) = 0 then [] when len(l) < 5 then [array_to_string(l, ' ')]
+                     else list_transform(range(1, len(l) - 3), lambda i: array_to_string(l[i:i + 4], ' ')) end) as g from w),
+        n as (select doc_id, len(g)::bigint as n from s),
+        u as (select doc_id, unnest(g) as g from s),
+        c as (select a.doc_id as a, b.doc_id as b, count(*) as k from u a join u b on a.g = b.g and a.doc_id <> b.doc_id group by 1, 2),
+        e as (select a, b from c join n x on x.doc_id = a join n y on y.doc_id = b where 100 * k >= 75 * (x.n + y.n - k)),
+        r as (select doc_id as a, doc_id as b from documents union select r.a, e.b from r join e on e.a = r.b),
+        m as (select a as doc_id, min(b) as component_id from r group by 1),
+        k as (select min(doc_id) as class_id, g from (select doc_id, list_sort(g) as g from s where len(g) > 0) group by g)
+        select n.doc_id, n.n as n_shingles, coalesce(k.class_id, n.doc_id) as class_id, m.component_id,
+               n.doc_id = m.component_id as kept
+        from n join m on m.doc_id = n.doc_id join s on s.doc_id = n.doc_id left join k on k.g = list_sort(s.g)""",
+    "op6_decontaminate": r"""
+        with d as (
+          select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as l from documents),
+        b as (
+          select coalesce(item_id::varchar, '') as item,
+                 regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as l from benchmark),
+        q as (select distinct item, size, array_to_string(l[i:i + size - 1], ' ') as k
+              from (select item, l, least(len(l), 10) as size, unnest(range(1, greatest(len(l) - 9, 1) + 1)) as i from b where len(l) > 0)),
+        z as (select distinct size from q),
+        p as (select doc_id, size, i, array_to_string(l[i:i + size - 1], ' ') as k
+              from (select doc_id, l, size, unnest(range(1, len(l) - size + 2)) as i from d, z)),
+        h as (select doc_id, i, p.size, item from p join q on q.size = p.size and q.k = p.k),
+        c as (select doc_id, count(distinct j) as n from (select doc_id, unnest(range(i, i + size)) as j from h) group by 1),
+        t as (select doc_id, count(*) as n, string_agg(item, ',' order by item) as items from (select distinct doc_id, item from h) group by 1)
+        select d.doc_id, len(l)::bigint as n_words, coalesce(c.n, 0)::bigint as n_hit, coalesce(t.n, 0)::bigint as n_items,
+               sha256(coalesce(t.items, '')) as items_sha256, coalesce(c.n, 0) > 0 as contaminated
+        from d left join c on c.doc_id = d.doc_id left join t on t.doc_id = d.doc_id""",
+    "op10_suffix_dedup": """
+        with d as (select doc_id, hex(encode(coalesce(text, ''))) as h, strlen(coalesce(text, ''))::bigint as n from documents),
+        w as (select doc_id, i, md5(substr(h, 2 * i + 1, 200)) as k from (select doc_id, h, unnest(range(0, n - 99)) as i from d)),
+        r as (select doc_id, i from (select doc_id, i, row_number() over (partition by k order by doc_id, i) as rn from w) where rn > 1),
+        g as (select doc_id, i, sum(new) over (partition by doc_id order by i) as run
+              from (select doc_id, i, case when i <= lag(i) over (partition by doc_id order by i) + 100 then 0 else 1 end as new from r)),
+        s as (select doc_id, min(i) as lo, max(i) + 100 as hi from g group by doc_id, run),
+        p as (select doc_id, lo, hi, coalesce(lag(hi) over (partition by doc_id order by lo), 0) as start from s),
+        a as (select p.doc_id, sum(hi - lo)::bigint as n_removed, count(*) as n_spans, max(hi) as hi,
+                     string_agg(substr(h, 2 * start + 1, 2 * (lo - start)), '' order by lo) as kept
+              from p join d on d.doc_id = p.doc_id group by p.doc_id)
+        select d.doc_id, n as n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0)::bigint as n_spans,
+               sha256(unhex(case when a.doc_id is null then h else concat(kept, substr(h, 2 * hi + 1)) end)) as kept_sha256
+        from d left join a on a.doc_id = d.doc_id""",
     "op8_warc": """
         with p as (select page_id, strlen(coalesce(html, ''))::bigint as payload_bytes,
                           sha256(coalesce(html, '')) as payload_digest from pages),
