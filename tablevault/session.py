@@ -81,9 +81,25 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_MADE: list[str] = []
+
+
 def new_work_dir(spark: SparkSession, label: str) -> str:
     """A fresh, uniquely named folder below the shared root."""
-    return f"{shared_root(spark)}/tablevault/{label}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_root(spark)}/tablevault/{label}-{uuid.uuid4().hex[:12]}"
+    _MADE.append(path)
+    return path
+
+
+def remove_work_dirs(spark: SparkSession) -> int:
+    """Delete the work folders this process has made; call it once the results that
+    read them have been written elsewhere. Returns how many there were."""
+    from tablevault.sources import fs
+
+    n = len(_MADE)
+    while _MADE:
+        fs.delete(spark, _MADE.pop())
+    return n
 
 
-__all__ = ["build_session", "shared_root", "new_work_dir", "DEFAULT_CONF"]
+__all__ = ["build_session", "shared_root", "new_work_dir", "remove_work_dirs", "DEFAULT_CONF"]

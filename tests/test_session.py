@@ -53,3 +53,14 @@ def test_local_session_without_a_folder_gets_one():
     s = _Session("local[2]")
     root = shared_root(s)
     assert root and s.sparkContext.set_to == root
+
+
+def test_work_folders_can_be_removed(spark, monkeypatch):
+    from tablevault import session
+    from tablevault.sources import fs
+
+    monkeypatch.setattr(session, "_MADE", [])
+    path = session.new_work_dir(spark, "gone")
+    spark.range(3).write.parquet(path)
+    assert session.remove_work_dirs(spark) == 1 and not fs.exists(spark, path)
+    assert session.remove_work_dirs(spark) == 0
