@@ -117,7 +117,7 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     mark = F.to_json(F.struct(F.col(id_col).alias("a"), F.col(source_col).alias("b"),
                               F.xxhash64(*docs.columns).alias("c"), F.length(text_col).alias("d")))
     times = placed(docs, id_col, text_col, source_col, mark=mark, **options).select(
-        F.explode("positions").alias("_time"), F.col("mark").alias("_mark"))
-    once = docs.withColumn("_of", mark).dropDuplicates(["_of"])  # equal rows are told apart by their times alone
-    return (once.join(times, F.col("_of") == F.col("_mark")).repartitionByRange("_time", id_col)
-            .sortWithinPartitions("_time", id_col).drop("_of", "_mark", "_time"))
+        F.explode("positions").alias("_tv_time"), F.col("mark").alias("_tv_mark"))
+    once = docs.withColumn("_tv_of", mark).dropDuplicates(["_tv_of"])  # equal rows are told apart by their times alone
+    return (once.join(times, F.col("_tv_of") == F.col("_tv_mark")).repartitionByRange("_tv_time", id_col)
+            .sortWithinPartitions("_tv_time", id_col).drop("_tv_of", "_tv_mark", "_tv_time"))

@@ -166,7 +166,7 @@ def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
     """The rows that pass, all columns as they were. Rows are told apart by id and text."""
     mark = F.struct(F.col(id_col).alias("a"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("b"))
     bad = quality(docs, id_col, text_col, more=(mark.alias("_mark"),), **options).where("not kept") \
-        .select(F.to_json("_mark").alias("_bad")).distinct()
-    return docs.join(bad, F.to_json(mark) == F.col("_bad"), "left_anti")
+        .select(F.to_json("_mark").alias("_tv_bad")).distinct()
+    return docs.join(bad, F.to_json(mark) == F.col("_tv_bad"), "left_anti")
 
 
