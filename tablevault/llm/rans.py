@@ -10,9 +10,9 @@ from __future__ import annotations
 
 import numpy as np
 
-LANES = 1024
-SCALE = 20  # frequencies sum to 2**SCALE
-CHECKPOINT_STEPS = 256
+LANES = 2048
+SCALE = 18  # frequencies sum to 2**SCALE
+CHECKPOINT_STEPS = 128
 _LOW = np.uint64(1 << 31)
 _32 = np.uint64(32)
 _SCALE = np.uint64(SCALE)
@@ -28,7 +28,7 @@ class Table:
         cum = np.concatenate([[0], np.cumsum(freqs)[:-1]]) if len(freqs) else np.zeros(0)
         self.freq, self.cum = np.zeros(top, np.uint64), np.zeros(top, np.uint64)
         self.freq[symbols], self.cum[symbols] = freqs, cum
-        self.of_slot = np.repeat(self.symbols, freqs)
+        self.of_slot = np.repeat(self.symbols if top > 1 << 16 else self.symbols.astype(np.uint16), freqs)
 
     @classmethod
     def count(cls, ids: np.ndarray) -> Table:

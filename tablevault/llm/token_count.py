@@ -1,7 +1,7 @@
 """Token counts of whole texts, huge ones by overlapping chunks.
 
 A text up to ``huge_chars`` characters is counted as the sum of its units
-between spaces and line feeds, each distinct unit encoded once per task while it is kept: the
+between spaces and line feeds, each distinct unit encoded once while it is kept: the
 tokenizer's own pre-tokenizer never joins what stands on both sides of white
 space, so no token crosses it.
 
@@ -17,20 +17,24 @@ besides the id and the text are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+import json
+import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablevault.llm.common import map_arrow
+from tablevault.llm.common import flat_text, map_arrow, slices, span_hashes, word_spans
 
 HUGE_CHARS = 32_768
 CHUNK_CHARS = 16_384
 OVERLAP_CHARS = 256
-KNOWN_UNITS = 500_000  # distinct units whose counts a task keeps
+KNOWN_UNITS = 500_000  # distinct units whose ids a process keeps
 
 _LOADED: dict[str, object] = {}
 
@@ -53,23 +57,33 @@ def load(path: str):
     return _LOADED[path]
 
 
-def whole_counts(tok, texts: list[str]) -> list[int]:
-    """Tokens of texts encoded whole."""
-    if hasattr(tok, "encode_batch_fast"):
-        return [len(e.ids) for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
-    return [len(ids) for ids in tok.encode(texts, num_threads=1)]
+# The normalizer and the split pattern for which ``Encoder`` may hand
+# plain words to the model alone; Latin letters without and with marks, and ASCII
+# marks that begin no special token and no contraction.
+_LOWER_STEPS = ["NFC", "Replace", "Lowercase"]
+_WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_PLAIN = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]*)([!-&(-/:;=>?@\[-`{}~]*)")
 
 
-def splits_at_blanks(path: str) -> bool:
-    """Whether the tokenizer's file says that no token crosses white space: its
-    pre-tokenizer drops white space, so both sides are encoded apart. Only then
-    are texts counted by units or spliced; other tokenizers encode whole texts."""
-    if not path.endswith(".json"):
-        return False
-    import json
+def _byte_letters() -> dict[int, str]:
+    """The letter a byte-level pre-tokenizer writes for each byte: itself if it is
+    printable in Latin-1, the next free one from 256 on otherwise."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
 
+
+def _spec(path: str) -> dict:
+    if not path.endswith(".json"):
+        return {}
     with open(path, encoding="utf-8") as f:
-        spec = json.load(f)
+        return json.load(f)
+
+
+def splits_at_blanks(spec: dict) -> bool:
+    """Whether a tokenizer's file says that no token crosses white space: its
+    pre-tokenizer drops white space, so both sides are encoded apart. Only then
+    are texts encoded by units or spliced; other tokenizers encode whole texts."""
     steps = spec.get("pre_tokenizer") or {}
     steps = steps.get("pretokenizers", [steps])
     return any(s.get("type") == "Split" and s.get("behavior") == "Removed" and s.get("invert") for s in steps) \
@@ -77,9 +91,95 @@ def splits_at_blanks(path: str) -> bool:
                     for t in spec.get("added_tokens", []))
 
 
-def units(text: str) -> list[str]:
-    """Pieces of a text between spaces and line feeds."""
-    return text.replace("\n", " ").split(" ")
+def lowers_and_splits_words(spec: dict) -> bool:
+    """Whether a run of ASCII letters, and a run of marks after it, are encoded as the
+    model encodes the lower-cased run: the normalizer only lower-cases it, and the
+    pre-tokenizer cuts between the two and maps their bytes to themselves."""
+    steps = [s.get("type") for s in (spec.get("normalizer") or {}).get("normalizers", [])]
+    pre = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    return (steps == _LOWER_STEPS and spec["model"].get("type", "BPE") == "BPE" and [s.get("type") for s in pre] == ["Split", "ByteLevel"]
+            and pre[0]["pattern"] == {"Regex": _WORD_SPLIT} and not pre[1]["add_prefix_space"] and not pre[1]["use_regex"])
+
+
+class Encoder:
+    """Token ids of texts.
+
+    A text is the sequence of its units between spaces and line feeds. Distinct
+    units, told apart by 64-bit hashes, are encoded once while they are kept, in
+    all tasks of a Python process; texts are then put together from their ids.
+    Tokenizers that join over blanks encode whole texts."""
+
+    _all: dict[str, Encoder] = {}  # by tokenizer file, for the life of the process
+
+    def __init__(self, path: str):
+        spec = _spec(path)
+        self.tok, self.cut, self.plain = load(path), splits_at_blanks(spec), None
+        if self.cut and lowers_and_splits_words(spec):
+            from tokenizers import Tokenizer
+
+            self.plain, self.letters = Tokenizer(self.tok.model), _byte_letters()
+        self._forget()
+
+    @classmethod
+    def of(cls, path: str) -> Encoder:
+        if path not in cls._all:
+            cls._all[path] = cls(path)
+        return cls._all[path]
+
+    def _forget(self) -> None:
+        self.slots: dict[int, int] = {}  # by hash
+        self.words: dict[str, bytes] = {"": b""}
+        self.ids, self.starts = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    @staticmethod
+    def _bytes(tok, texts: list[str]) -> list[bytes]:
+        if hasattr(tok, "encode_batch_fast"):
+            return [array("I", e.ids).tobytes() for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array("I", ids).tobytes() for ids in tok.encode(texts, num_threads=1)]
+
+    def of_units(self, new: list[str]) -> list[bytes]:
+        """Ids of units as little-endian 32-bit integers."""
+        if self.plain is None:
+            return self._bytes(self.tok, new)
+        found = [_PLAIN.fullmatch(u) for u in new]
+        cells = [(m[1].lower(), m[2]) if m else None for m in found]
+        words = [w for w in {w for c in cells if c for w in c} if w not in self.words]
+        shown = [w if w.isascii() else w.encode().decode("latin-1").translate(self.letters) for w in words]
+        self.words.update(zip(words, self._bytes(self.plain, shown)))
+        other = iter(self._bytes(self.tok, [u for u, c in zip(new, cells) if c is None]))
+        return [self.words[c[0]] + self.words[c[1]] if c else next(other) for c in cells]
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and the number of each; null is empty."""
+        if not self.cut:
+            coded = self._bytes(self.tok, pc.fill_null(texts, "").to_pylist())
+            return np.frombuffer(b"".join(coded), "<u4"), np.fromiter((len(c) // 4 for c in coded), np.int64, len(coded))
+        data, offsets = flat_text(texts)
+        begin, end, rows = word_spans((data != 32) & (data != 10), offsets)
+        if not len(begin):
+            return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
+        code, distinct = pd.factorize(span_hashes(data, begin, end))
+        if len(self.slots) > KNOWN_UNITS:
+            self._forget()
+        hashes = distinct.tolist()
+        new = [k for k, h in enumerate(hashes) if h not in self.slots]
+        if new:
+            first = np.empty(len(distinct), np.int64)
+            first[code[::-1]] = np.arange(len(code) - 1, -1, -1)  # where each stands first
+            at = first[new]
+            raw = data.tobytes()
+            coded = self.of_units([raw[a:b].decode() for a, b in zip(begin[at].tolist(), end[at].tolist())])
+            n = len(self.slots)
+            self.slots.update(zip((hashes[k] for k in new), range(n, n + len(new))))
+            sizes = np.fromiter((len(c) // 4 for c in coded), np.int64, len(coded))
+            self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(coded), "<u4")])
+            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+        slot = np.fromiter((self.slots[h] for h in hashes), np.int64, len(hashes))[code]
+        size = self.starts[slot + 1] - self.starts[slot]
+        ends = np.cumsum(size)
+        ids = self.ids[np.repeat(self.starts[slot] - (ends - size), size) + np.arange(ends[-1])]
+        counts = np.bincount(rows, size, minlength=len(texts)).astype(np.int64)
+        return ids, counts
 
 
 def chunked_count(tok, text: str, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS) -> int:
@@ -137,28 +237,19 @@ def count_tokens(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
     spec = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok, cut = load(tokenizer), splits_at_blanks(tokenizer)
-        known: dict[str, int] = {"": 0}
+        encode = Encoder.of(tokenizer)
         for batch in batches:
-            texts = pc.fill_null(batch.column("text"), "")
-            counts = []
-            for lo in range(0, batch.num_rows, 500):
-                part = texts.slice(lo, 500).to_pylist()
-                if not cut:
-                    counts += whole_counts(tok, part)
-                    continue
-                cells = [None if len(t) > huge_chars else units(t) for t in part]
-                if len(known) > KNOWN_UNITS:
-                    known = {"": 0}
-                new = list({u for c in cells if c for u in c} - known.keys())
-                known.update(zip(new, whole_counts(tok, new)))
-                counts += [chunked_count(tok, t, chunk_chars) if c is None else sum(map(known.__getitem__, c))
-                           for t, c in zip(part, cells)]
-            yield pa.record_batch([batch.column("id"), pc.cast(pc.binary_length(texts), pa.int64()),
-                                   pa.array(counts, pa.int64())], names=["id", "n_bytes", "n_tokens"])
+            for part in slices(batch, "text"):
+                texts = pc.fill_null(part.column("text"), "")
+                huge = pc.greater(pc.utf8_length(texts), huge_chars if encode.cut else 1 << 31)
+                counts = encode(pc.if_else(huge, "", texts))[1]
+                for k in np.flatnonzero(huge.to_numpy(zero_copy_only=False)).tolist():
+                    counts[k] = chunked_count(encode.tok, texts[k].as_py(), chunk_chars)
+                yield pa.record_batch([part.column("id"), pc.cast(pc.binary_length(texts), pa.int64()), pa.array(counts)],
+                                      names=["id", "n_bytes", "n_tokens"])
 
     out = map_arrow(spec, count, f"id {spec.schema['id'].dataType.simpleString()}, n_bytes long, n_tokens long")
     return out.withColumnRenamed("id", id_col)
 
 
-__all__ = ["count_tokens", "chunked_count", "units", "load", "splits_at_blanks"]
+__all__ = ["Encoder", "chunked_count", "count_tokens", "load", "splits_at_blanks"]

@@ -37,43 +37,17 @@ from pyspark.sql import functions as F
 
 from tablevault.llm import rans
 from tablevault.llm.common import file_system, free_shuffles, map_arrow, slices, written
-from tablevault.llm.token_count import KNOWN_UNITS, load, splits_at_blanks, units
+from tablevault.llm.token_count import Encoder
 from tablevault.session import new_work_dir
 
 END_ID = 2
 BLOCK_TOKENS = 1 << 19
-FILE_TOKENS = 1 << 24
+FILE_TOKENS = 1 << 23
+BLOCKS_PER_TASK = 8  # that a task reads
 MAGIC = b"RANSTOK1"
 HEAD = struct.Struct("<IIQ")
 
 
-class Encoder:
-    """Texts to token ids; distinct units between blanks are encoded once while
-    they are kept. Tokenizers that join over blanks encode whole texts."""
-
-    def __init__(self, path: str, end_id: int | None):
-        self.tok, self.cut = load(path), splits_at_blanks(path)
-        self.end = b"" if end_id is None else np.uint32(end_id).tobytes()
-        self.known: dict[str, bytes] = {"": b""}
-
-    def _raw(self, texts: list[str]) -> list[bytes]:
-        if hasattr(self.tok, "encode_batch_fast"):
-            return [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
-        return [np.array(ids, "<u4").tobytes() for ids in self.tok.encode(texts, num_threads=1)]
-
-    def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        if not self.cut:
-            coded = self._raw(texts)
-        else:
-            cells = [units(t) for t in texts]
-            if len(self.known) > KNOWN_UNITS:
-                self.known = {"": b""}
-            new = list({u for c in cells for u in c} - self.known.keys())
-            self.known.update(zip(new, self._raw(new)))
-            coded = [b"".join(map(self.known.__getitem__, c)) for c in cells]
-        return [np.frombuffer(c + self.end, "<u4") for c in coded]
-
-
 def _write_file(target: str, name: str, ids: list, arrays: list[np.ndarray]) -> list[dict]:
     """One file of whole documents; rows for the manifest, one per block."""
     fs, folder = file_system(target)
@@ -111,6 +85,7 @@ def write_tokens(docs: DataFrame, target: str, tokenizer: str, end_id: int | Non
     ``n_docs``, ``n_tokens`` and the place of the file's table."""
     spark = docs.sparkSession
     free_shuffles(spark)
+    end = np.array([] if end_id is None else [end_id], np.uint32)
     spec = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     ranges = spec.repartitionByRange("id").sortWithinPartitions("id", "text")
     schema = ("path string, part int, seq int, block int, offset long, length long, crc32 long, n_docs long, "
@@ -118,7 +93,7 @@ def write_tokens(docs: DataFrame, target: str, tokenizer: str, end_id: int | Non
     names = [f.strip().split(" ")[0] for f in schema.split(",")]
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part, attempt = Encoder(tokenizer, end_id), TaskContext.get().partitionId(), uuid.uuid4().hex
+        encode, part, attempt = Encoder.of(tokenizer), TaskContext.get().partitionId(), uuid.uuid4().hex
         fs, folder = file_system(f"{target}/files")
         fs.create_dir(folder, recursive=True)
         ids, arrays, held, seq = [], [], 0, 0
@@ -129,10 +104,11 @@ def write_tokens(docs: DataFrame, target: str, tokenizer: str, end_id: int | Non
 
         for batch in batches:
             for piece in slices(batch, "text"):
-                for k, array in enumerate(encode(piece.column("text").to_pylist())):
+                coded, counts = encode(piece.column("text"))
+                for k, ids_ in enumerate(np.split(coded, np.cumsum(counts)[:-1])):
                     ids.append(piece.column("id").slice(k, 1))
-                    arrays.append(array)
-                    held += len(array)
+                    arrays.append(np.concatenate([ids_, end]))
+                    held += len(arrays[-1])
                     if held >= FILE_TOKENS:
                         yield flush()
                         ids, arrays, held, seq = [], [], 0, seq + 1
@@ -186,7 +162,7 @@ def read_tokens(manifest: DataFrame, id_type: str = "bigint", with_ids: bool = T
     inside = W.partitionBy("part", "seq").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
     blocks = manifest.withColumn("before", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0))).join(files, ["part", "seq"])
     blocks = written(blocks.withColumn("start", F.col("base") + F.col("before")).drop("base", "before"), "blocks")
-    n = max(1, min(blocks.count(), 1 << 15))
+    n = max(1, min(-(-blocks.count() // BLOCKS_PER_TASK), 1 << 15))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         path, table = None, None
