@@ -22,8 +22,9 @@ from tablevault.session import new_work_dir
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 BLANK_PATTERN = r"[\x20\x09-\x0D]+"
 
-# Bytes of one slice of a batch that is worked on at once.
-SLICE_BYTES = 4 << 20
+# Bytes of a batch that a task receives, and of one slice that is worked on at once.
+BATCH_BYTES = 8 << 20
+SLICE_BYTES = 1 << 20
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -160,6 +161,9 @@ def ship_code(spark: SparkSession) -> None:
 
 
 def map_arrow(df: DataFrame, function, schema) -> DataFrame:
-    """``mapInArrow`` with this package at hand on the executors."""
-    ship_code(df.sparkSession)
+    """``mapInArrow`` with this package at hand on the executors, in batches of
+    bounded size, so that long texts do not pile up in a task."""
+    spark = df.sparkSession
+    ship_code(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return df.mapInArrow(function, schema)

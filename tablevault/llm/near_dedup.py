@@ -10,9 +10,11 @@ extremes, so sketches of parts can be merged.
    paired with the bucket's smallest one, never all with all.
 3. The joint likelihood of the registers and the set sizes estimates the overlap;
    pairs far below the threshold are dropped, the others confirmed on full sets.
-4. Confirmed links give components. Where a bucket still holds classes of
-   several components, pairs across components are estimated and confirmed too.
-5. Components are computed once more from all links.
+4. Confirmed links give components. Around a bucket's smallest class, those that
+   are not in its component are compared with all others there, block by block
+   of registers inside the tasks; only likely pairs across components come out.
+   In rounds, the likeliest few of each class are confirmed and components joined
+   before more of what still lies across is asked for, in the last round all.
 
 A text without words or null has no shingles and links with nothing; fewer words
 than a shingle make one shingle of all of them. Repeated rows are copies of each
@@ -37,8 +39,10 @@ SHINGLE_WORDS = 5
 THRESHOLD_PERCENT = 75
 BAND_ROWS, BANDS = 5, 48  # a pair at the threshold shares a band with 1 - 2e-6
 REGISTERS = BAND_ROWS * BANDS
-BASE, RATE, LIMIT = 1.001, 20.0, 65_535  # register values: floor(1 - log_BASE(x)), x with this rate
-SLACK = 0.17  # six standard deviations of the estimate at the threshold
+BASE, RATE, LIMIT = 1.15, 20.0, 255  # register values: floor(1 - log_BASE(x)), x with this rate, in one byte
+SLACK = 0.13  # four and a half standard deviations of the estimate at the threshold
+LEFT_BLOCK, RIGHT_BLOCK = 256, 4096  # classes of a group that are compared at once
+ROUNDS = (4, 64, None)  # likeliest pairs of a class and block that come out, at last all
 
 IS_WORD = np.ones(256, bool)
 IS_WORD[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
@@ -100,7 +104,7 @@ def sketches(values: np.ndarray, owner: np.ndarray, sizes: np.ndarray) -> np.nda
         todo = todo[~np.isfinite(smallest[todo]).all(axis=1)]
         smallest[todo] = np.inf
         factor *= 2
-    out = np.zeros(smallest.shape, np.uint16)
+    out = np.zeros(smallest.shape, np.uint8)
     full = sizes > 0
     out[full] = np.clip(np.floor(1 - np.log(smallest[full]) / np.log(BASE)), 0, LIMIT)
     return out
@@ -124,6 +128,15 @@ def likely_overlap(u: np.ndarray, v: np.ndarray, n_u: np.ndarray, n_v: np.ndarra
     return np.take_along_axis(j, gain.argmax(axis=1)[:, None], axis=1)[:, 0]
 
 
+def quick_overlap(more: np.ndarray, less: np.ndarray, n_u: float, n_v: np.ndarray) -> np.ndarray:
+    """The estimate in closed form, for a base near 1: the likelihood's derivative is
+    then a quadratic. Coarser bases make it a little larger, never much smaller."""
+    a, b = n_u / (n_u + n_v), n_v / (n_u + n_v)
+    same = REGISTERS - more - less
+    p, q, r = a * b * REGISTERS, same * (a * a + b * b) + b * b * more + a * a * less, same * a * b
+    return (q - np.sqrt(np.maximum(q * q - 4 * p * r, 0))) / (2 * p)
+
+
 def sketch_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``(id, n_shingles, set_a, set_b, registers)``; set_a and set_b are equal for
     equal sets."""
@@ -166,13 +179,15 @@ def band_keys(classes: DataFrame) -> DataFrame:
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(len(column), REGISTERS)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), REGISTERS)
 
 
 def likely_pairs(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs ``(a, b)`` whose estimated similarity is not far below the threshold."""
     side = classes.select("id", "n_shingles", "registers")
-    both = (pairs.join(side.toDF("a", "n_a", "regs_a"), "a").join(side.toDF("b", "n_b", "regs_b"), "b"))
+    # neither side is broadcast: pairs grow with the documents
+    both = side.toDF("a", "n_a", "regs_a").hint("merge").join(pairs, "a")
+    both = side.toDF("b", "n_b", "regs_b").hint("merge").join(both, "b")
     kind = classes.schema["id"].dataType.simpleString()
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,6 +201,72 @@ def likely_pairs(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return map_arrow(both, keep, f"a {kind}, b {kind}")
 
 
+def likely_across(members: DataFrame, found: DataFrame, classes: DataFrame, top: int | None) -> DataFrame:
+    """Likely pairs ``(a, b)`` between components, among the classes that share a
+    bucket's centre: ``a`` is not in the centre's component, ``b`` is not the centre and
+    not in ``a``'s component. With ``top`` only the likeliest of each ``a`` in a block.
+
+    A group is dealt into blocks by hash, ``LEFT_BLOCK`` of the former against
+    ``RIGHT_BLOCK`` of all, so it is spread over tasks however large it is, and its
+    pairs are only counted inside them."""
+    parts = found.toDF("id", "part")
+    rows = members.join(parts, "id", "left").withColumn("part", F.coalesce("part", "id"))
+    rows = rows.join(parts.toDF("centre", "main"), "centre", "left").withColumn("main", F.coalesce("main", "centre"))
+    rows = written(rows.withColumn("left", F.col("part") != F.col("main")), "parts")
+    sizes = rows.groupBy("centre").agg(F.count("*").alias("n"), F.count_if("left").alias("s")).where("s > 0 and n > 2")
+    rows = rows.where("id <> centre").join(sizes, "centre").select(
+        "centre", "id", "part", "left", F.ceil(F.col("s") / LEFT_BLOCK).cast("int").alias("i_n"),
+        F.ceil(F.col("n") / RIGHT_BLOCK).cast("int").alias("j_n"))
+    rows = classes.select("id", "n_shingles", "registers").hint("merge").join(rows, "id")
+    deal = lambda count, salt: F.pmod(F.xxhash64("id", F.lit(salt)), count).cast("int")
+    every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+    keep = ["centre", "id", "part", "n_shingles", "registers"]
+    a = rows.where("left").select(*keep, F.lit(0).alias("side"), deal(F.col("i_n"), 1).alias("i"), every("j_n").alias("j"))
+    b = rows.select(*keep, F.lit(1).alias("side"), every("i_n").alias("i"), deal(F.col("j_n"), 2).alias("j"))
+    kind = classes.schema["id"].dataType.simpleString()
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, left, right = None, [], []
+
+        def pairs() -> Iterator[pa.RecordBatch]:
+            if not left or not right:
+                return
+            l_, r_ = (pa.Table.from_batches(x).combine_chunks().to_batches()[0] for x in (left, right))
+            regs = _matrix(r_.column("registers"))
+            n_b = r_.column("n_shingles").to_numpy().astype(float)
+            part_b = r_.column("part").to_numpy(zero_copy_only=False)
+            floor = THRESHOLD_PERCENT / 100 - SLACK
+            for k in range(l_.num_rows):
+                n_a, part = float(l_.column("n_shingles")[k].as_py()), l_.column("part")[k].as_py()
+                fits = np.flatnonzero((part_b != part) & (np.minimum(n_a, n_b) * 100 >= np.maximum(n_a, n_b) * THRESHOLD_PERCENT))
+                own, far = np.frombuffer(l_.column("registers")[k].as_py(), np.uint8), regs[fits]
+                guess = quick_overlap((own > far).sum(axis=1), (own < far).sum(axis=1), n_a, n_b[fits])
+                good = np.flatnonzero(guess >= floor - 0.02)
+                if top is not None and len(good) > top:
+                    good = good[np.argpartition(-guess[good], top)[:top]]
+                fits = fits[good]
+                if len(fits):
+                    guess = likely_overlap(np.broadcast_to(own, (len(fits), REGISTERS)), regs[fits], np.full(len(fits), n_a), n_b[fits])
+                    fits = fits[guess >= floor]
+                if len(fits):
+                    yield pa.record_batch([l_.column("id").take(pa.array(np.full(len(fits), k))),
+                                           r_.column("id").take(pa.array(fits))], names=["a", "b"])
+
+        for batch in batches:
+            keys = list(zip(*(batch.column(c).to_pylist() for c in ("centre", "i", "j", "side"))))
+            cuts = [0, *(k for k in range(1, len(keys)) if keys[k] != keys[k - 1]), len(keys)]
+            for lo, hi in zip(cuts, cuts[1:]):
+                if keys and lo < hi:
+                    if keys[lo][:3] != group:
+                        yield from pairs()
+                        group, left, right = keys[lo][:3], [], []
+                    (right if keys[lo][3] else left).append(batch.slice(lo, hi - lo))
+        yield from pairs()
+
+    blocks = a.unionByName(b).repartition("centre", "i", "j").sortWithinPartitions("centre", "i", "j", "side")
+    return map_arrow(blocks, compare, f"a {kind}, b {kind}").distinct()
+
+
 def confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The pairs whose full sets overlap enough. Only sets of documents in a pair
     are built, and written once."""
@@ -201,18 +282,18 @@ def confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str) ->
                 yield pa.record_batch([part.column("id"), pa.ListArray.from_arrays(
                     pa.array(offsets), pa.array(values.view(np.int64)))], names=["id", "members"])
 
-    sets = written(map_arrow(spec.join(wanted, "id", "left_semi"), build, f"id {kind}, members array<long>"), "sets")
+    sets = written(map_arrow(spec.hint("merge").join(wanted, "id", "left_semi"), build, f"id {kind}, members array<long>"), "sets")
     common = F.size(F.array_intersect("set_a", "set_b")).cast("long")
     union = F.size("set_a").cast("long") + F.size("set_b") - common
-    return (pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
-            .where(common * 100 >= union * THRESHOLD_PERCENT).select("a", "b").distinct())
+    both = sets.toDF("b", "set_b").hint("merge").join(sets.toDF("a", "set_a").hint("merge").join(pairs, "a"), "b")
+    return (both.where(common * 100 >= union * THRESHOLD_PERCENT).select("a", "b").distinct())
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stand for their component, columns as they were;
     of rows that repeat an id all stay or none."""
     gone = near_duplicates(docs, id_col, text_col).where(~F.col("kept") & F.col(id_col).isNotNull())
-    return docs.join(gone.select(F.col(id_col).alias("_gone")).distinct(), F.col(id_col) == F.col("_gone"), "left_anti")
+    return docs.join(gone.select(F.col(id_col).alias("_tv_gone")).distinct(), F.col(id_col) == F.col("_tv_gone"), "left_anti")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -223,9 +304,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sketched = written(sketch_table(docs, id_col, text_col), "sketches")
     sets = sketched.where("n_shingles > 0 and id is not null")
     mark = ["n_shingles", "set_a", "set_b"]
-    named = sets.groupBy(*mark).agg(F.min("id").alias("class_id"))
-    classes = written(sets.join(named.select(F.col("class_id").alias("id")), "id", "left_semi")
-                      .dropDuplicates(["id", *mark]), "classes")
+    # equal sets have equal registers
+    classes = written(sets.groupBy(*mark).agg(F.min("id").alias("id"), F.first("registers").alias("registers")), "classes")
+    named = classes.select(*mark, F.col("id").alias("class_id"))
 
     keys = written(band_keys(classes), "bands")
     centres = keys.groupBy("key").agg(F.min("id").alias("centre"), F.count("*").alias("n")).where("n > 1")
@@ -235,18 +316,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                                 .distinct(), classes), "star")
     links = written(confirmed(star, docs, id_col, text_col), "links")
 
-    first = components(links)
-    labelled = shared.join(first.toDF("id", "component"), "id", "left").select(
-        "key", "id", "centre", F.coalesce("component", "id").alias("component"))
-    mixed = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")) \
-        .where("lo < hi").select("key")
-    open_ = written(labelled.join(mixed, "key", "left_semi"), "open")
-    left, right = (open_.where("id <> centre").toDF("key", x, f"c{x}", f"p{x}").drop(f"c{x}") for x in "ab")
-    across = left.join(right, "key").where("a > b and pa <> pb").select("a", "b").distinct()
-    more = written(confirmed(written(likely_pairs(across, classes), "across"), docs, id_col, text_col), "links")
-    final = first if more.isEmpty() else components(links.unionAll(more))
-
-    ids = sketched.join(named, mark, "left").join(final.toDF("class_id", "component"), "class_id", "left")
+    found, tried = components(links), None
+    members = written(shared.select("id", "centre").unionAll(shared.select(F.col("centre").alias("id"), "centre")).distinct(),
+                      "members")
+    for top in ROUNDS:
+        likely = written(likely_across(members, found, classes, top), "across")
+        if likely.isEmpty():
+            break
+        fresh = likely if tried is None else likely.join(tried, ["a", "b"], "left_anti")
+        more = written(confirmed(fresh, docs, id_col, text_col), "links")
+        tried = likely if tried is None else tried.unionAll(fresh)
+        if not more.isEmpty():
+            links = links.unionAll(more)
+            found = components(links)
+
+    ids = sketched.join(named, mark, "left").join(found.toDF("class_id", "component"), "class_id", "left")
     own = F.when(F.col("n_shingles") > 0, F.coalesce("component", "class_id", "id")).otherwise(F.col("id"))
     return ids.select(F.col("id").alias(id_col), "n_shingles", F.coalesce("class_id", "id").alias("class_id"),
                       own.alias("component_id")).withColumn(
