@@ -42,7 +42,7 @@ REGISTERS = BAND_ROWS * BANDS
 BASE, RATE, LIMIT = 1.15, 20.0, 255  # register values: floor(1 - log_BASE(x)), x with this rate, in one byte
 SLACK = 0.13  # four and a half standard deviations of the estimate at the threshold
 LEFT_BLOCK, RIGHT_BLOCK = 256, 4096  # classes of a group that are compared at once
-ROUNDS = (4, 64, None)  # likeliest pairs of a class and block that come out, at last all
+ROUNDS = (16, None)  # likeliest pairs of a class and block that come out, at last all
 
 IS_WORD = np.ones(256, bool)
 IS_WORD[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
