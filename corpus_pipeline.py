@@ -39,8 +39,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files of the mix, and per document what was read back from them."""
-    return token_output.tokens_written_and_read(docs, tokenizer_file())
+    """Token files of the mix in training order, and per document what was read back
+    from them: ``place`` is where it stands there, ``start`` where it would in id order."""
+    return token_output.tokens_written_and_read(docs, tokenizer_file(), order=mixing.written_order(docs))
 
 
 STAGES = [("quality_rules", rate), ("near_dedup", dedupe), ("decontaminate", clean), ("mixing", mix),

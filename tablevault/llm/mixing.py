@@ -20,6 +20,7 @@ table gives no rows. Reruns agree: the order depends on ids only.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -121,3 +122,16 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     once = docs.withColumn("_tv_of", mark).dropDuplicates(["_tv_of"])  # equal rows are told apart by their times alone
     return (once.join(times, F.col("_tv_of") == F.col("_tv_mark")).repartitionByRange("_tv_time", id_col)
             .sortWithinPartitions("_tv_time", id_col).drop("_tv_of", "_tv_mark", "_tv_time"))
+
+
+def written_order(docs: DataFrame) -> tuple[Column, ...]:
+    """Expressions that order rows read from Parquet as ``mixed`` wrote them: by the
+    number in the file's name, then the row in the file. Rows that come from no
+    files are ordered as they come."""
+    try:
+        where = docs.metadataColumn("_metadata")
+        docs.select(where["row_index"])
+    except AnalysisException:
+        return (F.monotonically_increasing_id(),)
+    number = F.regexp_extract(where["file_name"], r"^part-(\d+)", 1).try_cast("long")
+    return number, where["file_path"], where["row_index"]

@@ -69,6 +69,11 @@ def op9_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.placed(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_mixing_positions(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.placed(table(spark, sf, "documents")).select("doc_id", F.posexplode("positions").alias("pass", "position")).select(
+        "doc_id", F.col("pass").cast("long").alias("pass"), "position")
+
+
 def op10_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf, "documents")).select(
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
@@ -85,6 +90,7 @@ QUERIES: dict[str, Query] = {
     "op7_token_counts": op7_token_counts,
     "op8_warc": op8_warc,
     "op9_mixing": op9_mixing,
+    "op9_mixing_positions": op9_mixing_positions,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
 
@@ -165,6 +171,38 @@ ORACLE: dict[str, str] = {
               from d join t on d.source is not distinct from t.source)
         select doc_id, size, source_size, target,
                (size * ((mid <= target)::int + (mid + source_size <= target)::int))::bigint as taken from c""",
+    "op9_mixing_positions": r"""
+        with d as (select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size,
+                          md5(doc_id::varchar) as h from documents),
+        s as (select source, sum(size)::bigint as source_size from d group by source),
+        w as (select *, ((row_number() over (order by source nulls last) - 1) % 3)::int as k from s),
+        r as (select *, [3, 1, 2][k + 1] as weight, source_size * 2 as cap,
+                     (source_size * 2)::double / [3, 1, 2][k + 1] as ratio from w),
+        l as (select *, ((sum(source_size) over ())::double * 1.5
+                         - coalesce(sum(cap) over (order by ratio, source nulls last rows between unbounded preceding and 1 preceding), 0)::double)
+                        / (sum(weight) over (order by ratio, source nulls last rows between current row and unbounded following))::double as lv
+              from r),
+        f as (select (arg_min(lv, ratio) filter (where lv <= ratio)) as lv from l),
+        t as (select l.source, k, source_size, case when f.lv is null then cap::double else least(cap::double, f.lv * weight) end as target
+              from l, f),
+        c as (select d.*, t.k, t.source_size, t.target,
+                     coalesce(sum(size) over (partition by d.source order by h, doc_id, size
+                                              rows between unbounded preceding and 1 preceding), 0)::double + size / 2.0 as mid
+              from d join t on d.source is not distinct from t.source),
+        p as (select doc_id, k, pass, (mid + source_size * pass) / greatest(target, 1e-9::double) as x
+              from c, (select unnest([0, 1])::bigint as pass) where mid + source_size * pass <= target),
+        -- the pieces of each schedule: start and end in time and weight, area before and inside
+        q as (select *, (t1 - t0) * (w0 + w1) / 2 as area, (w1 - w0) / (t1 - t0) as slope
+              from (values (0, 0, 0e0, 0.6e0, 1.5e0, 1e0), (0, 1, 0.6e0, 1e0, 1e0, 0.5e0), (1, 0, 0e0, 1e0, 1e0, 1e0),
+                           (2, 0, 0e0, 0.4e0, 0.5e0, 1e0), (2, 1, 0.4e0, 1e0, 1e0, 1.5e0)) v(k, piece, t0, t1, w0, w1)),
+        z as (select *, coalesce(sum(area) over (partition by k order by piece rows between unbounded preceding and 1 preceding), 0) as done,
+                     sum(area) over (partition by k) as total from q),
+        y as (select doc_id, pass, piece, t0, w0, slope, greatest(x * total - done, 0e0) as need
+              from p join z on z.k = p.k where x * total <= done + area
+              qualify row_number() over (partition by doc_id, p.k, pass, x order by piece) = 1)
+        select doc_id, pass, least(t0 + case when slope = 0 then need / w0
+                                             else (sqrt(greatest(need * 2 * slope + w0 * w0, 0e0)) - w0) / slope end, 1e0) as position
+        from y""",
 }
 
 

@@ -1,4 +1,4 @@
-"""Token ids of whole texts in entropy-coded files, in ascending id order.
+"""Token ids of whole texts in entropy-coded files, in ascending id order or one given.
 
 A file holds one frequency table and blocks of whole documents. A block holds
 the documents' ids and token counts, the coder's states, checkpoints and words,
@@ -31,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -79,15 +79,22 @@ def _write_file(target: str, name: str, ids: list, arrays: list[np.ndarray]) ->
 
 
 def write_tokens(docs: DataFrame, target: str, tokenizer: str, end_id: int | None = END_ID, id_col: str = "doc_id",
-                 text_col: str = "text") -> DataFrame:
+                 text_col: str = "text", order: tuple[Column, ...] | None = None) -> DataFrame:
     """Write the token files below ``target`` and return the manifest, itself
     written there: ``path``, ``part``, ``seq``, ``block``, ``offset``, ``length``, ``crc32``,
-    ``n_docs``, ``n_tokens`` and the place of the file's table."""
+    ``n_docs``, ``n_tokens`` and the place of the file's table. ``order``: expressions
+    over ``docs`` by which the documents are written instead of id and text."""
     spark = docs.sparkSession
     free_shuffles(spark)
     end = np.array([] if end_id is None else [end_id], np.uint32)
     spec = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    ranges = spec.repartitionByRange("id").sortWithinPartitions("id", "text")
+    if order is None:
+        ranges = spec.repartitionByRange("id").sortWithinPartitions("id", "text")
+    else:
+        keys = [f"_order{k}" for k in range(len(order))]
+        spec = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
+                           *(c.alias(k) for c, k in zip(order, keys)))
+        ranges = spec.repartitionByRange(*keys).sortWithinPartitions(*keys).select("id", "text")
     schema = ("path string, part int, seq int, block int, offset long, length long, crc32 long, n_docs long, "
               "n_tokens long, table_offset long, table_length long, table_crc32 long")
     names = [f.strip().split(" ")[0] for f in schema.split(",")]
@@ -187,11 +194,28 @@ def read_tokens(manifest: DataFrame, id_type: str = "bigint", with_ids: bool = T
                      + (", ids array<long>" if with_ids else ""))
 
 
+def with_id_starts(read: DataFrame) -> DataFrame:
+    """``read_tokens`` rows with ``start`` renamed to ``place``, and ``start`` the number
+    of ids of all documents before it in id order, those of one id by place."""
+    rows = written(read.withColumnRenamed("start", "place").repartitionByRange("id").withColumn(
+        "_part", F.spark_partition_id()), "places")
+    ahead = W.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    parts = rows.groupBy("_part").agg(F.sum("n_tokens").alias("_n")).select(
+        "_part", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_ahead"))
+    inside = W.partitionBy("_part").orderBy("id", "place").rowsBetween(W.unboundedPreceding, -1)
+    before = rows.withColumn("_before", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
+    return before.join(parts, "_part").select("id", (F.col("_ahead") + F.col("_before")).alias("start"), "n_tokens",
+                                              "ids_crc32", "place")
+
+
 def tokens_written_and_read(docs: DataFrame, tokenizer: str, end_id: int | None = END_ID, id_col: str = "doc_id",
-                            text_col: str = "text") -> DataFrame:
-    """Write the files to a new folder below the shared one, and what they hold."""
+                            text_col: str = "text", order: tuple[Column, ...] | None = None) -> DataFrame:
+    """Write the files to a new folder below the shared one, and what they hold. With
+    an ``order`` of their own ``place`` is where a document stands in the files, and
+    ``start`` where it would stand in id order."""
     target = new_work_dir(docs.sparkSession, "tokens")
-    manifest = write_tokens(docs, target, tokenizer, end_id, id_col, text_col)
-    return read_tokens(manifest, docs.schema[id_col].dataType.simpleString(), with_ids=False).withColumnRenamed("id", id_col)
+    manifest = write_tokens(docs, target, tokenizer, end_id, id_col, text_col, order)
+    read = read_tokens(manifest, docs.schema[id_col].dataType.simpleString(), with_ids=False)
+    return (read if order is None else with_id_starts(read)).withColumnRenamed("id", id_col)
 
 

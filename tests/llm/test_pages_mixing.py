@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tablevault.llm import decontaminate, mixing, near_dedup, quality_rules, queries, warc
+from tablevault.llm import decontaminate, mixing, near_dedup, quality_rules, queries, token_output, warc
+from tablevault.llm.common import written
 from tablevault.session import new_work_dir
 from tests.conftest import SF_SMALL
 from tests.llm.helpers import docs_of, prose, rows, with_clashes, words
@@ -128,6 +129,48 @@ def test_the_mix_repeats_documents_in_training_order(spark):
     assert counts == {k: n for k, n in taken.items() if n}
 
 
+def training_order(spark, docs):
+    """Ids of the copies as the training times ask for them."""
+    times = [(t, r["doc_id"]) for r in mixing.placed(docs).collect() for t in r["positions"]]
+    return [k for _, k in sorted(times)]
+
+
+def test_token_files_hold_the_mix_in_training_order(spark):
+    sources = [["a", "b", "c", None][s % 4] for s in range(240)]
+    docs = with_clashes(docs_of(spark, [prose(s, 20 + s % 50) for s in range(240)], sources=sources))
+    want = training_order(spark, docs)
+    assert want != sorted(want) and len(set(want)) < len(want)
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(coalesce)
+    spark.conf.set(coalesce, "false")  # several files
+    try:
+        mix = written(corpus_pipeline.mix(spark, docs, SF_SMALL), "mix")
+        assert len(mix.inputFiles()) > 3
+        got = corpus_pipeline.tokens(spark, mix, SF_SMALL).collect()
+        manifest = token_output.write_tokens(mix, new_work_dir(spark, "tokens"), queries.tokenizer_file(),
+                                             order=mixing.written_order(mix))
+        ids = token_output.read_tokens(manifest).orderBy("start").collect()
+    finally:
+        spark.conf.set(coalesce, before)
+    assert [r["doc_id"] for r in sorted(got, key=lambda r: r["place"])] == want == [r["id"] for r in ids]
+    for start, order in (("place", "place"), ("start", "doc_id")):
+        at = 0
+        for r in sorted(got, key=lambda r: r[start]):
+            assert r[start] == at
+            at += r["n_tokens"]
+        assert sorted(got, key=lambda r: r[start]) == sorted(got, key=lambda r: (r[order], r["place"]))
+
+
+def test_schedules_reach_the_registered_positions(spark, monkeypatch):
+    got = rows(queries.op9_mixing_positions(spark, SF_SMALL), "doc_id", "pass", "position")
+    placed = mixing.placed(spark.read.parquet(f"{SF_SMALL}/documents.parquet")).collect()
+    assert got == sorted(((r["doc_id"], k, t) for r in placed for k, t in enumerate(r["positions"])), key=str)
+    flat = (((0.0, 1.0), (1.0, 1.0)),) * 3
+    monkeypatch.setattr(mixing.placed, "__defaults__", tuple(
+        flat if d is mixing.SCHEDULES else d for d in mixing.placed.__defaults__))
+    assert rows(queries.op9_mixing_positions(spark, SF_SMALL), "doc_id", "pass", "position") != got
+
+
 def brute_pipeline(spark, docs, sf):
     """The stages' decisions, each taken from its operator's full result or from brute force."""
     good = {r["doc_id"] for r in quality_rules.quality(docs).where("kept").select("doc_id").collect()}
