@@ -2,11 +2,19 @@
 
 Everything is a DataFrame expression or aggregate. The statistics of each text
 become a vector of four transformed values. Per (language, source) group the
-minimum-covariance-determinant estimate of centre and scatter is found from
-coordinate-wise medians by concentration steps: take the ``CORE`` share of rows
-nearest to the centre, compute their mean and covariance, measure again.
-A ridge keeps the scatter invertible where a value hardly varies. A text is
-rejected if its squared Mahalanobis distance exceeds ``CUTOFF``.
+minimum-covariance-determinant estimate of centre and scatter is found by
+concentration steps: take the ``CORE`` share of rows nearest to the centre, compute
+their mean and covariance, measure again, until the determinant no longer falls.
+They are run from three starts (coordinate-wise medians with three shapes of the
+scatter); the one that ends at the smallest determinant counts. A ridge keeps the
+scatter invertible where a value hardly varies. A text is rejected if its squared
+Mahalanobis distance exceeds ``CUTOFF``.
+
+The ridge is the least standard deviation, so a value alone cannot reject below
+``sqrt(CUTOFF)`` ridges. Of the repeated lines and words of clean texts nearly
+all shares are 0; one line said twice in a short text gives up to a third of either.
+Their ridge of 1/16 lets that pass in the tightest group and rejects a text with
+over 0.44 of its lines or words repeated there, below the base rule's half.
 
 A step is one aggregate by group and distance bin, so a group that holds most
 rows is summed before anything is shuffled. Values are whole numbers of 1/1024,
@@ -27,14 +35,17 @@ from pyspark.sql import functions as F
 from tablevault.llm.common import WORD_PATTERN, written
 
 CORE = 0.5  # nearly half of a group may be outliers
-STEPS = 4
+TOLERANCE = 1e-4  # by which half the determinant's logarithm falls, for a step to count
 MIN_GROUP = 20
 UNIT = 1024
 SYMBOLS = "[#*$%&|<>]"
 VALUES = ("x0", "x1", "x2", "x3")
+PAIRS = tuple((x, y) for i, x in enumerate(VALUES) for y in VALUES[:i + 1])
+LOWER = tuple(f"l_{i}{j}" for i in range(len(VALUES)) for j in range(i + 1))
+KEYS = ("g", "start")
 # Standard deviations added as a ridge: log word length, log symbol share, share
 # of repeated lines, share of repeated words.
-RIDGE = (0.06, 0.12, 0.12, 0.12)
+RIDGE = (0.06, 0.12, 0.0625, 0.0625)
 # Scatter of the core is too small by CORE / P(chi2(6) <= chi2 quantile CORE of 4).
 CONSISTENCY = 2.109
 CUTOFF = 48.0  # a chi-square value with 4 degrees of freedom is above it once in 10**9
@@ -85,24 +96,30 @@ def _vectors(stats: DataFrame) -> DataFrame:
                            for x, v in zip(VALUES, values)})
 
 
-def _parameters(sums: DataFrame) -> DataFrame:
-    """Centre and lower triangle (``l_ij``) of the scatter, from the core's sums."""
-    df = sums.select("g", *((F.col(f"s_{x}") / F.col("n") / UNIT).alias(f"m_{x}") for x in VALUES),
-                     *((F.col(f"p_{x}{y}") / F.col("n") / (UNIT * UNIT)).alias(f"q_{x}{y}")
-                       for i, x in enumerate(VALUES) for y in VALUES[:i + 1]))
+def _factored(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """``keys``, the centre, the lower triangle (``l_ij``) of the scatter whose entries
+    are ``c_xy``, and ``log_det``, half the logarithm of its determinant."""
     for i, x in enumerate(VALUES):
         for j, y in enumerate(VALUES[:i + 1]):
-            rest = (F.col(f"q_{x}{y}") - F.col(f"m_{x}") * F.col(f"m_{y}")) * CONSISTENCY
-            if i == j:
-                rest = F.greatest(rest, F.lit(0.0)) + RIDGE[i] ** 2
+            rest = F.col(f"c_{x}{y}")
             for k in range(j):
                 rest = rest - F.col(f"l_{i}{k}") * F.col(f"l_{j}{k}")
             if i == j:  # the ridge bounds it from below but for rounding
                 df = df.withColumn(f"l_{i}{i}", F.sqrt(F.greatest(rest, F.lit(RIDGE[i] ** 2 * 1e-3))))
             else:
                 df = df.withColumn(f"l_{i}{j}", rest / F.col(f"l_{j}{j}"))
-    return df.select("g", *(f"m_{x}" for x in VALUES),
-                     *(f"l_{i}{j}" for i in range(len(VALUES)) for j in range(i + 1)))
+    log_det = sum((F.log(f"l_{i}{i}") for i in range(1, len(VALUES))), F.log("l_00"))
+    return df.select(*keys, *(f"m_{x}" for x in VALUES), *LOWER, log_det.alias("log_det"))
+
+
+def _parameters(sums: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """``_factored`` from the core's sums."""
+    df = sums.select(*keys, *((F.col(f"s_{x}") / F.col("n") / UNIT).alias(f"m_{x}") for x in VALUES),
+                     *((F.col(f"p_{x}{y}") / F.col("n") / (UNIT * UNIT)).alias(f"q_{x}{y}") for x, y in PAIRS))
+    for x, y in PAIRS:
+        c = (F.col(f"q_{x}{y}") - F.col(f"m_{x}") * F.col(f"m_{y}")) * CONSISTENCY
+        df = df.withColumn(f"c_{x}{y}", F.greatest(c, F.lit(0.0)) + RIDGE[VALUES.index(x)] ** 2 if x == y else c)
+    return _factored(df, keys)
 
 
 def _with_distance(df: DataFrame) -> DataFrame:
@@ -116,28 +133,57 @@ def _with_distance(df: DataFrame) -> DataFrame:
     return df.withColumn("distance", total).drop(*(f"_y{i}" for i in range(len(VALUES))))
 
 
+def _starts(rows: DataFrame) -> DataFrame:
+    """Three starts for each group ``g``, all at the coordinate-wise medians and with
+    the quartiles' spread, and with no correlation (0), that of the values through
+    tanh (1), or that of their directions from the medians (2)."""
+    quartiles = rows.groupBy("g").agg(*(F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"_q_{x}")
+                                        for x in VALUES))
+    first = written(quartiles.select(
+        "g", *((F.col(f"_q_{x}")[1] / UNIT).alias(f"m_{x}") for x in VALUES),
+        *(F.sqrt(F.pow((F.col(f"_q_{x}")[2] - F.col(f"_q_{x}")[0]) / (1.349 * UNIT), 2) + RIDGE[i] ** 2).alias(f"d_{x}")
+          for i, x in enumerate(VALUES))), "medians")
+    scaled = rows.join(first, "g").select("g", *(((F.col(x) / UNIT - F.col(f"m_{x}")) / F.col(f"d_{x}")).alias(x) for x in VALUES))
+    norm = F.sqrt(sum((F.col(x) * F.col(x) for x in VALUES[1:]), F.col(VALUES[0]) * F.col(VALUES[0])))
+    shapes = []
+    for value in (F.tanh, lambda x: F.when(norm > 0, F.col(x) / norm).otherwise(0.0)):
+        whole = scaled.select("g", *(F.round(value(x) * UNIT).cast("long").alias(x) for x in VALUES))
+        shapes.append(whole.groupBy("g").agg(*((F.sum(F.col(x) * F.col(y)) / F.count("*") / (UNIT * UNIT)).alias(f"r_{x}{y}")
+                                               for x, y in PAIRS)))
+    none = first.select("g", *(F.lit(0.0).alias(f"r_{x}{y}") for x, y in PAIRS))
+    shapes = [shape.withColumn("start", F.lit(k)) for k, shape in enumerate((none, *shapes))]
+    df = first.join(shapes[0].unionByName(shapes[1]).unionByName(shapes[2]), "g")
+    # a little on the diagonal keeps the correlations positive definite
+    spread = {x: F.col(f"r_{x}{x}") + 0.01 for x in VALUES}
+    df = df.withColumns({f"c_{x}{y}": F.col(f"d_{x}") * F.col(f"d_{y}") * (
+        F.lit(1.0) if x == y else F.col(f"r_{x}{y}") / F.sqrt(spread[x] * spread[y])) for x, y in PAIRS})
+    return _factored(df, KEYS)
+
+
 def estimates(rows: DataFrame) -> DataFrame:
     """Centre and scatter by group ``g`` of rows with ``VALUES``."""
-    quartiles = rows.groupBy("g").agg(*(F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(x)
-                                        for x in VALUES))
-    start = quartiles.select(
-        "g", *((F.col(x)[1] / UNIT).alias(f"m_{x}") for x in VALUES),
-        *((F.sqrt(F.pow((F.col(x)[2] - F.col(x)[0]) / (1.349 * UNIT), 2) + RIDGE[i] ** 2) if i == j else F.lit(0.0))
-          .alias(f"l_{i}{j}") for i, x in enumerate(VALUES) for j in range(i + 1)))
-    found = written(start, "centres")
-    for _ in range(STEPS):
-        near = _with_distance(rows.join(found, "g")).withColumn("bin", F.floor(F.log1p("distance") * 64))
-        bins = near.groupBy("g", "bin").agg(
+    # the first step of a start always counts: its scatter is not that of a core
+    found = written(_starts(rows).withColumn("log_det", F.lit(float("inf"))).withColumn("moved", F.lit(True)), "centres")
+    while not found.where("moved").isEmpty():  # ends: every further step lowers a determinant that the ridge bounds
+        near = _with_distance(rows.join(found.where("moved"), "g")).withColumn("bin", F.floor(F.log1p("distance") * 64))
+        bins = near.groupBy(*KEYS, "bin").agg(
             F.count("*").alias("n"), *(F.sum(x).alias(f"s_{x}") for x in VALUES),
-            *(F.sum(F.col(x) * F.col(y)).alias(f"p_{x}{y}") for i, x in enumerate(VALUES) for y in VALUES[:i + 1]))
-        upto = W.partitionBy("g").orderBy("bin").rowsBetween(W.unboundedPreceding, 0)
-        names = [c for c in bins.columns if c not in ("g", "bin")]
-        core = bins.select("g", "bin", F.sum("n").over(W.partitionBy("g")).alias("_all"),
+            *(F.sum(F.col(x) * F.col(y)).alias(f"p_{x}{y}") for x, y in PAIRS))
+        upto = W.partitionBy(*KEYS).orderBy("bin").rowsBetween(W.unboundedPreceding, 0)
+        names = [c for c in bins.columns if c not in (*KEYS, "bin")]
+        core = bins.select(*KEYS, "bin", F.sum("n").over(W.partitionBy(*KEYS)).alias("_all"),
                            *(F.sum(c).over(upto).alias(c) for c in names))
         core = core.where(F.col("n") >= F.col("_all") * CORE).withColumn(
-            "_first", F.row_number().over(W.partitionBy("g").orderBy("bin"))).where("_first = 1")
-        found = written(_parameters(core), "centres")
-    return found
+            "_first", F.row_number().over(W.partitionBy(*KEYS).orderBy("bin"))).where("_first = 1")
+        new = _parameters(core, KEYS)
+        values = [c for c in new.columns if c not in KEYS]
+        new = new.select(*KEYS, F.struct(*values).alias("_new"))
+        better = F.col("moved") & F.coalesce(F.col("_new.log_det") < F.col("log_det") - TOLERANCE, F.lit(False))
+        found = written(found.join(new, list(KEYS), "left").withColumn("_better", better).select(
+            *KEYS, *(F.when(F.col("_better"), F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) for c in values),
+            F.col("_better").alias("moved")), "centres")
+    best = F.row_number().over(W.partitionBy("g").orderBy("log_det", "start"))
+    return found.withColumn("_best", best).where("_best = 1").drop("_best", "start", "moved", "log_det")
 
 
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",

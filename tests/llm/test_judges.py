@@ -90,6 +90,55 @@ def test_centre_is_that_of_the_core(spark):
     assert np.abs(centre - good.mean(axis=0)).max() < 120
 
 
+def boilerplate(seed, n):
+    """Half of the lines are one of two words over and over, nearly half of the words repeated."""
+    fresh = prose(seed, n).split()
+    lines = [" ".join(fresh[k:k + 20]) for k in range(0, n, 20)]
+    return "\n".join(lines + ["click here now"] * (n // 4))
+
+
+def test_boilerplate_below_the_base_rule_goes_and_clean_groups_stay_whole(spark):
+    rng = np.random.default_rng(7)
+    clean = [prose(s, int(rng.integers(60, 300))) for s in range(120)]
+    # a line of nine words said twice in a short text
+    clean += ["\n".join([(w := prose(s, 45).split()) and " ".join(w[:9]), " ".join(w[9:27]), " ".join(w[27:]), " ".join(w[:9])])
+              for s in range(200, 205)]
+    junk = [boilerplate(s, 120) for s in range(300, 316)]
+    # some 47% of the words, one line
+    words_only = [(t := prose(s, 110)) + " " + " ".join(t.split()[:34]) for s in range(400, 420)]
+    words_only = [t for t in words_only if 2 * brute_statistics(t)[4] <= brute_statistics(t)[0]]
+    texts = clean + junk + words_only
+    stats = [brute_statistics(t) for t in texts]
+    assert len(words_only) > 5 and all(n >= 50 and 100 * r <= 50 * n for n, _, _, _, r in stats)
+    assert all(r >= 0.4 * n for n, _, _, _, r in stats[125:])
+    got = {r["doc_id"]: r for r in quality_rules.quality(docs_of(spark, texts, sources=["a"] * len(texts))).collect()}
+    assert not any(r["base_failed"] for r in got.values())
+    assert all(got[k]["kept"] for k in range(125)) and not any(got[k]["kept"] for k in range(125, len(texts)))
+
+
+def cluster_rows(seed):
+    """A long thin cluster and 45% of outliers that stretch it across."""
+    rng = np.random.default_rng(seed)
+    base = rng.normal(0, 1, (220, 1)) * [900, 900, 900, 900] + rng.normal(0, 20, (220, 4)) + 9000
+    return np.round(np.concatenate([base, rng.normal(0, 100, (175, 4)) + [9900, 8100, 9900, 8100]])).astype(int)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_steps_run_until_the_core_stays(spark, seed):
+    """A further concentration step from the result does not lower the determinant."""
+    x = cluster_rows(seed)
+    df = spark.createDataFrame([("g", *map(int, r)) for r in x], "g string, x0 long, x1 long, x2 long, x3 long")
+    est, x = quality_rules.estimates(df).first(), x / quality_rules.UNIT
+    m = np.array([est[f"m_x{k}"] for k in range(4)])
+    low = np.array([[est[f"l_{i}{j}"] if j <= i else 0.0 for j in range(4)] for i in range(4)])
+    far = (np.linalg.solve(low, (x - m).T) ** 2).sum(axis=0)
+    # the core ends with a whole bin of distances
+    bins = np.floor(np.log1p(far) * 64)
+    core = x[bins <= np.sort(bins)[int(np.ceil(len(x) * quality_rules.CORE)) - 1]]
+    again = np.cov(core.T, bias=True) * quality_rules.CONSISTENCY + np.diag(np.square(quality_rules.RIDGE))
+    assert np.linalg.slogdet(again)[1] >= 2 * np.log(np.diag(low)).sum() - 3e-4
+
+
 def brute_host_path(url):
     if url is None or "://" not in url:
         return "", ""
