@@ -4,7 +4,8 @@ A task builds a suffix array over the words of each shard (a slice of its rows
 of bounded size) and binary-searches every suffix of every benchmark item in
 it. Suffixes that share their first ``window`` words with an item's suffix give
 all places of that window; the neighbours of a suffix's own place in the order
-give its longest verbatim match and where that is.
+say how many words its longest verbatim match has at least, and all suffixes that
+share these are measured, so every place of the longest match is found.
 
 Documents are not shuffled. The benchmark is the query set: it is sent to the
 executors in blocks of at most ``block_bytes`` bytes of text, one pass over a
@@ -34,6 +35,7 @@ WINDOW = 10
 BLOCK_BYTES = 16 << 20
 SHARD_BYTES = 4 << 20
 DEPTH = 16  # words by which suffixes are ordered; longer matches are read off the text
+CANDIDATES = 1 << 20  # places of longest matches measured at once
 
 # Word bytes after lower-casing: digits, letters and all of non-ASCII.
 IS_WORD = np.zeros(256, bool)
@@ -160,11 +162,40 @@ class Found(NamedTuple):
     place: np.ndarray    # word at which a window occurs
     group: np.ndarray    # its group
     size: np.ndarray     # words of the windows of a group
-    where: np.ndarray    # word at which a suffix has its longest match
-    length: np.ndarray   # the match's words
+    of: np.ndarray       # which of ``suffix`` a longest match belongs to
+    where: np.ndarray    # word at which it lies
+    length: np.ndarray   # its words
     rows: np.ndarray     # row of each word
 
 
+def longest_matches(array: SuffixArray, back: np.ndarray, ids: np.ndarray, at: np.ndarray,
+                    ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Number of the suffix ``ids[at:ends]``, word and length of every place of its longest match."""
+    deep = ids[np.minimum(at[:, None] + np.arange(DEPTH), len(ids) - 1)]
+    seat = array.bound(deep, np.minimum(ends - at, DEPTH), False)
+    least = np.zeros(len(at), np.int64)
+    for side in (seat - 1, seat):  # beside its own place in the order
+        side = np.clip(side, 0, len(array.order) - 1)
+        least = np.maximum(least, array.common(array.order[side], ids, at, ends))
+    # the order tells no more than DEPTH words apart: all that share as many are measured
+    least = np.minimum(least, DEPTH)
+    lo, hi = array.bound(deep, least, False), array.bound(deep, least, True)
+    total = np.cumsum(hi - lo)
+    parts, k = [], 0
+    while k < len(at):  # some at a time
+        to = max(k + 1, int(np.searchsorted(total, (total[k - 1] if k else 0) + CANDIDATES, side="right")))
+        many = hi[k:to] - lo[k:to]
+        of = np.repeat(np.arange(k, to), many)
+        place = array.order[np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + lo[of]]
+        length = array.common(place, ids, at[of], ends[of])
+        longest = np.zeros(to - k, np.int64)
+        np.maximum.at(longest, of - k, length)
+        best = length == longest[of - k]
+        parts.append((of[best], back[place[best]], length[best]))
+        k = to
+    return tuple(np.concatenate(x) for x in zip(*parts))
+
+
 def search(column: pa.Array, queries: list[Queries]) -> tuple[np.ndarray, list[Found]]:
     """Words per row, and what each block of queries has in these rows."""
     words, rows = word_hashes(column)
@@ -194,17 +225,8 @@ def search(column: pa.Array, queries: list[Queries]) -> tuple[np.ndarray, list[F
         place = array.order[np.repeat(lo[one], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)]
         place = back[place]
         group = np.repeat(np.arange(len(one)), many)
-        # longest match of each suffix: beside its own place in the order
-        longest = np.zeros(len(maybe), np.int64)
-        where = np.zeros(len(maybe), np.int64)
-        deep = ids[np.minimum(q.at[maybe][:, None] + np.arange(DEPTH), len(ids) - 1)]
-        seat = array.bound(deep, np.minimum(q.end[q.at[maybe]] - q.at[maybe], DEPTH), False)
-        for side in (seat - 1, seat):
-            side = np.clip(side, 0, len(array.order) - 1)
-            length = array.common(array.order[side], ids, q.at[maybe], q.end[q.at[maybe]])
-            better = length > longest
-            where[better], longest[better] = back[array.order[side]][better], length[better]
-        found.append(Found(q, maybe, same, place, group, q.size[maybe][one], where, longest, rows))
+        of, where, length = longest_matches(array, back, ids, q.at[maybe], q.end[q.at[maybe]])
+        found.append(Found(q, maybe, same, place, group, q.size[maybe][one], of, where, length, rows))
     return n_words, found
 
 
@@ -228,8 +250,8 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """One row per document: ``id_col``, ``n_words``, ``n_hit`` (words inside an
     occurrence of a window), ``spans`` (maximal runs of hit words, as start and
     number of words), ``items`` (sorted ids of items with a window in it) and
-    ``longest`` (for item suffixes whose longest match in a shard lies here: item,
-    its word, the document's word, number of words)."""
+    ``longest`` (for item suffixes whose longest match in a shard lies here, at every
+    place that has it: item, its word, the document's word, number of words)."""
     sent = send_items(docs.sparkSession, benchmark, item_col, item_text_col, block_bytes)
     spec = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     schema = (f"id {spec.schema['id'].dataType.simpleString()}, n_words long, n_hit long, "
@@ -249,7 +271,7 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                 cover = np.zeros(int(n_words.sum()) + 1, np.int64)
                 names: list[set[str]] = [set() for _ in range(n)]
                 longest: list[list[dict]] = [[] for _ in range(n)]
-                for q, maybe, same, place, group, size, where, length, rows in found:
+                for q, maybe, same, place, group, size, of, where, length, rows in found:
                     np.add.at(cover, place, 1)
                     np.add.at(cover, place + size[group], -1)
                     of_group: list[set[str]] = [set() for _ in range(len(size))]
@@ -258,8 +280,8 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                     for row, g in {*zip(rows[place].tolist(), group.tolist())}:
                         names[row] |= of_group[g]
                     first = np.searchsorted(q.item, q.item, side="left")
-                    for k in range(len(maybe)):
-                        row, s = int(rows[where[k]]), int(maybe[k])
+                    for k in range(len(of)):
+                        row, s = int(rows[where[k]]), int(maybe[of[k]])
                         longest[row].append({"item_id": q.names[q.item[s]], "item_word": int(q.at[s] - q.at[first[s]]),
                                              "word": int(where[k] - begin[row]), "n_words": int(length[k])})
                 hit = np.cumsum(cover)[:-1] > 0

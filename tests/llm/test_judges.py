@@ -225,3 +225,14 @@ def test_longest_matches_and_odd_tables(spark):
     assert [x["n_hit"] for x in decontaminate.find_matches(docs, bench.where("false")).collect()] == [0]
     wide = decontaminate.find_matches(docs, bench, window=24)  # longer than the default order
     assert [x["n_hit"] for x in wide.collect()] == [40]
+
+
+def test_longest_matches_among_copies_that_part_after_the_order(spark):
+    a, b = prose(1, 200).split(), prose(2, 40).split()
+    texts = [" ".join(a[:18]) + " q0 " + " ".join(b[:12]), " ".join(a[:17]) + " q1", "q2 " + " ".join(a) + " q3",
+             " ".join(a[:20]) + " q4", "q5 q6 " + " ".join(a) + " q7 " + " ".join(b[:12]) + " q8"]
+    docs = docs_of(spark, texts).coalesce(1)  # one shard
+    bench = spark.createDataFrame([("a", " ".join(a)), ("b", " ".join(b))], "item_id string, text string")
+    got = sorted((m["item_id"], r["doc_id"], m["word"], m["n_words"])
+                 for r in decontaminate.find_matches(docs, bench).collect() for m in r["longest"] if m["item_word"] == 0)
+    assert got == [("a", 2, 1, 200), ("a", 4, 2, 200), ("b", 0, 19, 12), ("b", 4, 203, 12)]
