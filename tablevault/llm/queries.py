@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablevault.llm import decontaminate, language_id, mixing, near_dedup, quality_rules, suffix_dedup, token_count, token_output, url_filter, warc
+from tablevault.llm import (conversation_trie, decontaminate, embedding_dedup, language_id, mixing, near_dedup, periodic_runs,
+                            quality_rules, suffix_dedup, token_count, token_output, url_filter, warc)
+from tablevault.llm.common import words_of
 from tablevault.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,6 +82,40 @@ def op10_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, sf, "embeddings"))
+
+
+def op12_conversation_trie(spark: SparkSession, sf: str) -> DataFrame:
+    turns = conversation_trie.shared_openings(conversation_trie.turn_ids(table(spark, sf, "conversations")))
+    return conversation_trie.trie(*turns)
+
+
+def planted_repeats(docs: DataFrame) -> DataFrame:
+    """Every tenth text by the checksum of its id goes over into repeats of a stretch of itself."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g, words = F.expr("h div 10"), F.col("words")
+    n = F.size("words")
+    a = F.expr("(h div 10) % size(words)")
+    docs = docs.select("doc_id", "text", h.alias("h")).withColumn(
+        "words", F.when((F.col("h") % 10 == 0), words_of(F.col("text"))))
+    docs = docs.withColumn("a", F.when(n > 0, a)).withColumn(
+        "p", F.when(n > 0, F.floor((n - F.col("a")) / (g % 8 + 3)) + 1))
+    repeats = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.element_at(
+        words, (F.when(i >= F.col("a"), F.col("a") + (i - F.col("a")) % F.col("p")).otherwise(i) + 1).cast("int")))
+    return docs.select("doc_id", F.when(F.col("p").isNotNull(), F.array_join(repeats, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    found = periodic_runs.find_runs(planted_repeats(table(spark, sf, "documents")))
+    best = periodic_runs.strongest(F.col("runs"))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"),
+        best["period"].alias("period"), F.floor(best["length"] * 1000 / best["period"]).cast("long").alias("exponent_milli"),
+        F.sha2(periodic_runs.runs_text(F.col("runs")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_token_output": op2_token_output,
@@ -92,8 +128,21 @@ QUERIES: dict[str, Query] = {
     "op9_mixing": op9_mixing,
     "op9_mixing_positions": op9_mixing_positions,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_embedding_dedup": op11_embedding_dedup,
+    "op12_conversation_trie": op12_conversation_trie,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
+# crc32 of a text of digits as a DuckDB expression: needs ``crc_table`` (one list ``t``) in scope.
+CRC_TABLE = """crc_table as (select list(v order by i) as t from (select i, list_reduce(list_prepend(i::bigint, range(8)),
+               lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) as v from range(256) r(i)))"""
+
+
+def crc_sql(text: str) -> str:
+    return (f"xor(list_reduce(list_prepend(4294967295, list_transform(string_split({text}, ''), lambda ch: ascii(ch)::bigint)), "
+            "lambda c, b: xor(t[xor(c, b) % 256 + 1], c >> 8)), 4294967295)")
+
+
 ORACLE: dict[str, str] = {
     "op1_near_dedup": r"""
         with recursive w as (
@@ -205,10 +254,82 @@ ORACLE: dict[str, str] = {
         from y""",
 }
 
+ORACLE["op13_periodic_runs"] = rf"""
+        with {CRC_TABLE},
+        d as (select doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) as l, {crc_sql("doc_id::varchar")} as h
+              from documents, crc_table),
+        x as (select *, len(l) as n, case when h % 10 = 0 and len(l) > 0 then (h // 10) % len(l) end as a from d),
+        y as (select *, case when a is not null then 1 + (n - a) // (3 + (h // 10) % 8) end as p from x),
+        w as (select doc_id, n, case when p is null then l else
+                     list_transform(range(n), lambda i: l[(1 + case when i >= a then a + (i - a) % p else i end)::int]) end as l from y),
+        s as (select doc_id, i, array_to_string(l[i + 1:i + 16], ' ') as k
+              from (select doc_id, l, unnest(range(0, n - 15)) as i from w)),
+        m as (select b.doc_id, b.i, b.i - a.i as lag from s a join s b on a.doc_id = b.doc_id and a.k = b.k and a.i < b.i),
+        g as (select *, i - row_number() over (partition by doc_id, lag order by i) as island from m),
+        e as (select doc_id, lag, min(i) - lag as start, count(*) + 15 + lag as length from g group by doc_id, lag, island),
+        r as (select doc_id, start::bigint as start, length::bigint as length, min(lag)::bigint as period from e
+              where length >= greatest(24, 3 * lag) group by doc_id, start, length),
+        b as (select *, row_number() over (partition by doc_id order by length::hugeint * 1000000000000 // period desc, start, period) as place
+              from r),
+        t as (select doc_id, count(*) as n_runs,
+                     sha256(string_agg(start || ',' || length || ',' || period || chr(10), '' order by start, period)) as runs_sha256
+              from r group by doc_id),
+        o as (select distinct doc_id, unnest(range(start + period, start + length)) as i from r),
+        u as (select doc_id, unnest(l) as word, unnest(range(0, n)) as i from w),
+        c as (select u.doc_id, sha256(string_agg(word, ' ' order by u.i)) as k from u anti join o on o.doc_id = u.doc_id and o.i = u.i
+              group by u.doc_id)
+        select w.doc_id, coalesce(n_runs, 0)::bigint as n_runs, b.start, b.length, b.period,
+               (1000 * b.length // b.period)::bigint as exponent_milli, coalesce(runs_sha256, sha256('')) as runs_sha256,
+               coalesce(c.k, sha256('')) as collapsed_sha256
+        from w left join t on t.doc_id = w.doc_id left join b on b.doc_id = w.doc_id and b.place = 1
+        left join c on c.doc_id = w.doc_id"""
+
+ORACLE["op12_conversation_trie"] = f"""
+        with {CRC_TABLE},
+        o as (select conv_id, sha256(concat(len(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))) as k,
+                     len(coalesce(text, '')) as chars, turn from conversations where conv_id is not null),
+        s as (select conv_id, k, chars, row_number() over (partition by conv_id order by turn nulls first, k) as pos from o),
+        c as (select conv_id, {crc_sql("conv_id::varchar")} % 6 as h from (select distinct conv_id from s), crc_table),
+        b as (select conv_id, k, chars, pos from c join (select conv_id as base, k, chars, pos from s) s
+                     on s.base = c.conv_id - c.conv_id % 100 and pos <= h
+              union all select conv_id, k, chars, pos from s join c using (conv_id) where pos > h),
+        r as (select conv_id, k, chars, row_number() over (partition by conv_id order by pos) as depth from b),
+        x as (select conv_id, depth, chars, string_agg(k, '') over (partition by conv_id order by depth) as prefix from r
+              union all select conv_id, 0, 0, '' from c),
+        n as (select depth, prefix, min(conv_id) as conv_id, count(*) as n_convs, max(chars) as chars from x group by depth, prefix),
+        p as (select x.conv_id, x.depth, n.conv_id as named from x join n using (depth, prefix)),
+        e as (select conv_id, max(depth) as depth from x group by conv_id),
+        t as (select named as conv_id, depth, sha256(string_agg(conv_id, ',' order by conv_id)) as ends
+              from p join e using (conv_id, depth) group by named, depth),
+        u as (select n.conv_id, n.depth, n_convs, chars, a.named as parent_conv_id from n
+              left join p a on a.conv_id = n.conv_id and a.depth = n.depth - 1),
+        k as (select parent_conv_id as conv_id, depth - 1 as depth, count(*) as n_children from u where depth > 0 group by 1, 2),
+        v as (select u.*, coalesce(n_children, 0) as n_children from u left join k using (conv_id, depth)),
+        a as (select p.named as conv_id, p.depth, sum((v.n_children = 0)::int)::bigint as n_leaves,
+                     sum((v.n_convs - 1) * v.chars)::bigint as saved_tokens
+              from v join p on p.conv_id = v.conv_id and p.depth <= v.depth group by p.named, p.depth)
+        select v.conv_id, v.depth::bigint as depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens,
+               coalesce(ends, sha256('')) as ends_sha256
+        from v join a using (conv_id, depth) left join t using (conv_id, depth)"""
+
+ORACLE["op11_embedding_dedup"] = """
+        with recursive v as (select vec_id, embedding::double[] as e from embeddings
+                   where vec_id is not null and len(embedding) > 0 and not list_contains(list_transform(embedding, lambda x: x is null or not isfinite(x)), true)
+                         and list_contains(list_transform(embedding, lambda x: x <> 0), true)),
+        p as materialized (select a.vec_id as a, b.vec_id as b from v a join v b on a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+                           where list_cosine_similarity(a.e, b.e) >= 0.9),
+        l as (select a as vec_id, count(*) as n from p group by a),
+        r as (select vec_id as a, vec_id as b from embeddings union select r.a, p.b from r join p on p.a = r.b),
+        m as (select a as vec_id, min(b) as component_id from r group by a),
+        k as (select vec_id, min(vec_id) over (partition by e) as class_id from v)
+        select x.vec_id, coalesce(l.n, 0)::bigint as n_links, coalesce(class_id, x.vec_id) as class_id, component_id,
+               x.vec_id = component_id as kept
+        from embeddings x left join l on l.vec_id = x.vec_id left join m on m.vec_id = x.vec_id left join k on k.vec_id = x.vec_id"""
+
 
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
+    return dict(ORACLE)
\ No newline at end of file
