@@ -12,13 +12,13 @@ extremes, so sketches of parts can be merged.
    pairs far below the threshold are dropped, the others confirmed on full sets.
 4. Confirmed links give components. Around a bucket's smallest class, those that
    are not in its component are compared with all others there, block by block
-   of registers inside the tasks; only likely pairs across components come out.
-   In rounds, the likeliest few of each class are confirmed and components joined
-   before more of what still lies across is asked for, in the last round all.
+   inside the tasks: the registers first name the classes that may be linked across
+   components, then these alone bring their full sets, are confirmed in the blocks, and
+   a spanning forest of their links comes out, never the pairs.
 
 A text without words or null has no shingles and links with nothing; fewer words
 than a shingle make one shingle of all of them. Repeated rows are copies of each
-other. Rows with a null id are returned with null id and component. Columns
+other. Rows with a null id link with nothing and have a null class and component. Columns
 besides the id and the text are ignored; an empty table gives no rows.
 """
 
@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,7 +43,7 @@ REGISTERS = BAND_ROWS * BANDS
 BASE, RATE, LIMIT = 1.15, 20.0, 255  # register values: floor(1 - log_BASE(x)), x with this rate, in one byte
 SLACK = 0.13  # four and a half standard deviations of the estimate at the threshold
 LEFT_BLOCK, RIGHT_BLOCK = 256, 4096  # classes of a group that are compared at once
-ROUNDS = (16, None)  # likeliest pairs of a class and block that come out, at last all
+BLOCK_SHINGLES = 1 << 21  # and shingles, but for one class that has more
 
 IS_WORD = np.ones(256, bool)
 IS_WORD[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
@@ -201,78 +202,137 @@ def likely_pairs(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return map_arrow(both, keep, f"a {kind}, b {kind}")
 
 
-def likely_across(members: DataFrame, found: DataFrame, classes: DataFrame, top: int | None) -> DataFrame:
-    """Likely pairs ``(a, b)`` between components, among the classes that share a
-    bucket's centre: ``a`` is not in the centre's component, ``b`` is not the centre and
-    not in ``a``'s component. With ``top`` only the likeliest of each ``a`` in a block.
-
-    A group is dealt into blocks by hash, ``LEFT_BLOCK`` of the former against
-    ``RIGHT_BLOCK`` of all, so it is spread over tasks however large it is, and its
-    pairs are only counted inside them."""
+def groups_across(members: DataFrame, found: DataFrame) -> DataFrame:
+    """``(centre, id, part, left)`` of the groups in which a class lies outside the component of
+    their centre; ``left`` marks such classes."""
     parts = found.toDF("id", "part")
     rows = members.join(parts, "id", "left").withColumn("part", F.coalesce("part", "id"))
     rows = rows.join(parts.toDF("centre", "main"), "centre", "left").withColumn("main", F.coalesce("main", "centre"))
-    rows = written(rows.withColumn("left", F.col("part") != F.col("main")), "parts")
-    sizes = rows.groupBy("centre").agg(F.count("*").alias("n"), F.count_if("left").alias("s")).where("s > 0 and n > 2")
-    rows = rows.where("id <> centre").join(sizes, "centre").select(
-        "centre", "id", "part", "left", F.ceil(F.col("s") / LEFT_BLOCK).cast("int").alias("i_n"),
-        F.ceil(F.col("n") / RIGHT_BLOCK).cast("int").alias("j_n"))
-    rows = classes.select("id", "n_shingles", "registers").hint("merge").join(rows, "id")
+    return written(rows.withColumn("left", F.col("part") != F.col("main")).where("id <> centre").drop("main"), "parts")
+
+
+def dealt(rows: DataFrame, sides: DataFrame) -> DataFrame:
+    """``rows`` of ``groups_across`` with the columns of ``sides`` (by id), dealt into blocks
+    ``(centre, i, j)``: ``i`` of the classes on the left, ``j`` of all, each of a bounded number of
+    classes and shingles, so a group is spread over tasks however large it is."""
+    rows = rows.join(sides.select("id", "n_shingles"), "id")
+
+    def blocks(some, rows_: int):
+        n, weight = F.sum(F.when(some, 1).otherwise(0)), F.sum(F.when(some, F.col("n_shingles")).otherwise(0))
+        return F.ceil(F.greatest(n / rows_, weight / BLOCK_SHINGLES)).cast("int")
+
+    sizes = rows.groupBy("centre").agg(blocks(F.col("left"), LEFT_BLOCK).alias("i_n"), blocks(F.lit(True), RIGHT_BLOCK).alias("j_n"),
+                                       F.count("*").alias("n")).where("i_n > 0 and n > 1").drop("n")
+    rows = sides.hint("merge").join(rows.drop("n_shingles").join(sizes, "centre"), "id")
     deal = lambda count, salt: F.pmod(F.xxhash64("id", F.lit(salt)), count).cast("int")
     every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
-    keep = ["centre", "id", "part", "n_shingles", "registers"]
+    keep = ["centre", "id", "part", *[c for c in sides.columns if c != "id"]]
     a = rows.where("left").select(*keep, F.lit(0).alias("side"), deal(F.col("i_n"), 1).alias("i"), every("j_n").alias("j"))
     b = rows.select(*keep, F.lit(1).alias("side"), every("i_n").alias("i"), deal(F.col("j_n"), 2).alias("j"))
+    return a.unionByName(b).repartition("centre", "i", "j").sortWithinPartitions("centre", "i", "j", "side")
+
+
+def by_block(batches: Iterator[pa.RecordBatch], work) -> Iterator[pa.RecordBatch]:
+    """What ``work(left, right)`` yields for every block of sorted, dealt rows."""
+    group, sides = None, ([], [])
+
+    def done() -> Iterator[pa.RecordBatch]:
+        if all(sides):
+            yield from work(*(pa.Table.from_batches(x).combine_chunks().to_batches()[0] for x in sides))
+
+    for batch in batches:
+        keys = list(zip(*(batch.column(c).to_pylist() for c in ("centre", "i", "j", "side"))))
+        cuts = [0, *(k for k in range(1, len(keys)) if keys[k] != keys[k - 1]), len(keys)]
+        for lo, hi in zip(cuts, cuts[1:]):
+            if keys and lo < hi:
+                if keys[lo][:3] != group:
+                    yield from done()
+                    group, sides = keys[lo][:3], ([], [])
+                sides[keys[lo][3]].append(batch.slice(lo, hi - lo))
+    yield from done()
+
+
+class Block:
+    """The classes on the left and on the right of one block, with numbers for their components."""
+
+    def __init__(self, left: pa.RecordBatch, right: pa.RecordBatch):
+        self.left, self.right = left, right
+        both = pa.chunked_array([left.column("part"), right.column("part")]).combine_chunks()
+        part = both.dictionary_encode().indices.to_numpy(zero_copy_only=False)
+        self.part_l, self.part_r = part[:left.num_rows].copy(), part[left.num_rows:].copy()
+        self.regs_l, self.regs_r = _matrix(left.column("registers")), _matrix(right.column("registers"))
+        self.n_l, self.n_r = (x.column("n_shingles").to_numpy().astype(float) for x in (left, right))
+
+    def likely(self, k: int) -> np.ndarray:
+        """Classes on the right, of other components, that the registers say may be linked with the ``k``-th on the left."""
+        n, floor = self.n_l[k], THRESHOLD_PERCENT / 100 - SLACK
+        fits = np.flatnonzero((self.part_r != self.part_l[k]) & (
+            np.minimum(n, self.n_r) * 100 >= np.maximum(n, self.n_r) * THRESHOLD_PERCENT))
+        own, far = self.regs_l[k], self.regs_r[fits]
+        guess = quick_overlap((own > far).sum(axis=1), (own < far).sum(axis=1), n, self.n_r[fits])
+        fits = fits[guess >= floor - 0.02]
+        if not len(fits):
+            return fits
+        guess = likely_overlap(np.broadcast_to(own, (len(fits), REGISTERS)), self.regs_r[fits], np.full(len(fits), n), self.n_r[fits])
+        return fits[guess >= floor]
+
+
+def likely_across(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """``(centre, id)`` of the classes in ``rows`` that may be linked across components."""
     kind = classes.schema["id"].dataType.simpleString()
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, left, right = None, [], []
-
-        def pairs() -> Iterator[pa.RecordBatch]:
-            if not left or not right:
-                return
-            l_, r_ = (pa.Table.from_batches(x).combine_chunks().to_batches()[0] for x in (left, right))
-            regs = _matrix(r_.column("registers"))
-            n_b = r_.column("n_shingles").to_numpy().astype(float)
-            part_b = r_.column("part").to_numpy(zero_copy_only=False)
-            floor = THRESHOLD_PERCENT / 100 - SLACK
-            for k in range(l_.num_rows):
-                n_a, part = float(l_.column("n_shingles")[k].as_py()), l_.column("part")[k].as_py()
-                fits = np.flatnonzero((part_b != part) & (np.minimum(n_a, n_b) * 100 >= np.maximum(n_a, n_b) * THRESHOLD_PERCENT))
-                own, far = np.frombuffer(l_.column("registers")[k].as_py(), np.uint8), regs[fits]
-                guess = quick_overlap((own > far).sum(axis=1), (own < far).sum(axis=1), n_a, n_b[fits])
-                good = np.flatnonzero(guess >= floor - 0.02)
-                if top is not None and len(good) > top:
-                    good = good[np.argpartition(-guess[good], top)[:top]]
-                fits = fits[good]
-                if len(fits):
-                    guess = likely_overlap(np.broadcast_to(own, (len(fits), REGISTERS)), regs[fits], np.full(len(fits), n_a), n_b[fits])
-                    fits = fits[guess >= floor]
-                if len(fits):
-                    yield pa.record_batch([l_.column("id").take(pa.array(np.full(len(fits), k))),
-                                           r_.column("id").take(pa.array(fits))], names=["a", "b"])
-
-        for batch in batches:
-            keys = list(zip(*(batch.column(c).to_pylist() for c in ("centre", "i", "j", "side"))))
-            cuts = [0, *(k for k in range(1, len(keys)) if keys[k] != keys[k - 1]), len(keys)]
-            for lo, hi in zip(cuts, cuts[1:]):
-                if keys and lo < hi:
-                    if keys[lo][:3] != group:
-                        yield from pairs()
-                        group, left, right = keys[lo][:3], [], []
-                    (right if keys[lo][3] else left).append(batch.slice(lo, hi - lo))
-        yield from pairs()
-
-    blocks = a.unionByName(b).repartition("centre", "i", "j").sortWithinPartitions("centre", "i", "j", "side")
-    return map_arrow(blocks, compare, f"a {kind}, b {kind}").distinct()
-
-
-def confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The pairs whose full sets overlap enough. Only sets of documents in a pair
-    are built, and written once."""
+    def flag(left: pa.RecordBatch, right: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        block = Block(left, right)
+        near_l, near_r = np.zeros(left.num_rows, bool), np.zeros(right.num_rows, bool)
+        for k in range(left.num_rows):
+            fits = block.likely(k)
+            near_l[k] = len(fits) > 0
+            near_r[fits] = True
+        for side, near in ((left, near_l), (right, near_r)):
+            yield side.select(["centre", "id"]).filter(pa.array(near))
+
+    blocks = dealt(rows, classes.select("id", "n_shingles", "registers"))
+    return map_arrow(blocks, lambda batches: by_block(batches, flag), f"centre {kind}, id {kind}").distinct()
+
+
+def links_across(rows: DataFrame, sides: DataFrame) -> DataFrame:
+    """Links ``(a, b)`` between components, confirmed on full sets inside the blocks. As soon as a
+    link joins two components of a block they count as one there, so a block gives a
+    spanning forest, fewer links than it has classes, and not all linked pairs."""
+    kind = sides.schema["id"].dataType.simpleString()
+
+    def link(left: pa.RecordBatch, right: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        block = Block(left, right)
+        sets_l, sets_r = left.column("members"), right.column("members")
+        flat = np.concatenate([sets_l.flatten().to_numpy(), sets_r.flatten().to_numpy()])
+        distinct, local = np.unique(flat, return_inverse=True)
+        local_l, local_r = local[:len(sets_l.flatten())], local[len(sets_l.flatten()):]
+        ends_l, ends_r = (np.cumsum(np.concatenate([[0], pc.list_value_length(x).to_numpy()])) for x in (sets_l, sets_r))
+        own, pairs = np.zeros(len(distinct), bool), []
+        for k in range(left.num_rows):
+            fits = block.likely(k)
+            if not len(fits):
+                continue
+            mine = local_l[ends_l[k]:ends_l[k + 1]]
+            own[mine] = True
+            both = np.array([np.count_nonzero(own[local_r[ends_r[f]:ends_r[f + 1]]]) for f in fits])
+            own[mine] = False
+            fits = fits[both * 100 >= (block.n_l[k] + block.n_r[fits] - both) * THRESHOLD_PERCENT]
+            for part, at in zip(*np.unique(block.part_r[fits], return_index=True)):
+                pairs.append((k, fits[at]))
+                for parts in (block.part_l, block.part_r):
+                    parts[parts == part] = block.part_l[k]
+        if pairs:
+            a, b = zip(*pairs)
+            yield pa.record_batch([left.column("id").take(pa.array(a)), right.column("id").take(pa.array(b))], names=["a", "b"])
+
+    return map_arrow(dealt(rows, sides), lambda batches: by_block(batches, link), f"a {kind}, b {kind}").distinct()
+
+
+def full_sets(wanted: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``(id, members)``: the shingles of the documents whose ``id`` is in ``wanted``, written once."""
     spec = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = spec.schema["id"].dataType.simpleString()
-    wanted = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -282,11 +342,16 @@ def confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str) ->
                 yield pa.record_batch([part.column("id"), pa.ListArray.from_arrays(
                     pa.array(offsets), pa.array(values.view(np.int64)))], names=["id", "members"])
 
-    sets = written(map_arrow(spec.hint("merge").join(wanted, "id", "left_semi"), build, f"id {kind}, members array<long>"), "sets")
+    return written(map_arrow(spec.hint("merge").join(wanted.distinct(), "id", "left_semi"), build,
+                             f"id {kind}, members array<long>"), "sets")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs whose full sets overlap enough."""
     common = F.size(F.array_intersect("set_a", "set_b")).cast("long")
     union = F.size("set_a").cast("long") + F.size("set_b") - common
     both = sets.toDF("b", "set_b").hint("merge").join(sets.toDF("a", "set_a").hint("merge").join(pairs, "a"), "b")
-    return (both.where(common * 100 >= union * THRESHOLD_PERCENT).select("a", "b").distinct())
+    return both.where(common * 100 >= union * THRESHOLD_PERCENT).select("a", "b").distinct()
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -314,24 +379,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shared = written(keys.join(centres.drop("n"), "key").select("key", "id", "centre"), "buckets")
     star = written(likely_pairs(shared.where("id <> centre").select(F.col("id").alias("a"), F.col("centre").alias("b"))
                                 .distinct(), classes), "star")
-    links = written(confirmed(star, docs, id_col, text_col), "links")
-
-    found, tried = components(links), None
-    members = written(shared.select("id", "centre").unionAll(shared.select(F.col("centre").alias("id"), "centre")).distinct(),
-                      "members")
-    for top in ROUNDS:
-        likely = written(likely_across(members, found, classes, top), "across")
-        if likely.isEmpty():
-            break
-        fresh = likely if tried is None else likely.join(tried, ["a", "b"], "left_anti")
-        more = written(confirmed(fresh, docs, id_col, text_col), "links")
-        tried = likely if tried is None else tried.unionAll(fresh)
-        if not more.isEmpty():
-            links = links.unionAll(more)
-            found = components(links)
+    both_ends = star.select(F.col("a").alias("id")).unionAll(star.select(F.col("b").alias("id")))
+    links = written(confirmed(star, full_sets(both_ends, docs, id_col, text_col)), "links")
+
+    # what lies outside the component of its bucket's centre is compared with all others there
+    members = shared.select("id", "centre").unionAll(shared.select(F.col("centre").alias("id"), "centre")).distinct()
+    rows = groups_across(members, components(links))
+    near = written(likely_across(rows, classes), "across")
+    sets = full_sets(near.select("id"), docs, id_col, text_col)
+    sets = sets.withColumn("n_shingles", F.size("members").cast("long")).dropDuplicates(["id", "n_shingles"])
+    sides = classes.select("id", "n_shingles", "registers").join(sets, ["id", "n_shingles"])
+    more = written(links_across(rows.join(near, ["centre", "id"], "left_semi"), sides), "links")
+    found = components(links.unionAll(more))
 
     ids = sketched.join(named, mark, "left").join(found.toDF("class_id", "component"), "class_id", "left")
+    ids = ids.withColumn("class_id", F.when(F.col("id").isNotNull(), F.col("class_id")))
     own = F.when(F.col("n_shingles") > 0, F.coalesce("component", "class_id", "id")).otherwise(F.col("id"))
+    own = F.when(F.col("id").isNotNull(), own)
     return ids.select(F.col("id").alias(id_col), "n_shingles", F.coalesce("class_id", "id").alias("class_id"),
                       own.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(False)))
