@@ -6,7 +6,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, LongType, StructField, StructType
+from pyspark.sql.types import DataType, LongType, MapType, StructField, StructType
 
 
 def col(c: str | Column) -> Column:
@@ -96,6 +96,14 @@ def spread_salt(never_matches: Column, row_cols: Sequence[str | Column],
     return F.when(never_matches, h).otherwise(F.lit(0)).cast("long")
 
 
+def hashable(c: Column, kind: DataType) -> Column:
+    """A column as hash functions take it: a type with maps inside becomes JSON text,
+    maps themselves as entries sorted by key, so equal maps give one text."""
+    if isinstance(kind, MapType):
+        return F.to_json(F.array_sort(F.map_entries(c)))
+    return F.to_json(F.struct(c.alias("v"))) if "map<" in kind.simpleString() else c
+
+
 JOIN_KEY = "_tv_jk"
 
 

@@ -40,6 +40,15 @@ def _unique_keys(df: DataFrame, keys: Sequence[str], side: str) -> DataFrame:
             .drop("_tv_rn"))
 
 
+def unique_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df``, whose job fails if a key repeats. The window is partitioned as a join on the keys
+    needs it, so the check adds a sort and no shuffle before one."""
+    w = Window.partitionBy(*keys).orderBy(*keys)
+    msg = F.lit(f"key {list(keys)} is not unique in the source")
+    return (df.withColumn("_tv_rn", F.row_number().over(w))
+            .where(F.when(F.col("_tv_rn") > 1, F.raise_error(msg)).otherwise(F.lit(True))).drop("_tv_rn"))
+
+
 def _side(df: DataFrame, tag: str, keys: Sequence[str], compare_cols: Sequence[str],
           payload_cols: Sequence[str] | None) -> DataFrame:
     cols = [F.col(k) for k in keys]

@@ -21,8 +21,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tablevault.functions.columns import any_null
-from tablevault.operators.sync import null_key_leftovers, sync_apply
+from tablevault.functions.columns import any_null, hashable
+from tablevault.operators.sync import null_key_leftovers, sync_apply, unique_keys
 from tablevault.sources import fs
 
 BUCKET = "_tv_bucket"
@@ -90,7 +90,7 @@ def read_rows(spark: SparkSession, target: str, state: State, only: Sequence[int
     if not parts:
         return None
     rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
-    return rows.drop(SOURCE_FILE)
+    return rows.drop(SOURCE_FILE, SOURCE_ROW)
 
 
 def next_version(spark: SparkSession, target: str, first: int = 1) -> int:
@@ -131,7 +131,7 @@ def write_buckets(incoming: DataFrame, target: str, keys: Sequence[str], buckets
         return after
     rows = sum(counts.values()) + (0 if prev is None else prev.count())  # of files: read off their footers
     parts = max(1, -(-rows // (rows_per_file * len(touched))))
-    part = F.when(any_null(keys), F.pmod(F.xxhash64(*merged.columns), F.lit(parts * len(touched)))).otherwise(
+    part = F.when(any_null(keys), F.pmod(F.xxhash64(*[hashable(F.col(f.name), f.dataType) for f in merged.schema]), F.lit(parts * len(touched)))).otherwise(
         F.pmod(F.xxhash64(F.lit(7), *[F.col(k) for k in keys]), F.lit(parts)))
     tasks = min(parts * len(touched), 100_000)
     dealt = merged.withColumn(BUCKET, bucket_of(keys, buckets)).repartition(tasks, F.col(BUCKET), part)
@@ -176,8 +176,10 @@ def read_snapshot(spark: SparkSession, target: str, version: int | None = None)
 
 
 def changed_rows(src: DataFrame, tgt: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Source rows that are new or differ from the target's row of their key, and
-    rows with a null key that the target does not hold.
+    """Source rows that are new or differ from what the target holds for their key, and
+    rows with a null key that the target does not hold. A non-null key that repeats
+    in the source fails the job, as in ``sync_diff``; one that repeats in the target is
+    replaced.
 
     The target's side of the join is its keys and two hashes of the columns that
     the source has; full rows of the target are not shuffled."""
@@ -187,13 +189,17 @@ def changed_rows(src: DataFrame, tgt: DataFrame, keys: Sequence[str]) -> DataFra
     def marks(df: DataFrame, side: str) -> list[Column]:
         cols = [F.col(c).cast(src.schema[c].dataType) if c in df.columns else F.lit(None).cast(src.schema[c].dataType)
                 for c in rest]
+        cols = [hashable(c, src.schema[n].dataType) for c, n in zip(cols, rest)]
         # which columns are null is hashed too: a null leaves a hash as it is
         nulls = F.concat(F.lit(""), *[F.when(c.isNull(), "1").otherwise("0") for c in cols])
         return [F.xxhash64(F.lit(n), *cols, nulls).alias(f"_tv_{side}{n}") for n in (1, 2)]
 
-    old = tgt.where(~any_null(keys)).select(*keys, *marks(tgt, "t"))
-    new = src.where(~any_null(keys)).select("*", *marks(src, "s"))
-    same = (F.col("_tv_s1") == F.col("_tv_t1")) & (F.col("_tv_s2") == F.col("_tv_t2"))
+    # one row for each key of the target, however often it stands there: a key that repeats
+    # counts as changed, so the sync replaces all of its rows by the source's one
+    old = tgt.where(~any_null(keys)).select(*keys, *marks(tgt, "t")).groupBy(*keys).agg(
+        F.count("*").alias("_tv_n"), *[F.max(f"_tv_t{n}").alias(f"_tv_t{n}") for n in (1, 2)])
+    new = unique_keys(src.where(~any_null(keys)), keys).select("*", *marks(src, "s"))
+    same = (F.col("_tv_n") == 1) & (F.col("_tv_s1") == F.col("_tv_t1")) & (F.col("_tv_s2") == F.col("_tv_t2"))
     out = new.join(old, keys, "left").where(~F.coalesce(same, F.lit(False))).select(*src.columns)
     if any(src.schema[k].nullable for k in keys):
         extra = null_key_leftovers(tgt.select(*[c for c in src.columns if c in tgt.columns]), src, keys)
@@ -204,7 +210,9 @@ def changed_rows(src: DataFrame, tgt: DataFrame, keys: Sequence[str]) -> DataFra
 def sync_run(src: DataFrame, target: str, keys, codec: str = "zstd", buckets: int = SYNC_BUCKETS) -> int:
     """One sync run into a versioned target: the source is applied (source wins,
     nothing deleted) to the newest committed state; returns the new version. The
-    first run is a full snapshot.
+    first run is a full snapshot. A non-null key that repeats in the source fails the
+    run and leaves the target as it was; running twice changes nothing, also if the target
+    holds repeated keys.
 
     Only new and changed rows are staged, and only the buckets of their keys are
     rewritten; a run that changes nothing writes a version without data files.
@@ -214,18 +222,21 @@ def sync_run(src: DataFrame, target: str, keys, codec: str = "zstd", buckets: in
     keys, spark = list(keys), src.sparkSession
     state = read_state(spark, target)
     if state.version is None:
-        return snapshot_full(src, target, codec)
+        nulls = src.where(any_null(keys))
+        return snapshot_full(unique_keys(src.where(~any_null(keys)), keys).unionByName(nulls), target, codec)
     tgt = read_rows(spark, target, state)
     staging = f"{target.rstrip('/')}/_staging/{uuid.uuid4().hex}"
-    (src if tgt is None else changed_rows(src, tgt, keys)).write.parquet(staging)
-    version = next_version(spark, target)
-    staged = spark.read.schema(src.schema).parquet(staging)
-    write_buckets(staged, target, keys, buckets, state, version, codec=codec)
-    fs.delete(spark, staging)
+    try:
+        (src if tgt is None else changed_rows(src, tgt, keys)).write.parquet(staging)
+        version = next_version(spark, target)
+        staged = spark.read.schema(src.schema).parquet(staging)
+        write_buckets(staged, target, keys, buckets, state, version, codec=codec)
+    finally:
+        fs.delete(spark, staging)
     return version
 
 
-SOURCE_FILE = "_tv_file"
+SOURCE_FILE, SOURCE_ROW = "_tv_file", "_tv_row"
 
 
 def plain_file(path: Column) -> Column:
@@ -235,15 +246,16 @@ def plain_file(path: Column) -> Column:
     return F.regexp_replace(decoded, "^file:/+", "file:/")
 
 
-def _reader(spark: SparkSession, path: str, schema: StructType | None, fmt: str, recursive: bool) -> DataFrame:
-    reader = (spark.read.format(fmt)
+def tolerant_reader(spark: SparkSession, path: str, schema: StructType | None, fmt: str, recursive: bool,
+                    options: dict[str, str] | None = None) -> DataFrame:
+    reader = (spark.read.format(fmt).options(**options or {})
               .option("ignoreCorruptFiles", "true")
               .option("ignoreMissingFiles", "true")
               .option("recursiveFileLookup", str(recursive).lower()))
     return (reader.schema(schema) if schema is not None else reader).load(path)
 
 
-def _losses(spark: SparkSession, path: str, rows: DataFrame, copied: DataFrame, recursive: bool) -> DataFrame:
+def file_losses(spark: SparkSession, path: str, rows: DataFrame, copied: DataFrame, recursive: bool) -> DataFrame:
     """Files not read whole: ``path``, ``length``, ``rows`` (by the file's footer, null if
     that is unreadable or counts none), ``copied`` and ``lost`` (null like ``rows``)."""
     listing = (spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(path)
@@ -261,15 +273,15 @@ def read_tolerant(spark: SparkSession, path: str, schema: StructType | None = No
 
     Returns ``(rows, skipped)``: ``rows`` skips unreadable or vanished files, and
     the rest of a file from its first unreadable page; ``skipped`` holds the files
-    with the rows they should have, gave and lost (see ``_losses``), found by
+    with the rows they should have, gave and lost (see ``file_losses``), found by
     reading all columns again. A readable file without rows is listed there too.
     Files in plain sub-folders are read and listed only with ``recursive``.
     """
-    rows = _reader(spark, path, schema, fmt, recursive)
+    rows = tolerant_reader(spark, path, schema, fmt, recursive)
     whole = F.xxhash64(*[F.col(c) for c in rows.columns])  # keeps every column in the scan
     copied = rows.select(plain_file(F.col("_metadata.file_path")).alias("path"), whole.alias("h")).groupBy("path").agg(
         (F.count_if(F.col("h") > 0) + F.count_if(F.col("h") <= 0)).alias("copied"))
-    return rows, _losses(spark, path, rows, copied, recursive)
+    return rows, file_losses(spark, path, rows, copied, recursive)
 
 
 def snapshot_tolerant(spark: SparkSession, path: str, target: str,
@@ -281,14 +293,14 @@ def snapshot_tolerant(spark: SparkSession, path: str, target: str,
     The copy carries each row's file, so the rows that were copied are counted from
     the copy itself; readers do not see that column. The report is written
     beside the version at once and describes this copy."""
-    rows = _reader(spark, path, schema, "parquet", recursive)
+    rows = tolerant_reader(spark, path, schema, "parquet", recursive)
     named = rows.select(*[c for c in rows.columns if c not in drop_cols],
                         plain_file(F.col("_metadata.file_path")).alias(SOURCE_FILE))
     version = snapshot_full(named, target, codec)
     copied = spark.read.schema(StructType([StructField(SOURCE_FILE, StringType())])).parquet(
         version_path(target, version)).groupBy(F.col(SOURCE_FILE).alias("path")).agg(F.count("*").alias("copied"))
     report = f"{target.rstrip('/')}/_reports/v={version}"
-    losses = _losses(spark, path, rows, copied, recursive)
+    losses = file_losses(spark, path, rows, copied, recursive)
     losses.write.parquet(report)
     return version, spark.read.schema(losses.schema).parquet(report)
 
