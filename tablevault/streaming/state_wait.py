@@ -5,7 +5,8 @@ events arrive in:
 
 * with state (the default): a streaming ``groupBy`` keeps, per key, the first time
   seen and the first time the target state was seen (RocksDB state store, one
-  small row per key ever seen) and emits the keys each micro-batch changed;
+  small row per key ever seen, never removed) and emits the keys each micro-batch
+  changed; ``expiring_wait`` is the form whose state follows the active keys;
 * without (``keep_state=False``): every micro-batch emits the two minima of its own
   events. Nothing is kept between batches, so there is nothing to evict and no
   event is too late.
@@ -31,13 +32,8 @@ from tablevault.sources import fs
 COMPACT_EVERY = 16
 
 
-def wait_updates(stream: DataFrame, key: str, ts: str, state: str, target: str,
-                 watermark: str | None = None) -> DataFrame:
-    s = stream
-    if watermark:
-        # Watermarks need TIMESTAMP; parquet times arrive as TIMESTAMP_NTZ.
-        s = s.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark)
-    return s.groupBy(key).agg(
+def wait_updates(stream: DataFrame, key: str, ts: str, state: str, target: str) -> DataFrame:
+    return stream.groupBy(key).agg(
         F.min(ts).alias("started"),
         F.min(F.when(F.col(state) == F.lit(target), F.col(ts))).alias("reached_at"))
 
@@ -64,7 +60,7 @@ def compact_updates(spark: SparkSession, out_dir: str, key: str) -> None:
 
 
 def wait_stream(stream: DataFrame, key: str, ts: str, state: str, target: str, out_dir: str,
-                checkpoint: str, watermark: str | None = None, available_now: bool = True,
+                checkpoint: str, available_now: bool = True,
                 keep_state: bool = True, compact_every: int = COMPACT_EVERY) -> StreamingQuery:
     """Start the wait profile stream; see above for ``keep_state``."""
 
@@ -74,7 +70,7 @@ def wait_stream(stream: DataFrame, key: str, ts: str, state: str, target: str, o
         if (batch_id + 1) % compact_every == 0:
             compact_updates(batch.sparkSession, out_dir, key)
 
-    updates = wait_updates(stream, key, ts, state, target, watermark) if keep_state else stream
+    updates = wait_updates(stream, key, ts, state, target) if keep_state else stream
     writer = (updates.writeStream.outputMode("update" if keep_state else "append").foreachBatch(sink)
               .option("checkpointLocation", checkpoint))
     if available_now:
