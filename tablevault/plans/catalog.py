@@ -705,8 +705,16 @@ ORACLE_SQL: dict[str, str] = {
 
 
 def queries() -> dict[str, Query]:
-    return dict(QUERIES)
+    return QUERIES | _further("QUERIES")
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: v.strip() for k, v in ORACLE_SQL.items() if k in QUERIES}
+    found = ORACLE_SQL | _further("ORACLE_SQL")
+    return {k: v.strip() for k, v in found.items() if k in queries()}
+
+
+def _further(name: str) -> dict:
+    """The queries of the other modules of this folder, which build on this one."""
+    from tablevault.plans import listings_more, recovery
+
+    return getattr(recovery, name) | getattr(listings_more, name)
