@@ -127,6 +127,24 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix(out)
 
 
+def spans_equal(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether the ``size`` bytes at ``a`` are those at ``b``, pair by pair."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    out = np.ones(len(a), bool)
+    live, at = np.flatnonzero((a != b) & (size > 0) & (size <= LONG_SPAN)), 0
+    while len(live):
+        differ = eight[a[live] + at] ^ eight[b[live] + at]
+        left = size[live] - at
+        short = left < 8
+        differ[short] &= (np.uint64(1) << (left[short].astype(np.uint64) * np.uint64(8))) - np.uint64(1)
+        out[live[differ != 0]] = False
+        live, at = live[(differ == 0) & (left > 8)], at + 8
+    for k in np.flatnonzero((a != b) & (size > LONG_SPAN)):
+        out[k] = np.array_equal(data[a[k]:a[k] + size[k]], data[b[k]:b[k] + size[k]])
+    return out
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` below the shared folder and read it back: it is computed
     once, its lineage ends there, and lost executors cost no earlier work."""

@@ -1,15 +1,16 @@
-"""Token counts of whole texts, huge ones by overlapping chunks.
+"""Token counts of whole texts by overlap resynchronisation.
 
-A text up to ``huge_chars`` characters is counted as the sum of its units
-between spaces and line feeds, each distinct unit encoded once while it is kept: the
-tokenizer's own pre-tokenizer never joins what stands on both sides of white
-space, so no token crosses it.
+A text longer than a chunk is cut into chunks that overlap, each encoded with offsets on
+its own. Two neighbours are spliced at a boundary where both start a token at the same
+character and which is proven to be stable: there the tokenizer's own file says that no token
+reaches across and that neither side depends on the other (``stable_at``). Tokens of the one
+chunk before it and of the other from it on are counted. If an overlap holds no such
+boundary it is widened, back to the start of its chunk, and then the chunk itself. That holds for
+every text longer than a chunk and for ``.json`` and ``.model`` files alike; only tokenizers
+whose file does not prove a boundary encode whole texts.
 
-A longer text is cut into chunks that overlap. Each chunk is encoded with
-offsets. Two neighbours are spliced at a boundary where both start a token at
-the same character, and white space stands before it, so that tokens to the
-left depend on nothing to the right and the other way round. If the overlap
-holds no such boundary it is widened, up to the whole rest of the text.
+Within a chunk, a tokenizer that drops white space encodes each distinct unit between
+blanks once and reuses its ids while it is kept; a unit's bytes are compared before its ids are.
 
 Null and empty texts have 0 tokens; repeated rows are counted each; columns
 besides the id and the text are ignored; an empty table gives no rows.
@@ -29,10 +30,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablevault.llm.common import flat_text, map_arrow, slices, span_hashes, word_spans
+from tablevault.llm.common import flat_text, map_arrow, slices, span_hashes, spans_equal, word_spans
 
-HUGE_CHARS = 32_768
-CHUNK_CHARS = 16_384
+CHUNK_CHARS = 4096
 OVERLAP_CHARS = 256
 KNOWN_UNITS = 500_000  # distinct units whose ids a process keeps
 
@@ -101,11 +101,39 @@ def lowers_and_splits_words(spec: dict) -> bool:
             and pre[0]["pattern"] == {"Regex": _WORD_SPLIT} and not pre[1]["add_prefix_space"] and not pre[1]["use_regex"])
 
 
+BLANK_BEFORE, BLANK_HERE = "a blank before", "one blank here"
+
+
+def stable_at(path: str) -> str | None:
+    """The kind of place at which a tokenizer provably starts a token that depends on
+    nothing before it, and before which nothing depends on what follows; None if its file
+    proves none.
+
+    ``BLANK_BEFORE``: white space is dropped, so a token starts after it. ``BLANK_HERE``: a single
+    space between two characters that are no white space begins a word: with a byte-level
+    pre-tokenizer because its pattern takes the space to what follows and never
+    goes on over one; in a sentencepiece model because no piece holds a space after
+    another character."""
+    if path.endswith(".model"):
+        tok = load(path)
+        pieces = (tok.id_to_piece(k) for k in range(tok.get_piece_size()))
+        return None if any("\u2581" in p.lstrip("\u2581") for p in pieces) else BLANK_HERE
+    spec = _spec(path)
+    if splits_at_blanks(spec):
+        return BLANK_BEFORE
+    steps = spec.get("pre_tokenizer") or {}
+    steps = steps.get("pretokenizers", [steps])
+    plain = not spec.get("normalizer") and not any(
+        any(c.isspace() for c in t["content"]) or t["lstrip"] or t["rstrip"] for t in spec.get("added_tokens", []))
+    byte_level = len(steps) == 1 and steps[0].get("type") == "ByteLevel" and steps[0].get("use_regex", True)
+    return BLANK_HERE if plain and byte_level else None
+
+
 class Encoder:
     """Token ids of texts.
 
     A text is the sequence of its units between spaces and line feeds. Distinct
-    units, told apart by 64-bit hashes, are encoded once while they are kept, in
+    units, told apart by their bytes, are encoded once while they are kept, in
     all tasks of a Python process; texts are then put together from their ids.
     Tokenizers that join over blanks encode whole texts."""
 
@@ -127,7 +155,7 @@ class Encoder:
         return cls._all[path]
 
     def _forget(self) -> None:
-        self.slots: dict[int, int] = {}  # by hash
+        self.slots: dict[bytes, int] = {}
         self.words: dict[str, bytes] = {"": b""}
         self.ids, self.starts = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
@@ -149,107 +177,186 @@ class Encoder:
         other = iter(self._bytes(self.tok, [u for u, c in zip(new, cells) if c is None]))
         return [self.words[c[0]] + self.words[c[1]] if c else next(other) for c in cells]
 
-    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, one after the other, and the number of each; null is empty."""
-        if not self.cut:
-            coded = self._bytes(self.tok, pc.fill_null(texts, "").to_pylist())
-            return np.frombuffer(b"".join(coded), "<u4"), np.fromiter((len(c) // 4 for c in coded), np.int64, len(coded))
+    def units(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Where each unit of the texts begins, as a byte of its text; its text; its slot; its number of ids."""
         data, offsets = flat_text(texts)
         begin, end, rows = word_spans((data != 32) & (data != 10), offsets)
         if not len(begin):
-            return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
-        code, distinct = pd.factorize(span_hashes(data, begin, end))
+            return (np.zeros(0, np.int64),) * 4
+        code, first = distinct_spans(data, begin, end)
         if len(self.slots) > KNOWN_UNITS:
             self._forget()
-        hashes = distinct.tolist()
-        new = [k for k, h in enumerate(hashes) if h not in self.slots]
+        raw = data.tobytes()
+        found = [raw[a:b] for a, b in zip(begin[first].tolist(), end[first].tolist())]
+        new = [u for u in found if u not in self.slots]
         if new:
-            first = np.empty(len(distinct), np.int64)
-            first[code[::-1]] = np.arange(len(code) - 1, -1, -1)  # where each stands first
-            at = first[new]
-            raw = data.tobytes()
-            coded = self.of_units([raw[a:b].decode() for a, b in zip(begin[at].tolist(), end[at].tolist())])
+            coded = self.of_units([u.decode() for u in new])
             n = len(self.slots)
-            self.slots.update(zip((hashes[k] for k in new), range(n, n + len(new))))
+            self.slots.update(zip(new, range(n, n + len(new))))
             sizes = np.fromiter((len(c) // 4 for c in coded), np.int64, len(coded))
             self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(coded), "<u4")])
             self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
-        slot = np.fromiter((self.slots[h] for h in hashes), np.int64, len(hashes))[code]
-        size = self.starts[slot + 1] - self.starts[slot]
+        slot = np.fromiter((self.slots[u] for u in found), np.int64, len(found))[code]
+        return begin - offsets[rows], rows, slot, self.starts[slot + 1] - self.starts[slot]
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and the number of each; null is empty."""
+        if not self.cut:
+            coded = self._bytes(self.tok, pc.fill_null(texts, "").to_pylist())
+            return np.frombuffer(b"".join(coded), "<u4"), np.fromiter((len(c) // 4 for c in coded), np.int64, len(coded))
+        _, rows, slot, size = self.units(texts)
+        if not len(rows):
+            return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
         ends = np.cumsum(size)
         ids = self.ids[np.repeat(self.starts[slot] - (ends - size), size) + np.arange(ends[-1])]
         counts = np.bincount(rows, size, minlength=len(texts)).astype(np.int64)
         return ids, counts
 
 
-def chunked_count(tok, text: str, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS) -> int:
-    """Tokens of a text, encoded in overlapping chunks of ``chunk`` characters."""
-    total, at, n = 0, 0, len(text)  # tokens that start before ``at`` are counted
-    begin = 0
+def distinct_spans(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each span, equal for equal bytes, and where each number stands first. Hashes find
+    candidates, bytes decide."""
+    code, distinct = pd.factorize(span_hashes(data, begin, end))
+    first = np.empty(len(distinct), np.int64)
+    first[code[::-1]] = np.arange(len(code) - 1, -1, -1)
+    of = first[code]
+    size = end - begin
+    if not ((size == size[of]) & spans_equal(data, begin, begin[of], np.minimum(size, size[of]))).all():
+        raw, seen = data.tobytes(), {}
+        code = np.array([seen.setdefault(raw[a:b], len(seen)) for a, b in zip(begin.tolist(), end.tolist())], np.int64)
+        first = np.empty(len(seen), np.int64)
+        first[code[::-1]] = np.arange(len(code) - 1, -1, -1)
+    return code, first
+
+
+def chunk_spans(text: bytes, chunk: int, overlap: int) -> list[tuple[int, int]]:
+    """Overlapping chunks of a UTF-8 text, cut between characters."""
+    spans, lo = [], 0
     while True:
-        end = min(n, begin + chunk)
-        here = _starts(tok, text, begin, end)
-        if end == n:
-            return total + int((here >= at).sum())
+        hi = min(len(text), lo + chunk)
+        while hi < len(text) and text[hi] & 0xC0 == 0x80:
+            hi -= 1
+        spans.append((lo, hi))
+        if hi == len(text):
+            return spans
+        lo = max(lo + 1, hi - overlap)
+        while text[lo] & 0xC0 == 0x80:
+            lo += 1
+
+
+def counts_by_units(encode: Encoder, texts: list[bytes], chunk: int, overlap: int) -> list[tuple[int, int]]:
+    """Tokens and chunks of texts of a tokenizer that drops white space: the chunks of all texts are
+    encoded together, with the offsets of their units, and spliced one after the other. A
+    text in which an overlap has no boundary goes to ``chunked_count``, which widens it."""
+    spans = [chunk_spans(t, chunk, overlap) for t in texts]
+    pieces = pa.array([t[lo:hi] for t, of in zip(texts, spans) for lo, hi in of], pa.binary()).cast(pa.string())
+    at, rows, _, size = encode.units(pieces)
+    edges = np.searchsorted(rows, np.arange(len(pieces) + 1))
+    total = np.concatenate([[0], np.cumsum(size)])
+    out, k = [], 0
+    for text, of in zip(texts, spans):
+        tokens, begin = 0, edges[k]  # the first unit that is still to be counted
+        for n, (lo, hi) in enumerate(of):
+            last, after = edges[k + n + 1], None
+            if n + 1 < len(of):
+                here = at[begin:last] + lo
+                there = of[n + 1][0]
+                # units that start behind the overlap's first byte have their blank inside it
+                if not len(here) or here[-1] <= there:
+                    tokens = None
+                    break
+                p = here[-1]  # the chunk's end may cut this unit, and cannot move its start
+                after = edges[k + n + 1] + int(np.searchsorted(at[edges[k + n + 1]:edges[k + n + 2]], p - there))
+                last -= 1
+            tokens += int(total[last] - total[begin])
+            begin = after
+        if tokens is None:
+            out.append(chunked_count(encode.tok, text.decode(), BLANK_BEFORE, chunk, overlap))
+        else:
+            out.append((tokens, len(of)))
+        k += len(of)
+    return out
+
+
+def chunked_count(tok, text: str, stable: str, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS) -> tuple[int, int]:
+    """Tokens of a text, encoded in overlapping chunks of ``chunk`` characters, and the number of chunks."""
+    total, at, n, begin, chunks = 0, 0, len(text), 0, 1  # tokens that start before ``at`` are counted
+    end = min(n, chunk)
+    here = _starts(tok, text, 0, end)
+    while end < n:
         width = overlap
         while True:
-            low = max(at, end - width)
-            high = min(n, end + width)
+            low = max(begin, end - width)
+            high = min(n, max(low + chunk, end + overlap))
             there = _starts(tok, text, low, high)
-            splice = _common(text, here, there, low, end)
-            if splice is not None:
+            splice = _common(text, here, there, low, end, stable)
+            if splice is not None and splice > at:
                 break
-            if low <= at:
-                # no boundary in the whole chunk: make it longer
+            if low <= begin:  # no boundary in the whole chunk: make it longer
                 end = min(n, begin + 2 * (end - begin))
                 here = _starts(tok, text, begin, end)
                 if end == n:
-                    return total + int((here >= at).sum())
+                    return total + int((here >= at).sum()), chunks
                 width = overlap
-                continue
-            width *= 2
+            else:
+                width *= 2
         total += int(((here >= at) & (here < splice)).sum())
-        begin = at = splice
+        at, begin, end, here, chunks = splice, low, high, there, chunks + 1
+    return total + int((here >= at).sum()), chunks
 
 
 def _starts(tok, text: str, lo: int, hi: int) -> np.ndarray:
     """Where the tokens of a stretch start, as characters of the text."""
-    offsets = tok.encode(text[lo:hi], add_special_tokens=False).offsets
-    return np.fromiter((a for a, _ in offsets), np.int64, len(offsets)) + lo
-
-
-def _common(text: str, here: np.ndarray, there: np.ndarray, low: int, end: int) -> int | None:
-    """The last character before ``end`` at which both encodings start a token
-    right after white space, with the same starts from there to ``end`` but for
-    the word that the end cuts."""
-    both = np.intersect1d(here, there)
-    for p in both[::-1]:
-        p = int(p)
-        if low < p < end and text[p - 1] in " \n":
+    part = text[lo:hi]
+    if hasattr(tok, "encode_batch_fast"):
+        return np.array([a for a, _ in tok.encode(part, add_special_tokens=False).offsets], np.int64) + lo
+    # sentencepiece counts bytes
+    raw = np.frombuffer(part.encode() + b"\0", np.uint8)
+    character = np.cumsum((raw & 0xC0) != 0x80) - 1
+    return character[np.array([p.begin for p in tok.encode(part, return_type="proto").pieces], np.int64)] + lo
+
+
+def _common(text: str, here: np.ndarray, there: np.ndarray, low: int, end: int, stable: str) -> int | None:
+    """The last stable place inside ``low`` and ``end`` at which both encodings start a token."""
+    for p in np.intersect1d(here, there)[::-1].tolist():
+        if not low < p < end - 1:
+            continue
+        if stable == BLANK_BEFORE and text[p - 1] in " \n":
+            return p
+        # some libraries give a word's offset with its blank, some without
+        blank = p if text[p] == " " else p - 1
+        if stable == BLANK_HERE and low < blank and text[blank] == " " and not text[blank - 1].isspace() and not text[blank + 1].isspace():
             return p
     return None
 
 
 def count_tokens(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
-                 huge_chars: int = HUGE_CHARS, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
-    """``(id, n_bytes, n_tokens)`` of every row; ``tokenizer`` is a file path
-    that every executor can open (an installed package's data file)."""
-    spec = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+                 chunk_chars: int = CHUNK_CHARS, overlap_chars: int = OVERLAP_CHARS) -> DataFrame:
+    """``(id, n_bytes, n_tokens, n_chunks)`` of every row; ``tokenizer`` is a file path
+    that every executor can open (an installed package's data file). ``n_chunks`` is the number
+    of chunks a text was spliced from, 1 for a text that is no longer than one."""
+    spec = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder.of(tokenizer)
+        encode, stable = Encoder.of(tokenizer), stable_at(tokenizer)
         for batch in batches:
             for part in slices(batch, "text"):
                 texts = pc.fill_null(part.column("text"), "")
-                huge = pc.greater(pc.utf8_length(texts), huge_chars if encode.cut else 1 << 31)
-                counts = encode(pc.if_else(huge, "", texts))[1]
-                for k in np.flatnonzero(huge.to_numpy(zero_copy_only=False)).tolist():
-                    counts[k] = chunked_count(encode.tok, texts[k].as_py(), chunk_chars)
-                yield pa.record_batch([part.column("id"), pc.cast(pc.binary_length(texts), pa.int64()), pa.array(counts)],
-                                      names=["id", "n_bytes", "n_tokens"])
-
-    out = map_arrow(spec, count, f"id {spec.schema['id'].dataType.simpleString()}, n_bytes long, n_tokens long")
+                size = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+                long = size > chunk_chars if stable else np.zeros(len(size), bool)
+                counts, chunks = encode(pc.if_else(pa.array(long), "", texts))[1], np.ones(len(size), np.int64)
+                places = np.flatnonzero(long)
+                if stable == BLANK_BEFORE:
+                    found = counts_by_units(encode, texts.take(pa.array(places)).cast(pa.binary()).to_pylist(), chunk_chars, overlap_chars)
+                else:
+                    found = [chunked_count(encode.tok, texts[k].as_py(), stable, chunk_chars, overlap_chars) for k in places.tolist()]
+                for k, (n, of) in zip(places.tolist(), found):
+                    counts[k], chunks[k] = n, of
+                yield pa.record_batch([part.column("id"), pa.array(size), pa.array(counts), pa.array(chunks)],
+                                      names=["id", "n_bytes", "n_tokens", "n_chunks"])
+
+    out = map_arrow(spec, count, f"id {spec.schema['id'].dataType.simpleString()}, n_bytes long, n_tokens long, n_chunks long")
     return out.withColumnRenamed("id", id_col)
 
 
-__all__ = ["Encoder", "chunked_count", "count_tokens", "load", "splits_at_blanks"]
+__all__ = ["Encoder", "chunked_count", "count_tokens", "load", "splits_at_blanks", "stable_at"]

@@ -35,30 +35,63 @@ def test_token_counts_equal_the_library(spark):
     texts = odd_texts()
     want = [(k, len((t or "").encode()), len(i)) for k, (t, i) in enumerate(zip(texts, ids_of(texts)))]
     docs = with_clashes(docs_of(spark, texts))
-    for huge, chunk in ((token_count.HUGE_CHARS, token_count.CHUNK_CHARS), (500, 300)):
-        got = token_count.count_tokens(docs, tokenizer_file(), huge_chars=huge, chunk_chars=chunk)
+    for chunk, overlap in ((token_count.CHUNK_CHARS, token_count.OVERLAP_CHARS), (300, 40), (40, 10)):
+        got = token_count.count_tokens(docs, tokenizer_file(), chunk_chars=chunk, overlap_chars=overlap)
         assert rows(got, "doc_id", "n_bytes", "n_tokens") == sorted(want, key=str)
     assert token_count.count_tokens(docs_of(spark, []), tokenizer_file()).count() == 0
 
 
-@pytest.mark.parametrize("chunk,overlap", [(200, 10), (1000, 64), (16384, 256)])
-def test_chunks_are_spliced_where_both_agree(chunk, overlap):
-    tok, rng = library(), random.Random(1)
+FILES = ("word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model")
+
+
+def whole(tok, text):
+    return len(tok.encode(text, add_special_tokens=False).ids if hasattr(tok, "encode_batch_fast") else tok.encode(text))
+
+
+@pytest.mark.parametrize("name", FILES)
+@pytest.mark.parametrize("chunk,overlap", [(200, 10), (1000, 64), (4096, 256)])
+def test_chunks_are_spliced_where_both_agree(name, chunk, overlap):
+    import public_tokenizers
+
+    path, rng = public_tokenizers.path(name), random.Random(1)
+    tok, stable = token_count.load(path), token_count.stable_at(path)
     big = "".join(rng.choice(MIXED + "     abcdef") for _ in range(20_000))
-    for text in (big, prose(2, 3000), "x" * 3000, "a b " * 2000, "", " "):
-        assert token_count.chunked_count(tok, text, chunk, overlap) == len(tok.encode(text, add_special_tokens=False).ids)
+    for text in (big, prose(2, 3000), "x" * 3000, "a b " * 2000, "", " ", " " * 5000, "日本語" * 900, "<|endoftext|> it's " * 300):
+        assert token_count.chunked_count(tok, text, stable, chunk, overlap)[0] == whole(tok, text)
+        if stable == token_count.BLANK_BEFORE:
+            encode = token_count.Encoder.of(path)
+            assert token_count.counts_by_units(encode, [text.encode()], chunk, overlap)[0][0] == whole(tok, text)
+
+
+@pytest.mark.parametrize("name", FILES)
+def test_every_text_longer_than_a_chunk_is_spliced(spark, name):
+    import public_tokenizers
+
+    path = public_tokenizers.path(name)
+    tok = token_count.load(path)
+    texts = [None, "", "a  b\nc", prose(1, 50), prose(2, 1500), prose(3, 30_000), ("é😀 it's\n" + prose(4, 20)) * 900]
+    assert max(len(t or "") for t in texts) > 100_000
+    got = {r["doc_id"]: r for r in token_count.count_tokens(docs_of(spark, texts), path).collect()}
+    for k, t in enumerate(texts):
+        assert got[k]["n_tokens"] == whole(tok, t or "")
+        n = len((t or "").encode())
+        assert (got[k]["n_chunks"] > n // (token_count.CHUNK_CHARS + token_count.OVERLAP_CHARS) // 2 if n > 2 * token_count.CHUNK_CHARS
+                else True) and (got[k]["n_chunks"] == 1 or n > token_count.CHUNK_CHARS)
+    assert sum(r["n_chunks"] > 1 for r in got.values()) == 3
+
 
+def test_tokenizers_that_prove_no_boundary_encode_whole_texts(tmp_path):
+    import json
 
-def test_other_tokenizers_encode_whole_texts(spark):
     import public_tokenizers
 
-    texts = [None, "", "a  b\nc", prose(1, 50)]
-    for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"):
-        path = public_tokenizers.path(name)
-        tok = token_count.load(path)
-        want = [len(tok.encode(t or "", **({"add_special_tokens": False} if name.endswith("json") else {}))) for t in texts]
-        got = token_count.count_tokens(docs_of(spark, texts), path)
-        assert [r[1] for r in rows(got, "doc_id", "n_tokens")] == want
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        spec = json.load(f)
+    for change in ({"normalizer": {"type": "NFC"}}, {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}}):
+        path = str(tmp_path / f"{len(change)}{next(iter(change))}.json")
+        with open(path, "w", encoding="utf-8") as f:
+            json.dump(spec | change, f)
+        assert token_count.stable_at(path) is None
 
 
 def test_rans_round_trips_and_decodes_from_checkpoints():
