@@ -219,8 +219,10 @@ def test_longest_matches_and_odd_tables(spark):
     a = prose(1, 60).split()
     docs = docs_of(spark, ["z " + " ".join(a[4:44]) + " q"])
     bench = spark.createDataFrame([("i", " ".join(a))], "item_id string, text string")
-    (r,) = decontaminate.find_matches(docs, bench).collect()
-    assert max(r["longest"], key=lambda m: m["n_words"]).asDict() == {"item_id": "i", "item_word": 4, "word": 1, "n_words": 40}
+    found = rows(decontaminate.longest_matches(docs, bench), "item_word", "doc_id", "word", "n_words")
+    assert found == sorted(((4 + k, 0, 1 + k, 40 - k) for k in range(31)), key=str)
+    assert decontaminate.longest_matches(docs_of(spark, []), bench).isEmpty()
+    assert decontaminate.longest_matches(docs, bench.where("false")).isEmpty()
     assert decontaminate.find_matches(docs_of(spark, []), bench).count() == 0
     assert [x["n_hit"] for x in decontaminate.find_matches(docs, bench.where("false")).collect()] == [0]
     wide = decontaminate.find_matches(docs, bench, window=24)  # longer than the default order
@@ -231,8 +233,35 @@ def test_longest_matches_among_copies_that_part_after_the_order(spark):
     a, b = prose(1, 200).split(), prose(2, 40).split()
     texts = [" ".join(a[:18]) + " q0 " + " ".join(b[:12]), " ".join(a[:17]) + " q1", "q2 " + " ".join(a) + " q3",
              " ".join(a[:20]) + " q4", "q5 q6 " + " ".join(a) + " q7 " + " ".join(b[:12]) + " q8"]
-    docs = docs_of(spark, texts).coalesce(1)  # one shard
     bench = spark.createDataFrame([("a", " ".join(a)), ("b", " ".join(b))], "item_id string, text string")
-    got = sorted((m["item_id"], r["doc_id"], m["word"], m["n_words"])
-                 for r in decontaminate.find_matches(docs, bench).collect() for m in r["longest"] if m["item_word"] == 0)
-    assert got == [("a", 2, 1, 200), ("a", 4, 2, 200), ("b", 0, 19, 12), ("b", 4, 203, 12)]
+    for parts in (1, 5):  # one shard, and a shard for each text
+        docs = docs_of(spark, texts).repartition(parts)
+        got = rows(decontaminate.longest_matches(docs, bench).where("item_word = 0"), "item_id", "doc_id", "word", "n_words")
+        assert got == [("a", 2, 1, 200), ("a", 4, 2, 200), ("b", 0, 19, 12), ("b", 4, 203, 12)]
+
+
+def test_repetitive_text_gives_one_row_for_each_suffix_and_document(spark):
+    docs = docs_of(spark, ["a " * 20_000, "a " * 70, "b"])
+    bench = spark.createDataFrame([("q", "a " * 100)], "item_id string, text string")
+    got = rows(decontaminate.longest_matches(docs, bench), "item_word", "doc_id", "word", "n_words")
+    want = [(k, 0, 0, 100 - k) for k in range(91)] + [(k, 1, 0, 100 - k) for k in range(30, 91)]
+    assert got == sorted(want, key=str)
+
+
+def test_benchmark_of_many_blocks_is_opened_block_by_block(spark, monkeypatch):
+    items = [(f"i{k}", prose(k, 30)) for k in range(200)]
+    bench = spark.createDataFrame(items + items[:50] * 3, "item_id string, text string").repartition(4)
+    paths = decontaminate.item_blocks(bench, "item_id", "text", 4000)
+    assert len(paths) > 8
+    blocks = [decontaminate.read_block(p, 10) for p in paths]
+    assert sorted(n for b in blocks for n in b.names) == sorted(n for n, _ in items)  # repeated rows once
+    held = decontaminate.Blocks(paths, 10)
+    assert sum(len(q.names) for q in held) == 200 and held.held[0] == paths[-1]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1k")
+    try:
+        docs = docs_of(spark, [f"start {items[k][1]} end" if k % 2 else prose(1000 + k, 40) for k in range(60)])
+        got = decontaminate.find_matches(docs, bench, block_bytes=4000)
+        assert rows(got, "doc_id", "n_hit", "items") == sorted(
+            ((k, 30, [f"i{k}"]) if k % 2 else (k, 0, []) for k in range(60)), key=str)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
