@@ -1,15 +1,17 @@
 """WARC archives written from and read into rows of chunks.
 
-A payload travels as rows ``(record, chunk number, bytes)`` of at most
-``CHUNK_BYTES``, in order. Digests are carried along chunk by chunk, in the
-writer as in the reader, and compression is streamed, so no step holds a record.
+A payload is cut into rows ``(record, chunk number, bytes)`` of at most
+``CHUNK_BYTES`` in the task that reads it, and travels as these: what is shuffled, sorted,
+handed to Python, compressed and read back is chunks in order, and digests are carried along
+chunk by chunk. A payload is whole only in the row that the scan gives and its hash, which
+marks the record.
 
 A record whose payload equals that of a record with a smaller page id, and has
 at least ``MIN_REVISIT`` bytes, becomes a revisit of it without a body. Tasks write
 archives under names no other attempt uses; the committed manifest table says
 which of them count. Every record is a gzip member of its own.
 
-Null payloads are empty, null urls ``about:blank``; a null page id is kept as null
+Ids are percent-encoded in headers, so any character can stand in one. Null payloads are empty, null urls ``about:blank``; a null page id is kept as null
 and revisits like any other, but is revisited only if all equal ones are null.
 Rows that repeat a page id with the same payload are all responses if they are
 the first. Other columns are ignored. An empty table gives no archives and no rows.
@@ -22,6 +24,7 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -99,10 +102,10 @@ def _head(row: dict) -> tuple[bytes, bytes]:
              "Content-Type: application/http;msgtype=response",
              f"Content-Length: {len(http) + (0 if revisit else row['payload_bytes'])}"]
     if row["page_id"] is not None:
-        lines.append(f"{PAGE_ID}: {row['page_id']}")
+        lines.append(f"{PAGE_ID}: {quote(str(row['page_id']), safe='')}")
     if revisit:
         lines += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: {_record_id(row['refers_to'], row['mark'])}",
-                  f"{REFERS_TO_PAGE_ID}: {row['refers_to']}"]
+                  f"{REFERS_TO_PAGE_ID}: {quote(str(row['refers_to']), safe='')}"]
     return ("\r\n".join(lines) + "\r\n\r\n").encode(), http
 
 
@@ -112,21 +115,22 @@ def write_archives(pages: DataFrame, target: str, id_col: str = "page_id", url_c
     ``part``, ``seq``, ``n_records``, ``n_bytes``), written there too."""
     free_shuffles(pages.sparkSession)
     payload = F.coalesce(F.col(payload_col).cast("binary"), F.lit(b""))
-    rows = pages.select(F.col(id_col).alias("page_id"), F.xxhash64(payload).alias("mark"),
+    # a row's own number keeps the chunks of rows that repeat a page apart
+    rows = pages.select(F.col(id_col).alias("page_id"), F.xxhash64(payload).alias("mark"), F.monotonically_increasing_id().alias("copy"),
                         F.col(url_col).cast("string").alias("url"), payload.alias("payload"))
-    sums = written(chunk_digests(as_chunks(rows.drop("url"), "payload"), ["page_id", "mark"]), "digests")
+    chunks = as_chunks(rows, "payload")
+    sums = written(chunk_digests(chunks, ["page_id", "mark"]), "digests")
     firsts = sums.where(F.col("payload_bytes") >= MIN_REVISIT).groupBy("payload_digest").agg(
         F.min("page_id").alias("first")).where("first is not null")
     plan = sums.join(firsts, "payload_digest", "left").withColumn(
         "refers_to", F.when((F.col("payload_bytes") >= MIN_REVISIT) & ~F.col("first").eqNullSafe(F.col("page_id")), F.col("first")))
-    plan = plan.select(F.col("page_id").alias("_page"), F.col("mark").alias("_mark"), "payload_bytes", "payload_digest",
+    plan = plan.select("page_id", "mark", "payload_bytes", "payload_digest",
                        F.when(F.col("refers_to").isNull(), "response").otherwise("revisit").alias("record_type"),
                        "refers_to").distinct()
-    planned = rows.join(plan, F.col("page_id").eqNullSafe(F.col("_page")) & (F.col("mark") == F.col("_mark"))).drop(
-        "_page", "_mark")
-    # a revisit has no body
-    body = F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.lit(b""))
-    chunks = as_chunks(planned.withColumn("payload", body), "payload")
+    # only chunks are shuffled, never a payload; the plan's row of a record is sorted before its chunks
+    head = chunks.withColumn("url", F.when(F.col("chunk_no") == 0, F.col("url")))
+    both = head.unionByName(plan.withColumn("copy", F.lit(-1).cast("long")), allowMissingColumns=True)
+    chunks = both.repartition("page_id", "mark").sortWithinPartitions("page_id", "mark", "copy", "chunk_no")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, attempt = TaskContext.get().partitionId(), uuid.uuid4().hex
@@ -143,9 +147,13 @@ def write_archives(pages: DataFrame, target: str, id_col: str = "page_id", url_c
             out.close()
             return {"path": f"{target}/archives/{name}", "part": part, "seq": seq, "n_records": records, "n_bytes": size}
 
+        plan = None
         for batch in batches:
             data = batch.column("data")
             for k, row in enumerate(batch.drop_columns(["data"]).to_pylist()):
+                if row["chunk_no"] is None:
+                    plan = row
+                    continue
                 if row["chunk_no"] == 0:
                     if pack is not None:
                         size += put(pack.compress(b"\r\n\r\n") + pack.flush())
@@ -157,9 +165,10 @@ def write_archives(pages: DataFrame, target: str, id_col: str = "page_id", url_c
                         name = f"part-{part:06d}-{seq:04d}-{attempt}.warc.gz"
                         out = fs.open_output_stream(f"{folder}/{name}", compression=None)
                     pack, records = zlib.compressobj(LEVEL, zlib.DEFLATED, 31), records + 1
-                    warc, http = _head(row)
+                    warc, http = _head(plan | {"url": row["url"]})
                     size += put(pack.compress(warc + http))
-                size += put(pack.compress(data[k].as_buffer()))
+                if plan["record_type"] == "response":  # a revisit has no body
+                    size += put(pack.compress(data[k].as_buffer()))
         if pack is not None:
             size += put(pack.compress(b"\r\n\r\n") + pack.flush())
             done.append(close())
@@ -222,7 +231,7 @@ def read_chunks(manifest: DataFrame, with_data: bool = True, id_type: str = "big
     ``payload_bytes``, ``payload_digest``, ``record_type`` and ``refers_to``, checked
     against the payload. Without ``with_data`` only the latter."""
     n = max(1, min(manifest.count(), 1 << 15))
-    to_id = int if id_type in ("bigint", "int", "smallint", "tinyint") else str
+    to_id = int if id_type in ("bigint", "int", "smallint", "tinyint") else unquote
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, held = [], 0
