@@ -99,17 +99,24 @@ def codes(units: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return turned, signs, (signs * turned).sum(axis=2) / np.sqrt(d)
 
 
-def estimates(turned: np.ndarray, signs: np.ndarray, factors: np.ndarray, left: np.ndarray,
-              right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Estimated inner products of rows ``left`` with rows ``right``, the mean over rotations and both
-    directions, and their error (one deviation) for pairs at the threshold."""
-    layers, _, d = turned.shape
-    scaled = signs / np.sqrt(d) / factors[:, :, None]
+def spreads(factors: np.ndarray, d: int) -> np.ndarray:
+    """The error (one deviation) of each row's estimates for pairs at the threshold."""
+    spread = np.sqrt(np.maximum(1 - factors ** 2, 0) / factors ** 2 / max(d - 1, 1) / len(factors)).mean(axis=0)
+    return np.sqrt(1 - THRESHOLD ** 2) * spread
+
+
+def estimates(turned: np.ndarray, scaled: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Estimated inner products of all rows ``left`` with all rows ``right``, the mean over rotations
+    and both directions; ``scaled`` is the code over its factor."""
     there = np.matmul(scaled[:, left], turned[:, right].transpose(0, 2, 1)).mean(axis=0)
     back = np.matmul(turned[:, left], scaled[:, right].transpose(0, 2, 1)).mean(axis=0)
-    spread = np.sqrt(np.maximum(1 - factors ** 2, 0) / factors ** 2 / max(d - 1, 1) / layers).mean(axis=0)
-    across = np.sqrt(1 - THRESHOLD ** 2)
-    return (there + back) / 2, across * np.maximum(spread[left][:, None], spread[right][None, :])
+    return (there + back) / 2
+
+
+def pair_estimates(turned: np.ndarray, scaled: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The same of each row ``a`` with its row ``b``."""
+    both = np.einsum("lij,lij->i", scaled[:, a], turned[:, b]) + np.einsum("lij,lij->i", turned[:, a], scaled[:, b])
+    return both / 2 / len(turned)
 
 
 def _units(column: pa.Array, d: int) -> np.ndarray:
@@ -256,49 +263,66 @@ def links_in_buckets(rows: DataFrame, classes: DataFrame) -> DataFrame:
     return map_arrow(full, compare, f"id {kind}, links long, root {kind}")
 
 
+def _candidates(block: np.ndarray, turned: np.ndarray, scaled: np.ndarray, spread: np.ndarray, at: np.ndarray,
+                side: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of one block whose upper confidence bound reaches the threshold. ``at`` is the
+    row's vector; ``side`` 0 is compared with 1 alone, 2 with all others of its block."""
+    n = len(block)
+    size = np.bincount(block)[block]
+    live = np.flatnonzero((size <= NEAR) & (side == 2))
+    for k in range(1, NEAR):  # small blocks together, neighbours at distance k
+        live = live[live + k < n]
+        live = live[block[live] == block[live + k]]
+        for lo in range(0, len(live), PAIRS):
+            a = live[lo:lo + PAIRS]
+            x, y = at[a], at[a + k]
+            good = pair_estimates(turned, scaled, x, y) + SIGMAS * np.maximum(spread[x], spread[y]) >= THRESHOLD
+            yield a[good], a[good] + k
+    for g in np.unique(block[(size > NEAR) | (side != 2)]):
+        rows = np.flatnonzero(block == g)
+        left, right = rows[side[rows] != 1], rows[side[rows] != 0]
+        bound = estimates(turned, scaled, at[left], at[right]) + SIGMAS * np.maximum(
+            spread[at[left]][:, None], spread[at[right]][None, :])
+        maybe = bound >= THRESHOLD
+        a, b = np.nonzero(np.triu(maybe, 1) if side[rows[0]] == 2 else maybe)
+        yield left[a], right[b]
+
+
 def _links_of_blocks(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     if not part.num_rows:
         return
     key, i, j, mine, copies = (part.column(c).to_numpy() for c in ("key", "i", "j", "mine", "n"))
-    starts = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]))
-    counts, roots = np.zeros(part.num_rows, np.int64), np.arange(part.num_rows)
+    block = np.cumsum(np.concatenate([[True], (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])])) - 1
+    side = np.where(i == j, 2, np.where(mine == i, 0, 1))
+    links: list[tuple[np.ndarray, np.ndarray]] = []
     # all vectors of a bucket have one length, as it is part of the key
     length = np.array([len(x) // 8 for x in part.column("vector").to_pylist()], np.int64)
     for d in np.unique(length):
-        at = np.flatnonzero(length == d)
-        units = _units(part.column("vector").take(pa.array(at)), int(d))
+        rows = np.flatnonzero(length == d)
+        # a vector stands in many buckets: it is turned once
+        vectors = part.column("vector").take(pa.array(rows)).dictionary_encode()
+        at, units = vectors.indices.to_numpy(), _units(vectors.dictionary, int(d))
         turned, signs, factors = codes(units)
+        scaled = signs / np.sqrt(d) / factors[:, :, None]
         keys = band_keys(units).view(np.int64)
-        place = np.full(part.num_rows, -1)
-        place[at] = np.arange(len(at))
-        for lo, hi in zip(starts, [*starts[1:], part.num_rows]):
-            if place[lo] < 0 or hi - lo < 2:
-                continue
-            block = place[np.arange(lo, hi)]
-            left, right = block[mine[lo:hi] == i[lo]], block[mine[lo:hi] == j[lo]]
-            guess, error = estimates(turned, signs, factors, left, right)
-            maybe = guess + SIGMAS * error >= THRESHOLD
-            if i[lo] == j[lo]:
-                maybe = np.triu(maybe, 1)
-            a, b = np.nonzero(maybe)
-            a, b = left[a], right[b]
-            band = int(np.flatnonzero(keys[block[0]] == key[lo])[0])
-            good = []
-            for k in range(0, len(a), PAIRS):
-                x, y = a[k:k + PAIRS], b[k:k + PAIRS]
-                first = ~(keys[x, :band] == keys[y, :band]).any(axis=1)
-                x, y = x[first], y[first]
+        for a, b in _candidates(block[rows], turned, scaled, spreads(factors, int(d)), at, side[rows]):
+            for lo in range(0, len(a), PAIRS):
+                p, q = a[lo:lo + PAIRS], b[lo:lo + PAIRS]
+                x, y = at[p], at[q]
+                # the first band that both share is this bucket's
+                own = key[rows[p]]
+                good = keys[x, (keys[x] == keys[y]).argmax(axis=1)] == own
+                p, q, x, y = p[good], q[good], x[good], y[good]
                 exact = np.einsum("ij,ij->i", units[x], units[y]) >= THRESHOLD
-                good.append((x[exact], y[exact]))
-            if not good:
-                continue
-            a, b = (at[np.concatenate(x)] for x in zip(*good))
-            np.add.at(counts, a, copies[b])
-            np.add.at(counts, b, copies[a])
-            roots[lo:hi] = lo + _forest(hi - lo, a - lo, b - lo)
-    some = pa.array(np.flatnonzero(counts))
-    yield pa.record_batch([part.column("id").take(some), pa.array(counts[counts > 0]),
-                           part.column("id").take(pa.array(roots[counts > 0]))], names=["id", "links", "root"])
+                links.append((rows[p[exact]], rows[q[exact]]))
+    a, b = (np.concatenate([x[k] for x in links] or [np.zeros(0, np.int64)]) for k in (0, 1))
+    counts = np.zeros(part.num_rows, np.int64)
+    np.add.at(counts, a, copies[b])
+    np.add.at(counts, b, copies[a])
+    some = np.flatnonzero(counts)
+    ids = part.column("id")
+    yield pa.record_batch([ids.take(pa.array(some)), pa.array(counts[some]), ids.take(pa.array(_forest(part.num_rows, a, b)[some]))],
+                          names=["id", "links", "root"])
 
 
 def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:

@@ -98,10 +98,12 @@ def test_estimates_are_unbiased_and_bounded():
     x = rng.normal(size=(400, 32))
     units = np.stack([v / np.linalg.norm(v) for a in x for v in (a, near(rng, a, 0.9))])
     turned, signs, factors = embedding_dedup.codes(units)
-    guess, error = embedding_dedup.estimates(turned, signs, factors, np.arange(0, 800, 2), np.arange(1, 800, 2))
-    off = np.diag(guess) - 0.9
-    assert abs(off.mean()) < 0.01 and (np.abs(off) < embedding_dedup.SIGMAS * np.diag(error)).all()
-    assert 0.5 < off.std() / np.diag(error).mean() < 1.5
+    scaled, even, odd = signs / np.sqrt(32) / factors[:, :, None], np.arange(0, 800, 2), np.arange(1, 800, 2)
+    guess, error = embedding_dedup.pair_estimates(turned, scaled, even, odd), embedding_dedup.spreads(factors, 32)
+    assert np.allclose(guess, np.diag(embedding_dedup.estimates(turned, scaled, even, odd)))
+    off = guess - 0.9
+    assert abs(off.mean()) < 0.01 and (np.abs(off) < embedding_dedup.SIGMAS * np.maximum(error[even], error[odd])).all()
+    assert 0.5 < off.std() / error.mean() < 1.5
 
 
 @pytest.mark.parametrize("kind", ["array<float>", "array<double>"])
