@@ -5,6 +5,10 @@ three characters fall into ``BUCKETS`` buckets; a language's model is the log
 probability of each bucket. The matrix (buckets by languages, a few MB) is sent to
 all tasks, which score whole texts slice by slice with array sums.
 
+All languages count as equally likely before a text is read (their shares in the
+training rows, which are cut at a bound anyway, are no prior). The matrix is bounded by
+``MAX_LANGUAGES``; more distinct labels raise an error rather than grow what is broadcast.
+
 The model is fitted on at most ``TRAIN_ROWS`` labelled rows of each language, those
 with the smallest hash of their id. Prediction reads the text only.
 
@@ -31,6 +35,7 @@ from tablevault.llm.common import map_arrow, slices
 BUCKETS = 1 << 16
 SIZES = (2, 3)
 TRAIN_ROWS = 2000
+MAX_LANGUAGES = 512  # 128 MB of log probabilities
 SMOOTHING = 0.1
 _FACTORS = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)]
 
@@ -81,7 +86,10 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     """Languages, and their log probabilities by bucket (one extra row of zeros)."""
     rows = labelled.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull()).select(
         F.col(id_col).cast("string").alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().toLocalIterator()}  # a row per language
+    found = rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
+    if len(found) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    counts = {r["lang"]: r["count"] for r in found}
     names = sorted(counts)
     if not names:
         return [], np.zeros((BUCKETS + 1, 0), np.float32)

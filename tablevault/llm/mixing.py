@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tablevault.functions.columns import content_of
 from tablevault.llm.common import WORD_PATTERN, written
 
 WEIGHTS = (3, 1, 2)
@@ -116,7 +117,7 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     """The documents in training order, each as often as it is taken, columns as
     they were; the files of the result are consecutive ranges of training time."""
     mark = F.to_json(F.struct(F.col(id_col).alias("a"), F.col(source_col).alias("b"),
-                              F.xxhash64(*docs.columns).alias("c"), F.length(text_col).alias("d")))
+                              F.xxhash64(*content_of(docs)).alias("c"), F.length(text_col).alias("d")))
     times = placed(docs, id_col, text_col, source_col, mark=mark, **options).select(
         F.explode("positions").alias("_tv_time"), F.col("mark").alias("_tv_mark"))
     once = docs.withColumn("_tv_of", mark).dropDuplicates(["_tv_of"])  # equal rows are told apart by their times alone

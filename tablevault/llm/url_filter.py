@@ -29,7 +29,7 @@ STEPS = 30
 RATE = 16.0
 PENALTY = 1e-4
 BLOCK_AT = 0.5
-MAX_LABELLED = 5000  # rows of the labelled table that are used
+MAX_LABELLED = 8000  # rows of the labelled table that are used
 
 # Words of hosts and paths by their label, the small labelled table's source.
 BLOCK_WORDS = ("adult", "ads", "bets", "bonus", "cams", "casino", "cheap", "click", "crack", "escort", "farm", "free",
@@ -38,16 +38,24 @@ BLOCK_WORDS = ("adult", "ads", "bets", "bonus", "cams", "casino", "cheap", "clic
 ALLOW_WORDS = ("archive", "bakery", "bridge", "city", "council", "forest", "garden", "harbour", "history", "journal", "kitchen",
                "language", "library", "market", "mountain", "museum", "music", "nature", "news", "notes", "paper", "recipe",
                "river", "school", "science", "street", "teacher", "theatre", "travel", "university", "weather", "wiki")
+# Hosts that stand on both sides: what is below them decides.
+SHARED_HOSTS = ("pages", "web", "site", "home", "my", "portal", "online", "static")
+PATH_FORMS = ("https://{h}.org/{a}/{b}", "http://www.{h}.com/{a}-{b}.html", "https://{h}.net/x/{a}?id=1", "http:///{a}/{b}")
 LABELLED_FORMS = ("https://{a}-{b}.example.com/en/", "http://www.{a}{b}.example.net/page.html", "https://{a}.example.org/{b}/1",
                   "https://blog.{b}-{a}.example.org/de/")
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
     """The small labelled table: ``url``, ``blocked``; pairs of words of
-    a list are put into the same forms for either label, four times as many to allow."""
-    rows = [{"url": form.format(a=a, b=b), "blocked": blocked} for words, blocked, pairs in ((BLOCK_WORDS, True, 2), (ALLOW_WORDS, False, 8))
-            for k, a in enumerate(words) for far in range(1, pairs + 1) for b in (words[(k + 3 * far) % len(words)],)
-            for form in LABELLED_FORMS]
+    a list are put into the same forms for either label, four times as many to allow. In half of
+    the forms the words stand in the path, below hosts that both labels share or none. A
+    table of real urls with the two columns takes its place in ``fit``."""
+    rows = []
+    for words, blocked, pairs in ((BLOCK_WORDS, True, 2), (ALLOW_WORDS, False, 8)):
+        for k, a in enumerate(words):
+            for far in range(1, pairs + 1):
+                b, h = words[(k + 3 * far) % len(words)], SHARED_HOSTS[(k + far) % len(SHARED_HOSTS)]
+                rows += [{"url": form.format(a=a, b=b, h=h), "blocked": blocked} for form in (*LABELLED_FORMS, *PATH_FORMS)]
     return spark.range(1).select(F.explode(F.from_json(F.lit(json.dumps(rows)), "array<struct<url:string,blocked:boolean>>"))
                                  .alias("r")).select("r.*")
 
@@ -67,9 +75,9 @@ def grams(host: Column, path: Column, buckets: int = BUCKETS) -> Column:
         found = F.transform(at, lambda i: F.pmod(F.xxhash64(F.lit(salt), text.substr(i, F.lit(n))), F.lit(buckets)).cast("int"))
         return F.when(F.length(text) >= n, found).otherwise(F.array().cast("array<int>"))
 
-    whole = F.concat(F.lit("."), host, F.lit("/"))
-    parts = [of(salt, text, n) for salt, text in ((1, whole), (2, path)) for n in GRAMS]
-    return F.when(host != "", F.concat(*parts)).otherwise(F.array().cast("array<int>"))
+    # without a host its marks are no text either
+    whole = F.when(host != "", F.concat(F.lit("."), host, F.lit("/"))).otherwise(F.lit(""))
+    return F.concat(*[of(salt, text, n) for salt, text in ((1, whole), (2, path)) for n in GRAMS])
 
 
 def _margin(buckets: Column, weights: list[float], intercept: float) -> Column:

@@ -1,0 +1,204 @@
+"""Texts that weak hashes confuse, models against plain loops, large groups, odd ids."""
+
+import math
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tablevault.llm import decontaminate, language_id, near_dedup, token_count, token_output, url_filter, warc
+from tablevault.llm.common import span_hashes, written
+from tablevault.llm.queries import tokenizer_file
+from tablevault.session import new_work_dir
+from tests.llm.helpers import docs_of, prose, rows
+
+
+def thue_morse(a="a", b="b", n=1024):
+    """A word and its complement, which collide under every polynomial hash modulo 2**64."""
+    bits = [bin(k).count("1") & 1 for k in range(n)]
+    return "".join((a, b)[x] for x in bits), "".join((b, a)[x] for x in bits)
+
+
+# ------------------------------------------------------------------ identity
+
+def test_span_hashes_tell_patterned_spans_apart():
+    x, y = (t.encode() for t in thue_morse())
+    spans = {x, y, x[:512], y[:512], x + y, y + x, b"", b"\0", b"\0" * 8, b"\0" * 9, b"ab", b"ba", b"a" * 1024, b"a" * 1025}
+    spans |= {bytes([k]) for k in range(256)} | {b"word%d" % k for k in range(20_000)} | {b"0" * 7 + b"%d" % k for k in range(2000)}
+    spans = sorted(spans)
+    data = np.frombuffer(b"#".join(spans), np.uint8)
+    ends = np.cumsum([len(s) + 1 for s in spans]) - 1
+    starts = ends - [len(s) for s in spans]
+    found = span_hashes(data, starts, ends)
+    assert len(set(found.tolist())) == len(spans)
+    moved = np.concatenate([np.frombuffer(b"xyz", np.uint8), data])
+    assert (span_hashes(moved, starts + 3, ends + 3) == found).all()
+
+
+def test_near_dedup_does_not_link_complements(spark):
+    x, y = thue_morse()
+    got = near_dedup.near_duplicates(docs_of(spark, [x, y, x, f"{x} {y} {x} {y} {x}", f"{y} {x} {y} {x} {y}"]))
+    assert rows(got, "doc_id", "component_id") == [(0, 0), (1, 1), (2, 0), (3, 3), (4, 4)]
+
+
+def test_decontamination_does_not_take_one_for_the_other(spark):
+    x, y = thue_morse()
+    bench = spark.createDataFrame([("q", f"{x} " * 12)], "item_id string, text string")
+    got = decontaminate.find_matches(docs_of(spark, [f"{y} " * 20, f"{x} " * 20]), bench)
+    assert [(r["doc_id"], r["n_hit"]) for r in sorted(got.collect())] == [(0, 0), (1, 20)]
+
+
+def test_tokens_of_patterned_units_equal_the_library(spark):
+    tok = token_count.load(tokenizer_file())
+    texts = []
+    for a, b in (("a", "b"), ("e", "a"), ("é", "ü"), ("1", "2"), ("!", "?")):
+        x, y = thue_morse(a, b)
+        texts += [f"{x} {y}", f"{x} {y} {y}", f"{y} {x}", x, y]
+    want = [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    got = token_count.count_tokens(docs_of(spark, texts), tokenizer_file())
+    assert rows(got, "doc_id", "n_tokens") == [*sorted(((k, len(i)) for k, i in enumerate(want)), key=str)]
+    manifest = token_output.write_tokens(docs_of(spark, texts), new_work_dir(spark, "tokens"), tokenizer_file())
+    assert {r["id"]: r["ids"][:-1] for r in token_output.read_tokens(manifest).collect()} == dict(enumerate(want))
+
+
+# ------------------------------------------------------------------ op1: large groups
+
+def test_group_of_two_thousand_near_copies_makes_no_square(spark):
+    rng = np.random.default_rng(1)
+    base = prose(5, 200).split()
+    texts = []
+    for _ in range(2000):
+        w = list(base)
+        for at in rng.integers(0, len(w), 2 + int(rng.integers(0, 3))):  # most pairs are linked, many are not
+            w[at] = f"x{rng.integers(10**6)}"
+        texts.append(" ".join(w))
+    out = near_dedup.near_duplicates(docs_of(spark, texts))
+    assert rows(out, "component_id") == [(0,)] * 2000
+    docs = docs_of(spark, texts)
+    sketched = written(near_dedup.sketch_table(docs, "doc_id", "text"), "s")
+    sides = written(sketched.join(near_dedup.full_sets(sketched.select("id"), docs, "doc_id", "text"), "id"), "sides")
+    apart = sketched.select(F.lit(0).cast("long").alias("centre"), "id", F.col("id").alias("part"), (F.col("id") != 0).alias("left"))
+    dealt = near_dedup.dealt(apart, sides.drop("members"))
+    assert dealt.count() < 20 * 2000  # rows that are sent to blocks
+    links = near_dedup.links_across(apart, sides)
+    assert links.count() < 10 * 2000  # a forest for each block, not two million pairs
+
+
+def test_null_ids_link_with_nothing(spark):
+    got = near_dedup.near_duplicates(docs_of(spark, ["a b c d e f", "a b c d e f", "a b c d e f"], ids=[1, None, 2]))
+    assert rows(got, "doc_id", "class_id", "component_id", "kept") == [(1, 1, 1, True), (2, 1, 1, False), (None, None, None, False)]
+
+
+# ------------------------------------------------------------------ op3: naive Bayes by hand
+
+def _grams(text):
+    shown = ["\0" if c == "\0" else c if c.isalpha() else " " for c in (text or "").replace("\0", " ").lower()]
+    for size in language_id.SIZES:
+        for k in range(len(shown) - size + 1):
+            gram = shown[k:k + size]
+            if set(gram) != {" "}:
+                points = np.array([ord(c) for c in gram] + [0], np.uint32)
+                yield int(language_id._buckets(points, size)[0])
+
+
+def test_language_scores_equal_naive_bayes_by_hand(spark):
+    train = [("le chat dort sur la table et la chaise", "fr"), ("the cat sleeps on the table and the chair", "en"),
+             ("die Katze schläft auf dem Tisch, und dem Stuhl", "de"), ("la la LA!", "fr"), ("and the end", "en"), ("", "de")]
+    docs = docs_of(spark, [t for t, _ in train], langs=[lang for _, lang in train])
+    counts = defaultdict(Counter)
+    for text, lang in train:
+        counts[lang].update(_grams(text))
+    names = sorted(counts)
+
+    def log(bucket, lang):
+        s = language_id.SMOOTHING
+        return math.log((counts[lang][bucket] + s) / (sum(counts[lang].values()) + s * language_id.BUCKETS))
+
+    new = ["the table", "la table", "der Tisch", "xyz", "chat\0cat", "é", "a", "1 2", None, "the cat " * 40]
+    got = {r["doc_id"]: r for r in language_id.predict(docs_of(spark, new), language_id.fit(docs)).collect()}
+    for k, text in enumerate(new):
+        logs = [sum(log(b, lang) for b in _grams(text)) for lang in names]
+        if not any(c.isalpha() for c in text or ""):
+            assert (got[k]["lang_pred"], got[k]["score"]) == ("und", 0.0)
+            continue
+        assert got[k]["lang_pred"] == names[int(np.argmax(logs))], text
+        assert abs(got[k]["score"] - 1 / sum(math.exp(x - max(logs)) for x in logs)) < 1e-4
+
+
+def test_more_languages_than_the_bound_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "MAX_LANGUAGES", 2)
+    with pytest.raises(ValueError, match="more than 2"):
+        language_id.fit(docs_of(spark, ["a", "b", "c"], langs=["x", "y", "z"]))
+
+
+# ------------------------------------------------------------------ op5
+
+def _blocked(model, spark, urls):
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    return [r["verdict"] == "block" for r in url_filter.judge(pages, [], model).orderBy("page_id").collect()]
+
+
+def test_urls_held_out_are_judged_by_host_or_path(spark):
+    labelled = url_filter.labelled_urls(spark)
+    part = F.pmod(F.xxhash64("url"), F.lit(5))
+    model = url_filter.fit(labelled.where(part != 0))
+    rest = labelled.where(part == 0).collect()
+    verdicts = _blocked(model, spark, [r["url"] for r in rest])
+    assert sum(v == r["blocked"] for v, r in zip(verdicts, rest)) >= 0.95 * len(rest)
+    new = ["http:///casino/poker", "https://a.org/casino/poker", "https://unknown-host.org/free/warez", "http://www.site.com/viagra-pills.html"]
+    assert all(_blocked(model, spark, new))
+    fine = ["http:///history/museum", "https://a.org/river/bridge", "https://unknown-host.org/school/library", "http://www.site.com/news-paper.html"]
+    assert not any(_blocked(model, spark, fine))
+
+
+def test_regression_equals_gradient_descent_by_hand(spark):
+    rows_ = [(f"http://h{k % 3}.org/{'casino' if k % 4 == 0 else 'museum'}/{k}", k % 4 == 0) for k in range(24)]
+    labelled = spark.createDataFrame(rows_, "url string, blocked boolean")
+    weights, intercept = url_filter.fit(labelled, steps=6)
+    host, path = url_filter.host_and_path(F.col("url"))
+    found = labelled.select(url_filter.grams(host, path).alias("b"), F.col("blocked").cast("double").alias("y")).collect()
+    x = np.zeros((24, url_filter.BUCKETS))
+    for k, r in enumerate(found):
+        for b in r["b"]:
+            x[k, b] += 1 / math.sqrt(len(r["b"]))
+    y = np.array([r["y"] for r in found])
+    w, w0, v, v0 = np.zeros(url_filter.BUCKETS), 0.0, np.zeros(url_filter.BUCKETS), 0.0
+    for step in range(6):
+        e = 1 / (1 + np.exp(-(x @ v + v0))) - y
+        new, new0 = v - url_filter.RATE * (x.T @ e / 24 + url_filter.PENALTY * v), v0 - url_filter.RATE / 2 * e.mean()
+        push = step / (step + 3)
+        v, v0, w, w0 = new + push * (new - w), new0 + push * (new0 - w0), new, new0
+    assert np.abs(w - weights).max() < 1e-4 and abs(w0 - intercept) < 1e-4
+
+
+# ------------------------------------------------------------------ op8
+
+def test_ids_of_any_characters_survive_the_headers(spark):
+    ids = ["a\r\nX-Evil: 1", " lead", "trail ", "%41", "é😀", "", "a: b", "\r\n\r\nWARC/1.1"]
+    pages = spark.createDataFrame([(i, "http://h/", "body " * 40) for i in ids], "page_id string, url string, html string")
+    got = warc.written_and_read(pages).collect()
+    assert sorted(r["page_id"] for r in got) == sorted(ids)
+    first = min(ids)
+    assert {r["page_id"]: r["refers_to"] for r in got} == {i: None if i == first else first for i in ids}
+
+
+def test_payloads_cross_the_shuffle_in_chunks_only(spark):
+    big = prose(1, 1_000_000)
+    pages = spark.createDataFrame([(k, "u", big if k < 3 else "small") for k in range(6)], "page_id long, url string, html string")
+    seen = []
+    real = warc.map_arrow
+    try:
+        warc.map_arrow = lambda df, f, schema: (seen.append(df), real(df, f, schema))[1]
+        manifest = warc.write_archives(pages, new_work_dir(spark, "warc"))
+    finally:
+        warc.map_arrow = real
+    # what the writer's shuffle carries: the chunk's bytes and the plan, no payload
+    assert set(seen[-1].columns) == {"page_id", "mark", "copy", "url", "chunk_no", "data", "payload_bytes", "payload_digest",
+                                     "record_type", "refers_to"}
+    assert seen[-1].agg(F.max(F.octet_length("data"))).first()[0] == warc.CHUNK_BYTES
+    back = defaultdict(list)
+    for r in warc.read_chunks(manifest).where("data is not null").collect():
+        back[r["page_id"]].append((r["chunk_no"], bytes(r["data"])))
+    assert len(back[0]) >= len(big) // warc.CHUNK_BYTES and b"".join(d for _, d in sorted(back[0])) == big.encode()
+    assert 1 not in back and 2 not in back  # revisits carry no body

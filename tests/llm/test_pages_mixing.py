@@ -213,5 +213,16 @@ def test_every_query_is_registered():
     import __spark_entry__ as E
 
     names = E.queries()
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{n}" for n in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{n}" for n in range(1, 14)}
     assert "pipeline" in names and set(queries.ORACLE) <= set(queries.QUERIES)
+
+
+def test_stages_pass_odd_columns_on(spark):
+    texts = [" ".join(f"w{k}{j}" for j in range(80)) for k in range(12)]
+    docs = docs_of(spark, texts).withColumns({"a.b": F.col("doc_id") * 2, "m": F.create_map(F.lit("k"), F.col("doc_id")),
+                                              "nested": F.struct(F.create_map(F.lit(1), F.lit("x")).alias("deep"))})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = written(stage(spark, docs, SF_SMALL), f"odd-{name}")
+        assert out.columns == docs.columns and out.count() > 0
+        assert out.where("`a.b` <> doc_id * 2 or m['k'] <> doc_id").isEmpty()
+    assert corpus_pipeline.STAGES[-1][1](spark, out, SF_SMALL).count() > 0
