@@ -11,6 +11,7 @@ are treated as the operators state; a stage passes extra columns on unchanged.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tablevault.llm import decontaminate, mixing, near_dedup, quality_rules, token_output
 from tablevault.llm.common import written
@@ -18,14 +19,19 @@ from tablevault.llm.queries import tokenizer_file
 from tablevault.sources.tables import table
 
 
+def as_documents(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs``, whatever their names."""
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def rate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""
-    return quality_rules.keep_good(docs).select(*docs.columns)
+    return as_documents(quality_rules.keep_good(docs), docs)
 
 
 def dedupe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the smallest id, of each group of near duplicates."""
-    return near_dedup.one_of_each(docs).select(*docs.columns)
+    return as_documents(near_dedup.one_of_each(docs), docs)
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +41,7 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in training order, each as often as its source's target asks."""
-    return mixing.mixed(docs).select(*docs.columns)
+    return as_documents(mixing.mixed(docs), docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
