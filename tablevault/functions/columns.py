@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, LongType, MapType, StructField, StructType
 
@@ -104,6 +104,11 @@ def hashable(c: Column, kind: DataType) -> Column:
     return F.to_json(F.struct(c.alias("v"))) if "map<" in kind.simpleString() else c
 
 
+def content_of(df: DataFrame) -> list[Column]:
+    """All columns of a row as hash functions take them."""
+    return [hashable(F.col(f"`{f.name}`"), f.dataType) for f in df.schema]
+
+
 JOIN_KEY = "_tv_jk"
 
 

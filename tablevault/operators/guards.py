@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from tablevault.functions import constants as K
 from tablevault.functions.columns import (
     JOIN_KEY,
+    content_of,
     default_if_blank,
     first_rule,
     is_blank,
@@ -49,7 +50,7 @@ def _distinct_keys(ref: DataFrame, ref_on: str, like: DataFrame, on: str) -> Dat
 
 def _salted(df: DataFrame, on: str) -> DataFrame:
     t = [df.schema[on].dataType]
-    return df.withColumn(JOIN_KEY, salted_join_key([on], t, _blank(on), df.columns))
+    return df.withColumn(JOIN_KEY, salted_join_key([on], t, _blank(on), content_of(df)))
 
 
 def refs_present(df: DataFrame, ref: DataFrame, on: str, ref_on: str | None = None) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablevault.functions import constants as K
+from tablevault.functions.columns import hashable
 
 
 def latest_entry(df: DataFrame, by: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
@@ -21,7 +22,10 @@ def latest_entry(df: DataFrame, by: Sequence[str], order_cols: Sequence[str]) ->
     """
     by, order_cols = list(by), list(order_cols)
     rest = [c for c in df.columns if c not in by and c not in order_cols]
-    top = F.max(F.struct(*[F.col(c) for c in order_cols + rest])).alias("_tv_top")
+    row = F.struct(*[F.col(c) for c in order_cols + rest])
+    # maps have no order: rows with them are told apart by their text
+    place = F.struct(*[F.col(c) for c in order_cols], *[hashable(F.col(c), df.schema[c].dataType) for c in rest])
+    top = (F.max_by(row, place) if "map<" in df.schema.simpleString() else F.max(row)).alias("_tv_top")
     g = df.groupBy(*by).agg(top)
     fields = {c: F.col("_tv_top")[c].alias(c) for c in order_cols + rest}
     return g.select(*[F.col(c) if c in by else fields[c] for c in df.columns])

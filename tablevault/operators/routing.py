@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tablevault.functions import constants as K
 from tablevault.functions.columns import (
     JOIN_KEY,
+    content_of,
     default_if_blank,
     first_rule,
     is_blank,
@@ -53,19 +54,20 @@ def route_prepare(df: DataFrame, volumes: DataFrame, volume: str = "volume_id",
     # shuffles this side on its own key, a plain stage AQE can skew-split
     inv = (volumes.where(~is_blank("volume_id"))
            .groupBy(F.col("volume_id").cast(t[0]).alias("_tv_vid"))
-           .agg(F.min("fs").alias("fs"))
-           .select(plain_join_key(["_tv_vid"], t).alias(JOIN_KEY), "fs",
+           .agg(F.min("fs").alias("_tv_fs"))
+           .select(plain_join_key(["_tv_vid"], t).alias(JOIN_KEY), "_tv_fs",
                    F.lit(True).alias("_tv_found")))
-    left = df.withColumn(JOIN_KEY, salted_join_key([volume], t, is_blank(volume), df.columns))
+    left = df.withColumn(JOIN_KEY, salted_join_key([volume], t, is_blank(volume), content_of(df)))
     j = left.join(inv, on=JOIN_KEY, how="left")
-    fs = F.col("fs")
+    fs = F.col("_tv_fs")
     action = first_rule([
         (is_blank(volume), "create"),
         (F.col("_tv_found").isNull(), "reject"),
         (fs == F.lit(K.RAW_CONTENT), "format_mount"),
         (fs.isin(*K.SUPPORTED_FILESYSTEMS), "mount"),
     ], default="rollback")
-    return j.select(*df.columns, fs, action.alias(out))
+    # a request's own column of that name gives way to the inventory's
+    return j.select(*[F.col(f"`{c}`") for c in df.columns if c != "fs"], fs.alias("fs"), action.alias(out))
 
 
 def route_state(df: DataFrame, state: str = "state", out: str = "action") -> DataFrame:

@@ -84,3 +84,16 @@ def test_numeric_ids_are_never_blank(spark):
     assert {r["request_id"]: r["action"] for r in op.route_prepare(req, vols).collect()} == {1: "mount", 2: "create", 3: "reject"}
     verdicts = op.validate_requests(req, vols, spark.createDataFrame([(1,)], "source_id long"))
     assert {r["request_id"]: r["verdict"] for r in verdicts.collect()} == {1: "ok", 2: "ok", 3: "volume_unknown"}
+
+
+def test_maps_and_clashing_columns_in_requests(spark):
+    from pyspark.sql import functions as F
+    from tablevault import operators as op
+    req = spark.createDataFrame([(1, "v1", {"a": 1}, "own"), (2, None, {"b": 2}, "own"), (3, "v9", None, None)],
+                                "r long, volume_id string, extra map<string,int>, fs string").withColumn("a.b", F.lit(1))
+    vol = spark.createDataFrame([("v1", "ext4", "z")], "volume_id string, fs string, zone string")
+    got = op.route_prepare(req, vol)
+    assert sorted((r["r"], r["fs"], r["action"]) for r in got.collect()) == [(1, "ext4", "mount"), (2, None, "create"), (3, None, "reject")]
+    assert sorted(r["r"] for r in op.refs_missing(req, vol, "volume_id").collect()) == [2, 3]
+    latest = op.latest_entry(req.withColumn("g", F.lit(1)).select("g", "r", "extra"), ["g"], ["r"])
+    assert [r["r"] for r in latest.collect()] == [3]
