@@ -10,8 +10,8 @@ extremes, so sketches of parts can be merged.
    paired with the bucket's smallest one, never all with all.
 3. The joint likelihood of the registers and the set sizes estimates the overlap;
    pairs far below the threshold are dropped, the others confirmed on full sets.
-4. Confirmed links give components. Around a bucket's smallest class, those that
-   are not in its component are compared with all others there, block by block
+4. Confirmed links give components. Those that share a bucket with a component's
+   centres but are not in it are compared with all others that do, block by block
    inside the tasks: the registers first name the classes that may be linked across
    components, then these alone bring their full sets, are confirmed in the blocks, and
    a spanning forest of their links comes out, never the pairs.
@@ -203,33 +203,49 @@ def likely_pairs(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def groups_across(members: DataFrame, found: DataFrame) -> DataFrame:
-    """``(centre, id, part, left)`` of the groups in which a class lies outside the component of
-    their centre; ``left`` marks such classes."""
+    """``(centre, id, part, left)``: the classes that share a bucket with a centre in the component
+    ``centre``, once for each such component, not for each centre or bucket. ``left`` marks those that
+    lie in another component themselves."""
     parts = found.toDF("id", "part")
-    rows = members.join(parts, "id", "left").withColumn("part", F.coalesce("part", "id"))
-    rows = rows.join(parts.toDF("centre", "main"), "centre", "left").withColumn("main", F.coalesce("main", "centre"))
-    return written(rows.withColumn("left", F.col("part") != F.col("main")).where("id <> centre").drop("main"), "parts")
+    rows = members.join(parts.toDF("centre", "main"), "centre", "left").select(
+        F.coalesce("main", "centre").alias("centre"), "id").distinct()
+    rows = rows.join(parts, "id", "left").withColumn("part", F.coalesce("part", "id"))
+    return written(rows.withColumn("left", F.col("part") != F.col("centre")), "parts")
 
 
 def dealt(rows: DataFrame, sides: DataFrame) -> DataFrame:
     """``rows`` of ``groups_across`` with the columns of ``sides`` (by id), dealt into blocks
     ``(centre, i, j)``: ``i`` of the classes on the left, ``j`` of all, each of a bounded number of
-    classes and shingles, so a group is spread over tasks however large it is."""
-    rows = rows.join(sides.select("id", "n_shingles"), "id")
+    classes, and of shingles if ``sides`` has their sets, so a group is spread over tasks however
+    large it is."""
+    weigh = "members" in sides.columns
+    if weigh:
+        rows = rows.join(sides.select("id", "n_shingles"), "id")
 
     def blocks(some, rows_: int):
-        n, weight = F.sum(F.when(some, 1).otherwise(0)), F.sum(F.when(some, F.col("n_shingles")).otherwise(0))
-        return F.ceil(F.greatest(n / rows_, weight / BLOCK_SHINGLES)).cast("int")
+        need = F.sum(F.when(some, 1).otherwise(0)) / rows_
+        if weigh:
+            need = F.greatest(need, F.sum(F.when(some, F.col("n_shingles")).otherwise(0)) / BLOCK_SHINGLES)
+        return F.ceil(need).cast("int")
 
     sizes = rows.groupBy("centre").agg(blocks(F.col("left"), LEFT_BLOCK).alias("i_n"), blocks(F.lit(True), RIGHT_BLOCK).alias("j_n"),
                                        F.count("*").alias("n")).where("i_n > 0 and n > 1").drop("n")
     rows = sides.hint("merge").join(rows.drop("n_shingles").join(sizes, "centre"), "id")
-    deal = lambda count, salt: F.pmod(F.xxhash64("id", F.lit(salt)), count).cast("int")
-    every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+
+    def deal(count: str, salt: int):
+        return F.pmod(F.xxhash64("id", F.lit(salt)), F.col(count)).cast("int")
+
+    def places(side: int, count: str, place):
+        at = F.transform(F.sequence(F.lit(0), F.col(count) - 1), place)
+        return at if side else F.when(F.col("left"), at).otherwise(F.array().cast(at_type))
+
+    at_type = "array<struct<side:int,i:int,j:int>>"
+    mine_i, mine_j = deal("i_n", 1), deal("j_n", 2)
+    at = F.concat(places(0, "j_n", lambda k: F.named_struct(F.lit("side"), F.lit(0), F.lit("i"), mine_i, F.lit("j"), k)),
+                  places(1, "i_n", lambda k: F.named_struct(F.lit("side"), F.lit(1), F.lit("i"), k, F.lit("j"), mine_j)))
     keep = ["centre", "id", "part", *[c for c in sides.columns if c != "id"]]
-    a = rows.where("left").select(*keep, F.lit(0).alias("side"), deal(F.col("i_n"), 1).alias("i"), every("j_n").alias("j"))
-    b = rows.select(*keep, F.lit(1).alias("side"), every("i_n").alias("i"), deal(F.col("j_n"), 2).alias("j"))
-    return a.unionByName(b).repartition("centre", "i", "j").sortWithinPartitions("centre", "i", "j", "side")
+    blocks_ = rows.select(*keep, F.explode(at).alias("at")).select(*keep, "at.side", "at.i", "at.j")
+    return blocks_.repartition("centre", "i", "j").sortWithinPartitions("centre", "i", "j", "side")
 
 
 def by_block(batches: Iterator[pa.RecordBatch], work) -> Iterator[pa.RecordBatch]:
@@ -382,7 +398,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     both_ends = star.select(F.col("a").alias("id")).unionAll(star.select(F.col("b").alias("id")))
     links = written(confirmed(star, full_sets(both_ends, docs, id_col, text_col)), "links")
 
-    # what lies outside the component of its bucket's centre is compared with all others there
+    # what shares a bucket with a component and lies outside is compared with all others that do
     members = shared.select("id", "centre").unionAll(shared.select(F.col("centre").alias("id"), "centre")).distinct()
     rows = groups_across(members, components(links))
     near = written(likely_across(rows, classes), "across")
