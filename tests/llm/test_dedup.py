@@ -145,6 +145,16 @@ def test_suffix_arrays_are_sorted_and_prefixes_exact():
             assert shared[x] == m
 
 
+def test_only_small_suffixes_are_sorted_directly(monkeypatch):
+    seen, real = [], suffix_array.sorted_directly
+    monkeypatch.setattr(suffix_array, "sorted_directly", lambda text, places: (seen.append(places), real(text, places))[1])
+    text = np.frombuffer(prose(7, 3000).encode() + b"\0", np.uint8)
+    suffix_array.suffix_array(text)
+    raw = bytes(text)
+    assert len(seen) == 1 and len(seen[0]) < 0.6 * len(text)
+    assert all(raw[i:i + 200] < raw[i + 1:i + 201] or i == len(raw) - 1 for i in seen[0].tolist())
+
+
 def test_contexts_hold_every_string_once():
     text = prose(3, 400).encode()
     data, offsets = np.frombuffer(text, np.uint8), np.array([0, 50, 50, 149, 1000, len(text)])
