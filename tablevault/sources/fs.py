@@ -21,6 +21,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def is_dir(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs_and_path(spark, path)
+    return bool(fs.exists(p)) and bool(fs.getFileStatus(p).isDirectory())
+
+
 def list_dirs(spark: SparkSession, path: str) -> list[str]:
     """Names of the sub-directories of ``path`` (empty if it does not exist)."""
     fs, p = _fs_and_path(spark, path)

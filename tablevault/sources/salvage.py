@@ -12,6 +12,7 @@ The driver sees one line for each row group of a damaged file, never rows.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
@@ -32,8 +33,6 @@ from tablevault.sources.snapshot import (
 
 CHECKSUMS = "parquet.page.verify-checksum.enabled"
 NO_MARKER = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
-LEAST_SPLIT = 1 << 12  # bytes
-
 GROUPS = "path string, row_group int, first_row long, rows long, start long, bytes long"
 
 
@@ -83,10 +82,15 @@ def split_sizes(groups: Sequence[tuple]) -> dict[str, int]:
     out = {}
     for path, at in middles.items():
         least = min((b - a for a, b in zip(at, at[1:])), default=float(1 << 27))
-        out[path] = max(LEAST_SPLIT, 1 << (max(1, int(least)).bit_length() - 1))
+        out[path] = 1 << (max(1, int(least)).bit_length() - 1)
     return out
 
 
+def literal_path(path: str) -> str:
+    """A path in which no character stands for others."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
+
 def _placed(rows: DataFrame, drop_cols: Sequence[str]) -> DataFrame:
     return rows.select(*[F.col(f"`{c}`") for c in rows.columns if c not in drop_cols],
                        plain_file(F.col("_metadata.file_path")).alias(SOURCE_FILE),
@@ -110,7 +114,7 @@ def _lost_groups(spark: SparkSession, groups: Sequence[tuple], placed: DataFrame
 
 def snapshot_salvage(spark: SparkSession, path: str, target: str, schema: StructType | None = None, codec: str = "zstd",
                      drop_cols: Sequence[str] = (), recursive: bool = False) -> tuple[int, DataFrame]:
-    """Copy all that can be read below ``path`` to a new snapshot version of ``target``; returns
+    """Copy all that can be read below ``path``, a folder or a file, to a new snapshot version of ``target``; returns
     ``(version, losses)``.
 
     ``losses`` has one row for each row group that was not copied whole: ``path``,
@@ -119,7 +123,10 @@ def snapshot_salvage(spark: SparkSession, path: str, target: str, schema: Struct
     appears to readers when both reads are done. An empty source, a file without rows
     and a source without damage give no losses.
     """
-    reader = tolerant_reader(spark, path, schema, "parquet", recursive, {CHECKSUMS: "true"})
+    options = {CHECKSUMS: "true"}
+    reader = tolerant_reader(spark, path, schema, "parquet", recursive, options)
+    if fs.is_dir(spark, path):  # folders of partitions keep their meaning when single files are read
+        options["basePath"] = path
     version = next_version(spark, target)
     dest = version_path(target, version)
 
@@ -138,9 +145,8 @@ def snapshot_salvage(spark: SparkSession, path: str, target: str, schema: Struct
         paths = [p for p, s in sizes.items() if s == size]
         have = copied.where(F.col(SOURCE_FILE).isin(paths))
         with session_conf(spark, spark__sql__files__maxPartitionBytes=str(size), spark__sql__files__openCostInBytes=str(size)):
-            fine = tolerant_reader(spark, path, reader.schema, "parquet", recursive, {CHECKSUMS: "true"})
-            fine = _placed(fine, drop_cols).where(F.col(SOURCE_FILE).isin(paths))
-            fine = fine.join(have, [SOURCE_FILE, SOURCE_ROW], "left_anti")
+            fine = tolerant_reader(spark, [literal_path(p) for p in paths], reader.schema, "parquet", False, options)
+            fine = _placed(fine, drop_cols).join(have, [SOURCE_FILE, SOURCE_ROW], "left_anti")
             append(fine.select(*[c for c in reader.columns if c not in drop_cols], SOURCE_FILE, SOURCE_ROW))
     fs.write_text(spark, f"{dest}/_SUCCESS", "")
     again = spark.read.schema(marks).parquet(dest).where(F.col(SOURCE_FILE).isin(list(sizes)))

@@ -246,7 +246,7 @@ def plain_file(path: Column) -> Column:
     return F.regexp_replace(decoded, "^file:/+", "file:/")
 
 
-def tolerant_reader(spark: SparkSession, path: str, schema: StructType | None, fmt: str, recursive: bool,
+def tolerant_reader(spark: SparkSession, path: str | list[str], schema: StructType | None, fmt: str, recursive: bool,
                     options: dict[str, str] | None = None) -> DataFrame:
     reader = (spark.read.format(fmt).options(**options or {})
               .option("ignoreCorruptFiles", "true")

@@ -82,6 +82,21 @@ def test_salvage_without_damage_reads_once_and_reports_nothing(spark, workdir):
     assert len(fs.list_files(spark, f"{workdir}/t/v={v}")) == 1
 
 
+def test_salvage_reads_only_damaged_files_again_whatever_their_names(spark, workdir):
+    src = f"{workdir}/so urce 100%"
+    spark.range(6000).selectExpr("id", "cast(id div 2000 as int) as p").repartition("p").sortWithinPartitions("id").write.option(
+        "parquet.block.row.count.limit", 500).partitionBy("p").parquet(src)
+    (f,) = fs.list_files(spark, f"{src}/p=1")
+    _p, _k, _first, _n, start, size = row_groups(spark, [f])[1]
+    _damage(spark, f, start, size)
+    v, losses = snapshot_salvage(spark, src, f"{workdir}/t")
+    got = read_snapshot(spark, f"{workdir}/t", v)
+    assert sorted(map(tuple, got.select("id", "p").collect())) == [(i, i // 2000) for i in range(6000) if not 2500 <= i < 3000]
+    assert [(r["row_group"], r["lost"]) for r in losses.collect()] == [(1, 500)]
+    v, losses = snapshot_salvage(spark, f, f"{workdir}/one")  # a single file
+    assert read_snapshot(spark, f"{workdir}/one", v).count() == 1500 and losses.count() == 1
+
+
 def test_split_sizes_hold_one_middle_each():
     groups = [("a", 0, 0, 9, 4, 100_000), ("a", 1, 9, 9, 100_004, 90_000), ("a", 2, 18, 1, 190_004, 50), ("b", 0, 0, 9, 4, 10)]
     sizes = split_sizes(groups)
