@@ -73,7 +73,7 @@ def device_lines(listings: DataFrame, keep: Sequence[str], text: str = "record")
     overlap its place; a line's words are told from one another by blanks, and an empty cell
     takes no word of its neighbours. ``depth`` counts the levels of the branch marks. Lines before
     the header (``NAME`` first) are dropped; a listing without a header gives none."""
-    lines = F.split(F.col(text), r"\r?\n")
+    lines = F.split(F.translate(F.col(text), "\t", " "), r"\r?\n")
     rows = listings.select(*keep, lines.alias("_tv_lines"))
     at = F.array_position(F.transform("_tv_lines", lambda x: x.rlike(r"^NAME\s")), F.lit(True)).cast("int")
     rows = rows.withColumn("_tv_at", at).where("_tv_at > 0")
@@ -97,8 +97,8 @@ def device_lines(listings: DataFrame, keep: Sequence[str], text: str = "record")
         """The first word that stands below some of the heading."""
         below = F.substr("_tv_rest", span["start"])
         found = F.ltrim(below)
-        before = F.regexp_extract(F.substr("_tv_rest", F.lit(1), span["start"] - 1), r"\S+$", 0)
-        word = F.concat(F.when(below.startswith(" "), F.lit("")).otherwise(before), F.regexp_extract(found, r"^\S+", 0))
+        before = F.substring_index(F.substr("_tv_rest", F.lit(1), span["start"] - 1), " ", -1)
+        word = F.concat(F.when(below.startswith(" "), F.lit("")).otherwise(before), F.substring_index(found, " ", 1))
         reaches = (F.length(found) > 0) & (F.length(below) - F.length(found) < span["size"])
         return F.when(heading == "NAME", F.col("_tv_name")).when(reaches, word)
 
