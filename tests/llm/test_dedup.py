@@ -128,6 +128,19 @@ def test_suffix_dedup_of_odd_tables(spark):
     assert rows(got, "doc_id", "n_bytes", "n_removed") == sorted([(None, n, 0), (5, n, n), (5, n, n), (5, n + 1, n)], key=str)
 
 
+@pytest.mark.parametrize("cap", [4096, 1])
+def test_rows_that_stand_twice_are_no_repeats_of_themselves(spark, monkeypatch, cap):
+    monkeypatch.setattr(suffix_dedup, "BATCH_CONTEXTS", cap)
+    texts = repeat_texts()
+    texts += [t[30:] + "tail" for t in texts if t] + [t[:150] for t in texts if t]
+    ids = list(range(len(texts)))
+    want = {r[0]: r for r in brute_repeats(ids, texts)}
+    got = suffix_dedup.remove_repeats(docs_of(spark, texts + texts[::2], ids=ids + ids[::2]))
+    have = sorted((r["doc_id"], r["n_bytes"], r["n_removed"], len(r["spans"]), hashlib.sha256(r["kept"]).hexdigest())
+                  for r in got.collect())
+    assert have == sorted(want[i] for i in ids + ids[::2])
+
+
 def test_suffix_arrays_are_sorted_and_prefixes_exact():
     rng = np.random.default_rng(0)
     for _ in range(30):
