@@ -13,13 +13,13 @@ The driver sees one line for each row group of a damaged file, never rows.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from tablevault.session import session_conf
 from tablevault.sources import fs
 from tablevault.sources.snapshot import (
     SOURCE_FILE,
@@ -36,23 +36,6 @@ NO_MARKER = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
 GROUPS = "path string, row_group int, first_row long, rows long, start long, bytes long"
 
 
-@contextmanager
-def session_conf(spark: SparkSession, **conf: str) -> Iterator[None]:
-    """Settings (``__`` for a dot) that hold for a few actions and are put back afterwards."""
-    names = {k.replace("__", "."): v for k, v in conf.items()}
-    before = {k: spark.conf.get(k, None) for k in names}
-    try:
-        for k, v in names.items():
-            spark.conf.set(k, v)
-        yield
-    finally:
-        for k, v in before.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
-
-
 def row_groups(spark: SparkSession, paths: Sequence[str]) -> list[tuple]:
     """``GROUPS`` rows of some files, off their footers; files without a readable one give none."""
     jvm, out = spark.sparkContext._jvm, []

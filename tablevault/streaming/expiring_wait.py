@@ -13,19 +13,25 @@ equals the batch ``wait_profile`` whatever order the reports arrived in.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from tablevault.functions import constants as K
 from tablevault.operators.lifecycle import wait_columns
+from tablevault.session import ROCKSDB, session_conf
 from tablevault.sources import fs
 
 UPDATE, LATE = "update", "late"
 
+# The processor travels to the Python workers whole: they need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 class ExpiringWait(StatefulProcessor):
     """First report and first report in the target state of one key; see the module."""
@@ -81,7 +87,8 @@ def wait_stream_expiring(stream: DataFrame, key: str, ts: str, state: str, targe
                          delay: str = "1 hour", expiry_s: int = 86_400, available_now: bool = True) -> StreamingQuery:
     """Start the stream. Updates go to ``<out_dir>/updates/batch=N`` and reports that arrive more
     than ``delay`` behind the newest one of earlier batches to ``<out_dir>/late/batch=N``; a
-    replayed batch rewrites its folders. Reports without a key or time are left out."""
+    replayed batch rewrites its folders. Reports without a key or time are left out. Timers need
+    RocksDB as the state store; the query gets it, whatever the session has."""
     at = F.col(ts).cast("timestamp")
     # the watermark follows ``_tv_at``; the processor reads ``us``, so that Spark hands it late rows too
     rows = (stream.withColumn("_tv_at", at).withWatermark("_tv_at", delay)
@@ -105,7 +112,9 @@ def wait_stream_expiring(stream: DataFrame, key: str, ts: str, state: str, targe
             batch.unpersist()
 
     writer = found.writeStream.outputMode("update").foreachBatch(sink).option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if available_now else writer).start()
+    # a query keeps the settings that its session has when it starts
+    with session_conf(stream.sparkSession, spark__sql__streaming__stateStore__providerClass=ROCKSDB):
+        return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
 def _written(spark: SparkSession, out_dir: str, folder: str) -> DataFrame | None:

@@ -1,8 +1,12 @@
 """Salvage by row group, diffs by digest, syncs with repeated keys, expiring stream state."""
 
 import datetime as dt
+import os
+import subprocess
+import sys
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from tablevault.operators import sync_diff, wait_profile
@@ -18,7 +22,7 @@ from tablevault.operators.digests import (
 from tablevault.sources import fs
 from tablevault.sources.salvage import row_groups, session_conf, snapshot_salvage, split_sizes
 from tablevault.sources.snapshot import read_snapshot, read_state, read_rows, snapshot_full, sync_run
-from tablevault.streaming import expiring_result, late_reports, wait_stream_expiring
+from tablevault.streaming import expiring_result, expiring_wait, late_reports, wait_stream_expiring
 
 
 def _rows(df):
@@ -201,6 +205,7 @@ def test_sync_run_refuses_repeated_source_keys_and_leaves_the_target(spark, work
 # ------------------------------------------------------------------ O22
 
 STATES = "k long, ts timestamp, state string"
+HDFS_STORE = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
 
 
 def _at(s):
@@ -238,3 +243,19 @@ def test_state_follows_the_active_keys(spark, workdir):
     totals = _feed(spark, workdir, drops)
     assert all(t <= 40 for t in totals)  # of 200 keys ever seen
     assert expiring_result(spark, f"{workdir}/out", "k").count() == 200
+
+
+def test_expiring_wait_brings_its_state_store(spark, workdir):
+    plain = spark.newSession()
+    plain.conf.set("spark.sql.streaming.stateStore.providerClass", HDFS_STORE)
+    totals = _feed(plain, workdir, [[(1, _at(0), "a")], [(1, _at(5), "t"), (2, _at(6), "a")]])
+    assert totals == [1, 2] and plain.conf.get("spark.sql.streaming.stateStore.providerClass") == HDFS_STORE
+    assert expiring_result(plain, f"{workdir}/out", "k").count() == 2
+
+
+def test_expiring_wait_needs_no_package_on_the_workers():
+    made = cloudpickle.dumps(expiring_wait.ExpiringWait("t", 1000))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    code = "import pickle, sys; print(pickle.loads(sys.stdin.buffer.read()).expiry_ms, 'tablevault' in sys.modules)"
+    said = subprocess.run([sys.executable, "-c", code], input=made, cwd="/", env=env, capture_output=True, check=True).stdout
+    assert said.split() == [b"1000", b"False"]
