@@ -7,7 +7,8 @@ are made from those of buckets. A diff makes the same digests of the source in o
 pass (added up before anything is shuffled), descends from groups of buckets to the
 buckets that differ, and reads only those of the copy.
 
-Equal digests are taken for equal content: the two hashes have 64 bits each.
+Equal digests are taken for equal content: the two hashes have 64 bits each. A bucket of a copy in
+which a key repeats is always read, so that a source which repeats it too is found out.
 Rows with a null key have a bucket of their own, which is always read, as they match nothing.
 """
 
@@ -79,22 +80,40 @@ def differing_buckets(a: DataFrame, b: DataFrame, buckets: int) -> list[int]:
 
 
 def digested_copy(df: DataFrame, path: str, keys: Sequence[str], compare_cols: Sequence[str], buckets: int = BUCKETS,
-                  codec: str = "zstd") -> None:
-    """Write ``df`` as a copy with digests to a new folder ``path``. Non-null keys must be unique."""
+                  codec: str = "zstd", repeats: bool = False) -> None:
+    """Write ``df`` as a copy with digests to a new folder ``path``. Non-null keys must be unique
+    unless they may repeat (``repeats``)."""
     spark, keys = df.sparkSession, list(keys)
-    named = unique_keys(df.where(~any_null(keys)), keys).unionByName(df.where(any_null(keys)))
+    named = df if repeats else unique_keys(df.where(~any_null(keys)), keys).unionByName(df.where(any_null(keys)))
     spread = F.pmod(F.xxhash64(*[hashable(F.col(f.name), f.dataType) for f in df.schema]), F.lit(NULL_TASKS))
     dealt = named.withColumn(BUCKET, bucket_of(keys, buckets)).repartition(
         F.col(BUCKET), F.when(F.col(BUCKET) == NULL_BUCKET, spread).otherwise(0))
     dealt.write.option("compression", codec).partitionBy(BUCKET).parquet(path)
-    marks = digests(spark.read.schema(df.schema).parquet(path), keys, compare_cols, buckets)
+    rows = spark.read.schema(df.schema).parquet(path)
+    marks = digests(rows, keys, compare_cols, buckets).withColumn("repeats", F.lit(False))
+    if repeats:
+        often = rows.where(~any_null(keys)).groupBy(*keys).count().where("count > 1")
+        often = often.select(bucket_of(keys, buckets).alias("bucket"), F.lit(True).alias("often")).distinct()
+        marks = marks.join(often, "bucket", "left").withColumn("repeats", F.col("often").isNotNull()).drop("often")
     marks.withColumns({"buckets": F.lit(buckets), "columns": F.lit("\n".join([*keys, "", *compare_cols]))}).coalesce(1).write.parquet(
         f"{path.rstrip('/')}/_digests")
 
 
+def _marks(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path.rstrip('/')}/_digests")
+
+
+def buckets_with_repeats(spark: SparkSession, path: str) -> list[int]:
+    """Buckets of a copy in which a non-null key stands more than once."""
+    marks = _marks(spark, path)
+    if "repeats" not in marks.columns:  # a copy from before keys could repeat
+        return []
+    return [r[0] for r in marks.where("repeats").select("bucket").collect()]
+
+
 def read_digests(spark: SparkSession, path: str, keys: Sequence[str], compare_cols: Sequence[str]) -> tuple[DataFrame, int | None]:
     """The digests beside a copy and the number of its buckets, None if the copy has no rows."""
-    rows = spark.read.parquet(f"{path.rstrip('/')}/_digests")
+    rows = _marks(spark, path)
     first = rows.first()
     if first and first["columns"] != "\n".join([*keys, "", *compare_cols]):
         raise ValueError(f"the digests of {path} are of other columns")
@@ -104,17 +123,19 @@ def read_digests(spark: SparkSession, path: str, keys: Sequence[str], compare_co
 def sync_diff_digest(src: DataFrame, path: str, keys: Sequence[str], compare_cols: Sequence[str],
                      payload_cols: Sequence[str] | None = None) -> DataFrame:
     """``sync_diff`` of ``src`` against the copy at ``path``; buckets of the copy that equal the
-    source's are not read. Keys that repeat in the source fail the job, as there."""
+    source's are not read. Keys that repeat in the source fail the job, as there; those that the
+    copy was allowed to repeat are compared row by row."""
     spark, keys, compare_cols = src.sparkSession, list(keys), list(compare_cols)
     marks, buckets = read_digests(spark, path, keys, compare_cols)
     if buckets is None:
         empty = spark.createDataFrame([], src.schema)
         return sync_diff(src, empty, keys, compare_cols, payload_cols)
     mine = digests(src, keys, compare_cols, buckets)
-    differ = sorted({*differing_buckets(mine, marks, buckets), NULL_BUCKET})
+    again = buckets_with_repeats(spark, path)
+    differ = sorted({*differing_buckets(mine, marks, buckets), *again, NULL_BUCKET})
     here = bucket_of(keys, buckets)
     tgt = spark.read.parquet(path).where(F.col(BUCKET).isin(differ)).drop(BUCKET)
-    open_ = sync_diff(src.where(here.isin(differ)), tgt, keys, compare_cols, payload_cols)
+    open_ = sync_diff(src.where(here.isin(differ)), tgt, keys, compare_cols, payload_cols, target_repeats=bool(again))
     # equal digests: every key here has its equal there
     out = [F.col(k) for k in keys] + [F.lit("unchanged").alias("cls")]
     if payload_cols is not None:

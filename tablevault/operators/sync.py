@@ -63,9 +63,12 @@ def _side(df: DataFrame, tag: str, keys: Sequence[str], compare_cols: Sequence[s
 
 
 def sync_diff(src: DataFrame, tgt: DataFrame, keys: Sequence[str], compare_cols: Sequence[str],
-              payload_cols: Sequence[str] | None = None, check_unique: bool = True) -> DataFrame:
+              payload_cols: Sequence[str] | None = None, check_unique: bool = True, target_repeats: bool = False) -> DataFrame:
     """Class of every key: ``new``, ``changed``, ``unchanged`` or ``target_only``.
 
+    A key that repeats fails the job. With ``target_repeats`` it may repeat in the target:
+    each of its rows there is compared and gives a row.
+
     ``compare_cols`` is the signature; nulls compare equal. A null key matches
     nothing: such rows are ``new`` or ``target_only``. With
     ``payload_cols`` a ``bytes`` column holds the payload size of the row that
@@ -80,6 +83,7 @@ def sync_diff(src: DataFrame, tgt: DataFrame, keys: Sequence[str], compare_cols:
     t = _side(tgt, "t", keys, compare_cols, payload_cols)
     if check_unique:
         s = _unique_keys(s, keys, "source")
+    if check_unique and not target_repeats:
         t = _unique_keys(t, keys, "target")
     j = s.join(t, on=keys + [SALT], how="full_outer")
     same = all_of([F.col(f"_s_{c}").eqNullSafe(F.col(f"_t_{c}")) for c in compare_cols])

@@ -57,8 +57,9 @@ def _receipt(run_col: str = "run_id"):
 # ---------------------------------------------------------------- sync
 
 def q_sync_diff(spark, sf):
+    """The older copy repeats keys as soon as ``orders`` has keys past its shifted ones."""
     return op.sync_diff(table(spark, sf, "orders"), fx.target_orders(spark, sf), SYNC_KEYS,
-                        SYNC_SIGNATURE, payload_cols=SYNC_PAYLOAD)
+                        SYNC_SIGNATURE, payload_cols=SYNC_PAYLOAD, target_repeats=True)
 
 
 def q_sync_apply(spark, sf):

@@ -64,7 +64,7 @@ _LOST_SQL = f"o_orderkey % 3 = 0 and (rn % {FILE_ROWS}) // {GROUP_ROWS} = 1"
 
 def q_sync_diff_digest(spark, sf):
     copy = f"{new_work_dir(spark, 'sync_diff_digest')}/copy"
-    digested_copy(fx.target_orders(spark, sf), copy, catalog.SYNC_KEYS, catalog.SYNC_SIGNATURE, DIGEST_BUCKETS)
+    digested_copy(fx.target_orders(spark, sf), copy, catalog.SYNC_KEYS, catalog.SYNC_SIGNATURE, DIGEST_BUCKETS, repeats=True)
     return sync_diff_digest(table(spark, sf, "orders"), copy, catalog.SYNC_KEYS, catalog.SYNC_SIGNATURE, catalog.SYNC_PAYLOAD)
 
 

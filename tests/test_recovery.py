@@ -9,6 +9,7 @@ import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
 from tablevault.operators import sync_diff, wait_profile
 from tablevault.operators.digests import (
     BUCKET,
@@ -25,6 +26,10 @@ from tablevault.sources.snapshot import read_snapshot, read_state, read_rows, sn
 from tablevault.streaming import expiring_result, expiring_wait, late_reports, wait_stream_expiring
 
 
+ORDERS = ("o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, "
+          "o_orderpriority string")
+
+
 def _rows(df):
     return sorted(map(tuple, df.collect()), key=str)
 
@@ -174,6 +179,34 @@ def test_digest_copies_of_odd_tables(spark, workdir):
         sync_diff_digest(src.unionByName(src), f"{workdir}/copy", ["k"], ["v"]).collect()
 
 
+def test_a_copy_that_repeats_keys_is_compared_row_by_row(spark, workdir):
+    src, _ = _pair(spark)
+    key = src.where("k is not null").select("k").distinct().orderBy("k").first()[0]
+    tgt = src.unionByName(src.where(F.col("k") == key).withColumn("v", F.lit("other").cast(src.schema["v"].dataType)))
+    digested_copy(tgt, f"{workdir}/copy", ["k"], ["v"], buckets=8, repeats=True)
+    got = sync_diff_digest(src, f"{workdir}/copy", ["k"], ["v"])
+    assert _rows(got) == _rows(sync_diff(src, tgt, ["k"], ["v"], target_repeats=True))
+    assert sorted(r["cls"] for r in got.where(F.col("k") == key).collect()) == ["changed", "unchanged"]
+    # a source with the same repeats has the same digests, and is found out all the same
+    with pytest.raises(Exception, match="not unique"):
+        sync_diff_digest(tgt, f"{workdir}/copy", ["k"], ["v"]).collect()
+
+
+def test_diffs_of_orders_past_the_shifted_keys(spark, workdir):
+    """The older copy repeats keys once ``orders`` reaches its shifted ones."""
+    base = [49, 50, 100, 150, 1_000_050, 1_000_100, 1_000_149]
+    spark.createDataFrame([(k, 1, "O", float(k), dt.datetime(2024, 1, 1), "1-URGENT") for k in base], ORDERS).write.parquet(
+        f"{workdir}/orders.parquet")
+    want = sorted([(49, "unchanged", 9), (50, "changed", 9), (150, "changed", 9), (100, "new", 9), (1_000_050, "changed", 9),
+                   (1_000_050, "changed", 9), (1_000_100, "changed", 9), (1_000_149, "unchanged", 9), (1_000_150, "target_only", 9),
+                   (2_000_050, "target_only", 9), (2_000_100, "target_only", 9)])
+    for name in ("sync_diff", "sync_diff_digest"):
+        got = queries()[name](spark, workdir).select("o_orderkey", "cls", "bytes")
+        assert sorted(map(tuple, got.collect())) == want
+    report = {r["cls"]: r["rows"] for r in queries()["sync_report"](spark, workdir).collect()}
+    assert report == {"unchanged": 2, "changed": 5, "new": 1, "target_only": 3}
+
+
 # ------------------------------------------------------------------ O5
 
 def test_sync_run_of_repeated_target_keys_is_idempotent(spark, workdir):
