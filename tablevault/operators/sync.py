@@ -22,6 +22,7 @@ from tablevault.functions.columns import (
 )
 
 SALT = "_tv_salt"
+IN_SOURCE = "_tv_in_source"
 
 
 def _unique_keys(df: DataFrame, keys: Sequence[str], side: str) -> DataFrame:
@@ -115,18 +116,22 @@ def sync_apply(src: DataFrame, tgt: DataFrame, keys: Sequence[str]) -> DataFrame
     """The target after a sync without deletes: every source row, plus the
     target rows whose key the source lacks.
 
-    The source side of the anti join is reduced to its distinct keys (map-side
+    The source side of the join is reduced to its distinct keys (map-side
     partial aggregation, same partitioning as the join, so no extra shuffle).
+    It is an outer join with a filter: an anti join would be pushed into each branch of
+    a target that is a union, and the one of a small branch meets all source keys in few
+    tasks, as partitions are put together by their compressed sizes.
     A null key matches no key; such target rows stay unless the source holds
     an equal row (see ``null_key_leftovers``). So applying it twice gives the
     same table as applying it once, null keys included.
     """
     keys = list(keys)
     types = [tgt.schema[k].dataType for k in keys]
-    src_keys = (src.where(~any_null(keys)).select(plain_join_key(keys, types).alias(JOIN_KEY)).distinct())
+    src_keys = (src.where(~any_null(keys)).select(plain_join_key(keys, types).alias(JOIN_KEY)).distinct()
+                .withColumn(IN_SOURCE, F.lit(True)))
     kept = (tgt.where(~any_null(keys)).withColumn(JOIN_KEY, plain_join_key(keys, types))
-            .join(src_keys, on=JOIN_KEY, how="left_anti")
-            .drop(JOIN_KEY))
+            .join(src_keys, on=JOIN_KEY, how="left").where(F.col(IN_SOURCE).isNull())
+            .drop(JOIN_KEY, IN_SOURCE))
     out = src.unionByName(kept, allowMissingColumns=True)
     if not any(tgt.schema[k].nullable for k in keys):
         return out

@@ -83,3 +83,12 @@ def test_sync_apply_is_idempotent_with_null_keys_in_the_source(spark):
         [(None, 1.0, "n"), (None, 1.0, "n"), (None, None, None), (None, 2.0, "own")], key=str)
     again = op.sync_apply(s, op.sync_apply(s, once, ["k"]), ["k"])
     assert sorted(map(tuple, again.collect()), key=str) == rows
+
+
+def test_sync_apply_joins_a_target_that_is_a_union_once(spark):
+    s = spark.createDataFrame(SRC, SCHEMA)
+    small = spark.createDataFrame([(6, 1.0, "f"), (5, 1.0, "older")], SCHEMA)
+    got = op.sync_apply(s, spark.createDataFrame(TGT, SCHEMA).unionByName(small), ["k"])
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([*SRC, (4, 40.0, "dddd"), (6, 1.0, "f")], key=str)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1
