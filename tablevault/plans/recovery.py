@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablevault.functions import constants as K
@@ -18,6 +18,7 @@ from tablevault.sources.tables import table
 from tablevault.streaming import expiring_result, late_reports, wait_stream_expiring
 
 GROUP_ROWS, FILE_ROWS = 500, 2000  # of the files that are damaged
+TASK_FILES = 16  # of them that go to one task together
 DIGEST_BUCKETS = 256
 DELAY_MS, EXPIRY_S = 5 * 60_000, 6 * 3600
 
@@ -28,12 +29,21 @@ def damaged_groups(spark: SparkSession, sf: str, dest: str) -> None:
     """``orders`` by ``o_orderkey % 3`` in files of ``FILE_ROWS`` rows in key order, row groups of
     ``GROUP_ROWS``; the second row group of every file of ``part=0`` is overwritten."""
     o = table(spark, sf, "orders").withColumn("part", F.pmod(F.col("o_orderkey"), F.lit(3)))
-    (o.repartition("part").sortWithinPartitions("part", "o_orderkey").write.partitionBy("part")
+    # ranks by slices: the rows before a slice are counted, those in it are numbered
+    dealt, order = f"{new_work_dir(spark, 'slices')}", ["part", "o_orderkey"]
+    o.repartitionByRange(*order).withColumn("slice", F.spark_partition_id()).write.parquet(dealt)
+    rows = spark.read.parquet(dealt)
+    counts = rows.groupBy("part", "slice").agg(F.count("*").alias("n"))
+    before = counts.select(F.col("part").alias("_part"), F.col("slice").alias("_slice"), (F.sum("n").over(
+        Window.partitionBy("part").orderBy("slice")) - F.col("n")).alias("before"))
+    ranked = rows.join(F.broadcast(before), F.col("part").eqNullSafe(F.col("_part")) & (F.col("slice") == F.col("_slice"))).withColumn(
+        "rn", F.col("before") + F.row_number().over(Window.partitionBy("part", "slice").orderBy("o_orderkey")) - 1)
+    # a task gets stretches of whole files; the last file of a folder may be short
+    stretch = F.expr(f"rn div {FILE_ROWS * TASK_FILES}")
+    (ranked.repartition("part", stretch).sortWithinPartitions("part", "rn").select(*o.columns).write.partitionBy("part")
      .option("maxRecordsPerFile", FILE_ROWS).option("parquet.block.row.count.limit", GROUP_ROWS).parquet(dest))
-    for path, k, _first, _rows, start, size in row_groups(spark, fs.list_files(spark, f"{dest}/part=0")):
-        if k == 1:
-            data = fs.read_bytes(spark, path)
-            fs.overwrite_bytes(spark, path, data[:start] + b"\xff" * size + data[start + size:])
+    groups = row_groups(spark, fs.list_files(spark, f"{dest}/part=0"))
+    fs.overwrite_parts(spark, [(path, start, size) for path, k, _first, _rows, start, size in groups if k == 1], 0xFF)
 
 
 def _salvaged(spark: SparkSession, sf: str, name: str) -> tuple[DataFrame, DataFrame]:

@@ -7,9 +7,21 @@ the driver, never table data.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import SparkSession
 
 
+CALLS_AT_ONCE = 16
+
+
+def at_once(what: Callable, items: Sequence) -> list:
+    """``what`` of every item, several at a time: calls that wait for a file system."""
+    with ThreadPoolExecutor(CALLS_AT_ONCE) as pool:
+        return list(pool.map(what, items))
+
+
 def _fs_and_path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -63,6 +75,34 @@ def overwrite_bytes(spark: SparkSession, path: str, data: bytes) -> None:
         out.close()
 
 
+def overwrite_parts(spark: SparkSession, parts: Sequence[tuple[str, int, int]], byte: int) -> None:
+    """Set ``size`` bytes from ``start`` of each file ``(path, start, size)`` to one value (used to build
+    a damaged-file fixture). What stays of a file does not leave the JVM."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    path_of, buffer, copy = jvm.org.apache.hadoop.fs.Path, jvm.java.io.ByteArrayOutputStream, jvm.org.apache.commons.io.IOUtils.copyLarge
+
+    def set_(part: tuple[str, int, int]) -> None:
+        path, start, size = part
+        p = path_of(path)
+        fs, kept = p.getFileSystem(conf), buffer()
+        stream = fs.open(p)
+        try:
+            copy(stream, kept, 0, start)
+            kept.write(bytearray([byte]) * size)
+            stream.seek(start + size)
+            copy(stream, kept)
+        finally:
+            stream.close()
+        out = fs.create(p, True)
+        try:
+            kept.writeTo(out)
+        finally:
+            out.close()
+
+    at_once(set_, parts)
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """A small file that must not exist yet."""
     fs, p = _fs_and_path(spark, path)

@@ -12,6 +12,7 @@ The driver sees one line for each row group of a damaged file, never rows.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Sequence
 
@@ -33,27 +34,35 @@ from tablevault.sources.snapshot import (
 
 CHECKSUMS = "parquet.page.verify-checksum.enabled"
 NO_MARKER = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+TASK_BYTES = 8 << 20  # of damaged files, read by one task
 GROUPS = "path string, row_group int, first_row long, rows long, start long, bytes long"
 
 
 def row_groups(spark: SparkSession, paths: Sequence[str]) -> list[tuple]:
     """``GROUPS`` rows of some files, off their footers; files without a readable one give none."""
-    jvm, out = spark.sparkContext._jvm, []
+    jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for path in paths:
+    # calls into the JVM take most of the time: classes are looked up once, a footer comes as one text
+    open_, file_of, path_of = (jvm.org.apache.parquet.hadoop.ParquetFileReader.open,
+                               jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath, jvm.org.apache.hadoop.fs.Path)
+    as_json = jvm.org.apache.parquet.hadoop.metadata.ParquetMetadata.toJSON
+
+    def read(path: str) -> list[tuple]:
         try:
-            reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(
-                jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(jvm.org.apache.hadoop.fs.Path(path), conf))
+            reader = open_(file_of(path_of(path), conf))
         except Exception:  # the footer cannot be read: the whole file is lost, and reported so
-            continue
+            return []
         try:
-            first = 0
-            for k, block in enumerate(reader.getFooter().getBlocks()):
-                out.append((path, k, first, block.getRowCount(), block.getStartingPos(), block.getCompressedSize()))
-                first += block.getRowCount()
+            blocks = json.loads(as_json(reader.getFooter()))["blocks"]
         finally:
             reader.close()
-    return out
+        out, first = [], 0
+        for k, block in enumerate(blocks):
+            out.append((path, k, first, block["rowCount"], block["startingPos"], block["compressedSize"]))
+            first += block["rowCount"]
+        return out
+
+    return [g for groups in fs.at_once(read, paths) for g in groups]
 
 
 def split_sizes(groups: Sequence[tuple]) -> dict[str, int]:
@@ -80,7 +89,13 @@ def _placed(rows: DataFrame, drop_cols: Sequence[str]) -> DataFrame:
                        F.col("_metadata.row_index").alias(SOURCE_ROW))
 
 
-def _lost_groups(spark: SparkSession, groups: Sequence[tuple], placed: DataFrame, unreadable: DataFrame) -> DataFrame:
+def _of_files(spark: SparkSession, placed: DataFrame, paths: Sequence[str]) -> DataFrame:
+    """Copied rows that come from some files."""
+    names = spark.createDataFrame([(p,) for p in paths], StructType([StructField(SOURCE_FILE, StringType())]))
+    return placed.join(F.broadcast(names), SOURCE_FILE, "left_semi")
+
+
+def _lost_groups(spark: SparkSession, groups: Sequence[tuple], placed: DataFrame, unreadable: Sequence[tuple]) -> DataFrame:
     """Row groups that were not copied whole, and files that cannot be read at all (null group)."""
     table = spark.createDataFrame(list(groups), GROUPS).drop("start", "bytes")
     starts = table.groupBy("path").agg(F.sort_array(F.collect_list("first_row")).alias("starts"))
@@ -90,9 +105,7 @@ def _lost_groups(spark: SparkSession, groups: Sequence[tuple], placed: DataFrame
     both = table.join(copied, ["path", "row_group"], "left").withColumn("copied", F.coalesce("copied", F.lit(0)))
     lost = both.where("copied < rows").select("path", "row_group", "first_row", "rows", "copied",
                                               (F.col("rows") - F.col("copied")).alias("lost"))
-    none = F.lit(None).cast("long")
-    return lost.unionByName(unreadable.select("path", F.lit(None).cast("int").alias("row_group"), none.alias("first_row"),
-                                              none.alias("rows"), "copied", none.alias("lost")))
+    return lost.unionByName(spark.createDataFrame([(path, None, None, None, copied, None) for path, copied in unreadable], lost.schema))
 
 
 def snapshot_salvage(spark: SparkSession, path: str, target: str, schema: StructType | None = None, codec: str = "zstd",
@@ -121,19 +134,25 @@ def snapshot_salvage(spark: SparkSession, path: str, target: str, schema: Struct
     copied = spark.read.schema(marks).parquet(dest)
     losses = file_losses(spark, path, reader, copied.groupBy(F.col(SOURCE_FILE).alias("path")).agg(
         F.count("*").alias("copied")), recursive).where("rows is null or lost > 0")
-    found = losses.select("path", "rows", "copied").collect()  # one line for each damaged file
+    found = losses.select("path", "length", "rows", "copied").collect()  # one line for each damaged file
+    whole = {r["path"]: r["length"] for r in found}
     groups = row_groups(spark, [r["path"] for r in found if r["rows"] is not None])
     sizes = split_sizes(groups)
     for size in sorted(set(sizes.values())):
         paths = [p for p, s in sizes.items() if s == size]
-        have = copied.where(F.col(SOURCE_FILE).isin(paths))
-        with session_conf(spark, spark__sql__files__maxPartitionBytes=str(size), spark__sql__files__openCostInBytes=str(size)):
+        have = _of_files(spark, copied, paths)
+        # many splits, and many files to list, to a task: small ones do not become tasks of their own
+        few = 4 * spark.sparkContext.defaultParallelism
+        tasks = max(few, sum(whole[p] for p in paths) // TASK_BYTES)
+        with session_conf(spark, spark__sql__files__maxPartitionBytes=str(size), spark__sql__files__openCostInBytes=str(size),
+                          spark__sql__files__maxPartitionNum=str(tasks),
+                          spark__sql__sources__parallelPartitionDiscovery__parallelism=str(few)):
             fine = tolerant_reader(spark, [literal_path(p) for p in paths], reader.schema, "parquet", False, options)
             fine = _placed(fine, drop_cols).join(have, [SOURCE_FILE, SOURCE_ROW], "left_anti")
             append(fine.select(*[c for c in reader.columns if c not in drop_cols], SOURCE_FILE, SOURCE_ROW))
     fs.write_text(spark, f"{dest}/_SUCCESS", "")
-    again = spark.read.schema(marks).parquet(dest).where(F.col(SOURCE_FILE).isin(list(sizes)))
-    unreadable = losses.where("rows is null").select("path", "copied")
+    again = _of_files(spark, spark.read.schema(marks).parquet(dest), list(sizes))
+    unreadable = [(r["path"], r["copied"]) for r in found if r["rows"] is None]
     report = f"{target.rstrip('/')}/_reports/v={version}"
     out = _lost_groups(spark, groups, again, unreadable)
     out.write.parquet(report)

@@ -20,6 +20,7 @@ from tablevault.operators.digests import (
     read_digests,
     sync_diff_digest,
 )
+from tablevault.plans.recovery import damaged_groups
 from tablevault.sources import fs
 from tablevault.sources.salvage import row_groups, session_conf, snapshot_salvage, split_sizes
 from tablevault.sources.snapshot import read_snapshot, read_state, read_rows, snapshot_full, sync_run
@@ -106,6 +107,42 @@ def test_salvage_reads_only_damaged_files_again_whatever_their_names(spark, work
     assert read_snapshot(spark, f"{workdir}/one", v).count() == 1500 and losses.count() == 1
 
 
+def test_salvage_reads_many_damaged_files_in_few_tasks(spark, workdir):
+    spark.range(60_000).selectExpr("id", "sha2(cast(id as string), 256) as s").coalesce(1).write.option(
+        "parquet.block.row.count.limit", 200).option("maxRecordsPerFile", 1000).parquet(f"{workdir}/src")
+    groups = row_groups(spark, fs.list_files(spark, f"{workdir}/src"))
+    fs.overwrite_parts(spark, [(path, start, size) for path, k, _first, _n, start, size in groups if k == 2], 0xFF)
+    sc = spark.sparkContext
+    sc.setJobGroup(workdir, "salvage")
+    try:
+        v, losses = snapshot_salvage(spark, f"{workdir}/src", f"{workdir}/t")
+    finally:
+        sc.setJobGroup("", "")
+    seen = sc.statusTracker()
+    jobs = [seen.getJobInfo(j) for j in seen.getJobIdsForGroup(workdir)]
+    stages = [seen.getStageInfo(i) for job in jobs if job for i in job.stageIds]
+    assert max(x.numTasks for x in stages if x) <= 5 * sc.defaultParallelism  # of 300 row groups
+    assert read_snapshot(spark, f"{workdir}/t", v).count() == 48_000
+    assert losses.count() == 60 and {(r["row_group"], r["lost"]) for r in losses.collect()} == {(2, 200)}
+
+
+def test_parts_of_files_are_overwritten(spark, workdir):
+    f = _files(spark, f"{workdir}/src", 10)
+    data = fs.read_bytes(spark, f)
+    fs.overwrite_parts(spark, [(f, 4, 50)], 0xFF)
+    assert fs.read_bytes(spark, f) == data[:4] + b"\xff" * 50 + data[54:]
+
+
+def test_damaged_fixture_has_whole_files_in_key_order(spark, workdir):
+    spark.createDataFrame([(k, 1, "O", 1.0, dt.datetime(2024, 1, 1), "1-URGENT") for k in range(0, 30_000, 2)], ORDERS).repartition(
+        7).write.parquet(f"{workdir}/orders.parquet")
+    damaged_groups(spark, workdir, f"{workdir}/d")
+    rows = spark.read.parquet(f"{workdir}/d/part=1").groupBy(F.input_file_name()).agg(
+        F.count("*"), F.min("o_orderkey"), F.max("o_orderkey")).collect()
+    got = sorted(tuple(r)[1:] for r in rows)
+    assert got == sorted((len(x), x[0], x[-1]) for x in (list(range(4, 30_000, 6))[i:i + 2000] for i in range(0, 5000, 2000)))
+
+
 def test_split_sizes_hold_one_middle_each():
     groups = [("a", 0, 0, 9, 4, 100_000), ("a", 1, 9, 9, 100_004, 90_000), ("a", 2, 18, 1, 190_004, 50), ("b", 0, 0, 9, 4, 10)]
     sizes = split_sizes(groups)
