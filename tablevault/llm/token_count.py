@@ -22,6 +22,7 @@ import json
 import re
 from array import array
 from collections.abc import Iterator
+from itertools import filterfalse
 
 import numpy as np
 import pandas as pd
@@ -187,8 +188,8 @@ class Encoder:
         if len(self.slots) > KNOWN_UNITS:
             self._forget()
         raw = data.tobytes()
-        found = [raw[a:b] for a, b in zip(begin[first].tolist(), end[first].tolist())]
-        new = [u for u in found if u not in self.slots]
+        found = list(map(raw.__getitem__, map(slice, begin[first].tolist(), end[first].tolist())))
+        new = list(filterfalse(self.slots.__contains__, found))
         if new:
             coded = self.of_units([u.decode() for u in new])
             n = len(self.slots)
@@ -196,7 +197,7 @@ class Encoder:
             sizes = np.fromiter((len(c) // 4 for c in coded), np.int64, len(coded))
             self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(coded), "<u4")])
             self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
-        slot = np.fromiter((self.slots[u] for u in found), np.int64, len(found))[code]
+        slot = np.fromiter(map(self.slots.__getitem__, found), np.int64, len(found))[code]
         return begin - offsets[rows], rows, slot, self.starts[slot + 1] - self.starts[slot]
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -44,6 +44,7 @@ END_ID = 2
 BLOCK_TOKENS = 1 << 19
 FILE_TOKENS = 1 << 23
 BLOCKS_PER_TASK = 8  # that a task reads
+SLICE_BYTES = 4 << 20  # of text that is encoded together: its distinct units are looked up once
 MAGIC = b"RANSTOK1"
 HEAD = struct.Struct("<IIQ")
 
@@ -110,7 +111,7 @@ def write_tokens(docs: DataFrame, target: str, tokenizer: str, end_id: int | Non
             return pa.RecordBatch.from_pylist([r | {"part": part, "seq": seq} for r in rows], schema=arrow)
 
         for batch in batches:
-            for piece in slices(batch, "text"):
+            for piece in slices(batch, "text", SLICE_BYTES):
                 coded, counts = encode(piece.column("text"))
                 for k, ids_ in enumerate(np.split(coded, np.cumsum(counts)[:-1])):
                     ids.append(piece.column("id").slice(k, 1))
