@@ -10,7 +10,8 @@ every text longer than a chunk and for ``.json`` and ``.model`` files alike; onl
 whose file does not prove a boundary encode whole texts.
 
 Within a chunk, a tokenizer that drops white space encodes each distinct unit between
-blanks once and reuses its ids while it is kept; a unit's bytes are compared before its ids are.
+blanks, or each distinct piece of it where the file proves the cut, once and reuses its ids while
+they are kept; bytes are compared before ids are.
 
 Null and empty texts have 0 tokens; repeated rows are counted each; columns
 besides the id and the text are ignored; an empty table gives no rows.
@@ -22,7 +23,7 @@ import json
 import re
 from array import array
 from collections.abc import Iterator
-from itertools import filterfalse
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -31,11 +32,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablevault.llm.common import flat_text, map_arrow, slices, span_hashes, spans_equal, word_spans
+from tablevault.llm.common import LOWER, flat_text, map_arrow, slices, span_hashes, spans_equal, word_spans
 
 CHUNK_CHARS = 4096
 OVERLAP_CHARS = 256
-KNOWN_UNITS = 500_000  # distinct units whose ids a process keeps
+KNOWN_UNITS = 500_000  # distinct units or their pieces whose ids a process keeps
+TOGETHER = 1 << 13  # plain pieces that are encoded as one text
 
 _LOADED: dict[str, object] = {}
 
@@ -58,12 +60,16 @@ def load(path: str):
     return _LOADED[path]
 
 
-# The normalizer and the split pattern for which ``Encoder`` may hand
-# plain words to the model alone; Latin letters without and with marks, and ASCII
-# marks that begin no special token and no contraction.
+# The normalizer and the split pattern for which ``Encoder`` may cut plain
+# units itself. A plain unit holds Latin letters without and with marks, ASCII digits, and
+# ASCII marks that begin no contraction; ``<`` and ``|`` are left to the special tokens.
 _LOWER_STEPS = ["NFC", "Replace", "Lowercase"]
 _WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-_PLAIN = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]*)([!-&(-/:;=>?@\[-`{}~]*)")
+_PLAIN = re.compile(r"[0-9A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF!-&(-/:;=>?@\[-`{}~]*")
+_OTHER, _BLANK, _LETTER, _MARK, _DIGIT = range(5)
+_KIND = np.array([_BLANK if c in " \n" else _OTHER if c > "~" or not _PLAIN.fullmatch(c) else _LETTER if c.isalpha()
+                  else _DIGIT if c.isdigit() else _MARK for c in map(chr, range(256))], np.uint8)
+_TWO_BYTES = 0xC3  # leads the Latin letters with marks: U+00C0 to U+00FF but for two
 
 
 def _byte_letters() -> dict[int, str]:
@@ -93,9 +99,12 @@ def splits_at_blanks(spec: dict) -> bool:
 
 
 def lowers_and_splits_words(spec: dict) -> bool:
-    """Whether a run of ASCII letters, and a run of marks after it, are encoded as the
-    model encodes the lower-cased run: the normalizer only lower-cases it, and the
-    pre-tokenizer cuts between the two and maps their bytes to themselves."""
+    """Whether each run of letters, each digit and each run of marks of a plain unit is
+    encoded as the model encodes the lower-cased run: the normalizer only lower-cases it,
+    the pre-tokenizer cuts there and maps bytes to letters, and no special token stands
+    inside a plain unit."""
+    if any(_PLAIN.fullmatch(t["content"]) for t in spec.get("added_tokens", [])):
+        return False
     steps = [s.get("type") for s in (spec.get("normalizer") or {}).get("normalizers", [])]
     pre = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
     return (steps == _LOWER_STEPS and spec["model"].get("type", "BPE") == "BPE" and [s.get("type") for s in pre] == ["Split", "ByteLevel"]
@@ -133,10 +142,11 @@ def stable_at(path: str) -> str | None:
 class Encoder:
     """Token ids of texts.
 
-    A text is the sequence of its units between spaces and line feeds. Distinct
-    units, told apart by their bytes, are encoded once while they are kept, in
-    all tasks of a Python process; texts are then put together from their ids.
-    Tokenizers that join over blanks encode whole texts."""
+    A text is the sequence of its units between spaces and line feeds. Where the
+    tokenizer's file allows it, plain units are cut further, into lower-cased runs of
+    letters, digits and runs of marks. Distinct pieces, told apart by their bytes, are encoded
+    once while they are kept, in all tasks of a Python process; texts are then put
+    together from their ids. Tokenizers that join over blanks encode whole texts."""
 
     _all: dict[str, Encoder] = {}  # by tokenizer file, for the life of the process
 
@@ -146,7 +156,9 @@ class Encoder:
         if self.cut and lowers_and_splits_words(spec):
             from tokenizers import Tokenizer
 
-            self.plain, self.letters = Tokenizer(self.tok.model), _byte_letters()
+            self.plain = Tokenizer(self.tok.model)
+            self.plain.add_special_tokens(["\n"])  # no piece holds one, so its id stands between pieces
+            self.line, self.letters = self.plain.token_to_id("\n"), _byte_letters() | {10: "\n"}
         self._forget()
 
     @classmethod
@@ -157,7 +169,6 @@ class Encoder:
 
     def _forget(self) -> None:
         self.slots: dict[bytes, int] = {}
-        self.words: dict[str, bytes] = {"": b""}
         self.ids, self.starts = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
     @staticmethod
@@ -166,54 +177,103 @@ class Encoder:
             return [array("I", e.ids).tobytes() for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
         return [array("I", ids).tobytes() for ids in tok.encode(texts, num_threads=1)]
 
-    def of_units(self, new: list[str]) -> list[bytes]:
-        """Ids of units as little-endian 32-bit integers."""
-        if self.plain is None:
-            return self._bytes(self.tok, new)
-        found = [_PLAIN.fullmatch(u) for u in new]
-        cells = [(m[1].lower(), m[2]) if m else None for m in found]
-        words = [w for w in {w for c in cells if c for w in c} if w not in self.words]
-        shown = [w if w.isascii() else w.encode().decode("latin-1").translate(self.letters) for w in words]
-        self.words.update(zip(words, self._bytes(self.plain, shown)))
-        other = iter(self._bytes(self.tok, [u for u, c in zip(new, cells) if c is None]))
-        return [self.words[c[0]] + self.words[c[1]] if c else next(other) for c in cells]
-
-    def units(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Where each unit of the texts begins, as a byte of its text; its text; its slot; its number of ids."""
+    def _of_plain(self, new: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain pieces, and the number of each: many are encoded as one text, a line each."""
+        ids, sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for lo in range(0, len(new), TOGETHER):
+            part = new[lo:lo + TOGETHER]
+            raw = b"\n".join(part)
+            text = raw.decode() if raw.isascii() else raw.decode("latin-1").translate(self.letters)
+            coded = np.array(self.plain.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+            lines = coded == self.line
+            ids.append(coded[~lines])
+            sizes.append(np.diff(np.flatnonzero(lines), prepend=-1, append=len(coded)) - 1)
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    def _of_whole(self, new: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of units that are encoded as they stand, and the number of each."""
+        coded = self._bytes(self.tok, [u.decode() for u in new])
+        return np.frombuffer(b"".join(coded), "<u4"), np.fromiter((len(c) // 4 for c in coded), np.int64, len(coded))
+
+    def _pieces(self, texts: pa.Array) -> tuple[np.ndarray, ...]:
+        """Where each unit of the texts begins, as a byte of its text; its text; its first piece; the
+        slot of each piece; its number of ids."""
         data, offsets = flat_text(texts)
         begin, end, rows = word_spans((data != 32) & (data != 10), offsets)
         if not len(begin):
-            return (np.zeros(0, np.int64),) * 4
-        code, first = distinct_spans(data, begin, end)
+            return (np.zeros(0, np.int64),) * 5
+        at, first, lo, hi = begin - offsets[rows], np.arange(len(begin)), begin, end
+        whole = np.ones(len(begin), bool)
+        if self.plain is not None:
+            data, first, lo, hi, whole = plain_pieces(data, begin, end)
+        code, place = distinct_spans(data, lo, hi)
         if len(self.slots) > KNOWN_UNITS:
             self._forget()
         raw = data.tobytes()
-        found = list(map(raw.__getitem__, map(slice, begin[first].tolist(), end[first].tolist())))
-        new = list(filterfalse(self.slots.__contains__, found))
-        if new:
-            coded = self.of_units([u.decode() for u in new])
-            n = len(self.slots)
-            self.slots.update(zip(new, range(n, n + len(new))))
-            sizes = np.fromiter((len(c) // 4 for c in coded), np.int64, len(coded))
-            self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(coded), "<u4")])
-            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
-        slot = np.fromiter(map(self.slots.__getitem__, found), np.int64, len(found))[code]
-        return begin - offsets[rows], rows, slot, self.starts[slot + 1] - self.starts[slot]
+        found = list(map(raw.__getitem__, map(slice, lo[place].tolist(), hi[place].tolist())))
+        slot = np.fromiter(map(self.slots.get, found, repeat(-1)), np.int64, len(found))
+        for apart, coded in ((False, self._of_plain), (True, self._of_whole)):
+            fresh = np.flatnonzero((slot < 0) & (whole[place] == apart))
+            if len(fresh):
+                new = [found[k] for k in fresh.tolist()]
+                ids, sizes = coded(new)
+                slot[fresh] = np.arange(len(self.slots), len(self.slots) + len(new))
+                self.slots.update(zip(new, slot[fresh].tolist()))
+                self.ids = np.concatenate([self.ids, ids])
+                self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+        slot = slot[code]
+        return at, rows, first, slot, self.starts[slot + 1] - self.starts[slot]
+
+    def units(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where each unit of the texts begins, as a byte of its text; its text; its number of ids."""
+        at, rows, first, _, size = self._pieces(texts)
+        return at, rows, np.add.reduceat(size, first) if len(first) else size
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and the number of each; null is empty."""
         if not self.cut:
             coded = self._bytes(self.tok, pc.fill_null(texts, "").to_pylist())
             return np.frombuffer(b"".join(coded), "<u4"), np.fromiter((len(c) // 4 for c in coded), np.int64, len(coded))
-        _, rows, slot, size = self.units(texts)
+        _, rows, first, slot, size = self._pieces(texts)
         if not len(rows):
             return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
         ends = np.cumsum(size)
         ids = self.ids[np.repeat(self.starts[slot] - (ends - size), size) + np.arange(ends[-1])]
-        counts = np.bincount(rows, size, minlength=len(texts)).astype(np.int64)
+        counts = np.bincount(rows, np.add.reduceat(size, first), minlength=len(texts)).astype(np.int64)
         return ids, counts
 
 
+def plain_pieces(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The bytes with plain units lower-cased; the first piece of each unit; start and end of
+    every piece, which is a run of letters, a digit or a run of marks of a plain unit or any other unit
+    as a whole; whether it is such a whole."""
+    kind, low = _KIND[data], LOWER[data]
+    lead = np.flatnonzero(data[:-1] == _TWO_BYTES)
+    after = data[lead + 1]
+    lead, after = (x[(after != 0x97) & (after != 0xB7)] for x in (lead, after))  # signs of arithmetic
+    kind[lead] = kind[lead + 1] = _LETTER
+    low[lead + 1] = np.where(after < 0x9F, after | 0x20, after)  # U+00DF has no capital here
+    starts = np.empty(len(data), bool)
+    np.not_equal(kind[1:], kind[:-1], out=starts[1:])
+    starts |= kind == _DIGIT
+    starts &= kind != _BLANK
+    odd = np.unique(np.searchsorted(begin, np.flatnonzero(kind == _OTHER), side="right") - 1)
+    whole = np.zeros(len(data), bool)
+    if len(odd):
+        edges = np.zeros(len(data) + 1, np.int8)
+        edges[begin[odd]] += 1
+        edges[end[odd]] -= 1
+        whole = np.cumsum(edges[:-1], dtype=np.int8).astype(bool)
+        starts &= ~whole
+        low = np.where(whole, data, low)
+    starts[begin] = True
+    lo = np.flatnonzero(starts)
+    first = np.searchsorted(lo, begin)
+    hi = np.append(lo[1:], end[-1])
+    hi[first[1:] - 1] = end[:-1]
+    return low, first, lo, hi, whole[lo]
+
+
 def distinct_spans(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A number for each span, equal for equal bytes, and where each number stands first. Hashes find
     candidates, bytes decide."""
@@ -251,7 +311,7 @@ def counts_by_units(encode: Encoder, texts: list[bytes], chunk: int, overlap: in
     text in which an overlap has no boundary goes to ``chunked_count``, which widens it."""
     spans = [chunk_spans(t, chunk, overlap) for t in texts]
     pieces = pa.array([t[lo:hi] for t, of in zip(texts, spans) for lo, hi in of], pa.binary()).cast(pa.string())
-    at, rows, _, size = encode.units(pieces)
+    at, rows, size = encode.units(pieces)
     edges = np.searchsorted(rows, np.arange(len(pieces) + 1))
     total = np.concatenate([[0], np.cumsum(size)])
     out, k = [], 0

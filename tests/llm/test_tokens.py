@@ -41,6 +41,23 @@ def test_token_counts_equal_the_library(spark):
     assert token_count.count_tokens(docs_of(spark, []), tokenizer_file()).count() == 0
 
 
+def test_new_units_are_cut_into_pieces_that_are_looked_up_once():
+    letters, rng = "abcdeéÀÑßz", random.Random(7)
+    stems = ["".join(rng.choice(letters) for _ in range(8)) for _ in range(50)]
+    texts = [" ".join(rng.choice((s, s.upper(), s.title())) + f"{rng.choice('.,!?')}{k}-{s}" for s in stems) for k in range(40)]
+    # other kinds of bytes beside plain ones, signs between the letters, a special token inside a unit
+    texts += ["aÀ×b÷ÿ", "\x01a.1 b\x7f", "İzmir", "٣1a", "don't.stop 日本a1", "a.<|endoftext|>B2", "Ÿé e\u0301", "\t", *odd_texts()]
+    encode = token_count.Encoder(tokenizer_file())
+    ids, counts = encode(token_count.pa.array(texts[:40]))
+    assert len(encode.slots) < 2 * len(stems)  # not one for each of 2000 units
+    for part in (texts, texts[40:], [None]):
+        ids, counts = encode(token_count.pa.array(part, "string"))
+        want = ids_of(part)
+        assert counts.tolist() == [*map(len, want)] and ids.tolist() == np.concatenate(want).tolist()
+        sizes = encode.units(token_count.pa.array(part, "string"))
+        assert np.bincount(sizes[1], sizes[2], len(part)).tolist() == counts.tolist()
+
+
 FILES = ("word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model")
 
 
